@@ -1,0 +1,5 @@
+"""No streaming jobs: the engine is batch only.
+
+The row-wise operators (host and suffix expressions, HTML extraction,
+tokenization) hold no state and accept a streaming DataFrame unchanged.
+"""
