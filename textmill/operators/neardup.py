@@ -59,6 +59,11 @@ class NearDuplicates:
     links: DataFrame
 
 
+def _best(id_col: str = "id") -> Column:
+    """Sort key that puts the longest text first, then the smallest id."""
+    return F.struct(-F.col("len"), F.col(id_col))
+
+
 def _salts(count: Column, cfg: NearDupConfig) -> Column:
     return F.ceil(count / F.lit(cfg.rows_per_salt)).cast("int")
 
@@ -117,7 +122,7 @@ def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tu
         open_members = state.where("star = 0")
         leaders = (
             open_members.groupBy("bucket")
-            .agg(F.count("*").alias("n_open"), F.max_by("id", F.struct("len", -F.col("id"))).alias("leader"))
+            .agg(F.count("*").alias("n_open"), F.min_by("id", _best()).alias("leader"))
             .where(F.col("n_open") > cfg.small_bucket)
         )
         leaders = cut(leaders.select("bucket", "leader", _salts(F.col("n_open"), cfg).alias("salts")), "leaders")
@@ -236,7 +241,7 @@ def best_partners(found: NearDuplicates) -> DataFrame:
         "jaccard",
     )
     best = directed.groupBy("id").agg(
-        F.max_by(F.struct("partner", "jaccard"), F.struct("len", -F.col("partner"))).alias("best")
+        F.min_by(F.struct("partner", "jaccard"), _best("partner")).alias("best")
     ).select("id", "best.partner", "best.jaccard")
     of_copies = found.copies.join(best.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("partner", "rep").alias("partner"), F.coalesce("jaccard", F.lit(1.0)).alias("jaccard")
@@ -257,9 +262,7 @@ def dup_clusters(found: NearDuplicates) -> DataFrame:
         .distinct()
     )
     placed = components.join(lengths, "id")
-    keepers = placed.groupBy("component").agg(
-        F.max_by("id", F.struct("len", -F.col("id"))).alias("keeper")
-    )
+    keepers = placed.groupBy("component").agg(F.min_by("id", _best()).alias("keeper"))
     linked = components.join(keepers, "component").select("id", F.col("component").alias("cluster"), "keeper")
     of_copies = found.copies.join(linked.withColumnRenamed("id", "rep"), "rep", "left").select(
         "id", F.coalesce("cluster", "rep").alias("cluster"), F.coalesce("keeper", "rep").alias("keeper")

@@ -16,8 +16,8 @@ EVENT_SCHEMA = """
     `Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint,
     `Shuffle Read Metrics`: struct<`Fetch Wait Time`: bigint>,
     `Shuffle Write Metrics`: struct<`Shuffle Write Time`: bigint>>,
-  `Executor Metrics Updated`: array<struct<`Executor Metrics`: struct<`JVMHeapMemory`: bigint>>>,
-  `Executor Metrics`: struct<`JVMHeapMemory`: bigint>
+  `Executor Metrics Updated` array<struct<`Executor Metrics`: struct<`JVMHeapMemory`: bigint>>>,
+  `Executor Metrics` struct<`JVMHeapMemory`: bigint>
 """
 APP_PATTERN = r"((?:application|app|local)[-_][0-9]{13,14}(?:[-_][0-9]+)?)"
 YARN_APP_PATTERN = r"(application_[0-9]{13}_[0-9]+)"

@@ -259,7 +259,7 @@ def _write(records: DataFrame, out: str, mode: str, dynamic: bool = False) -> No
 
 
 def archive_lines(df: DataFrame, id_col: str, url_col: str, date_col: str, html_col: str) -> DataFrame:
-    """One ``response`` record per page as a ``value`` string, for ``write.text`` with an empty ``lineSep``."""
+    """One ``response`` record per page as a ``value`` string; write as text with ``EMPTY_LINE`` as ``lineSep``."""
     body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), F.col(html_col))
     return df.select(
         F.concat(
@@ -273,6 +273,5 @@ def archive_lines(df: DataFrame, id_col: str, url_col: str, date_col: str, html_
             F.octet_length(body).cast("string"),
             F.lit(EMPTY_LINE),
             body,
-            F.lit(EMPTY_LINE),
         ).alias("value")
     )
