@@ -262,14 +262,18 @@ def shingles(spark: SparkSession, sf: str) -> DataFrame:
     return shingle.shingle_profile(_documents(spark, sf), "doc_id", "text")
 
 
-def shingles_word(spark: SparkSession, sf: str) -> DataFrame:
-    return shingle.shingle_profile(_documents(spark, sf), "doc_id", "text", unit="word")
+def shingles_char(spark: SparkSession, sf: str) -> DataFrame:
+    return shingle.shingle_profile(_documents(spark, sf), "doc_id", "text", unit="char")
 
 
 def minhash_signature(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.minhash_signature(_documents(spark, sf), "doc_id", "text")
 
 
+def minhash_signature_char(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.minhash_signature(_documents(spark, sf), "doc_id", "text", unit="char")
+
+
 def minhash_candidates(spark: SparkSession, sf: str) -> DataFrame:
     signatures = minhash.minhash_signature(_documents(spark, sf), "doc_id", "text")
     return minhash.minhash_candidates(minhash.band_table(signatures, ["doc_id"]), "doc_id")
@@ -283,9 +287,14 @@ def minhash_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(neardup.best_partners(_found(spark, sf)), 6, "jaccard").withColumnRenamed("id", "doc_id")
 
 
-def minhash_pairs_word(spark: SparkSession, sf: str) -> DataFrame:
-    """Word shingles and one hash per band: the loosest banding."""
-    cfg = neardup.NearDupConfig(unit="word", bands=24, rows=1)
+def minhash_pairs_char(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = neardup.NearDupConfig(unit="char")
+    return _rounded(neardup.best_partners(_found(spark, sf, cfg)), 6, "jaccard").withColumnRenamed("id", "doc_id")
+
+
+def minhash_pairs_any(spark: SparkSession, sf: str) -> DataFrame:
+    """One hash per band: any of the 24 minima in common makes a candidate."""
+    cfg = neardup.NearDupConfig(bands=24, rows=1)
     return _rounded(neardup.best_partners(_found(spark, sf, cfg)), 6, "jaccard").withColumnRenamed("id", "doc_id")
 
 
@@ -469,8 +478,8 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     warc_ingest, parquet_roundtrip, blacklist_load, blacklist_normalise, host_extract, domain_suffixes, domain_filter,
     url_prefix_filter, html_extract, boilerplate_filter, lang_profile, lang_score, lang_filter, exact_dedup, shingles,
-    shingles_word, minhash_signature, minhash_candidates, minhash_pairs, minhash_pairs_word, dup_clusters,
-    near_dup_filter, near_dup_pairwise, dedup_compare, word_tokens, token_ids, tokenize_fixed, token_stats,
+    shingles_char, minhash_signature, minhash_signature_char, minhash_candidates, minhash_pairs, minhash_pairs_char,
+    minhash_pairs_any, dup_clusters, near_dup_filter, near_dup_pairwise, dedup_compare, word_tokens, token_ids, tokenize_fixed, token_stats,
     stage_funnel, corpus_md5, corpus_lsh, eventlog_metrics, runlog_scrape, run_append, run_enrich, run_status,
     run_dedup, stack, distinct_keys, grouped_mean, mean_std_by_group, quantiles_by_group, best_row_by_group,
     baseline_ratio, strong_scaling, weak_scaling, ratio_breakdown, stage_time_by_group, memory_profile, utilisation,

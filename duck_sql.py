@@ -112,7 +112,7 @@ def _word_grams(source: str, key: str, text: str, n: int, out: str) -> str:
   WHERE gram IS NOT NULL)"""
 
 
-def _near(source: str, key: str, text: str, unit: str = "char", bands: int = BANDS, rows: int = ROWS) -> str:
+def _near(source: str, key: str, text: str, unit: str = "word", bands: int = BANDS, rows: int = ROWS) -> str:
     """Shingles, signatures, candidate and similar pairs over all documents of ``source``."""
     grams = _grams if unit == "char" else _word_grams
     minima = ", ".join(f"min((h * {a} + {b}) % {MERSENNE31}) AS m{i}" for i, (a, b) in enumerate(hash_coefficients(bands * rows)))
@@ -349,20 +349,24 @@ SELECT doc_id, source FROM documents WHERE doc_id IN (
 WITH {DOCS_DATED}
 SELECT doc_id, date, md5(text) AS fingerprint FROM dated
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY date, doc_id) = 1""",
-        "shingles": f"""
+        "shingles_char": f"""
 WITH {_grams('documents', 'doc_id', 'text', 5, 'grams')}
 SELECT doc_id, count(*) AS n_shingles, sum(h)::BIGINT AS shingle_sum, min(h) AS shingle_min, max(h) AS shingle_max
 FROM (SELECT DISTINCT doc_id, h FROM grams) GROUP BY doc_id""",
-        "shingles_word": f"""
+        "shingles": f"""
 WITH {_word_grams('documents', 'doc_id', 'text', 5, 'grams')}
 SELECT doc_id, count(*) AS n_shingles, sum(h)::BIGINT AS shingle_sum, min(h) AS shingle_min, max(h) AS shingle_max
 FROM (SELECT DISTINCT doc_id, h FROM grams) GROUP BY doc_id""",
         "minhash_signature": f"WITH {near} SELECT * FROM sig",
+        "minhash_signature_char": f"WITH {_near('documents', 'doc_id', 'text', 'char')} SELECT * FROM sig",
         "minhash_candidates": f"""
 WITH {near}
 SELECT band, min(id) AS first_id, max(id) AS last_id, count(*) AS n_docs FROM bands GROUP BY band, bucket HAVING count(*) > 1""",
         "minhash_pairs": f"WITH {near} SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best",
-        "minhash_pairs_word": f"""
+        "minhash_pairs_char": f"""
+WITH {_near('documents', 'doc_id', 'text', 'char')}
+SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best""",
+        "minhash_pairs_any": f"""
 WITH {_near('documents', 'doc_id', 'text', 'word', 24, 1)}
 SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best""",
         "dup_clusters": f"{rec}{near}, {CLUSTERS} SELECT id AS doc_id, cluster, keeper FROM clusters",
@@ -408,13 +412,13 @@ SELECT step, stage, coalesce(lag(rows_out) OVER (ORDER BY step), rows_out) AS ro
 WITH apps AS (
   SELECT {APP_NAME} AS app, sum(o_custkey)::BIGINT AS total, sum({app_task['run']})::BIGINT AS run,
     sum({app_task['gc']})::BIGINT AS gc, sum({app_task['mem']})::BIGINT AS mem, sum({app_task['disk']})::BIGINT AS disk,
-    sum({app_task['fetch']})::BIGINT AS fetch, sum({app_task['write_ns']})::BIGINT AS write_ns, max({app_task['heap']}) AS heap
+    sum({app_task['fetch']})::BIGINT AS waited, sum({app_task['write_ns']})::BIGINT AS write_ns, max({app_task['heap']}) AS heap
   FROM orders GROUP BY app),
 m AS (SELECT *, write_ns / 1000000 AS w, run + 1e-9 AS r FROM apps)
 SELECT app, total AS total_time_ms, run AS executor_run_time_ms, round(run / (total + 1e-9), 6) AS parallelism_factor,
-  gc AS gc_time_ms, round(gc / r, 6) AS gc_ratio, fetch AS shuffle_read_ms, round(w, 6) AS shuffle_write_ms,
-  round(fetch + w, 6) AS communication_ms, round((fetch + w) / r, 6) AS communication_ratio,
-  round(run - (fetch + w) - gc, 6) AS compute_ms, round((run - (fetch + w) - gc) / r, 6) AS compute_ratio,
+  gc AS gc_time_ms, round(gc / r, 6) AS gc_ratio, waited AS shuffle_read_ms, round(w, 6) AS shuffle_write_ms,
+  round(waited + w, 6) AS communication_ms, round((waited + w) / r, 6) AS communication_ratio,
+  round(run - (waited + w) - gc, 6) AS compute_ms, round((run - (waited + w) - gc) / r, 6) AS compute_ratio,
   round(mem / 1048576, 6) AS memory_spill_mb, round(disk / 1048576, 6) AS disk_spill_mb,
   round(heap / 1048576, 6) AS peak_heap_mb FROM m""",
         "runlog_scrape": f"""

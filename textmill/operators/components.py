@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textmill.session import cut
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*").alias("n"),
-        F.bit_xor(F.xxhash64("u", "v")).alias("x"),
-    ).first()
-    return row["n"], row["x"]
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their count and checksum observed on the way."""
+    seen = Observation("edges")
+    watched = edges.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    table = cut(watched, "components")
+    return table, (seen.get["n"], seen.get["x"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -41,13 +41,11 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     minimum per vertex, so a vertex with very many neighbours is combined before
     the shuffle. Each round is written to the shared folder.
     """
-    state = cut(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "components"
+    state, before = _written(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     )
-    before = _fingerprint(state)
     while before[0] > 0:
-        state = cut(_small_star(_large_star(state)), "components")
-        after = _fingerprint(state)
+        state, after = _written(_small_star(_large_star(state)))
         if after == before:
             break
         before = after

@@ -27,7 +27,7 @@ def minhash_signature(
     id_col: str,
     text_col: str,
     n: int = NGRAM_SIZE,
-    unit: str = "char",
+    unit: str = "word",
     num_hashes: int = NUM_HASHES,
     keep: list[str] | None = None,
 ) -> DataFrame:
@@ -48,15 +48,15 @@ def minhash_signature(
 
 
 def band_table(signatures: DataFrame, keep: list[str], bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(*keep, band, bucket)``: one row per document and band; equal buckets are candidates."""
-    entries = [
-        F.struct(
-            F.lit(b).alias("band"),
-            F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]).alias("bucket"),
-        )
-        for b in range(bands)
-    ]
-    return signatures.select(*keep, F.inline(F.array(*entries)))
+    """``(*keep, keys, band, bucket)``: one row per document and band; equal buckets are candidates.
+
+    ``keys`` holds the buckets of all the document's bands.
+    """
+    keys = F.array(
+        *[F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
+    )
+    keyed = signatures.select(*keep, keys.alias("keys"))
+    return keyed.select(*keep, "keys", F.posexplode("keys").alias("band", "bucket"))
 
 
 def minhash_candidates(bands: DataFrame, id_col: str) -> DataFrame:

@@ -8,15 +8,15 @@ components, and holding for each document the link to its best partner. "Best"
 is the longest text, then the smallest id.
 
 1. Exact copies collapse onto their smallest id before any bucket is formed.
-2. Buckets of at most ``small_bucket`` documents are joined pair by pair, which
-   bounds the partners of a row.
+2. Buckets of at most ``small_bucket`` documents are compared inside the join, so
+   a row has a bounded number of partners and only similar pairs leave it.
 3. A larger bucket elects its best open document as leader and compares every
    open document with it, one comparison each. The similar ones form the
    leader's star: they are connected through it and none has a better partner
    within the star. The others stay open for the next leader.
 4. What the leaders leave (pairs of different stars, pairs of open documents) is
-   found exactly with the prefix filter for Jaccard: such a pair must share one
-   of the rarest shingles of both documents.
+   found exactly with the size, prefix and position filters for Jaccard: such a
+   pair must share one of the rarest shingles of both documents.
 """
 
 from __future__ import annotations
@@ -42,12 +42,13 @@ from textmill.session import cut
 @dataclass(frozen=True)
 class NearDupConfig:
     n: int = NGRAM_SIZE
-    unit: str = "char"
+    unit: str = "word"
     bands: int = BANDS
     rows: int = ROWS
     threshold: float = THRESHOLD
-    small_bucket: int = 64
+    small_bucket: int = 256
     leader_rounds: int = 4
+    worthwhile_star: float = 0.1
     rows_per_salt: int = 50_000
 
 
@@ -72,60 +73,94 @@ def _salt_of(key: str, salts: Column) -> Column:
     return F.pmod(F.xxhash64(key), salts).cast("int")
 
 
+def _gram_sets(docs: DataFrame, wanted: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """``(id, len, grams)`` of the wanted documents; ``docs`` is ``(id, text)``."""
+    return docs.join(wanted.select("id").distinct(), "id", "left_semi").select(
+        "id", F.length("text").alias("len"), gram_set(F.col("text"), cfg.n, cfg.unit).alias("grams")
+    )
+
+
+def _alike_in_size(a: Column, b: Column, cfg: NearDupConfig) -> Column:
+    return F.least(a, b) >= F.lit(cfg.threshold) * F.greatest(a, b)
+
+
+def _overlap() -> Column:
+    """Jaccard overlap of ``grams_a`` and ``grams_b``."""
+    both = F.size(F.array_intersect("grams_a", "grams_b"))
+    return both / (F.size("grams_a") + F.size("grams_b") - both)
+
+
+def _similar(cfg: NearDupConfig) -> Column:
+    alike = _alike_in_size(F.size("grams_a"), F.size("grams_b"), cfg)
+    return F.when(alike, _overlap() >= cfg.threshold).otherwise(False)
+
+
+def _sides(sets: DataFrame, *shared: str) -> tuple[DataFrame, DataFrame]:
+    """The same rows as left (``a``) and right (``b``) side of a self-join."""
+
+    def side(tag: str) -> DataFrame:
+        return sets.select(
+            *shared,
+            F.col("id").alias(tag),
+            *[F.col(c).alias(f"{c}_{tag}") for c in sets.columns if c not in shared and c != "id"],
+        )
+
+    return side("a"), side("b")
+
+
 def verify_pairs(pairs: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """Of the distinct pairs ``(a, b)`` those similar enough, with both lengths and the overlap.
 
-    ``docs`` is ``(id, text)``; shingle sets are made for candidates only. ``a``
-    has few partners by construction; ``b`` may have any number, so its set is
-    replicated over salts in proportion to them.
+    ``a`` has few partners by construction; ``b`` may have any number, so its set
+    is replicated over salts in proportion to them.
     """
     partners = pairs.groupBy("b").agg(_salts(F.count("*"), cfg).alias("salts"))
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = docs.join(wanted, "id", "left_semi").select(
-        "id",
-        F.length("text").alias("len"),
-        gram_set(F.col("text"), cfg.n, cfg.unit).alias("grams"),
-    )
-    left = sets.select(F.col("id").alias("a"), F.col("len").alias("len_a"), F.col("grams").alias("grams_a"))
-    right = (
-        sets.withColumnRenamed("id", "b")
-        .join(partners, "b")
-        .select(
-            "b",
-            F.col("len").alias("len_b"),
-            F.col("grams").alias("grams_b"),
-            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-        )
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    left, right = _sides(_gram_sets(docs, wanted, cfg))
+    salted_right = right.join(partners, "b").select(
+        *right.columns, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
     salted = pairs.join(partners, "b").select("a", "b", _salt_of("a", F.col("salts")).alias("salt"))
-    size_a, size_b = F.size("grams_a"), F.size("grams_b")
-    both = F.size(F.array_intersect("grams_a", "grams_b"))
     return (
         salted.join(left, "a")
-        .join(right, ["b", "salt"])
-        .where(F.least(size_a, size_b) >= F.lit(cfg.threshold) * F.greatest(size_a, size_b))
-        .select("a", "b", "len_a", "len_b", (both / (size_a + size_b - both)).alias("jaccard"))
-        .where(F.col("jaccard") >= cfg.threshold)
+        .join(salted_right, ["b", "salt"])
+        .where(_similar(cfg))
+        .select("a", "b", "len_a", "len_b", _overlap().alias("jaccard"))
     )
 
 
-def _small_pairs(members: DataFrame) -> DataFrame:
-    other = members.select("bucket", F.col("id").alias("b"))
-    return members.select("bucket", F.col("id").alias("a")).join(other, "bucket").where("a < b").select("a", "b").distinct()
+def _small_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Links inside buckets of bounded size.
+
+    A document's set travels once per shared bucket rather than once per pair,
+    and a pair is compared only in the first band its documents share.
+    """
+    rows = members.select("bucket", "band", "keys", "id").join(_gram_sets(docs, members, cfg), "id")
+    left, right = _sides(rows, "bucket")
+    first = F.coalesce(
+        *[F.when(F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i)), F.lit(i)) for i in range(cfg.bands)]
+    )
+    new_pair = (F.col("a") < F.col("b")) & (F.col("band_a") == first) & (F.col("band_b") == first)
+    return (
+        left.join(right, "bucket")
+        .where(F.when(new_pair, _similar(cfg)).otherwise(False))
+        .select("a", "b", "len_a", "len_b", _overlap().alias("jaccard"))
+    )
 
 
 def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, list[DataFrame]]:
     """Stars around elected leaders: members with a ``star`` number (0 = open) and the links found."""
     found: list[DataFrame] = []
     state = members.withColumn("star", F.lit(0))
+    active = members.select("bucket").distinct()
     for turn in range(1, cfg.leader_rounds + 1):
-        open_members = state.where("star = 0")
+        open_members = state.where("star = 0").join(active, "bucket", "left_semi")
         leaders = (
             open_members.groupBy("bucket")
             .agg(F.count("*").alias("n_open"), F.min_by("id", _best()).alias("leader"))
             .where(F.col("n_open") > cfg.small_bucket)
         )
-        leaders = cut(leaders.select("bucket", "leader", _salts(F.col("n_open"), cfg).alias("salts")), "leaders")
+        leaders = cut(leaders.withColumn("salts", _salts(F.col("n_open"), cfg)), "leaders")
         if leaders.isEmpty():
             break
         spread = leaders.select(
@@ -144,7 +179,11 @@ def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tu
             ["id", "leader"],
             "left",
         ).where(F.col("hit") | (F.col("id") == F.col("leader")))
-        placed = joined.select("bucket", "id", F.lit(turn).alias("new_star"))
+        placed = cut(joined.select("bucket", "id", F.lit(turn).alias("new_star")), "placed")
+        active = (
+            placed.groupBy("bucket").agg(F.count("*").alias("n_star")).join(leaders, "bucket")
+            .where(F.col("n_star") >= cfg.worthwhile_star * F.col("n_open")).select("bucket")
+        )
         state = cut(
             state.join(placed, ["bucket", "id"], "left").select(
                 "bucket", "id", "len", F.coalesce("new_star", "star").alias("star")
@@ -163,9 +202,7 @@ def _prefix_pairs(state: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Data
         .select("bucket")
     )
     rest = state.join(mixed, "bucket", "left_semi")
-    sets = docs.join(rest.select("id").distinct(), "id", "left_semi").select(
-        "id", gram_set(F.col("text"), cfg.n, cfg.unit).alias("grams")
-    )
+    sets = _gram_sets(docs, rest, cfg)
     grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
     frequency = grams.groupBy("h").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy("id").orderBy("df", "h")
@@ -174,18 +211,25 @@ def _prefix_pairs(state: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Data
         grams.join(frequency, "h")
         .withColumn("rank", F.row_number().over(rarest))
         .where(F.col("rank") <= prefix_length)
-        .select("id", "h")
+        .select("id", "n", "h", "rank")
     )
     keyed = rest.select("bucket", "id", "star").join(prefixes, "id")
     # Only stars below one's own are asked for, so no key brings a star's members together.
     asked = F.when(F.col("star") == 0, F.sequence(F.lit(0), F.lit(cfg.leader_rounds))).otherwise(
         F.when(F.col("star") > 1, F.sequence(F.lit(1), F.col("star") - 1))
     )
+    right = _sides(keyed, "bucket", "h")[1]
     askers = keyed.select(
-        "bucket", "h", F.col("id").alias("a"), F.col("star").alias("own"), F.explode(asked).alias("star")
+        "bucket", "h", F.explode(asked).alias("star_b"), F.col("id").alias("a"), F.col("star").alias("star_a"),
+        F.col("n").alias("n_a"), F.col("rank").alias("rank_a"),
+    )
+    reachable = 1 + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
+    needed = F.lit(cfg.threshold / (1 + cfg.threshold)) * (F.col("n_a") + F.col("n_b"))
+    hits = (
+        askers.join(right, ["bucket", "h", "star_b"])
+        .where("star_a <> star_b OR a < b")
+        .where(_alike_in_size(F.col("n_a"), F.col("n_b"), cfg) & (reachable >= needed - 1e-6))
     )
-    answers = keyed.select("bucket", "h", "star", F.col("id").alias("b"))
-    hits = askers.join(answers, ["bucket", "h", "star"]).where("own <> star OR a < b")
     return hits.select("a", "b").distinct()
 
 
@@ -202,13 +246,13 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
         signatures.select("id", "fp").join(reps.where("n > 1"), "fp").where("id <> rep").select("id", "rep"), "copies"
     )
     distinct_texts = signatures.join(copies.select("id"), "id", "left_anti")
-    buckets = band_table(distinct_texts, ["id", "len"], cfg.bands, cfg.rows).drop("band")
+    buckets = band_table(distinct_texts, ["id", "len"], cfg.bands, cfg.rows)
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n_bucket")).where("n_bucket > 1")
     members = cut(buckets.join(sizes, "bucket"), "members")
 
     small = members.where(F.col("n_bucket") <= cfg.small_bucket)
-    parts = [verify_pairs(cut(_small_pairs(small), "pairs"), docs, cfg)]
-    large = members.where(F.col("n_bucket") > cfg.small_bucket).drop("n_bucket")
+    parts = [_small_links(small, docs, cfg)]
+    large = members.where(F.col("n_bucket") > cfg.small_bucket).select("bucket", "id", "len")
     if not large.isEmpty():
         stars, found = _leader_links(large, docs, cfg)
         parts += found

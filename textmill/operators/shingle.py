@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from textmill.functions.grams import gram_set
 
 
-def shingles(df: DataFrame, id_col: str, text_col: str, n: int = 5, unit: str = "char") -> DataFrame:
+def shingles(df: DataFrame, id_col: str, text_col: str, n: int = 5, unit: str = "word") -> DataFrame:
     """Long table ``(id, h)`` with each distinct shingle of a document once."""
     return df.select(F.col(id_col).alias("id"), F.explode(gram_set(F.col(text_col), n, unit)).alias("h"))
 
 
-def shingle_profile(df: DataFrame, id_col: str, text_col: str, n: int = 5, unit: str = "char") -> DataFrame:
+def shingle_profile(df: DataFrame, id_col: str, text_col: str, n: int = 5, unit: str = "word") -> DataFrame:
     """Per document: number of distinct shingles and checksums over them."""
     return (
         shingles(df, id_col, text_col, n, unit)
