@@ -58,17 +58,15 @@ def _word_gram(parts: Column, start: Column, n: int) -> Column:
 def explode_grams(df: DataFrame, keep: list[str], text: Column, n: int, unit: str = "char") -> DataFrame:
     """One row ``(*keep, h)`` per n-gram; texts shorter than ``n`` units give no row."""
     if unit == "char":
-        folded = F.lower(text)
-        base = df.where(F.length(folded) >= n)
-        source, gram, last = code_points(folded), _combine, F.length(folded) - n
+        source, gram = code_points(F.lower(text)), _combine
     elif unit == "word":
-        split = words(text)
-        base = df.where(F.size(split) >= n)
-        source, gram, last = split, _word_gram, F.size(split) - n
+        source, gram = words(text), _word_gram
     else:
         raise ValueError(f"unit must be 'char' or 'word', not {unit!r}")
-    parts = base.select(*keep, source.alias("_parts"), last.alias("_last"))
-    starts = parts.select(*keep, "_parts", F.explode(F.sequence(F.lit(0), "_last")).alias("_start"))
+    parts = df.select(*keep, source.alias("_parts"))
+    # No filter on the size: it would be pushed below and cut every text twice.
+    positions = F.when(F.size("_parts") >= n, F.sequence(F.lit(0), F.size("_parts") - n))
+    starts = parts.select(*keep, "_parts", F.explode(positions).alias("_start"))
     return starts.select(*keep, gram(F.col("_parts"), F.col("_start"), n).alias("h"))
 
 

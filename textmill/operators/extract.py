@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.markup import (
@@ -15,6 +15,16 @@ from textmill.functions.markup import (
 )
 
 
+def _nonblank(df: DataFrame, others: list[str], text: Column, out: str) -> DataFrame:
+    """``others`` and ``text`` where it has a visible character.
+
+    The test sits inside a generator: as a filter it would be pushed below the
+    projection and every text would be made twice.
+    """
+    kept = F.filter(F.array(text), lambda t: t.rlike(r"[^\s\p{Z}]"))
+    return df.select(*others, F.explode(kept).alias(out))
+
+
 def html_extract(
     df: DataFrame,
     html_col: str = "html_content",
@@ -34,7 +44,7 @@ def html_extract(
     )
     blocks = F.filter(F.split("_t", "\n"), lambda b: is_prose(b, max_link_share))
     text = F.regexp_replace(F.array_join(blocks, "\n"), MARK_PATTERN, "")
-    return lines.select(*others, folded(text).alias(out)).where(F.col(out).rlike(r"[^\s\p{Z}]"))
+    return _nonblank(lines, others, folded(text), out)
 
 
 def repeated_blocks(df: DataFrame, host_col: str, text_col: str, min_pages: int) -> DataFrame:
@@ -73,6 +83,5 @@ def boilerplate_filter(
     joined = df.join(hits, F.col(id_col) == F.col("_id"), "left")
     kept = F.filter(F.split(text_col, "\n"), lambda b: ~F.array_contains("_hits", F.xxhash64(b)))
     text = F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return (
-        joined.withColumn(text_col, text).select(*df.columns).where(F.col(text_col).rlike(r"[^\s\p{Z}]"))
-    )
+    others = [c for c in df.columns if c != text_col]
+    return _nonblank(joined, others, text, text_col).select(*df.columns)
