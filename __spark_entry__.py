@@ -472,6 +472,22 @@ def run_summary(spark: SparkSession, sf: str) -> DataFrame:
     return runs.run_summary(_enriched(spark, sf))
 
 
+def shuffle_profile(spark: SparkSession, sf: str) -> DataFrame:
+    table = runs.shuffle_profile(_enriched(spark, sf).where("Type = 'Weak'"))
+    return _rounded(table, 6, *[c for c in table.columns if c not in ("Cores", "Execs")])
+
+
+def best_runs(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.best_runs(_enriched(spark, sf))
+
+
+def report_sink(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "reports")
+    runs.write_reports(cut(_enriched(spark, sf), "enriched"), path)
+    schema = "TotalCores INT, " + ", ".join(f"{c} DOUBLE" for c in runs.STAGE_COLUMNS)
+    return spark.read.schema(schema).option("header", True).csv(f"{path}/stage_strong_time")
+
+
 # --- contract ------------------------------------------------------------------------------------
 
 
@@ -483,7 +499,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     stage_funnel, corpus_md5, corpus_lsh, eventlog_metrics, runlog_scrape, run_append, run_enrich, run_status,
     run_dedup, stack, distinct_keys, grouped_mean, mean_std_by_group, quantiles_by_group, best_row_by_group,
     baseline_ratio, strong_scaling, weak_scaling, ratio_breakdown, stage_time_by_group, memory_profile, utilisation,
-    best_configurations, run_summary,
+    best_configurations, run_summary, shuffle_profile, best_runs, report_sink,
 ]
 
 

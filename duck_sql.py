@@ -471,6 +471,19 @@ WITH {ENRICHED} SELECT TotalCores, {_means(['AppTimeSec', 'ComputeSec', 'GCSec',
   round(100 * avg(CommSec) / avg(ExecRunTimeSec), 2) AS CommRatio FROM enriched WHERE Type = 'Strong' GROUP BY TotalCores""",
         "stage_time_by_group": f"""
 WITH {RUNS} SELECT TotalCores, {_means(STAGE_COLUMNS, 2)} FROM runs WHERE Type = 'Strong' GROUP BY TotalCores""",
+        "report_sink": f"""
+WITH {RUNS} SELECT TotalCores, {_means(STAGE_COLUMNS, 2)} FROM runs WHERE Type = 'Strong' GROUP BY TotalCores""",
+        "shuffle_profile": f"""
+WITH {ENRICHED} SELECT Cores, Execs, {_means(['AppTimeSec', 'ComputeSec', 'GCSec', 'ShuffleReadSec', 'ShuffleWriteSec', 'ComputeRatio', 'GCRatio', 'CommRatio'], 6)}
+FROM enriched WHERE Type = 'Weak' GROUP BY Cores, Execs""",
+        "best_runs": f"""
+WITH {ENRICHED},
+v AS (
+  SELECT 'time' AS Best, *, AppTimeSec AS Value FROM enriched UNION ALL
+  SELECT 'time per core', *, TimePerCore FROM enriched UNION ALL
+  SELECT 'time per unit', *, TimePerUnit FROM enriched WHERE Type = 'Weak')
+SELECT Best, Execs, Cores, TotalCores, Data, Run, Value FROM v
+QUALIFY row_number() OVER (PARTITION BY Best ORDER BY Value, TotalCores, Execs, Data, Run) = 1""",
         "memory_profile": f"""
 WITH {ENRICHED}, {CONFIGS},
 labelled AS (

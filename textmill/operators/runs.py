@@ -273,3 +273,53 @@ def run_summary(runs: DataFrame) -> DataFrame:
         F.min_by(config, core_key).alias("MostEfficientConfig"),
         F.round(F.min("TimePerCore"), 2).alias("TimePerCore"),
     )
+
+
+def shuffle_profile(runs: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+    """Mean seconds in compute, GC and shuffle and the mean recorded ratios per weak configuration."""
+    metrics = [
+        "AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec", "ComputeRatio", "GCRatio", "CommRatio",
+    ]
+    return grouped_mean(runs, group_cols or ["Cores", "Execs"], metrics)
+
+
+def best_runs(runs: DataFrame) -> DataFrame:
+    """The fastest run, the one with the least time per core, and the least time per unit of data among weak runs."""
+    weak = runs.where("Type = 'Weak'")
+    lists = [("time", runs, "AppTimeSec"), ("time per core", runs, "TimePerCore"), ("time per unit", weak, "TimePerUnit")]
+    return stack(
+        [
+            best_row_by_group(
+                rows.select(
+                    F.lit(name).alias("Best"), "Execs", "Cores", "TotalCores", "Data", "Run", F.col(metric).alias("Value")
+                ),
+                ["Best"], "Value", ["TotalCores", "Execs", "Data", "Run"],
+            )
+            for name, rows, metric in lists
+        ]
+    )
+
+
+def report_tables(runs: DataFrame) -> dict[str, DataFrame]:
+    """All report tables of an enriched run table, by name."""
+    strong, weak = runs.where("Type = 'Strong'"), runs.where("Type = 'Weak' AND Cores IN (2, 4)")
+    return {
+        "strong_performance": strong_scaling(strong),
+        "strong_breakdown": ratio_breakdown(strong, ["TotalCores"]),
+        "stage_strong_time": stage_time_by_group(strong, ["TotalCores"]),
+        "weak_comparison": weak_scaling(weak, metrics=["DatasetSizeGB", "ExecRunTimeMs", "Parallelism", "TimePerUnit"]),
+        "memory_analysis": memory_profile(runs),
+        "best_configs": best_configurations(runs),
+        "parallelism": utilisation(runs),
+        "strong_spill": grouped_mean(
+            strong, ["Execs", "Cores", "TotalCores"], ["MemSpillGB", "DiskSpillGB", "PeakHeapGB"]
+        ),
+        "stage_weak_time": stage_time_by_group(weak, ["TotalCores"]),
+        "weak_shuffle": shuffle_profile(weak),
+    }
+
+
+def write_reports(runs: DataFrame, path: str) -> None:
+    """Write every report table as CSV under ``path``."""
+    for name, table in report_tables(runs).items():
+        write_report(table, f"{path}/{name}")
