@@ -225,8 +225,9 @@ def html_extract(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def boilerplate_filter(spark: SparkSession, sf: str) -> DataFrame:
-    texts = extract.html_extract(_pages(spark, sf), "html", "text").withColumn("host", host_of(F.col("url")))
-    return extract.boilerplate_filter(texts, "page_id", "host", "text", min_pages=2).select("page_id", "text")
+    texts = cut(extract.html_extract(_pages(spark, sf), "html", "text"), "texts")
+    hosted = texts.withColumn("host", host_of(F.col("url")))
+    return extract.boilerplate_filter(hosted, "page_id", "host", "text", min_pages=2).select("page_id", "text")
 
 
 # --- language ------------------------------------------------------------------------------------

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.operators.stats import baseline_ratio, best_row_by_group, first_by_group, grouped_mean, stack
+from textmill.operators.stats import best_row_by_group, grouped_mean, stack
 
 # The run table's columns in file order.
 CONFIG_COLUMNS = ["Type", "Execs", "Cores", "TotalCores", "MemGB", "Data", "AppID"]
@@ -63,7 +63,9 @@ def write_report(table: DataFrame, path: str) -> None:
 
 
 def data_sizes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(DATA_SIZES.items()), "Data string, DatasetSizeGB double")
+    """The fixed sizes as literal rows, whose known size lets the planner broadcast them."""
+    rows = ", ".join(f"('{name}', {size}D)" for name, size in DATA_SIZES.items())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS sizes(Data, DatasetSizeGB)")
 
 
 def run_status(runs: DataFrame) -> DataFrame:
@@ -121,8 +123,8 @@ def strong_scaling(
     """
     by = experiment_cols or ["Type"]
     means = grouped_mean(runs, [*by, cores_col], [time_col, parallelism_col])
-    base = first_by_group(means.withColumn("_cores", F.col(cores_col)), by, [cores_col], [time_col, "_cores"])
-    joined = means.join(base.withColumnRenamed(time_col, "_base"), by)
+    base = Window.partitionBy(*by).orderBy(cores_col)
+    joined = means.withColumn("_base", F.first(time_col).over(base)).withColumn("_cores", F.first(cores_col).over(base))
     speedup = F.col("_base") / F.col(time_col)
     ideal = F.col(cores_col) / F.col("_cores")
     return joined.select(
@@ -149,8 +151,8 @@ def weak_scaling(
     The baseline of a width is its smallest configuration.
     """
     means = grouped_mean(runs, [width_col, order_col], [time_col, *(metrics or [])])
-    compared = baseline_ratio(means, [width_col], [order_col], time_col, "_ratio")
-    return compared.withColumn("Efficiency", F.col("_ratio") * 100).drop("_ratio", "baseline")
+    base = F.first(time_col).over(Window.partitionBy(width_col).orderBy(order_col))
+    return means.withColumn("Efficiency", base / F.col(time_col) * 100)
 
 
 def ratio_breakdown(runs: DataFrame, group_cols: list[str], digits: int | None = 2) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.session import cut
+
 
 def _rounded(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
@@ -68,15 +70,22 @@ def quantiles_by_group(
 
     A group of any size is handled in parts. An approximate sketch cuts its value
     range into slices of nearly equal row counts, equal values are combined
-    first, and only the slices that hold a wanted rank are sorted.
+    first, and only the slices that hold a wanted rank are sorted. The combined
+    values are written once, so the input is read once.
     """
     probs = probs or {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
-    values = df.where(F.col(metric).isNotNull()).groupBy(*group_cols, F.col(metric).cast("double").alias("v")).agg(
-        F.count("*").alias("c")
+    values = cut(
+        df.where(F.col(metric).isNotNull())
+        .groupBy(*group_cols, F.col(metric).cast("double").alias("v"))
+        .agg(F.count("*").alias("c")),
+        "values",
     )
     grid = [i / slices for i in range(1, slices)]
-    cuts = values.groupBy(*group_cols).agg(
-        F.percentile_approx("v", grid, 10 * slices).alias("cuts"), F.sum("c").alias("n")
+    cuts = cut(
+        values.groupBy(*group_cols).agg(
+            F.percentile_approx("v", grid, 10 * slices).alias("cuts"), F.sum("c").alias("n")
+        ),
+        "cuts",
     )
     sliced = values.join(cuts, group_cols).select(
         *group_cols, "n", "v", "c", F.size(F.filter("cuts", lambda x: x < F.col("v"))).alias("slice")
@@ -91,10 +100,11 @@ def quantiles_by_group(
             for name, p in probs.items()
         ]
     )
-    wanted = (
+    wanted = cut(
         placed.withColumn("rank", F.explode(ranks))
         .select(*group_cols, "slice", "before", "rows", "rank.name", "rank.at")
-        .where((F.ceil("at") >= F.col("before")) & (F.floor("at") < F.col("before") + F.col("rows")))
+        .where((F.ceil("at") >= F.col("before")) & (F.floor("at") < F.col("before") + F.col("rows"))),
+        "ranks",
     )
     needed = wanted.select(*group_cols, "slice", "before").distinct()
     inside = Window.partitionBy(*group_cols, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)

@@ -26,28 +26,42 @@ EPSILON = 1e-9
 STEPS = ["1", "2", "3", "4", "5a", "5b", "6a", "6b"]
 
 
-def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
-    """Events with ``app``, ``file`` and ``modified``; malformed lines are skipped.
+def list_logs(spark: SparkSession, path: str) -> DataFrame:
+    """``(app, listing, file, modified)`` of every log file, without reading any content.
 
-    The application is taken from the path. With ``latest_only`` an application
-    listed several times counts with its newest file; parts of one rolled log
-    share a folder named after the application and all count.
+    The application is taken from the path. Parts of one rolled log lie in a
+    folder named after the application and share its listing.
     """
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("mode", "DROPMALFORMED")
-        .schema(EVENT_SCHEMA)
-        .json(path)
-        .select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified"))
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
     )
-    events = lines.withColumn("app", F.regexp_extract("file", APP_PATTERN, 1))
-    if not latest_only:
-        return events
     in_folder = F.regexp_extract("file", APP_PATTERN + r"/[^/]+$", 1) != ""
     listing = F.when(in_folder, F.regexp_replace("file", r"/[^/]+$", "")).otherwise(F.col("file"))
-    events = events.withColumn("listing", listing)
-    newest = events.groupBy("app").agg(F.max_by("listing", F.struct("modified", "listing")).alias("listing"))
-    return events.join(newest, ["app", "listing"], "left_semi").drop("listing")
+    return files.select(F.regexp_extract("file", APP_PATTERN, 1).alias("app"), listing.alias("listing"), "file", "modified")
+
+
+def latest_logs(listing: DataFrame) -> DataFrame:
+    """The files of each application's newest listing entry."""
+    newest = listing.groupBy("app").agg(F.max_by("listing", F.struct("modified", "listing")).alias("listing"))
+    return listing.join(newest, ["app", "listing"], "left_semi").where("app <> ''").select("app", "file")
+
+
+def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
+    """Events with their ``app``; malformed lines are skipped.
+
+    With ``latest_only`` an application listed several times counts with its
+    newest log, chosen from the file listing before anything is read.
+    """
+    source: str | list[str] = path
+    if latest_only:
+        source = [r["file"] for r in latest_logs(list_logs(spark, path)).select("file").toLocalIterator()]
+    lines = (
+        spark.read.option("recursiveFileLookup", "true").option("mode", "DROPMALFORMED").schema(EVENT_SCHEMA).json(source)
+    )
+    return lines.select("*", F.regexp_extract(F.col("_metadata.file_path"), APP_PATTERN, 1).alias("app"))
 
 
 def _of(event: str, value: Column) -> Column:
@@ -88,14 +102,12 @@ def eventlog_metrics(events: DataFrame, apps: DataFrame | None = None) -> DataFr
         *[F.sum(c).alias(c) for c in ["run", "gc", "mem_spill", "disk_spill", "read", "write_ns"]],
         F.max("heap").alias("heap"),
     )
-    if apps is not None:
-        sums = apps.select("app").distinct().join(sums, "app", "left").na.fill(0)
     total = F.coalesce(F.col("ended") - F.col("started"), F.lit(0))
     write = F.col("write_ns") / 1_000_000
     communication = F.col("read") + write
     compute = F.col("run") - communication - F.col("gc")
     run = F.col("run") + F.lit(EPSILON)
-    return sums.select(
+    metrics = sums.select(
         "app",
         total.alias("total_time_ms"),
         F.col("run").alias("executor_run_time_ms"),
@@ -112,6 +124,9 @@ def eventlog_metrics(events: DataFrame, apps: DataFrame | None = None) -> DataFr
         (F.col("disk_spill") / MIB).alias("disk_spill_mb"),
         (F.coalesce("heap", F.lit(0)) / MIB).alias("peak_heap_mb"),
     )
+    if apps is None:
+        return metrics
+    return apps.select("app").distinct().join(metrics, "app", "left").na.fill(0)
 
 
 def runlog_scrape(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
