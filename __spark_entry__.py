@@ -285,18 +285,19 @@ def _found(spark: SparkSession, sf: str, cfg: neardup.NearDupConfig = neardup.Ne
 
 
 def minhash_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(neardup.best_partners(_found(spark, sf)), 6, "jaccard").withColumnRenamed("id", "doc_id")
+    """The losing side of all similar pairs."""
+    return neardup.pair_losers(_found(spark, sf)).withColumnRenamed("id", "doc_id")
 
 
 def minhash_pairs_char(spark: SparkSession, sf: str) -> DataFrame:
     cfg = neardup.NearDupConfig(unit="char")
-    return _rounded(neardup.best_partners(_found(spark, sf, cfg)), 6, "jaccard").withColumnRenamed("id", "doc_id")
+    return neardup.pair_losers(_found(spark, sf, cfg)).withColumnRenamed("id", "doc_id")
 
 
 def minhash_pairs_any(spark: SparkSession, sf: str) -> DataFrame:
     """One hash per band: any of the 24 minima in common makes a candidate."""
     cfg = neardup.NearDupConfig(bands=24, rows=1)
-    return _rounded(neardup.best_partners(_found(spark, sf, cfg)), 6, "jaccard").withColumnRenamed("id", "doc_id")
+    return neardup.pair_losers(_found(spark, sf, cfg)).withColumnRenamed("id", "doc_id")
 
 
 def dup_clusters(spark: SparkSession, sf: str) -> DataFrame:

@@ -362,13 +362,13 @@ FROM (SELECT DISTINCT doc_id, h FROM grams) GROUP BY doc_id""",
         "minhash_candidates": f"""
 WITH {near}
 SELECT band, min(id) AS first_id, max(id) AS last_id, count(*) AS n_docs FROM bands GROUP BY band, bucket HAVING count(*) > 1""",
-        "minhash_pairs": f"WITH {near} SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best",
+        "minhash_pairs": f"WITH {near} SELECT id AS doc_id FROM best",
         "minhash_pairs_char": f"""
 WITH {_near('documents', 'doc_id', 'text', 'char')}
-SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best""",
+SELECT id AS doc_id FROM best""",
         "minhash_pairs_any": f"""
 WITH {_near('documents', 'doc_id', 'text', 'word', 24, 1)}
-SELECT id AS doc_id, partner, round(jaccard, 6) AS jaccard FROM best""",
+SELECT id AS doc_id FROM best""",
         "dup_clusters": f"{rec}{near}, {CLUSTERS} SELECT id AS doc_id, cluster, keeper FROM clusters",
         "near_dup_filter": f"""
 {rec}{near}, {CLUSTERS}

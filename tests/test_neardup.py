@@ -8,7 +8,7 @@ from conftest import rows
 
 from textmill.operators.components import connected_components
 from textmill.operators.minhash import band_table, minhash_signature
-from textmill.operators.neardup import NearDupConfig, best_partners, dup_clusters, near_dup_filter, near_duplicates
+from textmill.operators.neardup import NearDupConfig, dup_clusters, near_dup_filter, near_duplicates, pair_losers
 
 
 def grams(text, unit, n=5):
@@ -17,23 +17,20 @@ def grams(text, unit, n=5):
 
 
 def brute(docs, sharing, unit, threshold):
-    """Similar pairs, best partners, clusters and survivors by comparing all pairs."""
+    """Losers of similar pairs and clusters by comparing all pairs."""
     sets = {i: grams(t, unit) for i, t in docs.items()}
     size = {i: len(t) for i, t in docs.items()}
-    pairs = {}
+    pairs = []
     for a, b in itertools.combinations(sorted(docs), 2):
         if sets[a] and sets[b] and sharing[a] & sharing[b]:
             jaccard = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
             if jaccard >= threshold:
-                pairs[a, b] = jaccard
-    best, near = {}, {i: set() for i in docs}
-    for (a, b), jaccard in pairs.items():
+                pairs.append((a, b))
+    losers, near = set(), {i: set() for i in docs}
+    for a, b in pairs:
         near[a].add(b)
         near[b].add(a)
-        winner, loser = (a, b) if size[a] >= size[b] else (b, a)
-        key = (-size[winner], winner)
-        if loser not in best or key < best[loser][0]:
-            best[loser] = (key, winner, jaccard)
+        losers.add(b if size[a] >= size[b] else a)
     seen, clusters = set(), {}
     for start in sorted(docs):
         if start in seen or not near[start]:
@@ -48,7 +45,7 @@ def brute(docs, sharing, unit, threshold):
         keeper = min(component, key=lambda i: (-size[i], i))
         for x in component:
             clusters[x] = (min(component), keeper)
-    return {i: (w, j) for i, (_, w, j) in best.items()}, clusters
+    return losers, clusters
 
 
 def families(seed, sizes, noise, words=60):
@@ -96,20 +93,16 @@ def test_matches_brute_force(spark, cfg):
     df = spark.createDataFrame(list(docs.items()), "id long, text string").repartition(4)
     held = sharing_of(spark, df, cfg)
     sharing = {i: held.get(i, set()) for i in docs}
-    best, clusters = brute(docs, sharing, cfg.unit, cfg.threshold)
+    losers, clusters = brute(docs, sharing, cfg.unit, cfg.threshold)
     found = near_duplicates(df, "id", "text", cfg)
 
-    got = {r["id"]: (r["partner"], r["jaccard"]) for r in best_partners(found).collect()}
-    assert set(got) == set(best)
-    for i, (partner, jaccard) in best.items():
-        assert got[i][0] == partner
-        assert got[i][1] == pytest.approx(jaccard)
+    assert [r["id"] for r in sorted(pair_losers(found).collect())] == sorted(losers)
     assert {r["id"]: (r["cluster"], r["keeper"]) for r in dup_clusters(found).collect()} == clusters
 
     kept = {r["id"] for r in near_dup_filter(df, "id", found).collect()}
     assert kept == {i for i in docs if i not in clusters or clusters[i][1] == i}
     kept = {r["id"] for r in near_dup_filter(df, "id", found, keep="pairwise").collect()}
-    assert kept == set(docs) - set(best)
+    assert kept == set(docs) - losers
 
 
 def test_large_bucket_yields_linear_links(spark):

@@ -1,27 +1,30 @@
 """Near-duplicate links, clusters and the filter that keeps one document of each.
 
 Two documents are similar when they share an LSH bucket and the Jaccard overlap
-of their shingle sets reaches the threshold. Listing all similar pairs is
-quadratic in a group of near copies, so the job finds a *sufficient* set of
-links instead: linear in size for such groups, yet with the same connected
-components, and holding for each document the link to its best partner. "Best"
-is the longest text, then the smallest id.
+of their shingle sets reaches the threshold. Of two similar documents the better
+one is the longer, then the one with the smaller id; the other loses. Listing
+all similar pairs is quadratic in a group of near copies, so the job finds a
+*sufficient* set of links: the same connected components and the same losers as
+all similar pairs have, at a size linear in such groups.
 
 1. Exact copies collapse onto their smallest id before any bucket is formed.
 2. Buckets of at most ``small_bucket`` documents are compared inside the join, so
    a row has a bounded number of partners and only similar pairs leave it.
-3. A larger bucket elects its best open document as leader and compares every
-   open document with it, one comparison each. The similar ones form the
-   leader's star: they are connected through it and none has a better partner
-   within the star. The others stay open for the next leader.
-4. What the leaders leave (pairs of different stars, pairs of open documents) is
-   found exactly with the size, prefix and position filters for Jaccard: such a
-   pair must share one of the rarest shingles of both documents.
+3. A larger bucket elects its best open document as leader and compares it with
+   every member, one comparison each. The open documents similar to it form its
+   star: they are connected through it and lose to it. The others stay open for
+   the next leader, as long as the stars of the bucket are worth a round.
+4. What may be missing then is a pair across components, or a document that has
+   not lost yet and a better one. Only documents in such a position ask. They ask
+   a few scouts of the bucket first, which settles those amid many similar ones.
+   For the rest the size, prefix and position filters for Jaccard find the
+   partners exactly: a similar pair shares one of the rarest shingles of both.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,8 +50,9 @@ class NearDupConfig:
     rows: int = ROWS
     threshold: float = THRESHOLD
     small_bucket: int = 256
-    leader_rounds: int = 4
+    leader_rounds: int = 6
     worthwhile_star: float = 0.1
+    scouts: int = 32
     rows_per_salt: int = 50_000
 
 
@@ -154,35 +158,43 @@ def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tu
     state = members.withColumn("star", F.lit(0))
     active = members.select("bucket").distinct()
     for turn in range(1, cfg.leader_rounds + 1):
-        open_members = state.where("star = 0").join(active, "bucket", "left_semi")
         leaders = (
-            open_members.groupBy("bucket")
+            state.where("star = 0")
+            .join(active, "bucket", "left_semi")
+            .groupBy("bucket")
             .agg(F.count("*").alias("n_open"), F.min_by("id", _best()).alias("leader"))
             .where(F.col("n_open") > cfg.small_bucket)
         )
-        leaders = cut(leaders.withColumn("salts", _salts(F.col("n_open"), cfg)), "leaders")
+        sizes = state.groupBy("bucket").agg(_salts(F.count("*"), cfg).alias("salts"))
+        leaders = cut(leaders.join(sizes, "bucket"), "leaders")
         if leaders.isEmpty():
             break
         spread = leaders.select(
             "bucket", "leader", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
         )
-        open_leaders = (
-            open_members.join(leaders.select("bucket", "salts"), "bucket")
+        led = (
+            state.join(leaders.select("bucket", "salts"), "bucket")
             .withColumn("salt", _salt_of("id", F.col("salts")))
             .join(spread, ["bucket", "salt"])
+            .select("bucket", "id", "star", "leader")
         )
-        pairs = open_leaders.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+        pairs = led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
         links = cut(verify_pairs(pairs, docs, cfg), "links")
         found.append(links)
-        joined = open_leaders.join(
-            links.select(F.col("a").alias("id"), F.col("b").alias("leader"), F.lit(True).alias("hit")),
-            ["id", "leader"],
-            "left",
-        ).where(F.col("hit") | (F.col("id") == F.col("leader")))
-        placed = cut(joined.select("bucket", "id", F.lit(turn).alias("new_star")), "placed")
+        hits = links.select(F.col("a").alias("id"), F.col("b").alias("leader"), F.lit(True).alias("hit"))
+        joined = led.where("star = 0").join(hits, ["id", "leader"], "left")
+        placed = cut(
+            joined.where(F.col("hit") | (F.col("id") == F.col("leader"))).select(
+                "bucket", "id", F.lit(turn).alias("new_star")
+            ),
+            "placed",
+        )
         active = (
-            placed.groupBy("bucket").agg(F.count("*").alias("n_star")).join(leaders, "bucket")
-            .where(F.col("n_star") >= cfg.worthwhile_star * F.col("n_open")).select("bucket")
+            placed.groupBy("bucket")
+            .agg(F.count("*").alias("n_star"))
+            .join(leaders, "bucket")
+            .where(F.col("n_star") >= cfg.worthwhile_star * F.col("n_open"))
+            .select("bucket")
         )
         state = cut(
             state.join(placed, ["bucket", "id"], "left").select(
@@ -193,17 +205,61 @@ def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tu
     return state, found
 
 
-def _prefix_pairs(state: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """Pairs of one bucket outside a common star that can still reach the threshold."""
-    mixed = (
-        state.groupBy("bucket")
-        .agg(F.count_if(F.col("star") == 0).alias("n_open"), F.min("star").alias("low"), F.max("star").alias("high"))
-        .where("low <> high OR (low = 0 AND n_open > 1)")
-        .select("bucket")
+def _open_questions(state: DataFrame, links: DataFrame) -> DataFrame:
+    """``(bucket, id, len, component, unsettled, asks)`` for buckets where something asks.
+
+    A document asks in a bucket when it lies outside the component most of the
+    bucket belongs to, or when it is ``unsettled``: in no star and without a
+    known better partner.
+    """
+    components = connected_components(links, "a", "b")
+    losers = _losers(links).select("id", F.lit(True).alias("lost"))
+    tagged = cut(
+        state.join(components, "id", "left")
+        .join(losers, "id", "left")
+        .select(
+            "bucket",
+            "id",
+            "len",
+            F.coalesce("component", "id").alias("component"),
+            ((F.col("star") == 0) & F.col("lost").isNull()).alias("unsettled"),
+        ),
+        "tagged",
+    )
+    main = (
+        tagged.groupBy("bucket", "component")
+        .agg(F.count("*").alias("n"))
+        .groupBy("bucket")
+        .agg(F.max_by("component", F.struct("n", "component")).alias("main"))
+    )
+    asking = tagged.join(main, "bucket").select(
+        *tagged.columns, (F.col("unsettled") | (F.col("component") != F.col("main"))).alias("asks")
     )
-    rest = state.join(mixed, "bucket", "left_semi")
-    sets = _gram_sets(docs, rest, cfg)
-    grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
+    return cut(asking.join(asking.where("asks").select("bucket").distinct(), "bucket", "left_semi"), "asking")
+
+
+def _a_is_better() -> Column:
+    return (F.col("len_a") > F.col("len_b")) | ((F.col("len_a") == F.col("len_b")) & (F.col("a") < F.col("b")))
+
+
+def _matters() -> Column:
+    """Whether the answer of ``a`` could tell the asking ``b`` something new."""
+    return (F.col("component_a") != F.col("component_b")) | (F.col("unsettled_b") & _a_is_better())
+
+
+def _scouted_pairs(questions: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Pairs of every asking document with a few arbitrary members of its bucket."""
+    arbitrary = Window.partitionBy("bucket").orderBy(F.xxhash64("id", F.lit(1)), "id")
+    scouts = questions.withColumn("_rank", F.row_number().over(arbitrary)).where(F.col("_rank") <= cfg.scouts)
+    answers = _sides(scouts.drop("_rank"), "bucket")[0]
+    askers = _sides(questions.where("asks"), "bucket")[1]
+    hits = askers.join(answers, "bucket").where((F.col("a") != F.col("b")) & _matters())
+    return hits.select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
+
+
+def _remaining_pairs(questions: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Pairs ``(a, b)`` of an answering and an asking document that can reach the threshold."""
+    grams = _gram_sets(docs, questions, cfg).select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
     frequency = grams.groupBy("h").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy("id").orderBy("df", "h")
     prefix_length = F.col("n") - F.ceil(F.lit(cfg.threshold) * F.col("n")) + 1
@@ -213,24 +269,17 @@ def _prefix_pairs(state: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Data
         .where(F.col("rank") <= prefix_length)
         .select("id", "n", "h", "rank")
     )
-    keyed = rest.select("bucket", "id", "star").join(prefixes, "id")
-    # Only stars below one's own are asked for, so no key brings a star's members together.
-    asked = F.when(F.col("star") == 0, F.sequence(F.lit(0), F.lit(cfg.leader_rounds))).otherwise(
-        F.when(F.col("star") > 1, F.sequence(F.lit(1), F.col("star") - 1))
-    )
-    right = _sides(keyed, "bucket", "h")[1]
-    askers = keyed.select(
-        "bucket", "h", F.explode(asked).alias("star_b"), F.col("id").alias("a"), F.col("star").alias("star_a"),
-        F.col("n").alias("n_a"), F.col("rank").alias("rank_a"),
-    )
+    keyed = questions.join(prefixes, "id")
+    answers = _sides(keyed, "bucket", "h")[0]
+    askers = _sides(keyed.where("asks"), "bucket", "h")[1]
     reachable = 1 + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
     needed = F.lit(cfg.threshold / (1 + cfg.threshold)) * (F.col("n_a") + F.col("n_b"))
-    hits = (
-        askers.join(right, ["bucket", "h", "star_b"])
-        .where("star_a <> star_b OR a < b")
-        .where(_alike_in_size(F.col("n_a"), F.col("n_b"), cfg) & (reachable >= needed - 1e-6))
+    return (
+        answers.join(askers, ["bucket", "h"])
+        .where(_matters() & _alike_in_size(F.col("n_a"), F.col("n_b"), cfg) & (reachable >= needed - 1e-6))
+        .select("a", "b")
+        .distinct()
     )
-    return hits.select("a", "b").distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfig = NearDupConfig()) -> NearDuplicates:
@@ -251,15 +300,17 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
     members = cut(buckets.join(sizes, "bucket"), "members")
 
     small = members.where(F.col("n_bucket") <= cfg.small_bucket)
-    parts = [_small_links(small, docs, cfg)]
+    links = _small_links(small, docs, cfg)
     large = members.where(F.col("n_bucket") > cfg.small_bucket).select("bucket", "id", "len")
     if not large.isEmpty():
         stars, found = _leader_links(large, docs, cfg)
-        parts += found
-        parts.append(verify_pairs(cut(_prefix_pairs(stars, docs, cfg), "pairs"), docs, cfg))
-    links = parts[0]
-    for part in parts[1:]:
-        links = links.unionByName(part)
+        links = cut(reduce(DataFrame.unionByName, found, links), "links")
+        for find in (lambda asked: _scouted_pairs(asked, cfg), lambda asked: _remaining_pairs(asked, docs, cfg)):
+            questions = _open_questions(stars, links)
+            if questions.isEmpty():
+                break
+            pairs = cut(find(questions), "pairs")
+            links = cut(links.unionByName(verify_pairs(pairs, docs, cfg)), "links")
     low_first = F.col("a") < F.col("b")
     links = links.select(
         F.least("a", "b").alias("a"),
@@ -271,26 +322,14 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
     return NearDuplicates(copies=copies, links=cut(links, "links"))
 
 
-def best_partners(found: NearDuplicates) -> DataFrame:
-    """``(id, partner, jaccard)`` for every document with a better similar one.
+def _losers(links: DataFrame) -> DataFrame:
+    """Distinct ids ``(id)`` of the documents that lose a link."""
+    return links.select(F.when(_a_is_better(), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
 
-    The partner is the best of them: the longest, then the smallest id. A copy
-    takes its representative's partner, or else the representative itself.
-    """
-    a_wins = F.col("len_a") >= F.col("len_b")
-    directed = found.links.select(
-        F.when(a_wins, F.col("b")).otherwise(F.col("a")).alias("id"),
-        F.when(a_wins, F.col("a")).otherwise(F.col("b")).alias("partner"),
-        F.greatest("len_a", "len_b").alias("len"),
-        "jaccard",
-    )
-    best = directed.groupBy("id").agg(
-        F.min_by(F.struct("partner", "jaccard"), _best("partner")).alias("best")
-    ).select("id", "best.partner", "best.jaccard")
-    of_copies = found.copies.join(best.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "id", F.coalesce("partner", "rep").alias("partner"), F.coalesce("jaccard", F.lit(1.0)).alias("jaccard")
-    )
-    return best.unionByName(of_copies)
+
+def pair_losers(found: NearDuplicates) -> DataFrame:
+    """Distinct ids ``(id)`` of the documents with a better similar one; all copies are among them."""
+    return _losers(found.links).unionByName(found.copies.select("id"))
 
 
 def dup_clusters(found: NearDuplicates) -> DataFrame:
@@ -326,7 +365,7 @@ def near_dup_filter(df: DataFrame, id_col: str, found: NearDuplicates, keep: str
     if keep == "cluster":
         losers = dup_clusters(found).where("id <> keeper").select("id")
     elif keep == "pairwise":
-        losers = best_partners(found).select("id")
+        losers = pair_losers(found)
     else:
         raise ValueError(f"keep must be 'cluster' or 'pairwise', not {keep!r}")
     return df.join(losers.withColumnRenamed("id", "_loser"), F.col(id_col) == F.col("_loser"), "left_anti")
