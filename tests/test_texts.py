@@ -3,13 +3,21 @@
 import hashlib
 import re
 
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from textmill.operators.exact import dedup_compare, exact_dedup
 from textmill.operators.funnel import stage_funnel
-from textmill.operators.language import lang_filter, lang_model, lang_predict, lang_profile, lang_score
+from textmill.operators.language import (
+    lang_filter,
+    lang_model,
+    lang_predict,
+    lang_profile,
+    lang_score,
+    model_filter,
+)
 from textmill.operators.shingle import shingles
 from textmill.operators.tokens import token_ids, token_stats, tokenize_fixed, word_tokens
 from textmill.plans.corpus import CorpusConfig, prepare_corpus
@@ -41,6 +49,14 @@ def test_language(spark, model):
     assert lang_filter(df.where("id = 1"), "id", "text", model, threshold=at + 1e-6).count() == 0
 
 
+def test_own_model(spark):
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"lang": ["en" if " " in t else "fr" for t in texts], "prob": [len(t) / 10 for t in texts]})
+
+    df = spark.createDataFrame([(1, "a\nb c d "), (2, "ab"), (3, "a b"), (4, None), (5, " ")], "id long, text string")
+    assert [r[0] for r in rows(model_filter(df, "text", predict))] == [1]
+
+
 def test_exact(spark):
     docs = [(1, "2020-01-02", "a"), (2, "2020-01-01", "a"), (3, None, "a"), (4, None, "b"), (5, "2020", None), (6, "2019", None), (8, "x", "c"), (7, "x", "c")]
     df = spark.createDataFrame(docs, "id long, date string, text string")

@@ -143,3 +143,19 @@ def lang_filter(
     """Rows whose most probable language is ``lang`` with at least ``threshold``."""
     passed = lang_predict(df, id_col, text_col, model).where((F.col("lang") == lang) & (F.col("prob") >= threshold))
     return df.join(passed.select(id_col), id_col, "left_semi")
+
+
+def model_filter(
+    df: DataFrame, text_col: str, predict, lang: str = LANG, threshold: float = THRESHOLD
+) -> DataFrame:
+    """``lang_filter`` with a user's own model, applied to Arrow batches without a shuffle.
+
+    ``predict`` maps a pandas Series of single-line texts to a DataFrame with
+    ``lang`` and ``prob``; it should load its model once per worker. Null and
+    blank texts are never passed to it.
+    """
+    line = single_line(F.col(text_col))
+    scored = df.where(F.length(line) > 0).withColumn(
+        "_top", F.pandas_udf(predict, "lang string, prob double")(line)
+    )
+    return scored.where((F.col("_top.lang") == lang) & (F.col("_top.prob") >= threshold)).drop("_top")
