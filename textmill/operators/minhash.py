@@ -48,15 +48,11 @@ def minhash_signature(
 
 
 def band_table(signatures: DataFrame, keep: list[str], bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(*keep, keys, band, bucket)``: one row per document and band; equal buckets are candidates.
-
-    ``keys`` holds the buckets of all the document's bands.
-    """
+    """``(*keep, band, bucket)``: one row per document and band; equal buckets are candidates."""
     keys = F.array(
         *[F.xxhash64(F.lit(b), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
     )
-    keyed = signatures.select(*keep, keys.alias("keys"))
-    return keyed.select(*keep, "keys", F.posexplode("keys").alias("band", "bucket"))
+    return signatures.select(*keep, F.posexplode(keys).alias("band", "bucket"))
 
 
 def minhash_candidates(bands: DataFrame, id_col: str) -> DataFrame:

@@ -139,7 +139,14 @@ def _small_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Dat
     A document's set travels once per shared bucket rather than once per pair,
     and a pair is compared only in the first band its documents share.
     """
-    rows = members.select("bucket", "band", "keys", "id").join(_gram_sets(docs, members, cfg), "id")
+    held = members.groupBy("id").agg(
+        F.array(*[F.max(F.when(F.col("band") == i, F.col("bucket"))) for i in range(cfg.bands)]).alias("keys")
+    )
+    rows = (
+        held.join(_gram_sets(docs, members, cfg), "id")
+        .select("id", "len", "grams", "keys", F.posexplode("keys").alias("band", "bucket"))
+        .where(F.col("bucket").isNotNull())
+    )
     left, right = _sides(rows, "bucket")
     first = F.coalesce(
         *[F.when(F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i)), F.lit(i)) for i in range(cfg.bands)]
