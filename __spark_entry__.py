@@ -233,8 +233,8 @@ def boilerplate_filter(spark: SparkSession, sf: str) -> DataFrame:
 # --- language ------------------------------------------------------------------------------------
 
 
-def _profile(spark: SparkSession, sf: str) -> DataFrame:
-    return cut(language.lang_profile(_documents(spark, sf), "text"), "profile")
+def _model(spark: SparkSession, sf: str) -> language.LanguageModel:
+    return language.lang_model(lang_profile(spark, sf))
 
 
 def lang_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,13 +242,11 @@ def lang_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lang_score(spark: SparkSession, sf: str) -> DataFrame:
-    model = language.lang_model(_profile(spark, sf))
-    return language.lang_score(_documents(spark, sf), "doc_id", "text", model)
+    return language.lang_score(_documents(spark, sf), "doc_id", "text", _model(spark, sf))
 
 
 def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
-    model = language.lang_model(_profile(spark, sf))
-    return language.lang_filter(_documents(spark, sf), "doc_id", "text", model).select("doc_id", "source")
+    return language.lang_filter(_documents(spark, sf), "doc_id", "text", _model(spark, sf)).select("doc_id", "source")
 
 
 # --- duplicates ----------------------------------------------------------------------------------
@@ -354,8 +352,7 @@ def token_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _english(spark: SparkSession, sf: str):
-    model = language.lang_model(_profile(spark, sf))
-    return corpus.extract_english(_records(spark, sf), _blog_parents(spark, sf), model)
+    return corpus.extract_english(_records(spark, sf), _blog_parents(spark, sf), _model(spark, sf))
 
 
 def _by_page(sequences: DataFrame) -> DataFrame:

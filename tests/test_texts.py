@@ -30,7 +30,7 @@ FRENCH = "le renard brun saute par dessus le chien paresseux et puis les autres
 @pytest.fixture(scope="module")
 def model(spark):
     train = spark.createDataFrame([(ENGLISH * 5, "en"), (FRENCH * 5, "fr"), ("x", None)], "text string, lang string")
-    return lang_model(lang_profile(train, "text").cache())
+    return lang_model(lang_profile(train, "text"))
 
 
 def test_language(spark, model):

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from textmill.functions.grams import explode_grams
+from textmill.session import cut
 
 # Fixed values of the profile.
 GRAM = 3
@@ -70,7 +70,11 @@ class LanguageModel:
 
 
 def lang_model(profile: DataFrame) -> LanguageModel:
-    """Pivot a profile to one row per bucket. Only the list of languages reaches the driver."""
+    """Pivot a profile to one row per bucket. Only the list of languages reaches the driver.
+
+    The profile is written once, so scoring does not train it again.
+    """
+    profile = cut(profile, "profile")
     rows = (
         profile.groupBy("lang")
         .agg(_micro_log(F.lit(1), F.max("total")).alias("floor"))

@@ -1,4 +1,4 @@
-"""Analytics of pipeline runs: scaling, time breakdown, memory and utilisation."""
+"""Analytics of runs: scaling, time breakdown, memory and utilisation."""
 
 from __future__ import annotations
 
