@@ -507,9 +507,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return corpus_md5(spark, SMOKE_DIR)
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators and their pipeline; none where those are not installed."""
+    try:
+        import corpus_pipeline
+        from textmill.llm import queries as llm
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "textmill.llm"):
+            raise
+        return {}, {}
+    sql = dict(llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return {**{q.__name__: q for q in llm.QUERIES}, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in QUERIES}
+    return {**{q.__name__: q for q in QUERIES}, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return duck_sql.statements()
+    return {**duck_sql.statements(), **_training_data()[1]}
