@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.llm.common import col, fresh, text_or_empty
+from textmill.session import cut
 
 
 def digest(text_col: str) -> Column:
@@ -43,10 +44,12 @@ class DigestIndex:
 
     def admit(self, docs: DataFrame, batch: str, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Append the digests of ``docs`` that no other batch has brought."""
-        groups = (
+        # Written first, else the planner would move the anti-join below the aggregate and shuffle every copy.
+        groups = cut(
             docs.select(digest(text_col).alias("digest"), col(id_col).cast("bigint").alias("id"))
             .groupBy("digest")
-            .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+            .agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")),
+            "batch",
         )
         known = self.spark.table(self.table).select("digest")
         new = groups.repartition(self.buckets, "digest").join(known.hint("merge"), "digest", "left_anti")
