@@ -41,6 +41,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textmill.llm.common import col, fresh
 
@@ -49,7 +50,9 @@ SAMPLES = 2
 POWER = 1.0
 MARK = "▁"
 #: Characters whose lattices are held at a time; a longer text is a group of its own.
-GROUP_CHARS = 3_000_000
+GROUP_CHARS = 1_000_000
+#: Ids that are decoded at a time.
+DECODE_IDS = 1 << 18
 #: Words above this length are also cut between characters that no piece joins.
 LONG_WORD = 64
 
@@ -548,21 +551,34 @@ def _ids(lat: Lattices, path: Paths, vocabulary: Vocabulary) -> tuple[np.ndarray
 # --- DataFrames --------------------------------------------------------------------------------------------
 
 
-def _sample_type(k: int) -> str:
-    return "array<struct<ids:array<int>,log_prob:double,perturbed:double,log_inclusion:double>>"
+SAMPLES_TYPE = T.ArrayType(
+    T.StructType(
+        [
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("log_prob", T.DoubleType()),
+            T.StructField("perturbed", T.DoubleType()),
+            T.StructField("log_inclusion", T.DoubleType()),
+        ]
+    )
+)
 
 
-def sample_texts(texts: list[str | None], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> pa.Array:
-    """The samples of a batch as one list per text."""
-    chunks, start = [], 0
-    while start < len(texts):
+def _blocks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbours of at most ``most`` together; what is larger alone is a range of its own."""
+    start = 0
+    while start < len(sizes):
         stop, held = start, 0
-        while stop < len(texts) and (stop == start or held + len(texts[stop] or "") <= GROUP_CHARS):
-            held += len(texts[stop] or "")
+        while stop < len(sizes) and (stop == start or held + sizes[stop] <= most):
+            held += sizes[stop]
             stop += 1
-        chunks.append(_sample_chunk([t or "" for t in texts[start:stop]], keys[start:stop], vocabulary, k))
+        yield start, stop
         start = stop
-    return pa.concat_arrays(chunks) if chunks else pa.array([], pa.list_(pa.struct([("ids", pa.list_(pa.int32())), ("log_prob", pa.float64()), ("perturbed", pa.float64()), ("log_inclusion", pa.float64())])))
+
+
+def sample_texts(texts: list[str | None], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> Iterator[tuple[int, int, pa.Array]]:
+    """The samples of a batch, one list per text, a group of texts at a time."""
+    for start, stop in _blocks([len(t or "") for t in texts], GROUP_CHARS):
+        yield start, stop, _sample_chunk([t or "" for t in texts[start:stop]], keys[start:stop], vocabulary, k)
 
 
 def _sample_chunk(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> pa.Array:
@@ -594,14 +610,22 @@ def encode(
     """``docs`` with ``samples``: up to ``k`` different segmentations, best perturbed score first, each
     ``struct<ids, log_prob, perturbed, log_inclusion>``."""
 
-    def batches(groups: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        for texts, keys in groups:
-            yield sample_texts(texts.to_pylist(), keys.to_numpy(zero_copy_only=False), vocabulary, k)
-
-    key = F.xxhash64(F.lit(seed), F.coalesce(col(key_col).cast("string"), F.lit("")))
     extra = [c for c in docs.columns if c.lower() != "samples"]
-    udf = F.arrow_udf(batches, _sample_type(k)).asNondeterministic()
-    return docs.select(*[col(c) for c in extra], udf(col(text_col), key).alias("samples"))
+    (key,) = fresh(docs, "key")
+    place, names = extra.index(text_col), [*extra, "samples"]
+
+    def batches(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in groups:
+            keys = rows.column(len(extra)).to_numpy(zero_copy_only=False)
+            # Results leave group by group, so that a batch's are never held together.
+            for start, stop, samples in sample_texts(rows.column(place).to_pylist(), keys, vocabulary, k):
+                kept = [rows.column(i).slice(start, stop - start) for i in range(len(extra))]
+                yield pa.RecordBatch.from_arrays([*kept, samples], names)
+
+    seeds = F.xxhash64(F.lit(seed), F.coalesce(col(key_col).cast("string"), F.lit("")))
+    keyed = docs.select(*[col(c) for c in extra], seeds.alias(key))
+    schema = T.StructType([*keyed.schema.fields[:-1], T.StructField("samples", SAMPLES_TYPE)])
+    return keyed.mapInArrow(batches, schema)
 
 
 @lru_cache(maxsize=2)
@@ -617,13 +641,17 @@ def _spelling(vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
 def decode_ids(flat: np.ndarray, stops: np.ndarray, vocabulary: Vocabulary) -> list[str]:
     """The texts of many id lists laid end to end."""
     letters, at = _spelling(vocabulary)
-    flat = np.where((flat >= 0) & (flat < len(at) - 1), flat, len(at) - 1)
-    at = np.append(at, at[-1])
-    sizes = (at[1:] - at[:-1])[flat]
-    data = letters[_ranges(at[flat], sizes)].tobytes()
-    upto = np.concatenate(([0], np.cumsum(sizes)))[stops].tolist()
-    texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(upto, upto[1:])]
-    return [t[1:] if t[:1] == " " else t for t in texts]
+    last, at = len(at) - 1, np.append(at, at[-1]).astype(np.int32)
+    texts: list[str] = []
+    for i, j in _blocks(np.diff(stops).tolist(), DECODE_IDS):
+        ids = flat[stops[i] : stops[j]]
+        ids = np.where((ids >= 0) & (ids < last), ids, last)
+        sizes = at[ids + 1] - at[ids]
+        data = letters[_ranges(at[ids], sizes)].tobytes()
+        upto = np.concatenate(([0], np.cumsum(sizes)))[stops[i : j + 1] - stops[i]].tolist()
+        parts = [data[a:b].decode("utf-8", "replace") for a, b in zip(upto, upto[1:])]
+        texts += [t[1:] if t[:1] == " " else t for t in parts]
+    return texts
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -631,7 +659,7 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_c
 
     def batches(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for ids in lists:
-            flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             sizes = np.array([0 if n is None else n for n in ids.value_lengths().to_pylist()], np.int64)
             texts = decode_ids(flat, np.concatenate(([0], np.cumsum(sizes))), vocabulary)
             yield pa.array([t if ok else None for t, ok in zip(texts, ids.is_valid().to_pylist())], pa.string())
