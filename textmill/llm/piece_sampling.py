@@ -38,6 +38,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +51,7 @@ SAMPLES = 2
 POWER = 1.0
 MARK = "▁"
 #: Characters whose lattices are held at a time; a longer text is a group of its own.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 400_000
 #: Ids that are decoded at a time.
 DECODE_IDS = 1 << 18
 #: Words above this length are also cut between characters that no piece joins.
@@ -575,10 +576,12 @@ def _blocks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def sample_texts(texts: list[str | None], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> Iterator[tuple[int, int, pa.Array]]:
+def sample_texts(texts: pa.Array, keys: np.ndarray, vocabulary: Vocabulary, k: int) -> Iterator[tuple[int, int, pa.Array]]:
     """The samples of a batch, one list per text, a group of texts at a time."""
-    for start, stop in _blocks([len(t or "") for t in texts], GROUP_CHARS):
-        yield start, stop, _sample_chunk([t or "" for t in texts[start:stop]], keys[start:stop], vocabulary, k)
+    sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+    for start, stop in _blocks(sizes, GROUP_CHARS):
+        group = [t or "" for t in texts.slice(start, stop - start).to_pylist()]
+        yield start, stop, _sample_chunk(group, keys[start:stop], vocabulary, k)
 
 
 def _sample_chunk(texts: list[str], keys: np.ndarray, vocabulary: Vocabulary, k: int) -> pa.Array:
@@ -618,7 +621,7 @@ def encode(
         for rows in groups:
             keys = rows.column(len(extra)).to_numpy(zero_copy_only=False)
             # Results leave group by group, so that a batch's are never held together.
-            for start, stop, samples in sample_texts(rows.column(place).to_pylist(), keys, vocabulary, k):
+            for start, stop, samples in sample_texts(rows.column(place), keys, vocabulary, k):
                 kept = [rows.column(i).slice(start, stop - start) for i in range(len(extra))]
                 yield pa.RecordBatch.from_arrays([*kept, samples], names)
 
@@ -642,27 +645,29 @@ def decode_ids(flat: np.ndarray, stops: np.ndarray, vocabulary: Vocabulary) -> l
     """The texts of many id lists laid end to end."""
     letters, at = _spelling(vocabulary)
     last, at = len(at) - 1, np.append(at, at[-1]).astype(np.int32)
-    texts: list[str] = []
-    for i, j in _blocks(np.diff(stops).tolist(), DECODE_IDS):
-        ids = flat[stops[i] : stops[j]]
-        ids = np.where((ids >= 0) & (ids < last), ids, last)
-        sizes = at[ids + 1] - at[ids]
-        data = letters[_ranges(at[ids], sizes)].tobytes()
-        upto = np.concatenate(([0], np.cumsum(sizes)))[stops[i : j + 1] - stops[i]].tolist()
-        parts = [data[a:b].decode("utf-8", "replace") for a, b in zip(upto, upto[1:])]
-        texts += [t[1:] if t[:1] == " " else t for t in parts]
-    return texts
+    ids = np.where((flat >= 0) & (flat < last), flat, last)
+    sizes = at[ids + 1] - at[ids]
+    data = letters[_ranges(at[ids], sizes)].tobytes()
+    upto = np.concatenate(([0], np.cumsum(sizes)))[stops].tolist()
+    parts = [data[a:b].decode("utf-8", "replace") for a, b in zip(upto, upto[1:])]
+    return [t[1:] if t[:1] == " " else t for t in parts]
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``rows`` with the text of an id list; null for a null list."""
-
-    def batches(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for ids in lists:
-            flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            sizes = np.array([0 if n is None else n for n in ids.value_lengths().to_pylist()], np.int64)
-            texts = decode_ids(flat, np.concatenate(([0], np.cumsum(sizes))), vocabulary)
-            yield pa.array([t if ok else None for t, ok in zip(texts, ids.is_valid().to_pylist())], pa.string())
-
     extra = [c for c in rows.columns if c.lower() != text_col.lower()]
-    return rows.select(*[col(c) for c in extra], F.arrow_udf(batches, "string")(col(ids_col)).alias(text_col))
+    place, names = extra.index(ids_col), [*extra, text_col]
+
+    def batches(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(place)), 0).to_pylist()
+            for start, stop in _blocks(sizes, DECODE_IDS):
+                part = batch.slice(start, stop - start)
+                ids = part.column(place)
+                flat = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
+                texts = decode_ids(flat, np.concatenate(([0], np.cumsum(sizes[start:stop]))).astype(np.int64), vocabulary)
+                decoded = pa.array([t if there else None for t, there in zip(texts, ids.is_valid().to_pylist())], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, decoded], names)
+
+    kept = rows.select(*[col(c) for c in extra])
+    return kept.mapInArrow(batches, T.StructType([*kept.schema.fields, T.StructField(text_col, T.StringType())]))
