@@ -2,12 +2,14 @@
 
 import hashlib
 import re
+import time
 
 import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from textmill.functions.grams import words
 from textmill.operators.exact import dedup_compare, exact_dedup
 from textmill.operators.funnel import stage_funnel
 from textmill.operators.language import (
@@ -17,6 +19,7 @@ from textmill.operators.language import (
     lang_profile,
     lang_score,
     model_filter,
+    single_line,
 )
 from textmill.operators.shingle import shingles
 from textmill.operators.tokens import token_ids, token_stats, tokenize_fixed, word_tokens
@@ -120,3 +123,21 @@ def test_corpus(spark, model):
 def test_funnel_of_nothing(spark):
     empty = spark.range(0)
     assert stage_funnel([("a", empty), ("b", empty)]).where(F.col("share").isNull()).count() == 2
+
+
+def test_language_filter_judges_rows_by_their_text(spark):
+    english, german = "the cat and the dog of the house with that", "der hund und die katze aus dem haus mit"
+    labelled = spark.createDataFrame([(english, "en"), (german, "de")], "text STRING, lang STRING")
+    model = lang_model(lang_profile(labelled, "text"))
+    rows = [(1, english), (1, german), (None, english), (None, german), (2, None), (3, english)]
+    kept = lang_filter(spark.createDataFrame(rows, "id INT, text STRING"), "id", "text", model).collect()
+    assert sorted((r["id"] or 0, r["text"]) for r in kept) == [(0, english), (1, english), (3, english)]
+
+
+def test_blank_runs_take_linear_time(spark):
+    text = "a" + " " * 1_000_000 + "b"
+    df = spark.createDataFrame([(text,)], "text STRING")
+    start = time.time()
+    assert df.select(single_line(F.col("text")).alias("x")).first()["x"] == text
+    assert df.select(F.size(words(F.col("text"))).alias("n")).first()["n"] == 1_000_001
+    assert time.time() - start < 15

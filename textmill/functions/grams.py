@@ -47,7 +47,7 @@ def _combine(points: Column, start: Column, n: int) -> Column:
 
 def words(text: Column) -> Column:
     """Lower-cased, split at every whitespace character, trailing empties gone."""
-    return F.split(F.regexp_replace(F.lower(text), r"\s+$", ""), r"\s")
+    return F.split(F.regexp_replace(F.lower(text), r"(?<!\s)\s++$", ""), r"\s")
 
 
 def _word_gram(parts: Column, start: Column, n: int) -> Column:

@@ -29,7 +29,7 @@ BROADCAST_LIMIT = 64 * 2**20
 
 def single_line(text: Column) -> Column:
     """Line breaks to spaces, white space off both ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"[\r\n]", " "), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.regexp_replace(F.regexp_replace(text, r"[\r\n]", " "), r"^[\s\p{Z}]+|(?<![\s\p{Z}])[\s\p{Z}]++$", "")
 
 
 def _buckets(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
@@ -144,9 +144,16 @@ def lang_filter(
     lang: str = LANG,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """Rows whose most probable language is ``lang`` with at least ``threshold``."""
-    passed = lang_predict(df, id_col, text_col, model).where((F.col("lang") == lang) & (F.col("prob") >= threshold))
-    return df.join(passed.select(id_col), id_col, "left_semi")
+    """Rows whose most probable language is ``lang`` with at least ``threshold``.
+
+    Different texts are scored, by their digest, and every row is judged by its own
+    text: rows with a null id or with equal ids are neither lost nor mixed up.
+    """
+    digest = F.sha2(F.col(text_col), 256)
+    texts = df.select(digest.alias("_digest"), F.col(text_col).alias("_text")).groupBy("_digest").agg(F.first("_text").alias("_text"))
+    scored = lang_predict(texts.where("_digest IS NOT NULL"), "_digest", "_text", model)
+    passed = scored.where((F.col("lang") == lang) & (F.col("prob") >= threshold)).select("_digest")
+    return df.join(passed, digest == F.col("_digest"), "left_semi")
 
 
 def model_filter(

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+# The names and types of the step contract below.
+
+
 def _strings(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
