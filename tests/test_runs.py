@@ -72,6 +72,14 @@ def test_newest_log_and_rolled_log(spark, tmp_path):
     assert got == {APP: 2, "application_1700000000000_0009": 12}
 
 
+def test_log_of_an_unknown_name_is_kept(spark, tmp_path):
+    task = '{"Event": "SparkListenerTaskEnd", "Task Metrics": {"Executor Run Time": 7}}'
+    (tmp_path / "spark-4f2a.json").write_text(task)
+    (tmp_path / "app-20260101000000-0001").write_text(task)
+    got = {r["app"]: r["executor_run_time_ms"] for r in eventlog_metrics(read_event_logs(spark, str(tmp_path))).collect()}
+    assert got == {"spark-4f2a": 7, "app-20260101000000-0001": 7}
+
+
 def test_run_logs(spark, tmp_path):
     (tmp_path / "a.log").write_text(
         "INFO application_1700000000000_1 then application_1700000000000_22\n>>> Step 1 completed in 8.250000 seconds\n"

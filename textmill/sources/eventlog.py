@@ -26,6 +26,12 @@ EPSILON = 1e-9
 STEPS = ["1", "2", "3", "4", "5a", "5b", "6a", "6b"]
 
 
+def app_of(path: Column) -> Column:
+    """The application id in a log's path; where there is none of a known form, the file's name up to its first dot."""
+    name = F.regexp_extract(path, r"([^/.]+)[^/]*$", 1)
+    return F.coalesce(F.nullif(F.regexp_extract(path, APP_PATTERN, 1), F.lit("")), name)
+
+
 def list_logs(spark: SparkSession, path: str) -> DataFrame:
     """``(app, listing, file, modified)`` of every log file, without reading any content.
 
@@ -40,13 +46,13 @@ def list_logs(spark: SparkSession, path: str) -> DataFrame:
     )
     in_folder = F.regexp_extract("file", APP_PATTERN + r"/[^/]+$", 1) != ""
     listing = F.when(in_folder, F.regexp_replace("file", r"/[^/]+$", "")).otherwise(F.col("file"))
-    return files.select(F.regexp_extract("file", APP_PATTERN, 1).alias("app"), listing.alias("listing"), "file", "modified")
+    return files.select(app_of(F.col("file")).alias("app"), listing.alias("listing"), "file", "modified")
 
 
 def latest_logs(listing: DataFrame) -> DataFrame:
     """The files of each application's newest listing entry."""
     newest = listing.groupBy("app").agg(F.max_by("listing", F.struct("modified", "listing")).alias("listing"))
-    return listing.join(newest, ["app", "listing"], "left_semi").where("app <> ''").select("app", "file")
+    return listing.join(newest, ["app", "listing"], "left_semi").select("app", "file")
 
 
 def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
@@ -61,7 +67,7 @@ def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) ->
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("mode", "DROPMALFORMED").schema(EVENT_SCHEMA).json(source)
     )
-    return lines.select("*", F.regexp_extract(F.col("_metadata.file_path"), APP_PATTERN, 1).alias("app"))
+    return lines.select("*", app_of(F.col("_metadata.file_path")).alias("app"))
 
 
 def _of(event: str, value: Column) -> Column:
