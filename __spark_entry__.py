@@ -9,7 +9,10 @@ import os
 import sys
 from collections.abc import Callable
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
+# Python workers of a session that starts after this import find the package from any folder.
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, [os.environ.get("PYTHONPATH")])])
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
