@@ -89,6 +89,10 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return runs.run_enrich(_run_table(spark, sf), runs.data_sizes(spark))
 
 
+def _completed(spark: SparkSession, sf: str) -> DataFrame:
+    return runs.completed(_enriched(spark, sf))
+
+
 def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -414,7 +418,7 @@ def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def grouped_mean(spark: SparkSession, sf: str) -> DataFrame:
     return stats.grouped_mean(
-        _enriched(spark, sf),
+        _completed(spark, sf),
         ["Type", "Execs", "Cores", "TotalCores", "MemGB"],
         ["AppTimeSec", "MemSpillGB", "DiskSpillGB", "PeakHeapGB"],
         6,
@@ -422,7 +426,7 @@ def grouped_mean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mean_std_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    study = _enriched(spark, sf).where("Type = 'MemoryStudy'")
+    study = _completed(spark, sf).where("Type = 'MemoryStudy'")
     return stats.mean_std_by_group(study, ["MemGB"], ["AppTimeSec", "GCRatio", "MemSpillMB"], 6)
 
 
@@ -442,52 +446,64 @@ def baseline_ratio(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def strong_scaling(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.strong_scaling(_enriched(spark, sf))
+    return runs.strong_scaling(_completed(spark, sf))
 
 
 def weak_scaling(spark: SparkSession, sf: str) -> DataFrame:
-    table = runs.weak_scaling(_enriched(spark, sf).where("Type = 'Weak'"), metrics=["TimePerUnit"])
+    table = runs.weak_scaling(_completed(spark, sf).where("Type = 'Weak'"), metrics=["TimePerUnit"])
     return _rounded(table, 6, "AppTimeSec", "TimePerUnit", "Efficiency")
 
 
 def ratio_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.ratio_breakdown(_enriched(spark, sf).where("Type = 'Strong'"), ["TotalCores"])
+    return runs.ratio_breakdown(_completed(spark, sf).where("Type = 'Strong'"), ["TotalCores"])
 
 
 def stage_time_by_group(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.stage_time_by_group(_run_table(spark, sf).where("Type = 'Strong'"), ["TotalCores"])
+    return runs.stage_time_by_group(_completed(spark, sf).where("Type = 'Strong'"), ["TotalCores"])
 
 
 def memory_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.memory_profile(_enriched(spark, sf))
+    return runs.memory_profile(_completed(spark, sf))
 
 
 def utilisation(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.utilisation(_enriched(spark, sf))
+    return runs.utilisation(_completed(spark, sf))
 
 
 def best_configurations(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.best_configurations(_enriched(spark, sf))
+    return runs.best_configurations(_completed(spark, sf))
 
 
 def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.run_summary(_enriched(spark, sf))
+    return runs.run_summary(_completed(spark, sf))
 
 
 def shuffle_profile(spark: SparkSession, sf: str) -> DataFrame:
-    table = runs.shuffle_profile(_enriched(spark, sf).where("Type = 'Weak'"))
-    return _rounded(table, 6, *[c for c in table.columns if c not in ("Cores", "Execs")])
+    table = runs.shuffle_profile(_completed(spark, sf).where("Type = 'Weak'"))
+    return _rounded(table, 6, *[c for c in table.columns if c not in runs.CONFIGURATION])
 
 
 def best_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return runs.best_runs(_enriched(spark, sf))
+    return runs.best_runs(_completed(spark, sf))
 
 
 def report_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Every report table read back from its CSV, as rows of ``report, key, metric, value``."""
     path = scratch_path(spark, "reports")
-    runs.write_reports(cut(_enriched(spark, sf), "enriched"), path)
-    schema = "TotalCores INT, " + ", ".join(f"{c} DOUBLE" for c in runs.STAGE_COLUMNS)
-    return spark.read.schema(schema).option("header", True).csv(f"{path}/stage_strong_time")
+    tables = runs.report_tables(cut(_enriched(spark, sf), "enriched"))
+    runs.write_reports(tables, path)
+    keys = {"Experiment", "Configuration", "Scenario", *runs.CONFIGURATION}
+    parts = []
+    for name, table in tables.items():
+        back = spark.read.schema(table.schema).option("header", True).csv(f"{path}/{name}")
+        metrics = F.array(
+            *[F.struct(F.lit(c).alias("metric"), F.round(F.col(c).cast("double"), 6).alias("value"))
+              for c in back.columns if c not in keys]
+        )
+        key = F.concat_ws("|", *[F.col(c) for c in back.columns if c in keys])
+        rows = back.select(F.lit(name).alias("report"), key.alias("key"), F.explode(metrics).alias("m"))
+        parts.append(rows.select("report", "key", "m.metric", "m.value").where("value IS NOT NULL"))
+    return stats.stack(parts)
 
 
 # --- contract ------------------------------------------------------------------------------------

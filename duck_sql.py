@@ -270,11 +270,28 @@ enriched AS (
       DiskSpillMB / 1024 AS DiskSpillGB, PeakHeapMB / 1024 AS PeakHeapGB,
       regexp_extract(Data, '_(\\d+)', 1)::DOUBLE AS SizeFactor
     FROM runs JOIN sizes USING (Data)))"""
-CONFIGS = """
+# Runs that did not fail, and their means per configuration.
+COMPLETED = f"""
+{ENRICHED},
+completed AS (SELECT * FROM enriched WHERE TotalTime > 0 AND {' AND '.join(f'{s} > 0' for s in STAGE_COLUMNS)})"""
+CONFIG_METRICS = [
+    "AppTimeSec", "Parallelism", "PeakHeapGB", "MemSpillGB", "DiskSpillGB", "ComputeSec", "GCSec", "CommSec",
+    "ShuffleReadSec", "ShuffleWriteSec", "ExecRunTimeSec", "ExecRunTimeMs", "ComputeRatio", "GCRatio", "CommRatio",
+    "DatasetSizeGB", "TimePerUnit", *STAGE_COLUMNS,
+]
+CONFIGS = f"""
+{COMPLETED},
 configs AS (
-  SELECT Type, Execs, Cores, TotalCores, MemGB, avg(AppTimeSec) AS AppTimeSec, avg(Parallelism) AS Parallelism,
-    avg(PeakHeapGB) AS PeakHeapGB, avg(MemSpillGB) AS MemSpillGB, avg(DiskSpillGB) AS DiskSpillGB, avg(GCSec) AS GCSec
-  FROM enriched GROUP BY ALL)"""
+  SELECT Type, Execs, Cores, TotalCores, MemGB, {', '.join(f'avg({m}) AS {m}' for m in CONFIG_METRICS)}
+  FROM completed GROUP BY Type, Execs, Cores, TotalCores, MemGB),
+strong AS (
+  SELECT *, first_value(AppTimeSec) OVER w / AppTimeSec AS Speedup,
+    100 * (first_value(AppTimeSec) OVER w / AppTimeSec) / (TotalCores / min(TotalCores) OVER (PARTITION BY Type)) AS Efficiency,
+    min(TotalCores) OVER (PARTITION BY Type) AS Least
+  FROM configs WINDOW w AS (PARTITION BY Type ORDER BY Execs, Cores, TotalCores, MemGB)),
+weak AS (
+  SELECT *, 100 * first_value(AppTimeSec) OVER (PARTITION BY Cores ORDER BY Execs, Cores, TotalCores, MemGB) / AppTimeSec
+    AS Efficiency FROM configs WHERE Type = 'Weak')"""
 SCENARIO = """CASE WHEN Type = 'Strong' THEN 'Strong Scaling'
   WHEN Type = 'Weak' AND Cores IN (2, 4) THEN 'Weak Scaling (' || Cores || ' cores/exec)' END"""
 
@@ -300,6 +317,79 @@ def _means(metrics: list[str], digits: int) -> str:
     return ", ".join(f"round(avg({m}), {digits}) AS {m}" for m in metrics)
 
 
+def _rounds(metrics: list[str], digits: int = 6) -> str:
+    return ", ".join(f"round({m}, {digits}) AS {m}" for m in metrics)
+
+
+SHUFFLE_METRICS = [
+    "AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec", "ComputeRatio", "GCRatio", "CommRatio",
+]
+MEMORY = f"""
+labelled AS (
+  SELECT 'Strong Scaling (Min Cores)' AS Configuration, * FROM configs
+  WHERE Type = 'Strong' AND TotalCores = (SELECT min(TotalCores) FROM configs WHERE Type = 'Strong') UNION ALL
+  SELECT 'Strong Scaling (Max Cores)', * FROM configs
+  WHERE Type = 'Strong' AND TotalCores = (SELECT max(TotalCores) FROM configs WHERE Type = 'Strong') UNION ALL
+  SELECT 'Weak Scaling (' || Cores || ' cores/exec)', * FROM configs WHERE Type = 'Weak' AND Cores IN (2, 4)),
+memory AS (
+  SELECT Configuration, {_means(['PeakHeapGB', 'MemSpillGB', 'DiskSpillGB', 'GCSec'], 2)} FROM labelled GROUP BY Configuration)"""
+UTILISATION = f"""
+scenarios AS (SELECT {SCENARIO} AS Scenario, * FROM configs),
+used AS (
+  SELECT Scenario, TotalCores, first(Execs ORDER BY Execs, Cores, MemGB) AS Execs, first(Cores ORDER BY Execs, Cores, MemGB) AS Cores,
+    round(avg(Parallelism), 6) AS Parallelism, round(avg(Parallelism) / TotalCores * 100, 1) AS Utilization
+  FROM scenarios WHERE Scenario IS NOT NULL GROUP BY Scenario, TotalCores)"""
+BEST = f"""
+experiments AS (SELECT {SCENARIO} AS Experiment, * FROM strong),
+best AS (
+  SELECT Experiment, Execs, Cores, TotalCores, round(AppTimeSec, 6) AS AppTimeSec,
+    CASE WHEN Type = 'Strong' THEN round(Efficiency, 1) END AS Efficiency, round(PeakHeapGB, 2) AS PeakHeapGB,
+    round(MemSpillGB, 2) AS MemSpillGB FROM experiments WHERE Experiment IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY Experiment ORDER BY AppTimeSec, Execs, Cores, TotalCores, MemGB) = 1)"""
+
+
+def _reports() -> str:
+    """All ten report tables as one long table of ``report, key, metric, value``."""
+    config = "Execs, Cores, TotalCores, MemGB"
+    tables = {
+        "strong_performance": (
+            "TotalCores",
+            "round(avg(AppTimeSec), 2) AS AppTimeSec, round(avg(Speedup), 2) AS Speedup, TotalCores / Least AS IdealSpeedup,"
+            " round(avg(Efficiency), 2) AS Efficiency, round(avg(Parallelism), 2) AS Parallelism,"
+            " round(round(avg(Parallelism), 2) / TotalCores * 100, 1) AS Utilization",
+            "strong WHERE Type = 'Strong' GROUP BY TotalCores, Least",
+        ),
+        "strong_breakdown": (
+            "TotalCores",
+            f"{_means(['AppTimeSec', 'ComputeSec', 'GCSec', 'ShuffleReadSec', 'ShuffleWriteSec'], 2)},"
+            " round(avg(100 * ComputeSec / ExecRunTimeSec), 2) AS ComputeRatio,"
+            " round(avg(100 * GCSec / ExecRunTimeSec), 2) AS GCRatio, round(avg(100 * CommSec / ExecRunTimeSec), 2) AS CommRatio",
+            "configs WHERE Type = 'Strong' GROUP BY TotalCores",
+        ),
+        "stage_strong_time": ("TotalCores", _means(STAGE_COLUMNS, 2), "configs WHERE Type = 'Strong' GROUP BY TotalCores"),
+        "weak_comparison": (
+            config,
+            _rounds(["AppTimeSec", "DatasetSizeGB", "ExecRunTimeMs", "Parallelism", "TimePerUnit", "Efficiency"]),
+            "weak WHERE Cores IN (2, 4)",
+        ),
+        "memory_analysis": ("Configuration", "PeakHeapGB, MemSpillGB, DiskSpillGB, GCSec", "memory"),
+        "best_configs": (
+            "Experiment, Execs, Cores, TotalCores", "AppTimeSec, Efficiency, PeakHeapGB, MemSpillGB", "best"
+        ),
+        "parallelism": ("Scenario, TotalCores, Execs, Cores", "Parallelism, Utilization", "used"),
+        "strong_spill": (config, _rounds(["MemSpillGB", "DiskSpillGB", "PeakHeapGB"]), "configs WHERE Type = 'Strong'"),
+        "stage_weak_time": ("TotalCores", _means(STAGE_COLUMNS, 2), "configs WHERE Type = 'Weak' GROUP BY TotalCores"),
+        "weak_shuffle": (config, _rounds(SHUFFLE_METRICS), "configs WHERE Type = 'Weak' AND Cores IN (2, 4)"),
+    }
+    parts = " UNION ALL ".join(
+        f"""
+SELECT '{name}' AS report, concat_ws('|', {keys}) AS key, metric, value FROM (
+  UNPIVOT (SELECT {keys}, {metrics} FROM {source}) ON COLUMNS(* EXCLUDE ({keys})) INTO NAME metric VALUE value)"""
+        for name, (keys, metrics, source) in tables.items()
+    )
+    return f"WITH {CONFIGS}, {MEMORY}, {UTILISATION}, {BEST} {parts}"
+
+
 def statements() -> dict[str, str]:
     near = _near("documents", "doc_id", "text")
     words = f"regexp_extract_all(lower(coalesce(text, '')), {_text(WORD_PATTERN)})"
@@ -436,11 +526,11 @@ WITH {RUNS} SELECT 'runs' AS origin, Type AS label, count(*) AS n FROM runs GROU
 UNION ALL SELECT 'events', event_type, count(*) FROM events GROUP BY ALL""",
         "distinct_keys": "SELECT DISTINCT l_linenumber FROM lineitem",
         "grouped_mean": f"""
-WITH {ENRICHED} SELECT Type, Execs, Cores, TotalCores, MemGB, {_means(['AppTimeSec', 'MemSpillGB', 'DiskSpillGB', 'PeakHeapGB'], 6)}
-FROM enriched GROUP BY ALL""",
+WITH {COMPLETED} SELECT Type, Execs, Cores, TotalCores, MemGB, {_means(['AppTimeSec', 'MemSpillGB', 'DiskSpillGB', 'PeakHeapGB'], 6)}
+FROM completed GROUP BY ALL""",
         "mean_std_by_group": f"""
-WITH {ENRICHED} SELECT MemGB, count(*) AS n, {', '.join(f'round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_std' for m in ['AppTimeSec', 'GCRatio', 'MemSpillMB'])}
-FROM enriched WHERE Type = 'MemoryStudy' GROUP BY MemGB""",
+WITH {COMPLETED} SELECT MemGB, count(*) AS n, {', '.join(f'round(avg({m}), 6) AS {m}_mean, round(stddev_samp({m}), 6) AS {m}_std' for m in ['AppTimeSec', 'GCRatio', 'MemSpillMB'])}
+FROM completed WHERE Type = 'MemoryStudy' GROUP BY MemGB""",
         "quantiles_by_group": f"""
 WITH {ENRICHED} SELECT Type, round(min(PeakHeapGB), 6) AS min, round(quantile_cont(PeakHeapGB, 0.25), 6) AS q1,
   round(quantile_cont(PeakHeapGB, 0.5), 6) AS median, round(quantile_cont(PeakHeapGB, 0.75), 6) AS q3,
@@ -453,60 +543,35 @@ SELECT o_custkey, o_orderkey, o_totalprice, first_value(o_totalprice) OVER w AS
   first_value(o_totalprice) OVER w / o_totalprice AS ratio FROM orders
 WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)""",
         "strong_scaling": f"""
-WITH {ENRICHED},
-m AS (SELECT Type, TotalCores, avg(AppTimeSec) AS t, avg(Parallelism) AS p FROM enriched GROUP BY ALL),
-b AS (SELECT *, first_value(t) OVER w AS t0, first_value(TotalCores) OVER w AS c0 FROM m
-  WINDOW w AS (PARTITION BY Type ORDER BY TotalCores))
-SELECT Type, TotalCores, round(t, 2) AS AppTimeSec, round(t0 / t, 2) AS Speedup, TotalCores / c0 AS IdealSpeedup,
-  round(t0 / t / (TotalCores / c0) * 100, 2) AS Efficiency, round(p, 2) AS Parallelism,
-  round(p / TotalCores * 100, 1) AS Utilization FROM b""",
+WITH {CONFIGS}
+SELECT Type, TotalCores, round(avg(AppTimeSec), 2) AS AppTimeSec, round(avg(Speedup), 2) AS Speedup,
+  TotalCores / Least AS IdealSpeedup, round(avg(Efficiency), 2) AS Efficiency, round(avg(Parallelism), 2) AS Parallelism,
+  round(round(avg(Parallelism), 2) / TotalCores * 100, 1) AS Utilization FROM strong GROUP BY Type, TotalCores, Least""",
         "weak_scaling": f"""
-WITH {ENRICHED},
-m AS (SELECT Cores, TotalCores, avg(AppTimeSec) AS t, avg(TimePerUnit) AS u FROM enriched WHERE Type = 'Weak' GROUP BY ALL)
-SELECT Cores, TotalCores, round(t, 6) AS AppTimeSec, round(u, 6) AS TimePerUnit,
-  round(first_value(t) OVER (PARTITION BY Cores ORDER BY TotalCores) / t * 100, 6) AS Efficiency FROM m""",
+WITH {CONFIGS} SELECT Execs, Cores, TotalCores, MemGB, round(AppTimeSec, 6) AS AppTimeSec, round(TimePerUnit, 6) AS TimePerUnit,
+  round(Efficiency, 6) AS Efficiency FROM weak""",
         "ratio_breakdown": f"""
-WITH {ENRICHED} SELECT TotalCores, {_means(['AppTimeSec', 'ComputeSec', 'GCSec', 'ShuffleReadSec', 'ShuffleWriteSec'], 2)},
-  round(100 * avg(ComputeSec) / avg(ExecRunTimeSec), 2) AS ComputeRatio, round(100 * avg(GCSec) / avg(ExecRunTimeSec), 2) AS GCRatio,
-  round(100 * avg(CommSec) / avg(ExecRunTimeSec), 2) AS CommRatio FROM enriched WHERE Type = 'Strong' GROUP BY TotalCores""",
+WITH {CONFIGS} SELECT TotalCores, {_means(['AppTimeSec', 'ComputeSec', 'GCSec', 'ShuffleReadSec', 'ShuffleWriteSec'], 2)},
+  round(avg(100 * ComputeSec / ExecRunTimeSec), 2) AS ComputeRatio, round(avg(100 * GCSec / ExecRunTimeSec), 2) AS GCRatio,
+  round(avg(100 * CommSec / ExecRunTimeSec), 2) AS CommRatio FROM configs WHERE Type = 'Strong' GROUP BY TotalCores""",
         "stage_time_by_group": f"""
-WITH {RUNS} SELECT TotalCores, {_means(STAGE_COLUMNS, 2)} FROM runs WHERE Type = 'Strong' GROUP BY TotalCores""",
-        "report_sink": f"""
-WITH {RUNS} SELECT TotalCores, {_means(STAGE_COLUMNS, 2)} FROM runs WHERE Type = 'Strong' GROUP BY TotalCores""",
+WITH {CONFIGS} SELECT TotalCores, {_means(STAGE_COLUMNS, 2)} FROM configs WHERE Type = 'Strong' GROUP BY TotalCores""",
+        "report_sink": _reports(),
         "shuffle_profile": f"""
-WITH {ENRICHED} SELECT Cores, Execs, {_means(['AppTimeSec', 'ComputeSec', 'GCSec', 'ShuffleReadSec', 'ShuffleWriteSec', 'ComputeRatio', 'GCRatio', 'CommRatio'], 6)}
-FROM enriched WHERE Type = 'Weak' GROUP BY Cores, Execs""",
+WITH {CONFIGS} SELECT Execs, Cores, TotalCores, MemGB, {_rounds(SHUFFLE_METRICS)} FROM configs WHERE Type = 'Weak'""",
         "best_runs": f"""
-WITH {ENRICHED},
+WITH {COMPLETED},
 v AS (
-  SELECT 'time' AS Best, *, AppTimeSec AS Value FROM enriched UNION ALL
-  SELECT 'time per core', *, TimePerCore FROM enriched UNION ALL
-  SELECT 'time per unit', *, TimePerUnit FROM enriched WHERE Type = 'Weak')
+  SELECT 'time' AS Best, *, AppTimeSec AS Value FROM completed UNION ALL
+  SELECT 'time per core', *, TimePerCore FROM completed UNION ALL
+  SELECT 'time per unit', *, TimePerUnit FROM completed WHERE Type = 'Weak')
 SELECT Best, Execs, Cores, TotalCores, Data, Run, Value FROM v
 QUALIFY row_number() OVER (PARTITION BY Best ORDER BY Value, TotalCores, Execs, Data, Run) = 1""",
-        "memory_profile": f"""
-WITH {ENRICHED}, {CONFIGS},
-labelled AS (
-  SELECT 'Strong Scaling (Min Cores)' AS Configuration, * FROM configs
-  WHERE Type = 'Strong' AND TotalCores = (SELECT min(TotalCores) FROM configs WHERE Type = 'Strong') UNION ALL
-  SELECT 'Strong Scaling (Max Cores)', * FROM configs
-  WHERE Type = 'Strong' AND TotalCores = (SELECT max(TotalCores) FROM configs WHERE Type = 'Strong') UNION ALL
-  SELECT 'Weak Scaling (' || Cores || ' cores/exec)', * FROM configs WHERE Type = 'Weak' AND Cores IN (2, 4))
-SELECT Configuration, {_means(['PeakHeapGB', 'MemSpillGB', 'DiskSpillGB', 'GCSec'], 2)} FROM labelled GROUP BY Configuration""",
-        "utilisation": f"""
-WITH {ENRICHED}, {CONFIGS},
-s AS (SELECT {SCENARIO} AS Scenario, * FROM configs)
-SELECT Scenario, TotalCores, first(Execs ORDER BY Execs, Cores, MemGB) AS Execs, first(Cores ORDER BY Execs, Cores, MemGB) AS Cores,
-  round(avg(Parallelism), 6) AS Parallelism, round(avg(Parallelism) / TotalCores * 100, 1) AS Utilization
-FROM s WHERE Scenario IS NOT NULL GROUP BY Scenario, TotalCores""",
-        "best_configurations": f"""
-WITH {ENRICHED}, {CONFIGS},
-s AS (SELECT {SCENARIO} AS Experiment, * FROM configs)
-SELECT Experiment, Execs, Cores, TotalCores, round(AppTimeSec, 6) AS AppTimeSec, round(PeakHeapGB, 2) AS PeakHeapGB,
-  round(MemSpillGB, 2) AS MemSpillGB FROM s WHERE Experiment IS NOT NULL
-QUALIFY row_number() OVER (PARTITION BY Experiment ORDER BY AppTimeSec, TotalCores, Execs, MemGB) = 1""",
+        "memory_profile": f"WITH {CONFIGS}, {MEMORY} SELECT * FROM memory",
+        "utilisation": f"WITH {CONFIGS}, {UTILISATION} SELECT * FROM used",
+        "best_configurations": f"WITH {CONFIGS}, {BEST} SELECT * FROM best",
         "run_summary": f"""
-WITH {ENRICHED}
+WITH {COMPLETED}
 SELECT count(*) AS Runs, count_if(Type = 'Strong')::BIGINT AS StrongRuns, count_if(Type = 'Weak')::BIGINT AS WeakRuns,
   count_if(Type = 'MemoryStudy')::BIGINT AS MemoryRuns, round(avg(AppTimeSec), 2) AS AvgTime, round(min(AppTimeSec), 2) AS MinTime,
   round(max(AppTimeSec), 2) AS MaxTime, round(avg(GCSec), 2) AS AvgGC, round(avg(GCRatio) * 100, 2) AS AvgGCRatio,
@@ -514,7 +579,7 @@ SELECT count(*) AS Runs, count_if(Type = 'Strong')::BIGINT AS StrongRuns, count_
   round(avg(PeakHeapGB), 2) AS AvgPeakHeapGB, round(avg(MemSpillGB), 2) AS AvgMemSpillGB,
   round(avg(DiskSpillGB), 2) AS AvgDiskSpillGB, round(sum(MemSpillGB), 2) AS SumMemSpillGB,
   round(sum(DiskSpillGB), 2) AS SumDiskSpillGB,
-  (SELECT Execs || 'x' || Cores FROM enriched ORDER BY AppTimeSec, Execs, Cores, Data, Run LIMIT 1) AS BestConfig,
-  (SELECT Execs || 'x' || Cores FROM enriched ORDER BY TimePerCore, Execs, Cores, Data, Run LIMIT 1) AS MostEfficientConfig,
-  round(min(TimePerCore), 2) AS TimePerCore FROM enriched""",
+  (SELECT Execs || 'x' || Cores FROM completed ORDER BY AppTimeSec, Execs, Cores, Data, Run LIMIT 1) AS BestConfig,
+  (SELECT Execs || 'x' || Cores FROM completed ORDER BY TimePerCore, Execs, Cores, Data, Run LIMIT 1) AS MostEfficientConfig,
+  round(min(TimePerCore), 2) AS TimePerCore FROM completed""",
     }

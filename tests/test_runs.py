@@ -166,6 +166,31 @@ def test_scaling(spark, table):
     assert (summary["Runs"], summary["StrongRuns"], summary["BestConfig"], summary["AvgGCRatio"]) == (10, 4, "2x4", 2.5)
 
 
+def test_configurations_are_averaged_first(spark):
+    """Two memory sizes at one core count and uneven repetitions; a failed run does not count."""
+    made = [
+        run("Strong", 1, 4, "small_2", "a", 8000), run("Strong", 1, 4, "small_2", "b", 12000, 2),
+        run("Strong", 2, 4, "small_2", "c", 4000), run("Strong", 2, 4, "small_2", "d", 4000, 2),
+        run("Strong", 2, 4, "small_2", "e", 4000, 3), run("Strong", 2, 4, "small_2", "f", 10000),
+        run("Strong", 2, 4, "small_2", "g", 1, total=0.0),
+    ]
+    at = R.RUN_COLUMNS.index("MemGB")
+    made[5][at] = 16
+    types = {"string": str, "int": int, "bigint": int, "double": float}
+    typed = [[types[f.dataType.simpleString()](v) for f, v in zip(R.RUN_SCHEMA, r)] for r in made]
+    runs = R.completed(R.run_enrich(spark.createDataFrame(typed, R.RUN_SCHEMA), R.data_sizes(spark)))
+    strong = {r["TotalCores"]: r for r in R.strong_scaling(runs).collect()}
+    # Configurations: 10 s on 4 cores; 4 s and 10 s on 8.
+    assert (strong[4]["AppTimeSec"], strong[4]["Speedup"], strong[4]["Efficiency"]) == (10, 1, 100)
+    assert (strong[8]["AppTimeSec"], strong[8]["Speedup"], strong[8]["Efficiency"]) == (7, 1.75, 87.5)
+    best = R.best_configurations(runs).first()
+    assert (best["Execs"], best["AppTimeSec"], best["Efficiency"]) == (2, 4, 125)
+    weak = R.weak_scaling(runs.withColumn("Type", F.lit("Weak")))
+    assert sorted((r["Execs"], r["MemGB"], r["Efficiency"]) for r in weak.collect()) == [(1, 8, 100), (2, 8, 250), (2, 16, 100)]
+    stages = {r["TotalCores"]: r["S1"] for r in R.stage_time_by_group(runs, ["TotalCores"]).collect()}
+    assert stages == {4: 1, 8: 1}
+
+
 def test_statistics(spark):
     rng = random.Random(1)
     data = [("hot", float(int(rng.lognormvariate(3, 2)))) for _ in range(3000)] + [("flat", 5.0)] * 40 + [("one", 7.0), ("two", 1.0), ("two", 2.0), ("none", None)]

@@ -20,6 +20,8 @@ RUN_COLUMNS = [
     *CONFIG_COLUMNS, *STAGE_COLUMNS, "TotalTime", "AppTimeMs", "ExecRunTimeMs", "Parallelism", "GCMs", "GCRatio",
     "ShuffleReadMs", "ShuffleWriteMs", "CommMs", "CommRatio", "ComputeMs", "ComputeRatio", *MB_COLUMNS, "Run",
 ]
+# The columns that make a configuration, in the order that puts the baseline first.
+CONFIGURATION = ["Execs", "Cores", "TotalCores", "MemGB"]
 # Size of each data set in GB.
 DATA_SIZES = {
     "small_1": 3.9,
@@ -109,94 +111,102 @@ def run_enrich(runs: DataFrame, sizes: DataFrame, strict: bool = True) -> DataFr
     )
 
 
-def strong_scaling(
-    runs: DataFrame,
-    cores_col: str = "TotalCores",
-    time_col: str = "AppTimeSec",
-    parallelism_col: str = "Parallelism",
-    experiment_cols: list[str] | None = None,
-) -> DataFrame:
+def completed(runs: DataFrame) -> DataFrame:
+    """Runs that did not fail; averages and best rows are taken of these."""
+    return run_status(runs).where("status = 'ok'").drop("status")
+
+
+def configuration_means(runs: DataFrame, metrics: list[str], by: list[str] | None = None) -> DataFrame:
+    """Mean of the metrics per configuration (of each ``by`` group), so that repetitions of a run do not weigh more."""
+    return grouped_mean(runs, [*(by or []), *CONFIGURATION], metrics)
+
+
+def _baseline(time_col: str, by: list[str]) -> Column:
+    """The time of a group's first configuration; the window holds one row per configuration."""
+    return F.first(time_col).over(Window.partitionBy(*by).orderBy(*CONFIGURATION))
+
+
+def _efficiency(time_col: str, by: list[str]) -> Column:
+    ideal = F.col("TotalCores") / F.min("TotalCores").over(Window.partitionBy(*by))
+    return _baseline(time_col, by) / F.col(time_col) / ideal * 100
+
+
+def strong_scaling(runs: DataFrame, time_col: str = "AppTimeSec", experiment_cols: list[str] | None = None) -> DataFrame:
     """Speedup, ideal speedup, efficiency and utilisation per core count of each experiment.
 
-    The baseline is the smallest core count. Runs are combined to one row per
-    core count before anything is compared.
+    Configurations are averaged first, each is compared with the experiment's first
+    configuration, and the comparisons are averaged per core count.
     """
     by = experiment_cols or ["Type"]
-    means = grouped_mean(runs, [*by, cores_col], [time_col, parallelism_col])
-    base = Window.partitionBy(*by).orderBy(cores_col)
-    joined = means.withColumn("_base", F.first(time_col).over(base)).withColumn("_cores", F.first(cores_col).over(base))
-    speedup = F.col("_base") / F.col(time_col)
-    ideal = F.col(cores_col) / F.col("_cores")
-    return joined.select(
+    configs = configuration_means(runs, [time_col, "Parallelism"], by).withColumns(
+        {
+            "Speedup": _baseline(time_col, by) / F.col(time_col),
+            "Efficiency": _efficiency(time_col, by),
+            "_least": F.min("TotalCores").over(Window.partitionBy(*by)),
+        }
+    )
+    means = configs.groupBy(*by, "TotalCores").agg(
+        *[F.avg(c).alias(c) for c in [time_col, "Speedup", "Efficiency", "Parallelism"]], F.first("_least").alias("_least")
+    )
+    return means.select(
         *by,
-        cores_col,
+        "TotalCores",
         F.round(time_col, 2).alias(time_col),
-        F.round(speedup, 2).alias("Speedup"),
-        ideal.alias("IdealSpeedup"),
-        F.round(speedup / ideal * 100, 2).alias("Efficiency"),
-        F.round(parallelism_col, 2).alias(parallelism_col),
-        F.round(F.col(parallelism_col) / F.col(cores_col) * 100, 1).alias("Utilization"),
+        F.round("Speedup", 2).alias("Speedup"),
+        (F.col("TotalCores") / F.col("_least")).alias("IdealSpeedup"),
+        F.round("Efficiency", 2).alias("Efficiency"),
+        F.round("Parallelism", 2).alias("Parallelism"),
+        F.round(F.round("Parallelism", 2) / F.col("TotalCores") * 100, 1).alias("Utilization"),
     )
 
 
-def weak_scaling(
-    runs: DataFrame,
-    width_col: str = "Cores",
-    order_col: str = "TotalCores",
-    time_col: str = "AppTimeSec",
-    metrics: list[str] | None = None,
-) -> DataFrame:
-    """Mean time per width and size with ``Efficiency = 100 * baseline / time``.
+def weak_scaling(runs: DataFrame, time_col: str = "AppTimeSec", metrics: list[str] | None = None) -> DataFrame:
+    """One row per configuration with ``Efficiency = 100 * baseline / time``.
 
-    The baseline of a width is its smallest configuration.
+    The baseline of a width (``Cores``) is its first configuration.
     """
-    means = grouped_mean(runs, [width_col, order_col], [time_col, *(metrics or [])])
-    base = F.first(time_col).over(Window.partitionBy(width_col).orderBy(order_col))
-    return means.withColumn("Efficiency", base / F.col(time_col) * 100)
+    means = configuration_means(runs, [time_col, *(metrics or [])])
+    return means.withColumn("Efficiency", _baseline(time_col, ["Cores"]) / F.col(time_col) * 100)
 
 
 def ratio_breakdown(runs: DataFrame, group_cols: list[str], digits: int | None = 2) -> DataFrame:
     """Mean seconds per group and the share of run time in compute, GC and communication, in percent.
 
-    Shares are ratios of the group's means.
+    Shares are taken per configuration and averaged per group.
     """
-    means = grouped_mean(
-        runs, group_cols,
-        ["AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec", "CommSec", "ExecRunTimeSec"],
-    )
+    seconds = ["AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec"]
+    extra = [c for c in group_cols if c not in CONFIGURATION]
+    configs = configuration_means(runs, [*seconds, "CommSec", "ExecRunTimeSec"], extra)
+    shares = {f"{part}Ratio": 100 * F.col(f"{part}Sec") / F.col("ExecRunTimeSec") for part in ("Compute", "GC", "Comm")}
+    return grouped_mean(configs.withColumns(shares), group_cols, [*seconds, *shares], digits)
 
-    def shown(value: Column) -> Column:
-        return value if digits is None else F.round(value, digits)
 
-    return means.select(
-        *group_cols,
-        *[shown(F.col(c)).alias(c) for c in ["AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec"]],
-        shown(100 * F.col("ComputeSec") / F.col("ExecRunTimeSec")).alias("ComputeRatio"),
-        shown(100 * F.col("GCSec") / F.col("ExecRunTimeSec")).alias("GCRatio"),
-        shown(100 * F.col("CommSec") / F.col("ExecRunTimeSec")).alias("CommRatio"),
-    )
+def stage_time_by_group(runs: DataFrame, group_cols: list[str], digits: int | None = 2) -> DataFrame:
+    """Mean of the eight stage times per group, over the means of its configurations."""
+    extra = [c for c in group_cols if c not in CONFIGURATION]
+    return grouped_mean(configuration_means(runs, STAGE_COLUMNS, extra), group_cols, STAGE_COLUMNS, digits)
 
 
-def stage_time_by_group(runs: DataFrame, group_cols: list[str], digits: int | None = 2) -> DataFrame:
-    """Mean of the eight stage times per group."""
-    return grouped_mean(runs, group_cols, STAGE_COLUMNS, digits)
+# The labels of configurations and scenarios in the reports.
+STRONG, STRONG_ENDS = "Strong Scaling", ("Strong Scaling (Min Cores)", "Strong Scaling (Max Cores)")
+WEAK_FORMAT = "Weak Scaling (%d cores/exec)"
 
 
 def memory_profile(runs: DataFrame, digits: int | None = 2) -> DataFrame:
     """Mean heap, spill and GC at the smallest and largest strong run and per weak width."""
     metrics = ["PeakHeapGB", "MemSpillGB", "DiskSpillGB", "GCSec"]
-    configs = grouped_mean(runs, ["Type", "Execs", "Cores", "TotalCores", "MemGB"], metrics)
+    configs = configuration_means(runs, metrics, ["Type"])
     strong = configs.where("Type = 'Strong'")
     ends = strong.agg(F.min("TotalCores").alias("low"), F.max("TotalCores").alias("high")).select(
         F.explode(
             F.array(
-                F.struct(F.lit("Strong Scaling (Min Cores)").alias("Configuration"), F.col("low").alias("TotalCores")),
-                F.struct(F.lit("Strong Scaling (Max Cores)").alias("Configuration"), F.col("high").alias("TotalCores")),
+                F.struct(F.lit(STRONG_ENDS[0]).alias("Configuration"), F.col("low").alias("TotalCores")),
+                F.struct(F.lit(STRONG_ENDS[1]).alias("Configuration"), F.col("high").alias("TotalCores")),
             )
         ).alias("e")
     ).select("e.Configuration", "e.TotalCores")
     weak = configs.where("Type = 'Weak' AND Cores IN (2, 4)").withColumn(
-        "Configuration", F.format_string("Weak Scaling (%d cores/exec)", "Cores")
+        "Configuration", F.format_string(WEAK_FORMAT, "Cores")
     )
     columns = ["Configuration", *metrics]
     return grouped_mean(
@@ -207,17 +217,17 @@ def memory_profile(runs: DataFrame, digits: int | None = 2) -> DataFrame:
 
 def _scenario() -> Column:
     return (
-        F.when(F.col("Type") == "Strong", "Strong Scaling")
+        F.when(F.col("Type") == "Strong", STRONG)
         .when(
             (F.col("Type") == "Weak") & F.col("Cores").isin(2, 4),
-            F.format_string("Weak Scaling (%d cores/exec)", "Cores"),
+            F.format_string(WEAK_FORMAT, "Cores"),
         )
     )
 
 
 def utilisation(runs: DataFrame) -> DataFrame:
     """Parallelism and its share of the cores per scenario and core count, with the first configuration."""
-    configs = grouped_mean(runs, ["Type", "Execs", "Cores", "TotalCores", "MemGB"], ["Parallelism"])
+    configs = configuration_means(runs, ["Parallelism"], ["Type"])
     rows = configs.withColumn("Scenario", _scenario()).where(F.col("Scenario").isNotNull())
     key = F.struct("Execs", "Cores", "MemGB")
     grouped = rows.groupBy("Scenario", "TotalCores").agg(
@@ -236,14 +246,18 @@ def utilisation(runs: DataFrame) -> DataFrame:
 
 
 def best_configurations(runs: DataFrame, digits: int = 6) -> DataFrame:
-    """The fastest configuration of each scenario by its mean time."""
-    metrics = ["AppTimeSec", "PeakHeapGB", "MemSpillGB"]
-    configs = grouped_mean(runs, ["Type", "Execs", "Cores", "TotalCores", "MemGB"], metrics)
-    rows = configs.withColumn("Experiment", _scenario()).where(F.col("Experiment").isNotNull())
-    best = best_row_by_group(rows, ["Experiment"], "AppTimeSec", ["TotalCores", "Execs", "MemGB"])
+    """The fastest configuration of each scenario by its mean time; ``Efficiency`` is defined for strong scaling only."""
+    configs = configuration_means(runs, ["AppTimeSec", "PeakHeapGB", "MemSpillGB"], ["Type"])
+    rows = (
+        configs.withColumn("Efficiency", F.when(F.col("Type") == "Strong", _efficiency("AppTimeSec", ["Type"])))
+        .withColumn("Experiment", _scenario())
+        .where(F.col("Experiment").isNotNull())
+    )
+    best = best_row_by_group(rows, ["Experiment"], "AppTimeSec", CONFIGURATION)
     return best.select(
         "Experiment", "Execs", "Cores", "TotalCores",
         F.round("AppTimeSec", digits).alias("AppTimeSec"),
+        F.round("Efficiency", 1).alias("Efficiency"),
         F.round("PeakHeapGB", 2).alias("PeakHeapGB"),
         F.round("MemSpillGB", 2).alias("MemSpillGB"),
     )
@@ -277,12 +291,12 @@ def run_summary(runs: DataFrame) -> DataFrame:
     )
 
 
-def shuffle_profile(runs: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
-    """Mean seconds in compute, GC and shuffle and the mean recorded ratios per weak configuration."""
+def shuffle_profile(runs: DataFrame) -> DataFrame:
+    """Mean seconds in compute, GC and shuffle and the mean recorded ratios, one row per configuration."""
     metrics = [
         "AppTimeSec", "ComputeSec", "GCSec", "ShuffleReadSec", "ShuffleWriteSec", "ComputeRatio", "GCRatio", "CommRatio",
     ]
-    return grouped_mean(runs, group_cols or ["Cores", "Execs"], metrics)
+    return configuration_means(runs, metrics)
 
 
 def best_runs(runs: DataFrame) -> DataFrame:
@@ -303,25 +317,27 @@ def best_runs(runs: DataFrame) -> DataFrame:
 
 
 def report_tables(runs: DataFrame) -> dict[str, DataFrame]:
-    """All report tables of an enriched run table, by name."""
-    strong, weak = runs.where("Type = 'Strong'"), runs.where("Type = 'Weak' AND Cores IN (2, 4)")
+    """All report tables of an enriched run table, by name; failed runs are left out."""
+    runs = completed(runs)
+    strong, weak = runs.where("Type = 'Strong'"), runs.where("Type = 'Weak'")
+    widths = weak.where("Cores IN (2, 4)")
+    spills = ["MemSpillGB", "DiskSpillGB", "PeakHeapGB"]
+    # The names of the report tables.
     return {
-        "strong_performance": strong_scaling(strong),
+        "strong_performance": strong_scaling(strong).drop("Type"),
         "strong_breakdown": ratio_breakdown(strong, ["TotalCores"]),
         "stage_strong_time": stage_time_by_group(strong, ["TotalCores"]),
-        "weak_comparison": weak_scaling(weak, metrics=["DatasetSizeGB", "ExecRunTimeMs", "Parallelism", "TimePerUnit"]),
+        "weak_comparison": weak_scaling(widths, metrics=["DatasetSizeGB", "ExecRunTimeMs", "Parallelism", "TimePerUnit"]),
         "memory_analysis": memory_profile(runs),
         "best_configs": best_configurations(runs),
         "parallelism": utilisation(runs),
-        "strong_spill": grouped_mean(
-            strong, ["Execs", "Cores", "TotalCores"], ["MemSpillGB", "DiskSpillGB", "PeakHeapGB"]
-        ),
+        "strong_spill": configuration_means(strong, spills),
         "stage_weak_time": stage_time_by_group(weak, ["TotalCores"]),
-        "weak_shuffle": shuffle_profile(weak),
+        "weak_shuffle": shuffle_profile(widths),
     }
 
 
-def write_reports(runs: DataFrame, path: str) -> None:
+def write_reports(tables: dict[str, DataFrame], path: str) -> None:
     """Write every report table as CSV under ``path``."""
-    for name, table in report_tables(runs).items():
+    for name, table in tables.items():
         write_report(table, f"{path}/{name}")
