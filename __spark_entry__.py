@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 import duck_sql
 from textmill.functions.hosts import host_of
-from textmill.operators import domains, exact, extract, funnel, language, minhash, neardup, runs, shingle, stats, tokens
+from textmill.operators import domains, exact, extract, language, minhash, neardup, runs, shingle, stats, tokens
 from textmill.plans import corpus
 from textmill.schemas import CRAWL_RECORD, check_schema
 from textmill.session import cut, scratch_path
@@ -228,7 +228,13 @@ def url_prefix_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_extract(spark: SparkSession, sf: str) -> DataFrame:
-    return extract.html_extract(_pages(spark, sf).select("page_id", "html"), "html", "text")
+    """Every page as it is, and once more inside a form that is never closed, where only the fallback finds text."""
+    variants = F.array(
+        F.struct(F.lit(False).alias("in_form"), F.col("html")),
+        F.struct(F.lit(True).alias("in_form"), F.concat(F.lit("<form>"), F.col("html")).alias("html")),
+    )
+    pages = _pages(spark, sf).select("page_id", F.explode(variants).alias("v")).select("page_id", "v.in_form", "v.html")
+    return extract.html_extract(pages, "html", "text")
 
 
 def boilerplate_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -369,15 +375,9 @@ def _by_page(sequences: DataFrame) -> DataFrame:
 
 
 def stage_funnel(spark: SparkSession, sf: str) -> DataFrame:
-    filtered, extracted, english = _english(spark, sf)
-    return funnel.stage_funnel(
-        [
-            ("domain_filter", filtered),
-            ("html_extract", extracted),
-            ("lang_filter", english),
-            ("exact_dedup", corpus.drop_exact(english)),
-        ]
-    )
+    """The whole job with both tails, counted step by step."""
+    job = corpus.prepare_corpus(_records(spark, sf), _blog_parents(spark, sf), _model(spark, sf))
+    return job.funnel()
 
 
 def corpus_md5(spark: SparkSession, sf: str) -> DataFrame:

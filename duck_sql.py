@@ -10,6 +10,7 @@ from html.entities import name2codepoint
 from textmill.functions import markup
 from textmill.functions.grams import MERSENNE31, gram_multipliers
 from textmill.operators import language as lang
+from textmill.operators.extract import VISIBLE_PATTERN
 from textmill.operators.minhash import BANDS, ROWS, THRESHOLD, hash_coefficients
 from textmill.operators.runs import DATA_SIZES, STAGE_COLUMNS
 from textmill.operators.tokens import MAX_LENGTH, VOCAB_SIZE, WORD_PATTERN
@@ -180,12 +181,15 @@ def _folded(column: str) -> str:
 
 def _extracted(source: str, html: str = "html", keep: str = "page_id, url") -> str:
     """Main text of ``source`` as ``extracted(keep, text)``."""
-    text = _replace(html, markup.DROP_PATTERN, "''")
-    text = _replace(text, markup.LINK_OPEN_PATTERN, _text(markup.LINK_START))
-    text = _replace(text, markup.LINK_CLOSE_PATTERN, _text(markup.LINK_END))
-    text = _replace(text, markup.BLOCK_PATTERN, "chr(10)")
-    text = _replace(text, markup.CELL_PATTERN, "' '")
-    text = _replace(text, markup.TAG_PATTERN, "''")
+
+    def marked(drop: str) -> str:
+        text = _replace(html, drop, "''")
+        text = _replace(text, markup.LINK_OPEN_PATTERN, _text(markup.LINK_START))
+        text = _replace(text, markup.LINK_CLOSE_PATTERN, _text(markup.LINK_END))
+        text = _replace(text, markup.BLOCK_PATTERN, "chr(10)")
+        text = _replace(text, markup.CELL_PATTERN, "' '")
+        return _replace(text, markup.TAG_PATTERN, "''")
+
     visible = f"length({_replace('b', markup.MARK_PATTERN, _text(''))})"
     outside = f"length({_replace(_replace('b', markup.LINK_SPAN_PATTERN, _text('')), markup.MARK_PATTERN, _text(''))})"
     lines = (
@@ -193,11 +197,15 @@ def _extracted(source: str, html: str = "html", keep: str = "page_id, url") -> s
         f" AND ({visible} - {outside}) <= {markup.MAX_LINK_SHARE} * {visible})"
     )
     joined = _folded(_replace(f"array_to_string({lines}, chr(10))", markup.MARK_PATTERN, "''"))
+    whole = _folded(_replace(_decode("w"), markup.MARK_PATTERN, "''"))
+    seen = f"regexp_matches(text, {_text(VISIBLE_PATTERN)})"
     return f"""
-marked AS (SELECT {keep}, {text} AS m FROM {source} WHERE length({html}) > 0),
-plain AS (SELECT {keep}, {_folded(_decode('m'))} AS t FROM marked),
+marked AS (
+  SELECT {keep}, {marked(markup.DROP_PATTERN)} AS m, {marked(markup.HIDDEN_PATTERN)} AS w FROM {source} WHERE length({html}) > 0),
+plain AS (SELECT {keep}, {_folded(_decode('m'))} AS t, w FROM marked),
+strict AS (SELECT {keep}, {joined} AS text, w FROM plain),
 extracted AS (
-  SELECT * FROM (SELECT {keep}, {joined} AS text FROM plain) WHERE regexp_matches(text, '[^\\s\\p{{Z}}]'))"""
+  SELECT * FROM (SELECT {keep}, CASE WHEN {seen} THEN text ELSE {whole} END AS text FROM strict) WHERE {seen})"""
 
 
 def _line(text: str) -> str:
@@ -417,7 +425,10 @@ WITH entries AS (
 SELECT page_id, url FROM pages p WHERE NOT EXISTS (
   SELECT 1 FROM entries WHERE prefix <> '' AND starts_with(
     lower(regexp_replace(regexp_replace(url, '^[^:/?#]+://', ''), '[?#].*$', '')) || '/', prefix || '/'))""",
-        "html_extract": f"WITH {_extracted('pages')} SELECT page_id, text FROM extracted",
+        "html_extract": f"""
+WITH forms AS (
+  SELECT page_id, false AS in_form, html FROM pages UNION ALL SELECT page_id, true, '<form>' || html FROM pages),
+{_extracted('forms', keep='page_id, in_form')} SELECT page_id, in_form, text FROM extracted""",
         "boilerplate_filter": f"""
 WITH {_extracted('pages')},
 lines AS (SELECT page_id, {host()} AS host, string_split(text, chr(10)) AS ls, text FROM extracted),
@@ -488,14 +499,17 @@ SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_tokens, sum({MAX_LENGTH} - n)::BI
   count_if(n = {MAX_LENGTH})::BIGINT AS n_full, count_if(n = 0)::BIGINT AS n_empty
 FROM (SELECT least(len({words}), {MAX_LENGTH}) AS n FROM documents)""",
         "stage_funnel": f"""
-WITH {CORPUS},
+{rec}{CORPUS_NEAR},
 c AS (
-  SELECT 0 AS step, 'domain_filter' AS stage, count(*) AS rows_out FROM kept UNION ALL
-  SELECT 1, 'html_extract', count(*) FROM extracted UNION ALL
-  SELECT 2, 'lang_filter', count(*) FROM english UNION ALL
-  SELECT 3, 'exact_dedup', count(*) FROM exact)
-SELECT step, stage, coalesce(lag(rows_out) OVER (ORDER BY step), rows_out) AS rows_in, rows_out,
-  round(rows_out / coalesce(lag(rows_out) OVER (ORDER BY step), rows_out), 6) AS share FROM c""",
+  SELECT 0 AS step, '2_domain_filter' AS stage, NULL AS parent, count(*) AS rows_out FROM kept UNION ALL
+  SELECT 1, '3_html_extract', '2_domain_filter', count(*) FROM extracted UNION ALL
+  SELECT 2, '4_lang_filter', '3_html_extract', count(*) FROM english UNION ALL
+  SELECT 3, '5a_near_dedup', '4_lang_filter', count(*) FROM unique_pages UNION ALL
+  SELECT 4, '5b_exact_dedup', '4_lang_filter', count(*) FROM exact UNION ALL
+  SELECT 5, '6a_tokenize', '5a_near_dedup', count(*) FROM ({_tokenized('unique_pages', 'page_id', 'text')}) UNION ALL
+  SELECT 6, '6b_tokenize', '5b_exact_dedup', count(*) FROM ({_tokenized('exact', 'page_id', 'text')}))
+SELECT c.step, c.stage, c.parent, coalesce(p.rows_out, c.rows_out) AS rows_in, c.rows_out,
+  round(c.rows_out / coalesce(p.rows_out, c.rows_out), 6) AS share FROM c LEFT JOIN c p ON c.parent = p.stage""",
         "corpus_md5": f"WITH {CORPUS} {_tokenized('exact', 'page_id', 'text')}",
         "corpus_lsh": f"{rec}{CORPUS_NEAR} {_tokenized('unique_pages', 'page_id', 'text')}",
         "eventlog_metrics": f"""

@@ -1,6 +1,7 @@
 """Hosts, blacklists, archives and extraction on literal rows."""
 
 import gzip
+import time
 
 import pytest
 from conftest import rows
@@ -164,6 +165,10 @@ HTML = {
     10: ("plain  text\t\there\r\n\r\n\r\nnext", "plain text here\nnext"),
     11: ("<p>kept</p><!-- never closed <p>gone</p>", "kept"),
     12: ("&nbsp;<p> </p>", None),
+    14: ("<body><form><p>all in</p><p>a form</p></form></body>", "all in\na form"),
+    15: ("<head><title>t</title><body><nav><p><a href='/x'>never</a> closed</p><script>x</script>", "never closed"),
+    16: ("<p>&#00000065;&#x0000042;&#0;&#000;</p>", "AB\ufffd\ufffd"),
+    17: ("<nav><script>only</script></nav>", None),
     13: ("<header><h1>Title</h1></header><p>body</p>", "Title\nbody"),
 }
 
@@ -173,6 +178,14 @@ def test_html(spark):
     assert dict(rows(html_extract(df, "html", "text"))) == {i: t for i, (_, t) in HTML.items() if t}
 
 
+def test_unclosed_tags_take_linear_time(spark):
+    for html in ("<a " * 333_333, "<nav" * 250_000, "</script" * 125_000, "<form><a href=x " * 62_500, " " * 1_000_000 + "x"):
+        df = spark.createDataFrame([(html,)], "html string")
+        start = time.time()
+        assert html_extract(df, "html", "text").count() <= 1
+        assert time.time() - start < 15
+
+
 def test_boilerplate(spark):
     pages = [(1, "h", "menu\none"), (2, "h", "menu\ntwo"), (3, "h", "menu"), (4, "k", "menu\nmenu"), (5, None, "menu")]
     df = spark.createDataFrame(pages, "id long, host string, text string")

@@ -115,14 +115,15 @@ def test_corpus(spark, model):
     assert [r[0] for r in rows(corpus.tokens_exact.select("warc_id"))] == ["2", "6"]
     assert [r[0] for r in rows(corpus.tokens_near.select("warc_id"))] == ["6"]
     assert [(r["stage"], r["rows_in"], r["rows_out"]) for r in corpus.funnel().orderBy("step").collect()] == [
-        ("domain_filter", 5, 5), ("html_extract", 5, 4), ("lang_filter", 4, 3), ("exact_dedup", 3, 2),
+        ("2_domain_filter", 5, 5), ("3_html_extract", 5, 4), ("4_lang_filter", 4, 3), ("5a_near_dedup", 3, 1),
+        ("5b_exact_dedup", 3, 2), ("6a_tokenize", 1, 1), ("6b_tokenize", 2, 2),
     ]
     assert tuple(corpus.compare().first()) == (1, 2, 1, 0, 1)
 
 
 def test_funnel_of_nothing(spark):
     empty = spark.range(0)
-    assert stage_funnel([("a", empty), ("b", empty)]).where(F.col("share").isNull()).count() == 2
+    assert stage_funnel([("a", None, empty), ("b", "a", empty)]).where(F.col("share").isNull()).count() == 2
 
 
 def test_language_filter_judges_rows_by_their_text(spark):

@@ -1,7 +1,7 @@
 """HTML to text in built-in string functions.
 
-Every pattern is lazy and without back-references, and an element that is never
-closed runs to the end of the page, so a page is scanned in linear time.
+Patterns have no back-references, a tag ends before the next ``<`` and an element that
+is never closed runs to the end of the page, so a page is scanned in linear time.
 """
 
 from __future__ import annotations
@@ -22,19 +22,26 @@ BLOCK_ELEMENTS = [
     "thead", "tbody", "tr", "section", "article", "main", "header", "blockquote", "pre", "figure",
     "figcaption", "address", "details", "summary", "body", "html", "hr", "br",
 ]
-DROP_PATTERN = (
-    r"(?is)<!--.*?(?:-->|\z)|<(?:"
-    + "|".join(rf"{tag}\b.*?(?:</{tag}[^>]*>|\z)" for tag in DROPPED_ELEMENTS)
-    + ")"
-)
-LINK_OPEN_PATTERN = r"(?i)<a\b[^>]*>"
+# Elements that hold no text even where a page has nothing else.
+HIDDEN_ELEMENTS = ["script", "style", "noscript", "template"]
+
+
+def _without(tags: list[str], head: str = "") -> str:
+    elements = "|".join(rf"{tag}\b.*?(?:</{tag}[^<>]*>|\z)" for tag in tags)
+    return rf"(?is)<!--.*?(?:-->|\z)|<(?:{head}{elements})"
+
+
+DROP_PATTERN = _without(DROPPED_ELEMENTS)
+# For pages that the rules leave without text: a head ends where it is closed or the body opens.
+HIDDEN_PATTERN = _without(HIDDEN_ELEMENTS, r"head\b.*?(?:</head[^<>]*>|<body\b[^<>]*>|\z)|")
+LINK_OPEN_PATTERN = r"(?i)<a\b[^<>]*>"
 LINK_CLOSE_PATTERN = r"(?i)</a\s*>"
-BLOCK_PATTERN = r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")\b[^>]*>"
-CELL_PATTERN = r"(?i)<t[dh]\b[^>]*>"
-TAG_PATTERN = r"<[A-Za-z/!?][^>]*>"
+BLOCK_PATTERN = r"(?i)</?(?:" + "|".join(BLOCK_ELEMENTS) + r")\b[^<>]*>"
+CELL_PATTERN = r"(?i)<t[dh]\b[^<>]*>"
+TAG_PATTERN = r"<[A-Za-z/!?][^<>]*>"
 BLANK_PATTERN = r"[ \t\x0B\f\r\x{00A0}]+"
 LINE_PATTERN = r" ?\n[ \n]*"
-ENTITY_PATTERN = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
+ENTITY_PATTERN = r"^(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,30});"
 # Private-use characters that mark link text while a page is split into blocks.
 LINK_START, LINK_END = "", ""
 MARK_PATTERN = f"[{LINK_START}{LINK_END}]"
@@ -48,8 +55,10 @@ def _named_entities() -> Column:
 
 
 def _code_point(name: Column) -> Column:
+    """The number of a reference; zeros in front do not count and zero itself is null."""
     hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
-    return F.when(hexadecimal, F.conv(F.substring(name, 3, 10), 16, 10)).otherwise(F.substring(name, 2, 10)).cast("bigint")
+    digits = F.regexp_extract(name, "^#[xX]?0*(.*)$", 1)
+    return F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.nullif(digits, F.lit(""))).cast("bigint")
 
 
 def _character(code: Column) -> Column:
@@ -81,9 +90,9 @@ def decode_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), F.get(resolved, F.lit(0))).otherwise(text)
 
 
-def marked_text(html: Column) -> Column:
-    """Tags gone, blocks on lines of their own, link text between marks."""
-    text = F.regexp_replace(html, DROP_PATTERN, "")
+def marked_text(html: Column, drop: str = DROP_PATTERN) -> Column:
+    """Tags and what ``drop`` matches gone, blocks on lines of their own, link text between marks."""
+    text = F.regexp_replace(html, drop, "")
     text = F.regexp_replace(text, LINK_OPEN_PATTERN, LINK_START)
     text = F.regexp_replace(text, LINK_CLOSE_PATTERN, LINK_END)
     text = F.regexp_replace(text, BLOCK_PATTERN, "\n")

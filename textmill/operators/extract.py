@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textmill.functions.markup import (
+    HIDDEN_PATTERN,
     MARK_PATTERN,
     MAX_LINK_SHARE,
     decode_entities,
@@ -15,13 +16,16 @@ from textmill.functions.markup import (
 )
 
 
+VISIBLE_PATTERN = r"[^\s\p{Z}]"
+
+
 def _nonblank(df: DataFrame, others: list[str], text: Column, out: str) -> DataFrame:
     """``others`` and ``text`` where it has a visible character.
 
     The test sits inside a generator: as a filter it would be pushed below the
     projection and every text would be made twice.
     """
-    kept = F.filter(F.array(text), lambda t: t.rlike(r"[^\s\p{Z}]"))
+    kept = F.filter(F.array(text), lambda t: t.rlike(VISIBLE_PATTERN))
     return df.select(*others, F.explode(kept).alias(out))
 
 
@@ -34,17 +38,22 @@ def html_extract(
     """``df`` with ``html_col`` replaced by its main text; pages without text are dropped.
 
     Comments and page furniture go, tables stay, blocks that are mostly links
-    go. Row-wise string functions only: no shuffle and no Python.
+    go. A page that this leaves without text (all of it in one form, a ``nav`` that
+    is never closed) gives its whole visible text instead. Row-wise string functions
+    only: no shuffle and no Python.
     """
     others = [c for c in df.columns if c != html_col]
+    html = F.col(html_col)
     lines = (
         df.where(F.length(html_col) > 0)
-        .select(*others, marked_text(F.col(html_col)).alias("_t"))
-        .select(*others, folded(decode_entities(F.col("_t"))).alias("_t"))
+        .select(*others, html_col, marked_text(html).alias("_t"))
+        .select(*others, html_col, folded(decode_entities(F.col("_t"))).alias("_t"))
     )
     blocks = F.filter(F.split("_t", "\n"), lambda b: is_prose(b, max_link_share))
-    text = F.regexp_replace(F.array_join(blocks, "\n"), MARK_PATTERN, "")
-    return _nonblank(lines, others, folded(text), out)
+    text = folded(F.regexp_replace(F.array_join(blocks, "\n"), MARK_PATTERN, ""))
+    whole = folded(F.regexp_replace(decode_entities(marked_text(html, HIDDEN_PATTERN)), MARK_PATTERN, ""))
+    either = F.transform(F.array(text), lambda t: F.when(t.rlike(VISIBLE_PATTERN), t).otherwise(whole))
+    return _nonblank(lines, others, F.get(either, F.lit(0)), out)
 
 
 def repeated_blocks(df: DataFrame, host_col: str, text_col: str, min_pages: int) -> DataFrame:

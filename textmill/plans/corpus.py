@@ -39,12 +39,16 @@ class Corpus:
     tokens_exact: DataFrame
 
     def funnel(self) -> DataFrame:
+        """Counts of steps 2 to 6 with both tails, each starting from step 4."""
         return stage_funnel(
             [
-                ("domain_filter", self.filtered),
-                ("html_extract", self.extracted),
-                ("lang_filter", self.english),
-                ("exact_dedup", self.exact_unique),
+                ("2_domain_filter", None, self.filtered),
+                ("3_html_extract", "2_domain_filter", self.extracted),
+                ("4_lang_filter", "3_html_extract", self.english),
+                ("5a_near_dedup", "4_lang_filter", self.near_unique),
+                ("5b_exact_dedup", "4_lang_filter", self.exact_unique),
+                ("6a_tokenize", "5a_near_dedup", self.tokens_near),
+                ("6b_tokenize", "5b_exact_dedup", self.tokens_exact),
             ]
         )
 
@@ -55,7 +59,7 @@ class Corpus:
 def extract_english(pages: DataFrame, blacklist: DataFrame, model: LanguageModel, cfg: CorpusConfig = CorpusConfig()):
     """Steps 2 to 4; returns the three tables."""
     columns = ["warc_id", "url", "date", "html_content"]
-    filtered = check_step(domain_filter(pages.select(*columns), blacklist).select(*columns), 2)
+    filtered = cut(check_step(domain_filter(pages.select(*columns), blacklist).select(*columns), 2), "filtered")
     extracted = cut(check_step(html_extract(filtered), 3), "extracted")
     english = lang_filter(extracted, "warc_id", "extracted_text", model, cfg.lang, cfg.threshold)
     english = cut(english.select("warc_id", "url", "date", "extracted_text"), "english")

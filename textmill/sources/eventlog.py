@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textmill.session import cut
+
 # The fields of the event log that the metrics need.
 EVENT_SCHEMA = """
   `Event` string,
   `App ID` string,
   `Timestamp` bigint,
   `Executor ID` string,
+  `Task Info` struct<`Executor ID`: string>,
   `Task Metrics` struct<
     `Executor Run Time`: bigint, `JVM GC Time`: bigint,
     `Memory Bytes Spilled`: bigint, `Disk Bytes Spilled`: bigint,
@@ -42,7 +45,7 @@ def list_logs(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select(F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("modified"))
     )
     in_folder = F.regexp_extract("file", APP_PATTERN + r"/[^/]+$", 1) != ""
     listing = F.when(in_folder, F.regexp_replace("file", r"/[^/]+$", "")).otherwise(F.col("file"))
@@ -59,15 +62,17 @@ def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) ->
     """Events with their ``app``; malformed lines are skipped.
 
     With ``latest_only`` an application listed several times counts with its
-    newest log, chosen from the file listing before anything is read.
+    newest log: the file listing, made without reading content, is joined on the
+    file's path, so no list of names passes through the driver.
     """
-    source: str | list[str] = path
-    if latest_only:
-        source = [r["file"] for r in latest_logs(list_logs(spark, path)).select("file").toLocalIterator()]
     lines = (
-        spark.read.option("recursiveFileLookup", "true").option("mode", "DROPMALFORMED").schema(EVENT_SCHEMA).json(source)
+        spark.read.option("recursiveFileLookup", "true").option("mode", "DROPMALFORMED").schema(EVENT_SCHEMA).json(path)
     )
-    return lines.select("*", app_of(F.col("_metadata.file_path")).alias("app"))
+    events = lines.select("*", F.col("_metadata.file_path").alias("file"))
+    if latest_only:
+        newest = cut(latest_logs(list_logs(spark, path)).select("file"), "newest")
+        events = events.join(newest, "file", "left_semi")
+    return events.withColumn("app", app_of(F.col("file"))).drop("file")
 
 
 def _of(event: str, value: Column) -> Column:
@@ -91,7 +96,8 @@ def eventlog_metrics(events: DataFrame, apps: DataFrame | None = None) -> DataFr
         F.col("Event") == "SparkListenerStageExecutorMetrics", F.col("Executor Metrics.JVMHeapMemory")
     )
     # Per executor first: many small groups, so even one application's events spread.
-    per_executor = events.groupBy("app", "Executor ID").agg(
+    executor = F.coalesce(F.col("Executor ID"), F.col("Task Info.Executor ID")).alias("executor")
+    per_executor = events.groupBy("app", executor).agg(
         F.max(_of("SparkListenerApplicationStart", F.col("Timestamp"))).alias("started"),
         F.max(_of("SparkListenerApplicationEnd", F.col("Timestamp"))).alias("ended"),
         _total(task["Executor Run Time"]).alias("run"),
