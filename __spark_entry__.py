@@ -101,14 +101,30 @@ def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
 
 
 def warc_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives of every page as UTF-8 and as latin-1, with requests and images that the filters must drop."""
     path = scratch_path(spark, "archives")
+    html = F.col("html")
+    latin = F.encode(F.concat(F.regexp_replace(html, r"[^\x00-\xff]", "?"), F.lit("é")), "ISO-8859-1").cast("string")
+    kinds = [
+        ("page", "response", "text/html; charset=utf-8", html),
+        ("latin", "response", "Text/HTML", latin),
+        ("request", "request", "text/html", html),
+        ("image", "response", "image/gif", html),
+    ]
+    variants = F.array(
+        *[
+            F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind"), F.lit(m).alias("media"), body.alias("body"))
+            for n, k, m, body in kinds
+        ]
+    )
     pages = _table(spark, sf, "pages").select(
-        F.concat(F.lit("<urn:page:"), F.col("page_id"), F.lit(">")).alias("id"),
-        "url",
-        _day(duck_sql.PAGE_DAY).alias("date"),
-        "html",
+        "page_id", "url", _day(duck_sql.PAGE_DAY).alias("date"), F.explode(variants).alias("v")
+    ).select(
+        F.concat(F.lit("<urn:"), "v.name", F.lit(":"), "page_id", F.lit(">")).alias("id"),
+        "url", "date", "v.kind", "v.media", "v.body",
     )
-    warc.archive_lines(pages, "id", "url", "date", "html").write.option("lineSep", warc.EMPTY_LINE).text(path)
+    lines = warc.archive_lines(pages, "id", "url", "date", "body", F.col("kind"), F.col("media"))
+    lines.write.option("lineSep", warc.EMPTY_LINE).text(path)
     records = warc.warc_ingest(spark, path, glob="*.txt")
     return records.select(
         "warc_id",

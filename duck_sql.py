@@ -405,8 +405,11 @@ def statements() -> dict[str, str]:
     app_task = {k: f"({v})" for k, v in TASK_METRICS.items()}
     return {
         "warc_ingest": f"""
-SELECT '<urn:page:' || page_id || '>' AS warc_id, url, strftime(DATE '2020-01-01' + {PAGE_DAY}, '%Y-%m-%d') AS date,
-  md5(html) AS html_md5, strlen(html) AS html_bytes FROM pages""",
+SELECT '<urn:' || name || ':' || page_id || '>' AS warc_id, url,
+  strftime(DATE '2020-01-01' + {PAGE_DAY}, '%Y-%m-%d') AS date, md5(html) AS html_md5, strlen(html) AS html_bytes
+FROM (
+  SELECT 'page' AS name, * FROM pages UNION ALL
+  SELECT 'latin', * REPLACE (regexp_replace(html, '[^\\x{{00}}-\\x{{ff}}]', '?', 'g') || 'é' AS html) FROM pages)""",
         "parquet_roundtrip": f"""
 SELECT page_id, url, strftime(DATE '2020-01-01' + {PAGE_DAY}, '%Y-%m-%d') AS date,
   md5(html) AS html_md5 FROM pages""",

@@ -106,6 +106,7 @@ CASES = {
     "liar": (b"\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: 99999999\r\n\r\nevil", None, None),
     "gzip": (gzip.compress(b"zipped"), coded(b"Content-Encoding: gzip"), "zipped"),
     "chunks": (b"4\r\nabcd\r\n2\r\nef\r\n0\r\n\r\n", coded(b"Transfer-Encoding: chunked"), "abcdef"),
+    "lines": (b"lf\n\nbody", b"HTTP/1.1 200 OK\nContent-Type: text/html\n\n", "lf\n\nbody"),
     "broken": (b"not gzip", coded(b"Content-Encoding: gzip"), "not gzip"),
 }
 
@@ -132,6 +133,22 @@ def test_archives(spark, tmp_path):
     assert dict(rows(written)) == expected
 
 
+def test_damaged_archives(spark, tmp_path):
+    """A false length takes nothing with it; a missing header is null; archives of one name do not replace each other."""
+    (tmp_path / "in" / "x").mkdir(parents=True)
+    (tmp_path / "in" / "y").mkdir()
+    false = record("response", "false", b"short").replace(b"Content-Length: ", b"Content-Length: 9000")
+    nameless = record("response", "n", b"nameless").replace(b"WARC-Record-ID: <urn:n>\r\n", b"")
+    torn = record("response", "torn", b"a" + b"\r\n\r\nWARC/1.0\r\n" + b"b")
+    (tmp_path / "in" / "x" / "same.warc").write_bytes(false + nameless + record("response", "after", b"after") + torn)
+    (tmp_path / "in" / "y" / "same.warc").write_bytes(record("response", "twin", b"twin"))
+    got = {r["warc_id"]: r["html_content"] for r in warc_ingest(spark, str(tmp_path / "in")).collect()}
+    assert got == {
+        "<urn:false>": "short", None: "nameless", "<urn:after>": "after", "<urn:torn>": "a\r\n\r\nWARC/1.0\r\nb",
+        "<urn:twin>": "twin",
+    }
+
+
 def test_archive_in_many_splits(spark, tmp_path):
     pages = spark.range(400).select(
         F.concat(F.lit("<urn:"), "id", F.lit(">")).alias("i"),

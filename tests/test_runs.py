@@ -134,6 +134,16 @@ def test_read_dedup_status(spark, table, tmp_path):
     assert R.read_runs(spark, str(tmp_path / "t")).count() == 5
 
 
+def test_empty_type_and_bad_cells(spark, tmp_path):
+    good = ["", *[str(v) for v in RUNS[0][1:]]]
+    bad = [str(v) for v in RUNS[0]]
+    bad[R.RUN_COLUMNS.index("Execs")] = "two"
+    (tmp_path / "r.csv").write_text("\n".join(",".join(r) for r in (R.RUN_COLUMNS, good, bad)))
+    got = R.read_runs(spark, str(tmp_path))
+    assert {(r["Type"], r["Execs"]) for r in got.collect()} == {(None, 2), ("Strong", None)}
+    assert rows(R.unread_cells(spark, str(tmp_path))) == [("Execs", "two", 1)]
+
+
 def test_enrich(spark, table):
     done = R.run_enrich(table, R.data_sizes(spark))
     row = done.where("AppID = 'a1'").first()

@@ -44,15 +44,33 @@ def _type_of(column: str) -> T.DataType:
 RUN_SCHEMA = T.StructType([T.StructField(c, _type_of(c), True) for c in RUN_COLUMNS])
 
 
+def _raw_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """All cells as text, without header lines."""
+    raw = T.StructType([T.StructField(c, T.StringType(), True) for c in RUN_COLUMNS])
+    rows = spark.read.schema(raw).option("header", False).csv(path)
+    return rows.where("Type IS NULL OR lower(Type) <> 'type'")
+
+
 def read_runs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Run tables as CSV, with or without a header line and whatever the header's letter case.
 
     The declared schema goes by position, and a header line is the row whose
-    first field is the first column's name.
+    first field is the first column's name. An empty cell is null, and so is one that
+    does not fit its type: ``unread_cells`` lists those.
     """
-    raw = T.StructType([T.StructField(c, T.StringType(), True) for c in RUN_COLUMNS])
-    rows = spark.read.schema(raw).option("header", False).csv(path).where("lower(Type) <> 'type'")
-    return rows.select(*[F.col(c).try_cast(_type_of(c)).alias(c) for c in RUN_COLUMNS])
+    return _raw_runs(spark, path).select(*[F.col(c).try_cast(_type_of(c)).alias(c) for c in RUN_COLUMNS])
+
+
+def unread_cells(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """``(column, value, rows)`` of the cells that ``read_runs`` gives as null because they do not fit."""
+    cells = F.array(
+        *[
+            F.when(F.col(c).try_cast(_type_of(c)).isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("value")))
+            for c in RUN_COLUMNS
+        ]
+    )
+    found = _raw_runs(spark, path).select(F.explode(cells).alias("cell")).where("cell.value IS NOT NULL")
+    return found.groupBy("cell.column", "cell.value").agg(F.count("*").alias("rows"))
 
 
 def append_runs(runs: DataFrame, path: str) -> None:

@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.schemas import CRAWL_RECORD, check_schema
-from textmill.session import cut
+from textmill.session import cut, scratch_path
 
 # Fixed values of the archive format.
 VERSION_LINE = "WARC/1.0"
 CRLF = "\r\n"
 EMPTY_LINE = CRLF * 2
+# Bytes of blank lines that may follow a record's declared end.
+SLACK = 2 * len(EMPTY_LINE)
 
 
 def _separator(version: str) -> str:
@@ -28,7 +30,9 @@ def _separator(version: str) -> str:
 
 
 def _header(head: Column, name: str) -> Column:
-    return F.regexp_extract(head, rf"(?im)^{name}:[ \t]*([^\r\n]*?)[ \t]*\r?$", 1)
+    """The value of a header, null where it is missing or empty."""
+    value = F.btrim(F.regexp_extract(head, rf"(?im)^{name}:([^\r\n]*)", 1), F.lit(" \t"))
+    return F.nullif(value, F.lit(""))
 
 
 def _head(raw: Column) -> Column:
@@ -36,12 +40,24 @@ def _head(raw: Column) -> Column:
     return F.substring_index(raw.cast("string"), EMPTY_LINE, 1)
 
 
-def _after(raw: Column, head: Column) -> Column:
-    """The bytes after a head and its empty line."""
-    start = F.octet_length(head) + len(EMPTY_LINE) + 1
+def _after(raw: Column, head: Column, gap: Column | int = len(EMPTY_LINE)) -> Column:
+    """The bytes after a head and the ``gap`` that ends it."""
+    start = F.octet_length(head) + gap + 1
     return F.substr(raw, start, F.greatest(F.octet_length(raw) - start + 1, F.lit(0)))
 
 
+def _http_head(raw: Column) -> tuple[Column, Column]:
+    """An HTTP head, its lines ended by CRLF or by LF alone, and the bytes between it and the body."""
+    text = raw.cast("string")
+    crlf, lf = F.substring_index(text, "\n" + CRLF, 1), F.substring_index(text, "\n\n", 1)
+    first = F.octet_length(crlf) <= F.octet_length(lf)
+    return F.when(first, crlf).otherwise(lf), F.when(first, 1 + len(CRLF)).otherwise(2)
+
+
+def _file_name(file: Column) -> Column:
+    return F.element_at(F.split(file, "/"), -1)
+
+
 def read_fragments(spark: SparkSession, path: str | list[str], glob: str = "*.warc", version: str = VERSION_LINE) -> DataFrame:
     """Separated byte ranges with their archive header, in file order by ``(block, seq)``."""
     raw = (
@@ -64,7 +80,7 @@ def _with_head(raw: DataFrame) -> DataFrame:
     headed = raw.withColumn("head", _head(F.col("raw")))
     declared = _header(F.col("head"), "Content-Length").try_cast("bigint")
     present = F.octet_length("raw") - F.octet_length("head") - len(EMPTY_LINE)
-    is_head = _header(F.col("head"), "WARC-Type") != ""
+    is_head = _header(F.col("head"), "WARC-Type").isNotNull()
     return headed.withColumn("declared", F.when(is_head, declared)).withColumn(
         "torn", F.coalesce(present < F.col("declared"), F.lit(False))
     )
@@ -92,8 +108,11 @@ def sew(fragments: DataFrame, separator_length: int, version: str) -> DataFrame:
     """Fragments with every torn record made whole from the ones that follow it.
 
     Byte offsets come from a running sum inside each block plus the total of the
-    blocks before it, so no task sees a whole archive. Only the torn records of
-    a file, which are rare, are put in order together.
+    blocks before it, so no task sees a whole archive; only offsets, never payloads,
+    are put in order per file. A declared length counts only where it ends at the end
+    of a fragment (``SLACK`` bytes of blank lines aside). A record that declares any
+    other length, in a damaged archive, stays the one fragment that it is, so a false
+    length never gathers the archive behind it.
     """
     sized = fragments.withColumn("size", F.octet_length("raw") + separator_length)
     blocks = sized.groupBy("file", "block").agg(F.sum("size").alias("bytes"))
@@ -107,18 +126,25 @@ def sew(fragments: DataFrame, separator_length: int, version: str) -> DataFrame:
         ),
         "placed",
     )
-    spans = placed.where("torn").select(
+    claims = placed.where("torn").select(
         "file", "start", (F.col("start") + F.col("head_size") + len(EMPTY_LINE) + F.col("declared")).alias("stop")
     )
-    outer = cut(
-        spans.groupBy("file").applyInPandas(_outermost(), spans.schema).select(
-            "file", F.col("start").alias("record"), "stop"
-        ),
-        "torn",
+    ends = placed.select("file", (F.col("start") + F.col("size") - separator_length).alias("end"))
+    spans = (
+        claims.withColumn("end", F.explode(F.sequence(F.col("stop"), F.col("stop") + SLACK)))
+        .join(ends, ["file", "end"], "left_semi")
+        .select("file", "start", "stop")
+        .distinct()
     )
+    outer = cut(spans.groupBy("file").applyInPandas(_outermost(), spans.schema), "torn")
+    # The last torn record that opened before a fragment, if it reaches that far.
+    so_far = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    marks = outer.select("file", "start", "stop", F.col("start").alias("record"))
     pieces = cut(
-        placed.join(outer, "file")
-        .where("start >= record AND start < stop")
+        placed.select("file", "block", "seq", "start")
+        .join(marks, ["file", "start"], "left")
+        .withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in ("record", "stop")})
+        .where("start < stop")
         .select("file", "block", "seq", "start", "record"),
         "pieces",
     )
@@ -191,14 +217,15 @@ def parse_records(fragments: DataFrame) -> DataFrame:
         _header(F.col("head"), "WARC-Date").alias("date"),
         F.substr(_after(F.col("raw"), F.col("head")), F.lit(1), F.col("declared").cast("int")).alias("http"),
     )
-    split = http.withColumn("http_head", _head(F.col("http")))
+    http_head, gap = _http_head(F.col("http"))
+    split = http.withColumns({"http_head": http_head, "gap": gap})
     html = split.where(F.lower(_header(F.col("http_head"), "Content-Type")).contains("html"))
     coding = F.lower(
         F.concat_ws(" ", _header(F.col("http_head"), "Transfer-Encoding"), _header(F.col("http_head"), "Content-Encoding"))
     )
     coded = F.col("coding").rlike("chunked|gzip|deflate")
     bodies = html.select(
-        "file", "warc_id", "url", "date", _after(F.col("http"), F.col("http_head")).alias("body"), coding.alias("coding")
+        "file", "warc_id", "url", "date", _after(F.col("http"), F.col("http_head"), F.col("gap")).alias("body"), coding.alias("coding")
     )
     # Only coded bodies are handed to Python; the rest pass as nulls.
     decoded = bodies.withColumn("undone", undo_transfer(F.when(coded, F.col("body")), F.col("coding")))
@@ -208,43 +235,38 @@ def parse_records(fragments: DataFrame) -> DataFrame:
         "url",
         "date",
         decode_payload(payload).alias("html_content"),
-        F.element_at(F.split("file", "/"), -1).alias("warc_filename"),
+        _file_name(F.col("file")).alias("warc_filename"),
     )
 
 
 def warc_ingest(spark: SparkSession, path: str, glob: str = "*.warc", version: str = VERSION_LINE) -> DataFrame:
-    """Crawl records of all archives under ``path``.
+    """Crawl records of all archives under ``path``, written to the shared folder once and read from there."""
+    out = scratch_path(spark, "records")
+    _ingest(spark, path, out, glob, version)
+    return check_schema(spark.read.schema(CRAWL_RECORD).parquet(out), CRAWL_RECORD)
 
-    One extra scan looks for torn records; only the archives that hold one go
-    through ``sew``.
-    """
-    fragments = read_fragments(spark, path, glob, version)
-    torn = [r["file"] for r in fragments.where("torn").select("file").distinct().toLocalIterator()]
-    if torn:
-        fragments = _sewn(spark, fragments, torn, glob, version)
-    return check_schema(parse_records(fragments), CRAWL_RECORD)
 
-
-def _sewn(spark: SparkSession, fragments: DataFrame, torn: list[str], glob: str, version: str) -> DataFrame:
-    whole = fragments.where(~F.col("file").isin(torn))
-    return whole.unionByName(sew(read_fragments(spark, torn, glob, version), len(_separator(version)), version))
+def warc_to_parquet(spark: SparkSession, path: str, out: str, glob: str = "*.warc", version: str = VERSION_LINE) -> int:
+    """Write the crawl records under ``path`` as zstd Parquet partitioned by archive; returns the rows."""
+    _ingest(spark, path, out, glob, version)
+    return spark.read.schema(CRAWL_RECORD).parquet(out).count()
 
 
-def warc_to_parquet(spark: SparkSession, path: str, out: str, glob: str = "*.warc", version: str = VERSION_LINE) -> int:
-    """Write the crawl records under ``path`` as zstd Parquet partitioned by archive; returns the rows.
+def _ingest(spark: SparkSession, path: str, out: str, glob: str, version: str) -> None:
+    """One scan in the usual case: torn records are counted while the table is written.
 
-    One scan in the usual case: torn records are counted while the table is
-    written, and only their archives are read again and replaced.
+    Only archives that hold one are read again, and their partitions replaced.
+    Partitions go by file name, so all archives of a name are read again together.
     """
     fragments = read_fragments(spark, path, glob, version)
     seen = Observation("fragments")
     watched = fragments.observe(seen, F.count_if("torn").alias("torn"))
     _write(parse_records(watched), out, "overwrite")
     if seen.get["torn"]:
-        torn = [r["file"] for r in fragments.where("torn").select("file").distinct().toLocalIterator()]
-        mended = sew(read_fragments(spark, torn, glob, version), len(_separator(version)), version)
-        _write(parse_records(mended), out, "overwrite", dynamic=True)
-    return spark.read.schema(CRAWL_RECORD).parquet(out).count()
+        named = fragments.withColumn("name", _file_name(F.col("file")))
+        torn = cut(named.where("torn").select("name").distinct(), "torn_files")
+        again = named.join(torn, "name", "left_semi").drop("name")
+        _write(parse_records(sew(again, len(_separator(version)), version)), out, "overwrite", dynamic=True)
 
 
 def _write(records: DataFrame, out: str, mode: str, dynamic: bool = False) -> None:
@@ -258,12 +280,22 @@ def _write(records: DataFrame, out: str, mode: str, dynamic: bool = False) -> No
     )
 
 
-def archive_lines(df: DataFrame, id_col: str, url_col: str, date_col: str, html_col: str) -> DataFrame:
-    """One ``response`` record per page as a ``value`` string; write as text with ``EMPTY_LINE`` as ``lineSep``."""
-    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"), F.col(html_col))
+def archive_lines(
+    df: DataFrame, id_col: str, url_col: str, date_col: str, html_col: str,
+    kind: Column | None = None, media: Column | None = None,
+) -> DataFrame:
+    """One record per page as a ``value`` string; write as text with ``EMPTY_LINE`` as ``lineSep``.
+
+    ``kind`` is the record type (``response``), ``media`` the content type (UTF-8 HTML).
+    """
+    kind = F.lit("response") if kind is None else kind
+    media = F.lit("text/html; charset=utf-8") if media is None else media
+    body = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: "), media, F.lit(EMPTY_LINE), F.col(html_col))
     return df.select(
         F.concat(
-            F.lit(VERSION_LINE + CRLF + "WARC-Type: response\r\nWARC-Record-ID: "),
+            F.lit(VERSION_LINE + CRLF + "WARC-Type: "),
+            kind,
+            F.lit("\r\nWARC-Record-ID: "),
             F.col(id_col),
             F.lit("\r\nWARC-Target-URI: "),
             F.col(url_col),
