@@ -275,7 +275,7 @@ def lang_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return language.lang_filter(_documents(spark, sf), "doc_id", "text", _model(spark, sf)).select("doc_id", "source")
+    return language.lang_filter(_documents(spark, sf), "text", _model(spark, sf)).select("doc_id", "source")
 
 
 # --- duplicates ----------------------------------------------------------------------------------

@@ -222,7 +222,8 @@ counts AS (
   SELECT lang, (h % {lang.BUCKETS})::INT AS bucket, count(*) AS n FROM tri JOIN train USING (doc_id) GROUP BY ALL),
 totals AS (SELECT lang, sum(n)::BIGINT AS total FROM counts GROUP BY lang),
 profile AS (
-  SELECT lang, bucket, n, total, round(ln((n + 1) / (total + {lang.BUCKETS})) * {lang.MICRO})::BIGINT AS logp
+  SELECT lang, bucket, n, total, round(ln((n + 1) / (total + {lang.BUCKETS})) * {lang.MICRO})::BIGINT AS logp,
+    {lang.BUCKETS} AS buckets
   FROM counts JOIN totals USING (lang)),
 floors AS (
   SELECT lang, round(ln(1 / (total + {lang.BUCKETS})) * {lang.MICRO})::BIGINT AS floor FROM totals)"""
@@ -443,7 +444,7 @@ SELECT page_id, kept AS text FROM (
     array_to_string(list_filter(ls, lambda x: NOT list_contains(bad, x)), chr(10)) END AS kept
   FROM lines LEFT JOIN hits USING (host))
 WHERE regexp_matches(kept, '[^\\s\\p{{Z}}]')""",
-        "lang_profile": f"WITH {PROFILE} SELECT lang, bucket, n, total, logp FROM profile",
+        "lang_profile": f"WITH {PROFILE} SELECT lang, bucket, n, total, logp, buckets FROM profile",
         "lang_score": f"WITH {PROFILE}, {_scores('documents', 'doc_id', 'text')} SELECT doc_id, lang, prob FROM scores",
         "lang_filter": f"""
 WITH {PROFILE}, {_scores('documents', 'doc_id', 'text')}

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from textmill.session import build_session  # noqa: E402
+from textmill.session import build_session, release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +21,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

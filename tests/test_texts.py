@@ -46,10 +46,10 @@ def test_language(spark, model):
     assert top[1] == "en" and top[2] == "fr" and set(top) == {1, 2, 7}
     scores = {(r["id"], r["lang"]): r["prob"] for r in lang_score(df, "id", "text", model).collect()}
     assert all(abs(scores[i, "en"] + scores[i, "fr"] - 1) < 1e-5 for i in top)
-    assert [r[0] for r in rows(lang_filter(df, "id", "text", model).select("id"))][0] == 1
+    assert [r[0] for r in rows(lang_filter(df, "text", model).select("id"))][0] == 1
     at = scores[1, "en"]
-    assert lang_filter(df.where("id = 1"), "id", "text", model, threshold=at).count() == 1
-    assert lang_filter(df.where("id = 1"), "id", "text", model, threshold=at + 1e-6).count() == 0
+    assert lang_filter(df.where("id = 1"), "text", model, threshold=at).count() == 1
+    assert lang_filter(df.where("id = 1"), "text", model, threshold=at + 1e-6).count() == 0
 
 
 def test_own_model(spark):
@@ -131,10 +131,24 @@ def test_language_filter_judges_rows_by_their_text(spark):
     labelled = spark.createDataFrame([(english, "en"), (german, "de")], "text STRING, lang STRING")
     model = lang_model(lang_profile(labelled, "text"))
     rows = [(1, english), (1, german), (None, english), (None, german), (2, None), (3, english)]
-    kept = lang_filter(spark.createDataFrame(rows, "id INT, text STRING"), "id", "text", model).collect()
+    kept = lang_filter(spark.createDataFrame(rows, "id INT, text STRING"), "text", model).collect()
     assert sorted((r["id"] or 0, r["text"]) for r in kept) == [(0, english), (1, english), (3, english)]
 
 
+def test_language_models_of_any_size_score_alike(spark):
+    """Arrays over Arrow batches and the join for large models; a text longer than a chunk, copies, null and empty."""
+    labelled = [(ENGLISH, "en"), (FRENCH, "fr"), ("Привет, мир и все остальные", "ru"), (None, "en"), ("", "xx")]
+    profile = lang_profile(spark.createDataFrame(labelled, "text STRING, lang STRING"), "text")
+    texts = [ENGLISH * 2000, FRENCH, FRENCH, "мир", "😀é", "ab", "", None, "zzz qqq"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
+    packed, joined = lang_model(profile), lang_model(profile, limit=0)
+    assert packed.packed is not None and joined.packed is None and packed.langs == ["en", "fr", "ru"]
+    got = rows(lang_score(df, "id", "text", packed))
+    assert got == rows(lang_score(df, "id", "text", joined))
+    assert {r[0] for r in got} == {0, 1, 2, 3, 8}
+    assert rows(lang_filter(df, "text", packed)) == rows(lang_filter(df, "text", joined))
+
+
 def test_blank_runs_take_linear_time(spark):
     text = "a" + " " * 1_000_000 + "b"
     df = spark.createDataFrame([(text,)], "text STRING")

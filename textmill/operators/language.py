@@ -1,30 +1,39 @@
 """Language identification from character trigrams.
 
-Trigrams fall into a fixed number of buckets, so a profile holds at most
-``BUCKETS`` rows per language however large its training text is. Scores are
-sums of integer micro-logarithms: exact, whatever the order of the rows.
+Trigrams fall into ``buckets``, a parameter that the profile records, so a profile
+holds at most that many rows per language however large its training text is.
+Scores are sums of integer micro-logarithms: exact, whatever the order of the rows.
+
+Training and scoring go over Arrow batches with numpy: a row is judged by its own
+text, without an id and without a shuffle. A model beyond ``BROADCAST_LIMIT`` is
+joined on its buckets instead, with the same results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textmill.functions.grams import explode_grams
+from textmill.functions.grams import MERSENNE31, explode_grams, gram_multipliers
 from textmill.session import cut
 
 # Fixed values of the profile.
 GRAM = 3
-BUCKETS = 65536
+BUCKETS = 1 << 20
 MICRO = 1_000_000
 # Sharpness of the probabilities: mean log-probabilities per trigram are multiplied by it.
 SCALE = 2.0
 LANG = "en"
 THRESHOLD = 0.6
-MAX_LANGUAGES = 1000
 BROADCAST_LIMIT = 64 * 2**20
+# Code points that numpy handles at a time.
+CHUNK = 1 << 16
 
 
 def single_line(text: Column) -> Column:
@@ -32,128 +41,194 @@ def single_line(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"[\r\n]", " "), r"^[\s\p{Z}]+|(?<![\s\p{Z}])[\s\p{Z}]++$", "")
 
 
-def _buckets(df: DataFrame, keep: list[str], text_col: str) -> DataFrame:
-    lines = df.select(*keep, single_line(F.col(text_col)).alias("_line"))
-    return explode_grams(lines, keep, F.col("_line"), GRAM).select(
-        *keep, (F.col("h") % BUCKETS).cast("int").alias("bucket")
-    )
+def _line(text_col: str) -> Column:
+    """What trigrams are taken of."""
+    return F.lower(single_line(F.col(text_col)))
+
+
+def _bucketer(buckets: int) -> Callable[[str | None], Iterator[np.ndarray]]:
+    """A function from a text to the buckets of its trigrams, chunk by chunk.
+
+    The helper is built here, so it travels to the executors by value.
+    """
+    factors, gram, chunk, modulus = gram_multipliers(GRAM), GRAM, CHUNK, MERSENNE31
 
+    def chunks(text: str | None) -> Iterator[np.ndarray]:
+        points = np.frombuffer((text or "").encode("utf-32-le"), np.uint32)
+        for at in range(0, len(points) - gram + 1, chunk):
+            part = points[at : at + chunk + gram - 1].astype(np.int64)
+            size = len(part) - gram + 1
+            yield sum(part[k : k + size] * m for k, m in enumerate(factors)) % modulus % buckets
 
-def lang_profile(df: DataFrame, text_col: str, lang_col: str = "lang") -> DataFrame:
-    """``(lang, bucket, n, total, logp)`` with add-one smoothing, ``logp`` in micro-units."""
-    labelled = df.where(F.col(lang_col).isNotNull()).withColumnRenamed(lang_col, "_lang")
-    counts = (
-        _buckets(labelled, ["_lang"], text_col).groupBy("_lang", "bucket").agg(F.count("*").alias("n"))
+    return chunks
+
+
+def lang_profile(df: DataFrame, text_col: str, lang_col: str = "lang", buckets: int = BUCKETS) -> DataFrame:
+    """``(lang, bucket, n, total, logp, buckets)`` with add-one smoothing, ``logp`` in micro-units.
+
+    Trigrams are counted inside every Arrow batch before anything is shuffled.
+    """
+    chunks = _bucketer(buckets)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, texts in batch.groupby("lang")["line"]:
+                found = [part for text in texts for part in chunks(text)]
+                if found:
+                    bucket, n = np.unique(np.concatenate(found), return_counts=True)
+                    yield pd.DataFrame({"lang": lang, "bucket": bucket.astype(np.int32), "n": n.astype(np.int64)})
+
+    labelled = df.where(F.col(lang_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), _line(text_col).alias("line")
     )
-    # A language's window holds at most BUCKETS rows.
-    total = F.sum("n").over(Window.partitionBy("_lang"))
-    return counts.select(F.col("_lang").alias("lang"), "bucket", "n", total.alias("total")).select(
-        "lang", "bucket", "n", "total", _micro_log(F.col("n") + 1, F.col("total")).alias("logp")
+    parts = labelled.mapInPandas(count, "lang string, bucket int, n bigint")
+    counts = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    # A language's window holds at most ``buckets`` rows.
+    total = F.sum("n").over(Window.partitionBy("lang"))
+    return counts.select("lang", "bucket", "n", total.alias("total"), F.lit(buckets).alias("buckets")).select(
+        "lang", "bucket", "n", "total", _micro_log(F.col("n") + 1).alias("logp"), "buckets"
     )
 
 
-def _micro_log(numerator: Column, total: Column) -> Column:
-    return F.round(F.log(numerator / (total + BUCKETS)) * MICRO).cast("bigint")
+def _micro_log(numerator: Column) -> Column:
+    return F.round(F.log(numerator / (F.col("total") + F.col("buckets"))) * MICRO).cast("bigint")
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """The languages of a profile, their floor for unseen trigrams, and gains above it per bucket."""
+    """The languages of a profile, their floor for unseen trigrams, and gains above it.
+
+    ``gains`` is ``(bucket, place, gain)`` with a language's place in ``langs``;
+    ``packed`` has the same as arrays where they fit, and is null for larger models.
+    """
 
     langs: list[str]
     unseen: list[int]
+    buckets: int
     gains: DataFrame
-
-    @property
-    def bounded_bytes(self) -> int:
-        return BUCKETS * (8 * len(self.langs) + 16)
+    packed: Broadcast | None
 
 
-def lang_model(profile: DataFrame) -> LanguageModel:
-    """Pivot a profile to one row per bucket. Only the list of languages reaches the driver.
+def lang_model(profile: DataFrame, limit: int = BROADCAST_LIMIT) -> LanguageModel:
+    """The model of a profile, which is written once, so scoring does not train it again.
 
-    The profile is written once, so scoring does not train it again.
+    The driver sees the languages, and the gains only when their arrays take at most
+    ``limit`` bytes.
     """
     profile = cut(profile, "profile")
-    rows = (
-        profile.groupBy("lang")
-        .agg(_micro_log(F.lit(1), F.max("total")).alias("floor"))
-        .orderBy("lang")
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
+    one = F.lit(1).alias("one")
+    per_lang = profile.groupBy("lang", "total", "buckets").agg(F.count("*").alias("rows")).select(
+        "lang", _micro_log(F.lit(1)).alias("floor"), "buckets", "rows", one
     )
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the profile")
-    langs = [r["lang"] for r in rows]
-    unseen = [r["floor"] for r in rows]
-    gains = profile.groupBy("bucket").agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("lang") == lang, F.col("logp") - F.lit(floor))), F.lit(0).cast("bigint")).alias(f"g{i}")
-            for i, (lang, floor) in enumerate(zip(langs, unseen))
-        ]
+    place = F.row_number().over(Window.partitionBy("one").orderBy("lang")) - 1
+    langs = cut(per_lang.withColumn("place", place), "languages")
+    gains = cut(
+        profile.join(langs.select("lang", "floor", "place"), "lang").select(
+            "bucket", "place", (F.col("logp") - F.col("floor")).alias("gain")
+        ),
+        "gains",
     )
-    return LanguageModel(langs, unseen, gains)
-
-
-def _scored(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
-    """``(id, scores)`` with an array of ``(lang, prob)``; texts without a trigram give no row."""
-    gains = F.broadcast(model.gains) if model.bounded_bytes <= BROADCAST_LIMIT else model.gains
-    grams = _buckets(df, [id_col], text_col).join(gains, "bucket", "left")
-    sums = grams.groupBy(id_col).agg(
-        F.count("*").alias("n"),
-        *[F.coalesce(F.sum(f"g{i}"), F.lit(0)).alias(f"g{i}") for i in range(len(model.langs))],
+    rows = langs.orderBy("place").collect()
+    buckets = rows[0]["buckets"] if rows else BUCKETS
+    most = min(buckets, sum(r["rows"] for r in rows))
+    packed = None
+    if 4 * (buckets + (most + 1) * len(rows)) <= limit:
+        packed = profile.sparkSession.sparkContext.broadcast(_packed(gains.toPandas(), buckets, len(rows)))
+    return LanguageModel([r["lang"] for r in rows], [r["floor"] for r in rows], buckets, gains, packed)
+
+
+def _packed(gains: pd.DataFrame, buckets: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The row of every bucket, and the gains per row and language; row 0 is of unseen buckets."""
+    keys = np.unique(gains["bucket"].to_numpy(np.int64))
+    index = np.zeros(buckets, np.int32)
+    index[keys] = np.arange(1, len(keys) + 1)
+    table = np.zeros((len(keys) + 1, width), np.int32)
+    table[index[gains["bucket"]], gains["place"]] = gains["gain"]
+    return index, table
+
+
+def _row_sums(df: DataFrame, text_col: str, model: LanguageModel) -> DataFrame:
+    chunks, shared, width = _bucketer(model.buckets), model.packed, len(model.langs)
+
+    def batches(lines: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index, table = shared.value
+        for batch in lines:
+            n, sums = [], []
+            for line in batch:
+                count, total = 0, np.zeros(width, np.int64)
+                for part in chunks(line):
+                    count += len(part)
+                    total += table[index[part]].sum(axis=0, dtype=np.int64)
+                n.append(count)
+                sums.append(total)
+            yield pd.DataFrame({"n": n, "g": sums})
+
+    # Non-deterministic for the planner only, so that a filter on the result does not score every text twice.
+    udf = F.pandas_udf(batches, "n bigint, g array<bigint>").asNondeterministic()
+    return df.withColumn("_sums", udf(_line(text_col)))
+
+
+def _joined_sums(df: DataFrame, text_col: str, model: LanguageModel) -> DataFrame:
+    """The same for a model of any size: different texts, by their digest, meet the gains in a join."""
+    digest = F.sha2(F.col(text_col), 256)
+    texts = df.select(digest.alias("_digest"), F.col(text_col).alias("_text")).groupBy("_digest").agg(F.first("_text").alias("_text"))
+    lines = texts.where("_digest IS NOT NULL").select("_digest", single_line(F.col("_text")).alias("_line"))
+    bucket = (F.col("h") % model.buckets).cast("int").alias("bucket")
+    counts = explode_grams(lines, ["_digest"], F.col("_line"), GRAM).groupBy("_digest", bucket).agg(F.count("*").alias("k"))
+    sizes = counts.groupBy("_digest").agg(F.sum("k").alias("n"))
+    gained = counts.join(model.gains, "bucket").groupBy("_digest", "place").agg(F.sum(F.col("k") * F.col("gain")).alias("g"))
+    maps = gained.groupBy("_digest").agg(F.map_from_entries(F.collect_list(F.struct("place", "g"))).alias("_of"))
+    places = F.array(*[F.lit(i) for i in range(len(model.langs))])
+    g = F.transform(places, lambda i: F.coalesce(F.try_element_at("_of", i), F.lit(0).cast("bigint")))
+    sums = sizes.join(maps, "_digest", "left").select("_digest", F.struct("n", g.alias("g")).alias("_sums"))
+    return df.join(sums, digest == F.col("_digest")).drop("_digest")
+
+
+def _scored(df: DataFrame, text_col: str, model: LanguageModel) -> DataFrame:
+    """``df`` with ``_scores``, an array of ``(lang, prob)``; texts without a trigram give no row."""
+    sums = (_joined_sums if model.packed is None else _row_sums)(df, text_col, model).where("_sums.n > 0")
+    n, g = F.col("_sums.n"), F.col("_sums.g")
+    # The planner may judge a text before the filter on its size.
+    means = F.array(
+        *[F.try_divide(g[i] + n * F.lit(floor).cast("bigint"), n) * (SCALE / MICRO) for i, floor in enumerate(model.unseen)]
     )
-    means = sums.select(
-        id_col,
-        F.array(
-            *[
-                (F.col(f"g{i}") + F.col("n") * F.lit(floor).cast("bigint")) / F.col("n") * (SCALE / MICRO)
-                for i, floor in enumerate(model.unseen)
-            ]
-        ).alias("m"),
+    weights = sums.select(*df.columns, means.alias("_m")).select(
+        *df.columns, F.transform("_m", lambda x: F.exp(x - F.array_max("_m"))).alias("_w")
     )
-    weights = means.select(id_col, F.transform("m", lambda x: F.exp(x - F.array_max("m"))).alias("w"))
-    total = F.aggregate("w", F.lit(0.0), lambda acc, x: acc + x)
-    probs = weights.select(id_col, F.transform("w", lambda x: F.round(x / total, 6)).alias("p"))
-    return probs.select(
-        id_col,
-        F.array(
-            *[F.struct(F.lit(lang).alias("lang"), F.col("p")[i].alias("prob")) for i, lang in enumerate(model.langs)]
-        ).alias("scores"),
+    total = F.aggregate("_w", F.lit(0.0), lambda acc, x: acc + x)
+    probs = weights.select(*df.columns, F.transform("_w", lambda x: F.round(x / total, 6)).alias("_p"))
+    scores = [F.struct(F.lit(lang).alias("lang"), F.col("_p")[i].alias("prob")) for i, lang in enumerate(model.langs)]
+    return probs.select(*df.columns, F.array(*scores).alias("_scores"))
+
+
+def _best() -> Column:
+    """The most probable language, ties to the smallest label."""
+    ranked = F.transform(
+        "_scores", lambda s, i: F.struct(s["prob"].alias("prob"), (-i).alias("rank"), s["lang"].alias("lang"))
     )
+    return F.array_max(ranked)
 
 
 def lang_score(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
     """``(id, lang, prob)`` for every language of the model."""
-    return _scored(df, id_col, text_col, model).select(id_col, F.inline("scores"))
+    return _scored(df.select(id_col, text_col), text_col, model).select(id_col, F.inline("_scores"))
 
 
 def lang_predict(df: DataFrame, id_col: str, text_col: str, model: LanguageModel) -> DataFrame:
     """``(id, lang, prob)`` of the most probable language, ties to the smallest label."""
-    best = F.array_max(
-        F.transform("scores", lambda s, i: F.struct(s["prob"].alias("prob"), (-i).alias("rank"), s["lang"].alias("lang")))
-    )
-    return _scored(df, id_col, text_col, model).select(id_col, best.alias("b")).select(id_col, "b.lang", "b.prob")
+    scored = _scored(df.select(id_col, text_col), text_col, model)
+    return scored.select(id_col, _best().alias("_b")).select(id_col, "_b.lang", "_b.prob")
 
 
 def lang_filter(
-    df: DataFrame,
-    id_col: str,
-    text_col: str,
-    model: LanguageModel,
-    lang: str = LANG,
-    threshold: float = THRESHOLD,
+    df: DataFrame, text_col: str, model: LanguageModel, lang: str = LANG, threshold: float = THRESHOLD
 ) -> DataFrame:
     """Rows whose most probable language is ``lang`` with at least ``threshold``.
 
-    Different texts are scored, by their digest, and every row is judged by its own
-    text: rows with a null id or with equal ids are neither lost nor mixed up.
+    Every row is judged by its own text: there is no id that could be null or equal.
     """
-    digest = F.sha2(F.col(text_col), 256)
-    texts = df.select(digest.alias("_digest"), F.col(text_col).alias("_text")).groupBy("_digest").agg(F.first("_text").alias("_text"))
-    scored = lang_predict(texts.where("_digest IS NOT NULL"), "_digest", "_text", model)
-    passed = scored.where((F.col("lang") == lang) & (F.col("prob") >= threshold)).select("_digest")
-    return df.join(passed, digest == F.col("_digest"), "left_semi")
+    best = _scored(df, text_col, model).withColumn("_b", _best())
+    return best.where((F.col("_b.lang") == lang) & (F.col("_b.prob") >= threshold)).select(*df.columns)
 
 
 def model_filter(

@@ -61,7 +61,7 @@ def extract_english(pages: DataFrame, blacklist: DataFrame, model: LanguageModel
     columns = ["warc_id", "url", "date", "html_content"]
     filtered = cut(check_step(domain_filter(pages.select(*columns), blacklist).select(*columns), 2), "filtered")
     extracted = cut(check_step(html_extract(filtered), 3), "extracted")
-    english = lang_filter(extracted, "warc_id", "extracted_text", model, cfg.lang, cfg.threshold)
+    english = lang_filter(extracted, "extracted_text", model, cfg.lang, cfg.threshold)
     english = cut(english.select("warc_id", "url", "date", "extracted_text"), "english")
     return filtered, extracted, check_step(english, 4)
 

@@ -38,9 +38,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of everything this application writes between its jobs."""
+    return f"{checkpoint_root(spark)}/textmill-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder for a table written between two jobs."""
-    return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path under the run folder for a table written between two jobs."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the run folder at a job's end; tables read from it are gone then."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
