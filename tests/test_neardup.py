@@ -154,3 +154,14 @@ def test_components(spark, shape):
         x, y = root(a), root(b)
         parent[max(x, y)] = min(x, y)
     assert got == {v: root(v) for v in parent if any(v in e and e[0] != e[1] for e in edges)}
+
+
+def test_null_and_equal_ids_stay(spark):
+    text = " ".join(f"word{i}" for i in range(40))
+    made = [(1, text), (2, text + " more"), (None, text), (None, text + " more"), (3, text), (3, "short"), (4, None)]
+    df = spark.createDataFrame(made, "id long, text string")
+    found = near_duplicates(df, "id", "text")
+    assert rows(found.links.select("a", "b")) == [(1, 2)] and found.copies.isEmpty()
+    for keep in ("cluster", "pairwise"):
+        kept = [r["id"] for r in near_dup_filter(df, "id", found, keep).collect()]
+        assert sorted(kept, key=lambda i: i or 0) == [None, None, 2, 3, 3, 4]

@@ -84,6 +84,10 @@ def _gram_sets(docs: DataFrame, wanted: DataFrame, cfg: NearDupConfig) -> DataFr
     )
 
 
+def _of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    return sets.join(wanted.select("id").distinct(), "id", "left_semi")
+
+
 def _alike_in_size(a: Column, b: Column, cfg: NearDupConfig) -> Column:
     return F.least(a, b) >= F.lit(cfg.threshold) * F.greatest(a, b)
 
@@ -94,9 +98,11 @@ def _overlap() -> Column:
     return both / (F.size("grams_a") + F.size("grams_b") - both)
 
 
-def _similar(cfg: NearDupConfig) -> Column:
+def _similar(pairs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """The pairs similar enough, with both lengths and the overlap, which a generator computes once."""
     alike = _alike_in_size(F.size("grams_a"), F.size("grams_b"), cfg)
-    return F.when(alike, _overlap() >= cfg.threshold).otherwise(False)
+    overlap = F.filter(F.array(F.when(alike, _overlap())), lambda x: x >= cfg.threshold)
+    return pairs.select("a", "b", "len_a", "len_b", F.explode(overlap).alias("jaccard"))
 
 
 def _sides(sets: DataFrame, *shared: str) -> tuple[DataFrame, DataFrame]:
@@ -112,7 +118,7 @@ def _sides(sets: DataFrame, *shared: str) -> tuple[DataFrame, DataFrame]:
     return side("a"), side("b")
 
 
-def verify_pairs(pairs: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+def verify_pairs(pairs: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """Of the distinct pairs ``(a, b)`` those similar enough, with both lengths and the overlap.
 
     ``a`` has few partners by construction; ``b`` may have any number, so its set
@@ -120,20 +126,15 @@ def verify_pairs(pairs: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataF
     """
     partners = pairs.groupBy("b").agg(_salts(F.count("*"), cfg).alias("salts"))
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    left, right = _sides(_gram_sets(docs, wanted, cfg))
+    left, right = _sides(_of(sets, wanted))
     salted_right = right.join(partners, "b").select(
         *right.columns, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
     )
     salted = pairs.join(partners, "b").select("a", "b", _salt_of("a", F.col("salts")).alias("salt"))
-    return (
-        salted.join(left, "a")
-        .join(salted_right, ["b", "salt"])
-        .where(_similar(cfg))
-        .select("a", "b", "len_a", "len_b", _overlap().alias("jaccard"))
-    )
+    return _similar(salted.join(left, "a").join(salted_right, ["b", "salt"]), cfg)
 
 
-def _small_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+def _small_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """Links inside buckets of bounded size.
 
     A document's set travels once per shared bucket rather than once per pair,
@@ -143,7 +144,7 @@ def _small_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Dat
         F.array(*[F.max(F.when(F.col("band") == i, F.col("bucket"))) for i in range(cfg.bands)]).alias("keys")
     )
     rows = (
-        held.join(_gram_sets(docs, members, cfg), "id")
+        held.join(sets, "id")
         .select("id", "len", "grams", "keys", F.posexplode("keys").alias("band", "bucket"))
         .where(F.col("bucket").isNotNull())
     )
@@ -152,14 +153,10 @@ def _small_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> Dat
         *[F.when(F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i)), F.lit(i)) for i in range(cfg.bands)]
     )
     new_pair = (F.col("a") < F.col("b")) & (F.col("band_a") == first) & (F.col("band_b") == first)
-    return (
-        left.join(right, "bucket")
-        .where(F.when(new_pair, _similar(cfg)).otherwise(False))
-        .select("a", "b", "len_a", "len_b", _overlap().alias("jaccard"))
-    )
+    return _similar(left.join(right, "bucket").where(new_pair), cfg)
 
 
-def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, list[DataFrame]]:
+def _leader_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, list[DataFrame]]:
     """Stars around elected leaders: members with a ``star`` number (0 = open) and the links found."""
     found: list[DataFrame] = []
     state = members.withColumn("star", F.lit(0))
@@ -186,7 +183,7 @@ def _leader_links(members: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> tu
             .select("bucket", "id", "star", "leader")
         )
         pairs = led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-        links = cut(verify_pairs(pairs, docs, cfg), "links")
+        links = cut(verify_pairs(pairs, sets, cfg), "links")
         found.append(links)
         hits = links.select(F.col("a").alias("id"), F.col("b").alias("leader"), F.lit(True).alias("hit"))
         joined = led.where("star = 0").join(hits, ["id", "leader"], "left")
@@ -264,9 +261,9 @@ def _scouted_pairs(questions: DataFrame, cfg: NearDupConfig) -> DataFrame:
     return hits.select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
 
 
-def _remaining_pairs(questions: DataFrame, docs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+def _remaining_pairs(questions: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """Pairs ``(a, b)`` of an answering and an asking document that can reach the threshold."""
-    grams = _gram_sets(docs, questions, cfg).select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
+    grams = _of(sets, questions).select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
     frequency = grams.groupBy("h").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy("id").orderBy("df", "h")
     prefix_length = F.col("n") - F.ceil(F.lit(cfg.threshold) * F.col("n")) + 1
@@ -276,13 +273,17 @@ def _remaining_pairs(questions: DataFrame, docs: DataFrame, cfg: NearDupConfig)
         .where(F.col("rank") <= prefix_length)
         .select("id", "n", "h", "rank")
     )
-    keyed = questions.join(prefixes, "id")
-    answers = _sides(keyed, "bucket", "h")[0]
-    askers = _sides(keyed.where("asks"), "bucket", "h")[1]
+    keyed = cut(questions.join(prefixes, "id"), "prefixes")
+    # A shingle that a third of a bucket shares is split: its answers over salts, its askers to each of them.
+    salts = keyed.groupBy("bucket", "h").agg(_salts(F.count("*"), cfg).alias("salts"), F.max("asks").alias("asked"))
+    salted = keyed.join(salts.where("asked").drop("asked"), ["bucket", "h"])
+    spread = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    answers = _sides(salted.withColumn("salt", _salt_of("id", F.col("salts"))), "bucket", "h", "salt")[0]
+    askers = _sides(salted.where("asks").withColumn("salt", spread), "bucket", "h", "salt")[1]
     reachable = 1 + F.least(F.col("n_a") - F.col("rank_a"), F.col("n_b") - F.col("rank_b"))
     needed = F.lit(cfg.threshold / (1 + cfg.threshold)) * (F.col("n_a") + F.col("n_b"))
     return (
-        answers.join(askers, ["bucket", "h"])
+        answers.join(askers, ["bucket", "h", "salt"])
         .where(_matters() & _alike_in_size(F.col("n_a"), F.col("n_b"), cfg) & (reachable >= needed - 1e-6))
         .select("a", "b")
         .distinct()
@@ -290,13 +291,21 @@ def _remaining_pairs(questions: DataFrame, docs: DataFrame, cfg: NearDupConfig)
 
 
 def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfig = NearDupConfig()) -> NearDuplicates:
-    """Copies and sufficient similarity links of a document table with unique ids."""
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """Copies and sufficient similarity links of a document table.
+
+    The links have the components and the losers of all similar pairs; which of the
+    pairs they are depends on the sizes of the buckets. Documents with a null id, and
+    those whose id another row has too, take no part: no filter could name them, so
+    they stay.
+    """
+    docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     narrow = docs.withColumn("fp", F.md5("text")).withColumn("len", F.length("text"))
     signatures = cut(
         minhash_signature(narrow, "id", "text", cfg.n, cfg.unit, cfg.bands * cfg.rows, keep=["fp", "len"]),
         "signatures",
     )
+    unclear = cut(docs.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "unclear")
+    signatures = signatures.join(unclear, "id", "left_anti")
     reps = signatures.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     copies = cut(
         signatures.select("id", "fp").join(reps.where("n > 1"), "fp").where("id <> rep").select("id", "rep"), "copies"
@@ -307,17 +316,18 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
     members = cut(buckets.join(sizes, "bucket"), "members")
 
     small = members.where(F.col("n_bucket") <= cfg.small_bucket)
-    links = _small_links(small, docs, cfg)
+    sets = cut(_gram_sets(docs, members, cfg), "sets")
+    links = _small_links(small, sets, cfg)
     large = members.where(F.col("n_bucket") > cfg.small_bucket).select("bucket", "id", "len")
     if not large.isEmpty():
-        stars, found = _leader_links(large, docs, cfg)
+        stars, found = _leader_links(large, sets, cfg)
         links = cut(reduce(DataFrame.unionByName, found, links), "links")
-        for find in (lambda asked: _scouted_pairs(asked, cfg), lambda asked: _remaining_pairs(asked, docs, cfg)):
+        for find in (lambda asked: _scouted_pairs(asked, cfg), lambda asked: _remaining_pairs(asked, sets, cfg)):
             questions = _open_questions(stars, links)
             if questions.isEmpty():
                 break
             pairs = cut(find(questions), "pairs")
-            links = cut(links.unionByName(verify_pairs(pairs, docs, cfg)), "links")
+            links = cut(links.unionByName(verify_pairs(pairs, sets, cfg)), "links")
     low_first = F.col("a") < F.col("b")
     links = links.select(
         F.least("a", "b").alias("a"),
