@@ -230,6 +230,24 @@ def test_url_rules_hosts_and_odd_rows(spark):
     assert all(r["judged"] == 1 for r in rows.values()) and link_trust.url_filter(table.where("page_id < 0")).count() == 0
 
 
+def test_copies_of_a_graph_keep_every_verdict(spark):
+    def copy(i):
+        crowd = f"crowd{i}.net"
+        far = [(f"{kind}{k}", f"http://{kind}{k}n{i}.net/", f'<a href="http://{to}/">') for kind, k, to in (("x", 1, f"bad{i}.com"), ("x", 2, f"x1n{i}.net"))]
+        return [
+            ("bad", f"http://bad{i}.com/de/1", None), ("good", f"http://good{i}.com/fr/1", f'<a href="http://liked{i}.net/">'), ("liked", f"http://liked{i}.net/", None),
+            ("crowd", f"http://{crowd}/", f'<a href="http://bad{i}.com/">' * 999 + f'<a href="http://x1n{i}.net/">' * 999), *far,
+        ]
+
+    def verdicts(n):
+        table = spark.createDataFrame([row for i in range(n) for row in copy(i)], "page STRING, url STRING, html STRING")
+        return {(r["page"], r["verdict"]) for r in link_trust.url_filter(table, rounds=link_trust.ROUNDS).collect()}
+
+    one = verdicts(1)
+    assert one == {("bad", "block"), ("good", "allow"), ("liked", "allow"), ("crowd", "block"), ("x1", "block"), ("x2", "block")}
+    assert verdicts(200) == one
+
+
 def test_propagation_equals_dense_iteration(spark):
     edges = [("a", "b", 2.0), ("a", "c", 1.0), ("b", "c", 1.0), ("c", "a", 1.0), ("d", "c", 3.0)]
     seeds = [("a", 0, 0.7), ("d", 0, 0.3), ("c", 1, 1.0)]

@@ -5,7 +5,8 @@ their number; a host and the domain one label up are linked both ways with weigh
 ``kin``. Personalised PageRank starts from hosts whose pages a rule allows and
 follows the links; its reverse starts from hosts whose pages a rule blocks and
 goes against them, since a host that links to bad ones is suspect. A host is
-blocked where distrust exceeds trust by more than ``margin``; one that neither
+blocked where distrust exceeds trust by more than ``margin`` times their sum, so
+that scores which shrink as hosts are added keep every verdict; one that neither
 reaches gets ``default``.
 
 Every round is one join and one aggregate over host pairs, written to the shared
@@ -139,7 +140,7 @@ def url_filter(
     rows = pages.select(*[col(c) for c in extra], url_host(url).alias("host"), url_path(url).alias("path"))
     rows = rows.withColumn(judged, rule_of(F.col("host"), F.col("path"), rules))
     trust, distrust = F.coalesce(F.col("trust"), F.lit(0.0)), F.coalesce(F.col("distrust"), F.lit(0.0))
-    method = F.when(distrust - trust > margin, "block").when((trust == 0) & (distrust == 0), default).otherwise("allow")
+    method = F.when(distrust - trust > (distrust + trust) * margin, "block").when((trust == 0) & (distrust == 0), default).otherwise("allow")
     return rows.join(by_host, F.col("host") == F.col(row_host), "left").select(
         *[col(c) for c in extra], "host", "path", F.col(judged)["rule"].alias("rule"),
         F.coalesce(F.col(judged)["verdict"], method).alias("verdict"), trust.alias("trust"), distrust.alias("distrust"),
