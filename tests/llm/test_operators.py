@@ -263,6 +263,33 @@ def test_propagation_equals_dense_iteration(spark):
     assert got.keys() == state.keys() and all(got[k] == pytest.approx(v) for k, v in state.items())
 
 
+def test_propagation_converges(spark):
+    rng = random.Random(8)
+    edges = sorted({(f"h{a}", f"h{b}"): float(rng.randint(1, 9)) for a, b in ((rng.randrange(12), rng.randrange(12)) for _ in range(30)) if a != b}.items())
+    edges = [(a, b, w) for (a, b), w in edges] + [(f"far{i}", f"far{i + 1}", 1.0) for i in range(20)] + [("far20", "h0", 1.0)]
+    seeds = [("h1", 0, 0.6), ("h2", 0, 0.4), ("h0", 1, 1.0)]
+    out = link_trust.propagate(spark.createDataFrame(edges, "src STRING, dst STRING, w DOUBLE"), spark.createDataFrame(seeds, "host STRING, kind INT, score DOUBLE"))
+    got = {(r["host"], r["kind"]): r["score"] for r in out.collect()}
+    hosts = sorted({x for a, b, _ in edges for x in (a, b)})
+    for kind in (0, 1):
+        m = np.zeros((len(hosts), len(hosts)))
+        for a, b, w in edges:
+            src, dst = (a, b) if kind == 0 else (b, a)
+            m[hosts.index(dst), hosts.index(src)] += w
+        m = 0.85 * m / np.maximum(m.sum(axis=0), 1e-300)
+        s = np.array([sum(0.15 * v for h, k, v in seeds if (h, k) == (host, kind)) for host in hosts])
+        want = np.linalg.solve(np.eye(len(hosts)) - m, s)
+        assert all(got.get((h, kind), 0.0) == pytest.approx(v, rel=1e-7, abs=1e-18) for h, v in zip(hosts, want))
+    assert got["far0", 1] > 0
+
+
+def test_hosts_far_from_every_seed_are_judged(spark):
+    names = [f"n{i}.net" for i in range(12)] + ["bad.com"]
+    pages = [(f"http://{a}/", f'<a href="http://{b}/">') for a, b in zip(names, names[1:])] + [("http://bad.com/de/1", None)]
+    rows = link_trust.url_filter(spark.createDataFrame(pages, "url STRING, html STRING")).collect()
+    assert {r["host"]: r["verdict"] for r in rows} == dict.fromkeys(names, "block")
+
+
 # --- token counts --------------------------------------------------------------------------------------------------
 
 

@@ -10,7 +10,9 @@ that scores which shrink as hosts are added keep every verdict; one that neither
 reaches gets ``default``.
 
 Every round is one join and one aggregate over host pairs, written to the shared
-folder; the number of rounds is a parameter. Rules are a short list held in the
+folder. Rounds go on until none raises any host's score by more than ``tolerance``
+of it, so a host counts however far from the seeds and however small its score; a
+given number of ``rounds`` stops there instead. Rules are a short list held in the
 plan; the graph and its scores stay in tables.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
@@ -23,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textmill.llm.common import col, fresh
@@ -35,7 +37,9 @@ RULES: tuple[Rule, ...] = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
 )
 DAMPING = 0.85
+#: Rounds of the SQL, and so of the registered query.
 ROUNDS = 8
+TOLERANCE = 1e-9
 KIN = 1.0
 MARGIN = 1e-9
 
@@ -88,8 +92,10 @@ def host_links(pages: DataFrame, url_col: str, html_col: str, kin: float = KIN)
     return edges.groupBy("src", "dst").agg(F.sum("w").alias("w"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """``(host, kind, score)`` after ``rounds`` rounds from seeds of the same form.
+def propagate(
+    edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``(host, kind, score)`` from seeds of the same form, converged or after ``rounds`` rounds.
 
     Kind 0 follows the links, each host's score shared by the weight of what it
     links to; kind 1 goes against them, shared by the weight of what links to it.
@@ -100,6 +106,8 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     back = edges.join(into, "dst").select(F.col("dst").alias("host"), F.col("src").alias("to"), F.lit(1).alias("kind"), (F.col("w") / F.col("all") * damping).alias("p"))
     passes = cut(ahead.unionByName(back), "passes")
     start = seeds.select("host", "kind", (F.col("score") * (1 - damping)).alias("score"))
+    if rounds is None:
+        return _converged(passes, start, tolerance)
     state = seeds
     for _ in range(rounds):
         moved = passes.join(state, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("p") * F.col("score")).alias("score"))
@@ -107,6 +115,26 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
     return state
 
 
+def _converged(passes: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
+    """The sum over all path lengths of what ``start`` passes on.
+
+    ``term`` is what the last round brought to a host. All terms together shrink by
+    the damping every round, while a host's score only grows, so the rounds end.
+    """
+    state = start.withColumn("term", F.col("score"))
+    change = 1.0
+    while change > tolerance:
+        moved = passes.join(state.where("term > 0"), ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("p") * F.col("term")).alias("term"))
+        known = state.select("host", "kind", F.lit(0.0).alias("term"), F.col("score"))
+        both = moved.withColumn("score", F.col("term")).unionByName(known)
+        seen = Observation("terms")
+        share = F.max(F.when(F.col("score") > 0, F.col("term") / F.col("score")))
+        summed = both.groupBy("host", "kind").agg(F.sum("term").alias("term"), F.sum("score").alias("score"))
+        state = cut(summed.observe(seen, share.alias("share")), "scores")
+        change = seen.get["share"] or 0.0
+    return state.select("host", "kind", "score")
+
+
 def seed_hosts(ruled: DataFrame) -> DataFrame:
     """``(host, kind, score)``: each host's share of the allowed (0) and of the blocked (1) pages."""
     kind = F.when(F.col("verdict") == "allow", 0).when(F.col("verdict") == "block", 1)
@@ -116,8 +144,8 @@ def seed_hosts(ruled: DataFrame) -> DataFrame:
 
 
 def url_filter(
-    pages: DataFrame, rules: Sequence[Rule] = RULES, url_col: str = "url", html_col: str = "html", rounds: int = ROUNDS,
-    damping: float = DAMPING, kin: float = KIN, margin: float = MARGIN, default: str = "allow",
+    pages: DataFrame, rules: Sequence[Rule] = RULES, url_col: str = "url", html_col: str = "html", rounds: int | None = None,
+    damping: float = DAMPING, kin: float = KIN, margin: float = MARGIN, default: str = "allow", tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``pages`` without their HTML, with ``host, path, rule, verdict, trust, distrust``.
 
@@ -129,7 +157,7 @@ def url_filter(
     parted = pages.select(url_host(url).alias("host"), url_path(url).alias("path"))
     ruled = parted.select("host", rule_of(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
     edges = cut(host_links(pages, url_col, html_col, kin), "links")
-    scores = propagate(edges, cut(seed_hosts(ruled), "shares"), rounds, damping)
+    scores = propagate(edges, cut(seed_hosts(ruled), "shares"), rounds, damping, tolerance)
     by_host = cut(
         scores.groupBy("host").agg(
             F.sum(F.when(F.col("kind") == 0, F.col("score"))).alias("trust"),
