@@ -439,6 +439,23 @@ def test_simhash_query_and_odd_rows(spark, documents, odd, empty):
     assert simhash_cover.fingerprint(" \n") == 0 and simhash_cover.simhash_classes(empty).count() == 0 and simhash_cover.near_dedup(empty).count() == 0
 
 
+def test_near_dedup_keeps_other_texts_of_an_id(spark):
+    rng = random.Random(11)
+    text = lambda: " ".join(rng.choice("abcdefgh") * rng.randint(1, 9) + str(rng.randint(0, 999)) for _ in range(60))
+    texts = [text() for _ in range(12)]
+    rows = [(7, t, "p") for t in texts[:8] * 2] + [(9, texts[8], "p"), (3, texts[8], "p"), (7, texts[8].upper(), "p"), (None, texts[8], "p")]
+    rows += [(None, texts[9], "p")] * 3 + [(None, texts[10], "p"), (7, texts[10] + " ", "p")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, key STRING")
+    marks = _components({simhash_cover.fingerprint(t) for _, t, _ in rows})
+    component = lambda t: marks.get(simhash_cover.fingerprint(t), simhash_cover.fingerprint(t))
+    least: dict = {}
+    for i, t, _ in rows:
+        least[component(t)] = min(least.get(component(t), math.inf), math.inf if i is None else i)
+    kept = simhash_cover.near_dedup(docs).collect()
+    assert len(least) == 11 and Counter(component(r["text"]) for r in kept) == Counter(list(least))
+    assert all(least[component(r["text"])] == (math.inf if r["doc_id"] is None else r["doc_id"]) for r in kept)
+
+
 # --- mixing -----------------------------------------------------------------------------------------------------------------
 
 

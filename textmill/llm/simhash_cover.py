@@ -135,23 +135,28 @@ def hex_of(simhash: Column) -> Column:
     return F.lpad(F.lower(F.hex(simhash)), 16, "0")
 
 
+def _row_key(id_col: Column, text: Column) -> Column:
+    """A digest of id and text; the length in front keeps pairs apart that join to the same string."""
+    name = id_col.cast("string")
+    length = F.coalesce(F.char_length(name), F.lit(-1)).cast("string")
+    return F.unhex(F.md5(F.concat(length, F.lit(":"), F.coalesce(name, F.lit("")), F.coalesce(text, F.lit("")))))
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """``docs`` with one row of each component: the one whose id is the component's.
+    """``docs`` with one row of each component: one with its smallest id, a null id only
+    where the component has no other.
 
-    Rows with a null id stay only where their component has no id at all, one for
-    each fingerprint; of rows that repeat an id, one stays.
+    Rows that repeat an id are told apart by their text, so those of other components stay.
     """
-    marks = cut(simhash_classes(docs.select(col(id_col).alias("id"), col(text_col).alias("text")), "id", "text", radius), "marks")
-    root, fp, rank = fresh(docs, "root", "fp", "rank")
-    roots = marks.select(F.col("component_id").alias(root)).where(F.col(root).isNotNull()).distinct()
-    # A repeated id is limited to one row inside every task before the shuffle.
-    one = Window.partitionBy(col(id_col)).orderBy(F.xxhash64(col(text_col)))
-    first = docs.where(col(id_col).isNotNull()).withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
-    kept = first.join(roots, col(id_col) == F.col(root), "left_semi").select(*[col(c) for c in docs.columns])
-    # Components of rows without an id: one row per fingerprint and component.
-    nameless = marks.where("component_id IS NULL").select(F.col("simhash").alias(root)).distinct()
-    print_of = Window.partitionBy(fp).orderBy(F.xxhash64(col(text_col)))
-    lost = docs.where(col(id_col).isNull()).withColumn(fp, _fingerprints(col(text_col)))
-    lost = lost.withColumn(rank, F.row_number().over(print_of)).where(F.col(rank) == 1)
-    lost = lost.join(nameless, F.col(fp) == F.col(root), "left_semi").select(*[col(c) for c in docs.columns])
-    return kept.unionByName(lost)
+    id_, text = col(id_col), col(text_col)
+    hashed = cut(docs.select(id_.alias("id"), _row_key(id_, text).alias("key"), _fingerprints(text).alias("fp")), "hashed")
+    first = F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "key"))
+    prints = cut(hashed.groupBy("fp").agg(first.alias("first")), "prints")
+    component = cut(fingerprint_components(prints.select("fp"), radius), "classes")
+    named = prints.join(component, "fp", "left").select(F.coalesce("component", "fp").alias("component"), "first")
+    root, key, rank = fresh(docs, "root", "key", "rank")
+    roots = cut(named.groupBy("component").agg(F.min("first")["key"].alias(root)).select(root), "roots")
+    # Rows of equal id and text are limited to one inside every task before the shuffle.
+    one = Window.partitionBy(key).orderBy(text.isNull())
+    single = docs.withColumn(key, _row_key(id_, text)).withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
+    return single.join(roots, F.col(key) == F.col(root), "left_semi").select(*[col(c) for c in docs.columns])
