@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import string
 from collections import Counter
 
 import brute
@@ -183,6 +185,33 @@ def test_secret_chains_add_random_runs_only(spark, documents, empty):
     assert secret_scan.train(empty.withColumn("is_random", F.lit(True))) == [] and secret_scan.scan(empty, model).count() == 0
 
 
+def test_secret_chains_find_letters_only_and_embedded_keys(spark, documents):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = secret_scan.train(secret_scan.labelled_samples(documents.where(~held_out), "doc_id", "text"))
+    words = [w for r in documents.where(held_out).orderBy("doc_id").collect() for w in re.findall("[A-Za-z]{3,12}", r["text"] or "")]
+    rng = random.Random(9)
+    some = lambda k: [rng.choice(words) for _ in range(k)]
+    key = lambda signs, n=20: "".join(rng.choice(signs) for _ in range(n))
+    letters, signs = string.ascii_letters, string.ascii_letters + string.digits
+    kinds = {
+        "letters": lambda: key(letters), "base32": lambda: key(string.ascii_uppercase + "234567", 32), "upper": lambda: key(string.ascii_uppercase),
+        "path": lambda: "/" + "/".join([*some(8), key(signs), *some(2)]), "name": lambda: "_".join([*some(6), key(letters)]),
+        "dash": lambda: "-".join([key(signs), *some(6)]), "assigned": lambda: "_".join(some(6)) + "=" + key(signs),
+        "ordinary": lambda: rng.choice("/_-").join(some(7)), "camel": lambda: "".join(w.title() for w in some(6)), "numbered": lambda: "_".join(some(5)) + "_2024_" + str(rng.randint(1, 99)),
+    }
+    table = spark.createDataFrame([(kind, make()) for kind, make in kinds.items() for _ in range(200)], "kind STRING, text STRING")
+    found = Counter(r["kind"] for r in secret_scan.scan(table, model).collect() if any(s["kind"] == "random" and s["start"] == 0 for s in r["secrets"]))
+    assert all(found[kind] <= 2 for kind in ("ordinary", "camel", "numbered")), found
+    assert all(found[kind] >= 180 for kind in kinds if kind not in ("ordinary", "camel", "numbered")), found
+    texts = ["", "a", "ab", "x" * 30000, "q7Zx0PvK3mWn8RtB2yLc" * 2, "see/some/long/path"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text STRING").select("text", secret_scan.best_log_ratio(F.col("text"), model).alias("best")).collect()
+    classes = lambda t: [secret_scan.ALPHABET.index(c) for c in t]
+    for r in rows:
+        p = [model[a * secret_scan.CLASSES + b] for a, b in zip(classes(r["text"]), classes(r["text"])[1:])]
+        means = [sum(p[i : i + 19]) / 19 for i in range(len(p) - 18)] + [sum(p) / len(p)] if p else []
+        assert (r["best"] is None and not p) or r["best"] == pytest.approx(max(means))
+
+
 # --- nearest neighbours -----------------------------------------------------------------------------------
 
 

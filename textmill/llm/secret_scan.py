@@ -2,9 +2,10 @@
 
 Two first-order Markov chains over characters, one of random strings and one of
 ordinary identifiers, are trained from a labelled table. A run of at least
-``min_length`` token characters with a digit in it is a secret when the mean
-log-likelihood ratio of its character pairs is above ``threshold``. Runs that
-touch a pattern's match add nothing.
+``MIN_LENGTH`` token characters is a secret when the mean log-likelihood ratio of its
+character pairs is above ``threshold``, over the run or over any ``MIN_LENGTH``
+neighbouring characters, so that a key joined to a long path or name counts too. The
+span is the whole run. Runs that touch a pattern's match add nothing.
 
 Everything is a column expression: no shuffle, no Python. A model has one number
 per pair of known characters (``ALPHABET`` and one class for all others), so it is
@@ -101,6 +102,31 @@ def log_ratio(text: Column, model: list[float]) -> Column:
     )[0]
 
 
+def best_log_ratio(text: Column, model: list[float], width: int = MIN_LENGTH) -> Column:
+    """The highest mean log-likelihood ratio over the whole text or ``width`` neighbouring
+    characters of it; null below two characters. One fold, linear in the length."""
+    if not model:
+        return F.lit(None).cast("double")
+    # Whole millionths, as the model is rounded: a sliding sum of them does not drift.
+    table = F.expr(f"array({', '.join(f'{round(x * 1e6)}L' for x in model)})")
+    pairs, zero = width - 1, F.lit(0).cast("bigint")
+    start = F.struct(zero.alias("n"), zero.alias("all"), zero.alias("s"), F.lit(None).cast("double").alias("best"))
+
+    def best(scores: Column) -> Column:
+        left = F.slice(F.concat(F.array_repeat(zero, pairs), scores), F.lit(1), F.size(scores))
+        steps = F.zip_with(scores, left, lambda x, y: F.struct(x.alias("x"), (x - y).alias("d")))
+
+        def add(acc: Column, step: Column) -> Column:
+            full = F.when(acc["n"] + 1 >= pairs, (acc["s"] + step["d"]) / pairs)
+            return F.struct(
+                (acc["n"] + 1).alias("n"), (acc["all"] + step["x"]).alias("all"), (acc["s"] + step["d"]).alias("s"), F.greatest(acc["best"], full).alias("best")
+            )
+
+        return F.when(F.size(scores) > 0, F.aggregate(steps, start, add, lambda acc: F.greatest(acc["best"], acc["all"] / acc["n"]) / 1e6))
+
+    return F.transform(F.array(F.transform(pair_classes(text), lambda p: F.get(table, p))), best)[0]
+
+
 def _spans(text: Column, pattern: str, keep) -> Column:
     """``array<struct<match, start, end>>`` of a pattern's matches that ``keep`` holds.
 
@@ -139,7 +165,7 @@ def scan(docs: DataFrame, model: list[float], text_col: str = "text", threshold:
         kinds.append(_marked(_spans(text, pattern, long), rank, kind))
 
     def random(m: Column) -> Column:
-        return m.rlike("[0-9]") & F.coalesce(log_ratio(m, model) > threshold, F.lit(False))
+        return F.coalesce(best_log_ratio(m, model) > threshold, F.lit(False))
 
     added = _marked(_spans(text, RUN, random), len(PATTERNS), "random")
     kept = [c for c in docs.columns if c.lower() != "secrets"]
