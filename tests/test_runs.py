@@ -72,6 +72,21 @@ def test_newest_log_and_rolled_log(spark, tmp_path):
     assert got == {APP: 2, "application_1700000000000_0009": 12}
 
 
+def test_ids_of_parent_folders_do_not_count(spark, tmp_path):
+    root = tmp_path / "run-local-1764000000000" / "logs application_1600000000000_0001"
+    (root / "app=application_1700000000000_0007").mkdir(parents=True)
+    (root / "app=application_1700000000000_0007" / "part-0").write_text(lines(task(3)))
+    (root / "app-20250101000000-0003" / "again").mkdir(parents=True)
+    (root / "app-20250101000000-0003" / "again" / APP).write_text(lines(task(4)))
+    (root / "spark-4f2a.json").write_text(lines(task(5)))
+    for asked in (str(root), f"file://{root}/", str(tmp_path / "run-local-1764000000000" / "logs*")):
+        got = {r["app"]: r["executor_run_time_ms"] for r in eventlog_metrics(read_event_logs(spark, asked)).collect()}
+        expected = {"application_1700000000000_0007": 3, APP: 4, "spark-4f2a": 5}
+        if asked.endswith("*"):  # below the pattern's parent the folder's id is part of the path
+            expected = {"application_1700000000000_0007": 3, APP: 4, "application_1600000000000_0001": 5}
+        assert got == expected
+
+
 def test_log_of_an_unknown_name_is_kept(spark, tmp_path):
     task = '{"Event": "SparkListenerTaskEnd", "Task Metrics": {"Executor Run Time": 7}}'
     (tmp_path / "spark-4f2a.json").write_text(task)

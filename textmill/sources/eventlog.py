@@ -30,16 +30,30 @@ STEPS = ["1", "2", "3", "4", "5a", "5b", "6a", "6b"]
 
 
 def app_of(path: Column) -> Column:
-    """The application id in a log's path; where there is none of a known form, the file's name up to its first dot."""
+    """The last application id in a log's path; where there is none of a known form, the file's name up to its first dot."""
     name = F.regexp_extract(path, r"([^/.]+)[^/]*$", 1)
-    return F.coalesce(F.nullif(F.regexp_extract(path, APP_PATTERN, 1), F.lit("")), name)
+    return F.coalesce(F.nullif(F.regexp_extract(path, ".*" + APP_PATTERN, 1), F.lit("")), name)
+
+
+def _below(spark: SparkSession, root: str, file: Column) -> Column:
+    """A file's path below the folder that was asked for, whose own name says nothing about a log.
+
+    A root that is a pattern, or the log itself, leaves the path below its parent folder.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    plain = not any(c in root for c in "*?[{") and system.exists(path) and system.getFileStatus(path).isDirectory()
+    depth = len(system.makeQualified(path).toUri().getPath().rstrip("/").split("/")) - (0 if plain else 1)
+    # By depth: a scheme's slashes and escapes in names differ between listings, the number of folders does not.
+    parts = F.split(F.regexp_replace(file, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/")
+    return F.array_join(F.slice(parts, F.lit(depth + 1), F.size(parts)), "/")
 
 
 def list_logs(spark: SparkSession, path: str) -> DataFrame:
     """``(app, listing, file, modified)`` of every log file, without reading any content.
 
-    The application is taken from the path. Parts of one rolled log lie in a
-    folder named after the application and share its listing.
+    The application is taken from the path below ``path``. Parts of one rolled log
+    lie in a folder named after the application and share its listing.
     """
     files = (
         spark.read.format("binaryFile")
@@ -47,9 +61,10 @@ def list_logs(spark: SparkSession, path: str) -> DataFrame:
         .load(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("modificationTime").alias("modified"))
     )
-    in_folder = F.regexp_extract("file", APP_PATTERN + r"/[^/]+$", 1) != ""
+    below = _below(spark, path, F.col("file"))
+    in_folder = F.regexp_extract(below, APP_PATTERN + r"/[^/]+$", 1) != ""
     listing = F.when(in_folder, F.regexp_replace("file", r"/[^/]+$", "")).otherwise(F.col("file"))
-    return files.select(app_of(F.col("file")).alias("app"), listing.alias("listing"), "file", "modified")
+    return files.select(app_of(below).alias("app"), listing.alias("listing"), "file", "modified")
 
 
 def latest_logs(listing: DataFrame) -> DataFrame:
@@ -72,7 +87,7 @@ def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) ->
     if latest_only:
         newest = cut(latest_logs(list_logs(spark, path)).select("file"), "newest")
         events = events.join(newest, "file", "left_semi")
-    return events.withColumn("app", app_of(F.col("file"))).drop("file")
+    return events.withColumn("app", app_of(_below(spark, path, F.col("file")))).drop("file")
 
 
 def _of(event: str, value: Column) -> Column:
