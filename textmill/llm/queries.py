@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import (
-    exact_index, hnsw, language_id, link_trust, mixing, pii_crf, piece_sampling, secret_scan, simhash_cover, token_tree,
+    exact_index, hnsw, language_id, link_trust, merkle, mixing, pii_crf, piece_sampling, secret_scan, simhash_cover,
+    token_alignment, token_tree, toxicity,
 )
 from textmill.session import scratch_path
 
@@ -131,13 +132,42 @@ def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return queued.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "before", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of every document, and what they say of one whose line feeds were lost where the id's checksum is even."""
+    docs = _table(spark, sf, "documents", *merkle.FIELDS)
+    fields = [F.col(f) if f != "text" else F.translate("text", "\n", "") for f in merkle.FIELDS]
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    claimed = F.when(even, merkle.leaf_digest(fields))
+    proofs = merkle.Manifest.build(docs, carry={"claimed": claimed}).proofs()
+    checked = merkle.verify(proofs, F.coalesce("claimed", "digest"))
+    return checked.select(
+        F.col("id").alias("doc_id"), F.col("digest").alias("leaf"), "subroot", "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified",
+    )
+
+
+def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """Learns from two thirds of the ids, scores every text."""
+    docs = _table(spark, sf, "documents", "doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = toxicity.fit(toxicity.with_labels(docs.where(~held_out), _table(spark, sf, "labels", "doc_id", "toxic")))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    aligned = token_alignment.align_documents(_table(spark, sf, "documents", "doc_id", "text"), token_alignment.read_vocabularies())
+    return aligned.select("doc_id", *token_alignment.MEASURES)
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_language_id, op2_exact_dedup, op3_pii_scan, op4_secret_scan, op5_nearest, op6_url_filter, op7_token_counts,
     op8_piece_samples, op9_simhash_near_dedup, op10_source_mix,
+    op11_merkle_manifest, op12_toxicity, op13_token_alignment,
 ]
 
 ORACLE_SQL: dict[str, str] = {
     "op2_exact_dedup": exact_index.SQL,
     "op6_url_filter": link_trust.SQL,
     "op10_source_mix": mixing.SQL,
+    "op11_merkle_manifest": merkle.SQL,
 }
