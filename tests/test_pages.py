@@ -18,6 +18,7 @@ from textmill.operators.extract import boilerplate_filter, html_extract
 from textmill.schemas import CRAWL_RECORD, FILTERED_PAGE, SchemaMismatch, check_schema, check_step
 from textmill.sources.blacklist import blacklist_load
 from textmill.sources.tables import read_table, write_table
+from textmill.sources import warc
 from textmill.sources.warc import archive_lines, warc_ingest, warc_to_parquet
 
 URLS = {
@@ -111,7 +112,15 @@ CASES = {
 }
 
 
-def test_archives(spark, tmp_path):
+@pytest.fixture(params=["source", "scan"])
+def way(request, monkeypatch):
+    """Archives by the data source, and by text scan as in a store that Python cannot open."""
+    if request.param == "scan":
+        monkeypatch.setattr(warc, "reachable", lambda path: False)
+    return request.param
+
+
+def test_archives(spark, tmp_path, way):
     data = record("warcinfo", "w", b"", b"") + record("request", "q", b"GET")
     for name, (body, http, _) in CASES.items():
         data += record("response", name, body, http) if http else record("response", name, body)
@@ -133,7 +142,7 @@ def test_archives(spark, tmp_path):
     assert dict(rows(written)) == expected
 
 
-def test_damaged_archives(spark, tmp_path):
+def test_damaged_archives(spark, tmp_path, way):
     """A false length takes nothing with it; a missing header is null; archives of one name do not replace each other."""
     (tmp_path / "in" / "x").mkdir(parents=True)
     (tmp_path / "in" / "y").mkdir()
@@ -149,7 +158,7 @@ def test_damaged_archives(spark, tmp_path):
     }
 
 
-def test_archive_in_many_splits(spark, tmp_path):
+def test_archive_in_many_splits(spark, tmp_path, way):
     pages = spark.range(400).select(
         F.concat(F.lit("<urn:"), "id", F.lit(">")).alias("i"),
         F.concat(F.lit("http://h/"), "id").alias("u"),
@@ -161,7 +170,7 @@ def test_archive_in_many_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         records = warc_ingest(spark, path, glob="*.txt")
-        assert records.rdd.getNumPartitions() > 10
+        assert way == "source" or records.rdd.getNumPartitions() > 10
         left = pages.select(F.col("i").alias("warc_id"), F.col("h").alias("html_content"))
         assert records.select("warc_id", "html_content").exceptAll(left).isEmpty()
         assert records.count() == 400
@@ -169,6 +178,54 @@ def test_archive_in_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_archives_in_any_ranges(spark, tmp_path):
+    """Plain and gzip archives give the same records however small the ranges, torn and nested ones included."""
+    inner = record("response", "inner", b"in") + record("response", "deep", b"y\r\n\r\nWARC/1.0\r\nz")
+    parts = [record("warcinfo", "w", b"", b"")]
+    for i in range(40):
+        body = (b"a" * (i * 37 % 300), b"x\r\n\r\nWARC/1.0\r\ny" * 5, b"q\r\n\r\n" + inner + b"end")[i % 3]
+        parts.append(record("response", f"r{i}", body))
+    parts.append(record("request", "q", b"q\r\n\r\n" + inner))  # dropped, and all that it holds
+    parts.insert(9, record("response", "false", b"short").replace(b"Content-Length: ", b"Content-Length: 90"))
+    (tmp_path / "in").mkdir()
+    folder = tmp_path / "in"
+    (folder / "plain.warc").write_bytes(b"".join(parts))
+    (folder / "members.warc").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    (folder / "whole.warc").write_bytes(gzip.compress(b"".join(parts)))
+    (folder / "cut.warc").write_bytes(gzip.compress(parts[1]) + gzip.compress(parts[2])[:40])
+    (folder / "empty.warc").write_bytes(b"")
+    (folder / "_hidden.warc").write_bytes(parts[1])
+    seen = {}
+    for width in (50, 700, 1 << 26):
+        records = warc._staged(spark, str(folder), "*.warc", "WARC/1.0", width)
+        for r in records.collect():
+            seen.setdefault((width, r["warc_filename"]), []).append((r["warc_id"], r["html_content"]))
+    whole = sorted(seen[(1 << 26, "plain.warc")])
+    assert len(whole) == 41 and ("<urn:false>", "short") in whole and "<urn:inner>" not in dict(whole)
+    assert {k: sorted(v) == whole for k, v in seen.items() if k[1] not in ("cut.warc",)} == {
+        (w, f): True for w in (50, 700, 1 << 26) for f in ("plain.warc", "members.warc", "whole.warc")
+    }
+    assert {tuple(v) for k, v in seen.items() if k[1] == "cut.warc"} <= {(("<urn:r0>", ""),), (("<urn:r0>", ""), ("<urn:r1>", None))}
+
+
+def test_parquet_files_of_even_size(spark, tmp_path):
+    """Few files an archive, however many ranges it was read in."""
+    pages = spark.range(3000).select(
+        F.concat(F.lit("<urn:"), "id", F.lit(">")).alias("i"), F.lit("http://h/").alias("u"), F.lit("2020").alias("d"),
+        F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.xxhash64("id", k))).alias("h"),
+    )
+    path, out = str(tmp_path / "w"), str(tmp_path / "out")
+    archive_lines(pages, "i", "u", "d", "h").repartition(3).write.option("lineSep", "\r\n\r\n").text(path)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        assert warc_to_parquet(spark, path, out, glob="*.txt") == 3000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    sizes = [f.stat().st_size for f in (tmp_path / "out").rglob("*.parquet")]
+    assert len(list((tmp_path / "out").glob("warc_filename=*"))) == 3
+    assert 3 < len(sizes) < 60 and max(sizes) < 4 * sorted(sizes)[len(sizes) // 2]
+
+
 HTML = {
     1: (None, None),
     2: ("", None),

@@ -1,4 +1,8 @@
-"""Crawl archives as a DataFrame: splittable text scan, headers by expression.
+"""Crawl archives as a DataFrame: byte ranges or a text scan, headers by expression.
+
+Archives, plain or gzip, come from the data source of ``archive_source``, which completes
+torn records while it reads, so every archive is read once. In a store that only
+Spark reaches, plain archives are scanned as text instead, as follows.
 
 Records end with an empty line and the next one opens with the version line, so
 that sequence is the separator of a text scan: one archive is read by as many
@@ -16,6 +20,7 @@ from pyspark.sql import functions as F
 
 from textmill.schemas import CRAWL_RECORD, check_schema
 from textmill.session import cut, scratch_path
+from textmill.sources.archive_source import outer_records, reachable, read_archives
 
 # Fixed values of the archive format.
 VERSION_LINE = "WARC/1.0"
@@ -208,10 +213,19 @@ def decode_payload(raw: Column) -> Column:
     return F.when(F.is_valid_utf8(text), text).otherwise(F.decode(raw, "ISO-8859-1"))
 
 
-def parse_records(fragments: DataFrame) -> DataFrame:
-    """HTML responses among whole fragments, as crawl records."""
-    http = fragments.where(F.lower(_header(F.col("head"), "WARC-Type")) == "response").select(
+def parse_records(fragments: DataFrame, keep: Column | None = None, extra: list[str] = []) -> DataFrame:
+    """HTML responses among whole fragments, as crawl records.
+
+    Rows where ``keep`` holds stay whatever they are, with null content where they are no
+    HTML response; ``wanted`` tells then, and the ``extra`` columns stay too.
+    """
+    kept = F.lit(False) if keep is None else keep
+    response = F.lower(_header(F.col("head"), "WARC-Type")) == "response"
+    http = fragments.where(response | kept).select(
         "file",
+        *extra,
+        kept.alias("kept"),
+        response.alias("response"),
         _header(F.col("head"), "WARC-Record-ID").alias("warc_id"),
         _header(F.col("head"), "WARC-Target-URI").alias("url"),
         _header(F.col("head"), "WARC-Date").alias("date"),
@@ -219,18 +233,20 @@ def parse_records(fragments: DataFrame) -> DataFrame:
     )
     http_head, gap = _http_head(F.col("http"))
     split = http.withColumns({"http_head": http_head, "gap": gap})
-    html = split.where(F.lower(_header(F.col("http_head"), "Content-Type")).contains("html"))
+    is_html = F.col("response") & F.coalesce(F.lower(_header(F.col("http_head"), "Content-Type")).contains("html"), F.lit(False))
+    html = split.withColumn("wanted", F.coalesce(is_html, F.lit(False))).where("wanted OR kept")
     coding = F.lower(
         F.concat_ws(" ", _header(F.col("http_head"), "Transfer-Encoding"), _header(F.col("http_head"), "Content-Encoding"))
     )
     coded = F.col("coding").rlike("chunked|gzip|deflate")
-    bodies = html.select(
-        "file", "warc_id", "url", "date", _after(F.col("http"), F.col("http_head"), F.col("gap")).alias("body"), coding.alias("coding")
-    )
+    body = F.when(F.col("wanted"), _after(F.col("http"), F.col("http_head"), F.col("gap")))
+    others = ["file", *extra, "wanted", "warc_id", "url", "date"]
+    bodies = html.select(*others, body.alias("body"), coding.alias("coding"))
     # Only coded bodies are handed to Python; the rest pass as nulls.
     decoded = bodies.withColumn("undone", undo_transfer(F.when(coded, F.col("body")), F.col("coding")))
     payload = F.when(F.col("undone").isNotNull(), F.col("undone")).otherwise(F.col("body"))
     return decoded.select(
+        *(["file", *extra, "wanted"] if keep is not None else []),
         "warc_id",
         "url",
         "date",
@@ -241,19 +257,41 @@ def parse_records(fragments: DataFrame) -> DataFrame:
 
 def warc_ingest(spark: SparkSession, path: str, glob: str = "*.warc", version: str = VERSION_LINE) -> DataFrame:
     """Crawl records of all archives under ``path``, written to the shared folder once and read from there."""
+    if reachable(path):
+        return check_schema(_staged(spark, path, glob, version), CRAWL_RECORD)
     out = scratch_path(spark, "records")
-    _ingest(spark, path, out, glob, version)
+    _scan(spark, path, out, glob, version)
     return check_schema(spark.read.schema(CRAWL_RECORD).parquet(out), CRAWL_RECORD)
 
 
 def warc_to_parquet(spark: SparkSession, path: str, out: str, glob: str = "*.warc", version: str = VERSION_LINE) -> int:
-    """Write the crawl records under ``path`` as zstd Parquet partitioned by archive; returns the rows."""
-    _ingest(spark, path, out, glob, version)
+    """Write the crawl records under ``path`` as zstd Parquet partitioned by archive; returns the rows.
+
+    Rows are dealt by archive and size before the write, so an archive has few files of
+    about the advisory partition size, however many tasks read it.
+    """
+    if reachable(path):
+        _write(_staged(spark, path, glob, version).hint("rebalance", "warc_filename"), out, "overwrite")
+    else:
+        _scan(spark, path, out, glob, version)
     return spark.read.schema(CRAWL_RECORD).parquet(out).count()
 
 
-def _ingest(spark: SparkSession, path: str, out: str, glob: str, version: str) -> None:
-    """One scan in the usual case: torn records are counted while the table is written.
+def _staged(spark: SparkSession, path: str, glob: str, version: str, range_bytes: int | None = None) -> DataFrame:
+    """Crawl records by the data source. Records that were completed over a separator are
+    staged whatever they are, since what lies inside them is no record."""
+    widths = {} if range_bytes is None else {"range_bytes": range_bytes}
+    fragments = _with_head(read_archives(spark, path, glob, version, **widths))
+    completed = F.col("stop").isNotNull()
+    staged = cut(parse_records(fragments, completed, ["start", "stop"]), "records")
+    spans = staged.where(completed).select("file", "start", "stop")
+    if not spans.isEmpty():
+        staged = outer_records(staged, spans)
+    return staged.where("wanted").select(*CRAWL_RECORD.fieldNames())
+
+
+def _scan(spark: SparkSession, path: str, out: str, glob: str, version: str) -> None:
+    """By text scan; one pass in the usual case: torn records are counted while the table is written.
 
     Only archives that hold one are read again, and their partitions replaced.
     Partitions go by file name, so all archives of a name are read again together.
