@@ -1,5 +1,6 @@
 """Hosts, blacklists, archives and extraction on literal rows."""
 
+import functools
 import gzip
 import time
 
@@ -208,7 +209,7 @@ def test_archives_in_any_ranges(spark, tmp_path):
     assert {tuple(v) for k, v in seen.items() if k[1] == "cut.warc"} <= {(("<urn:r0>", ""),), (("<urn:r0>", ""), ("<urn:r1>", None))}
 
 
-def test_parquet_files_of_even_size(spark, tmp_path):
+def test_parquet_files_of_even_size(spark, tmp_path, monkeypatch):
     """Few files an archive, however many ranges it was read in."""
     pages = spark.range(3000).select(
         F.concat(F.lit("<urn:"), "id", F.lit(">")).alias("i"), F.lit("http://h/").alias("u"), F.lit("2020").alias("d"),
@@ -216,6 +217,7 @@ def test_parquet_files_of_even_size(spark, tmp_path):
     )
     path, out = str(tmp_path / "w"), str(tmp_path / "out")
     archive_lines(pages, "i", "u", "d", "h").repartition(3).write.option("lineSep", "\r\n\r\n").text(path)
+    monkeypatch.setattr(warc, "_staged", functools.partial(warc._staged, range_bytes=60_000))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
     try:
         assert warc_to_parquet(spark, path, out, glob="*.txt") == 3000
