@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 import duck_sql
 from textmill.functions.hosts import host_of
-from textmill.operators import domains, exact, extract, language, minhash, neardup, runs, shingle, stats, tokens
+from textmill.operators import domains, exact, extract, language, minhash, neardup, runs, shingle, stats, tokens, tree
 from textmill.plans import corpus
 from textmill.schemas import CRAWL_RECORD, check_schema
 from textmill.session import cut, scratch_path
@@ -235,6 +235,13 @@ def domain_filter(spark: SparkSession, sf: str) -> DataFrame:
     return domains.domain_filter(pages, _blog_parents(spark, sf))
 
 
+def domain_filter_bloom(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by a Bloom filter, the list grown by an unseen domain for every order."""
+    pages = _table(spark, sf, "pages").select("page_id", "url")
+    made = _table(spark, sf, "orders").select(F.concat(F.lit("shop"), "o_orderkey", F.lit(".example.net")).alias("domain"))
+    return domains.bloom_domain_filter(pages, _blog_parents(spark, sf).unionByName(made))
+
+
 def url_prefix_filter(spark: SparkSession, sf: str) -> DataFrame:
     pages = _table(spark, sf, "pages").select("page_id", "url")
     entries = pages.where("url LIKE '%/fr/%' OR url LIKE '%/de/%'").select(
@@ -253,6 +260,16 @@ def html_extract(spark: SparkSession, sf: str) -> DataFrame:
     return extract.html_extract(pages, "html", "text")
 
 
+def html_main_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The heaviest block of every page, as it is and behind mis-nested and unclosed tags."""
+    torn = F.concat(F.lit("</i></div><nav><b><div>"), F.regexp_replace("html", "</p>", "</p></b><p>"))
+    variants = F.array(
+        F.struct(F.lit(False).alias("torn"), F.col("html")), F.struct(F.lit(True).alias("torn"), torn.alias("html"))
+    )
+    pages = _table(spark, sf, "pages").select("page_id", F.explode(variants).alias("v")).select("page_id", "v.torn", "v.html")
+    return tree.main_text(pages, "html", "text")
+
+
 def boilerplate_filter(spark: SparkSession, sf: str) -> DataFrame:
     texts = cut(extract.html_extract(_pages(spark, sf), "html", "text"), "texts")
     hosted = texts.withColumn("host", host_of(F.col("url")))
@@ -526,8 +543,8 @@ def report_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
-    warc_ingest, parquet_roundtrip, blacklist_load, blacklist_normalise, host_extract, domain_suffixes, domain_filter,
-    url_prefix_filter, html_extract, boilerplate_filter, lang_profile, lang_score, lang_filter, exact_dedup, shingles,
+    warc_ingest, parquet_roundtrip, blacklist_load, blacklist_normalise, host_extract, domain_suffixes, domain_filter, domain_filter_bloom,
+    url_prefix_filter, html_extract, html_main_text, boilerplate_filter, lang_profile, lang_score, lang_filter, exact_dedup, shingles,
     shingles_char, minhash_signature, minhash_signature_char, minhash_candidates, minhash_pairs, minhash_pairs_char,
     minhash_pairs_any, dup_clusters, near_dup_filter, near_dup_pairwise, dedup_compare, word_tokens, token_ids, tokenize_fixed, token_stats,
     stage_funnel, corpus_md5, corpus_lsh, eventlog_metrics, runlog_scrape, run_append, run_enrich, run_status,

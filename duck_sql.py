@@ -10,6 +10,7 @@ from html.entities import name2codepoint
 from textmill.functions import markup
 from textmill.functions.grams import MERSENNE31, gram_multipliers
 from textmill.operators import language as lang
+from textmill.operators import tree
 from textmill.operators.extract import VISIBLE_PATTERN
 from textmill.operators.minhash import BANDS, ROWS, THRESHOLD, hash_coefficients
 from textmill.operators.runs import DATA_SIZES, STAGE_COLUMNS
@@ -208,6 +209,44 @@ extracted AS (
   SELECT * FROM (SELECT {keep}, CASE WHEN {seen} THEN text ELSE {whole} END AS text FROM strict) WHERE {seen})"""
 
 
+def _names(names: list[str]) -> str:
+    return ", ".join(_text(n) for n in names)
+
+
+def _main_text(source: str, keep: str) -> str:
+    """The heaviest block element's text of ``source(keep, html)``."""
+    key = keep
+
+    def depth(names: list[str]) -> str:
+        return f"coalesce(sum(CASE WHEN matched AND name IN ({_names(names)}) THEN kind END) OVER (PARTITION BY {key} ORDER BY pos), 0) > 0"
+
+    return f"""
+shown AS (SELECT {keep}, regexp_extract_all({_replace('html', markup.HIDDEN_PATTERN, "''")}, {_text(tree.TOKEN_PATTERN)}) AS toks
+  FROM {source} WHERE length(html) > 0),
+cells AS (SELECT {keep}, unnest(toks) AS tok, generate_subscripts(toks, 1) - 1 AS pos FROM shown),
+named AS (SELECT *, lower(regexp_extract(tok, {_text(tree.NAME_PATTERN)}, 1)) AS name FROM cells),
+kinds AS (SELECT *, CASE WHEN name = '' OR name IN ({_names(tree.VOID_ELEMENTS)}) OR tok LIKE '%/>' THEN 0 WHEN tok LIKE '</%' THEN -1 ELSE 1 END AS kind FROM named),
+sums AS (SELECT *, sum(kind) OVER (PARTITION BY {key}, name ORDER BY pos) AS total FROM kinds),
+depths AS (SELECT *, total - least(0, min(total) OVER (PARTITION BY {key}, name ORDER BY pos)) AS depth FROM sums),
+befores AS (SELECT *, coalesce(lag(depth) OVER (PARTITION BY {key}, name ORDER BY pos), 0) AS before FROM depths),
+levels AS (SELECT *, CASE WHEN kind = 1 THEN depth WHEN kind = -1 AND before > 0 THEN before END AS level FROM befores),
+mates AS (SELECT *, CASE WHEN kind = 1 THEN lead(pos) OVER (PARTITION BY {key}, name, level ORDER BY pos) END AS mate FROM levels),
+matches AS (SELECT *, mate IS NOT NULL OR (kind = -1 AND level IS NOT NULL) AS matched FROM mates),
+marks AS (SELECT *, {depth(markup.DROPPED_ELEMENTS)} AS hidden, {depth(['a'])} AS linked FROM matches),
+weights AS (SELECT *, CASE WHEN hidden THEN 0 WHEN name <> '' THEN {tree.TAG_WEIGHT}
+    ELSE length({_replace('tok', '[\\s\\p{Z}]+', "''")}) * (CASE WHEN linked THEN {tree.LINK_WEIGHT} ELSE 1 END) END AS w FROM marks),
+running AS (SELECT *, sum(w) OVER (PARTITION BY {key} ORDER BY pos) AS upto FROM weights),
+blocks AS (SELECT *, lead(upto) OVER (PARTITION BY {key}, name, level ORDER BY pos) - upto AS weight FROM running),
+best AS (SELECT {keep}, pos AS first, mate AS last FROM blocks WHERE mate IS NOT NULL AND NOT hidden AND name IN ({_names(tree.CONTAINERS)})
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY weight DESC, pos) = 1),
+pieces AS (
+  SELECT {keep}, pos, CASE WHEN name = '' THEN CASE WHEN regexp_matches(tok, '^<[/!?]') THEN '' ELSE tok END
+      WHEN name IN ({_names(markup.BLOCK_ELEMENTS)}) THEN chr(10) WHEN name IN ('td', 'th') AND kind = 1 THEN ' ' ELSE '' END AS piece
+  FROM blocks LEFT JOIN best USING ({keep}) WHERE NOT hidden AND (first IS NULL OR (pos > first AND pos < last))),
+texts AS (SELECT {keep}, string_agg(piece, '' ORDER BY pos) AS t FROM pieces GROUP BY ALL),
+whole AS (SELECT {keep}, {_folded(_decode('t'))} AS text FROM texts)"""
+
+
 def _line(text: str) -> str:
     return (
         f"regexp_replace(regexp_replace({text}, '[\\r\\n]', ' ', 'g'), '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
@@ -422,6 +461,7 @@ SELECT page_id, array_to_string(parts[i:], '.') AS domain FROM (
   SELECT page_id, parts, unnest(range(1, len(parts))) AS i FROM (
     SELECT page_id, string_split({host()}, '.') AS parts FROM pages))""",
         "domain_filter": f"WITH {BLACKLIST} SELECT page_id, url FROM pages WHERE {UNLISTED}",
+        "domain_filter_bloom": f"WITH {BLACKLIST} SELECT page_id, url FROM pages WHERE {UNLISTED}",
         "url_prefix_filter": """
 WITH entries AS (
   SELECT DISTINCT lower(regexp_extract(url, 'https?://([^/:]+/[^/?#]+)', 1)) AS prefix FROM pages
@@ -433,6 +473,11 @@ SELECT page_id, url FROM pages p WHERE NOT EXISTS (
 WITH forms AS (
   SELECT page_id, false AS in_form, html FROM pages UNION ALL SELECT page_id, true, '<form>' || html FROM pages),
 {_extracted('forms', keep='page_id, in_form')} SELECT page_id, in_form, text FROM extracted""",
+        "html_main_text": f"""
+WITH torn AS (
+  SELECT page_id, false AS torn, html FROM pages UNION ALL
+  SELECT page_id, true, '</i></div><nav><b><div>' || replace(html, '</p>', '</p></b><p>') FROM pages),
+{_main_text('torn', 'page_id, torn')} SELECT page_id, torn, text FROM whole WHERE regexp_matches(text, {_text(VISIBLE_PATTERN)})""",
         "boilerplate_filter": f"""
 WITH {_extracted('pages')},
 lines AS (SELECT page_id, {host()} AS host, string_split(text, chr(10)) AS ls, text FROM extracted),

@@ -8,7 +8,7 @@ from conftest import rows
 
 from textmill.operators.components import connected_components
 from textmill.operators.minhash import band_table, minhash_signature
-from textmill.operators.neardup import NearDupConfig, dup_clusters, near_dup_filter, near_duplicates, pair_losers
+from textmill.operators.neardup import NearDupConfig, dup_clusters, near_dedup, near_dup_filter, near_duplicates, pair_losers
 
 
 def grams(text, unit, n=5):
@@ -165,3 +165,53 @@ def test_null_and_equal_ids_stay(spark):
     for keep in ("cluster", "pairwise"):
         kept = [r["id"] for r in near_dup_filter(df, "id", found, keep).collect()]
         assert sorted(kept, key=lambda i: i or 0) == [None, None, 2, 3, 3, 4]
+
+
+def test_repeated_and_null_ids(spark):
+    """Rows that share an id, or have none, are deduplicated like any other; the longest stays, then the smallest id."""
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    other = "a quite different text about something else that nobody has written before today"
+    table = spark.createDataFrame(
+        [("a", base), ("a", base), ("b", base), ("a", other), (None, base + " thirteen"), (None, other), (None, None), ("c", "short"), ("c", "short")],
+        "id string, text string",
+    )
+    for keep in ("cluster", "pairwise"):
+        kept = near_dedup(table, "id", "text", keep=keep)
+        assert kept.columns == ["id", "text"]
+        got = sorted(map(tuple, kept.collect()), key=str)
+        assert got == sorted([(None, base + " thirteen"), (None, other), (None, None), ("c", "short"), ("c", "short")], key=str)
+    three = spark.createDataFrame([("a", base), ("a", base), ("b", base)], "id string, text string")
+    assert rows(near_dedup(three, "id", "text")) == [("a", base)]
+
+
+def test_repeated_ids_against_brute_force(spark):
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(30):
+        text = [rng.choice(words) for _ in range(20)]
+        for _ in range(rng.randint(1, 3)):
+            edited = list(text)
+            edited[rng.randrange(20)] = "edit"
+            texts.append(" ".join(rng.choice([text, edited])))
+    data = [(rng.choice([None, 1, 2, 3, i + 10]), t) for i, t in enumerate(texts)]
+    cfg = NearDupConfig(bands=24, rows=1)
+    kept = near_dedup(spark.createDataFrame(data, "id long, text string"), "id", "text", cfg)
+    grams = [frozenset(tuple(t.split()[i : i + 5]) for i in range(16)) for _, t in data]
+    parent = list(range(len(data)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(data)):
+        for j in range(i):
+            if len(grams[i] & grams[j]) / len(grams[i] | grams[j]) >= 0.5:
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, (_, t) in enumerate(data):
+        groups.setdefault(root(i), []).append(t)
+    got = [r["text"] for r in kept.collect()]
+    best = [max(len(t) for t in g) for g in groups.values()]
+    assert len(got) == len(groups) and sorted(map(len, got)) == sorted(best)

@@ -2,14 +2,18 @@
 
 import functools
 import gzip
+import random
 import time
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from textmill.functions.bloom import bloom_filter, bloom_size, might_contain
+from textmill.operators import tree
 from textmill.operators.domains import (
     blacklist_normalise,
+    bloom_domain_filter,
     domain_filter,
     domain_suffixes,
     host_extract,
@@ -64,6 +68,29 @@ def test_domain_filter(spark, urls):
     assert [r[0] for r in rows(kept.select("id"))] == [3, 4, 5, 7, 8]
 
 
+def test_bloom_filter(spark):
+    keys = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("k"))
+    words, hashes = bloom_size(20_000, 0.01)
+    assert 0.9 < words * 64 / (20_000 * 9.585) < 1.1 and hashes in (6, 7)
+    held = bloom_filter(keys, "k", words, hashes)
+    assert len(held.first()["words"]) == words
+    others = spark.range(20_000).select(F.concat(F.lit("o"), "id").alias("k"))
+    count = lambda df: df.where(might_contain(held, F.col("k"), words, hashes)).count()
+    assert count(keys) == 20_000 and 100 < count(others) < 320
+    assert bloom_size(0) == (1, 1) and spark.range(1).select(might_contain(held, F.lit(None).cast("string"), words, hashes)).first()[0] is None
+
+
+def test_bloom_domain_filter(spark, urls):
+    listed = spark.createDataFrame([("bad.example.org",), ("org",), ("localhost",), (None,), ("bad.example.org",)], "domain string")
+    made = spark.range(200_000).select(F.concat(F.lit("d"), "id", F.lit(".example.net")).alias("domain"))
+    pages = spark.range(3000).select(F.col("id") + 100, F.concat(F.lit("http://www.d"), F.col("id") * 100, F.lit(".example.net/")))
+    pages = urls.union(pages)
+    for found in (listed, listed.unionByName(made), listed.limit(0)):
+        for strict, size in ((False, 64 << 20), (True, 64 << 20), (False, 10)):
+            want = rows(domain_filter(pages, found, strict=strict).select("id"))
+            assert rows(bloom_domain_filter(pages, found, strict=strict, max_bytes=size).select("id")) == want
+
+
 def test_url_prefixes(spark):
     pages = spark.createDataFrame(
         [(1, "http://a.org/x/y?q"), (2, "http://a.org/xy"), (3, "http://A.org/X"), (4, "a.org"), (5, None)], "id long, url string"
@@ -281,3 +308,95 @@ def test_contracts(spark, tmp_path):
     write_table(table, str(tmp_path / "t"), "warc_filename")
     back = read_table(spark, str(tmp_path / "t"), schema=CRAWL_RECORD)
     assert rows(back) == [("a", "b", "c", "d", "x.warc")]
+
+
+# --- element tree ------------------------------------------------------------------------------------
+
+
+def plain_tree(tokens):
+    """Matched elements ``{open: (close, level)}`` by one stack of open tags per name."""
+    stacks, mates = {}, {}
+    for pos, name, kind in tokens:
+        stack = stacks.setdefault(name, [])
+        if kind == 1:
+            stack.append(pos)
+        elif kind == -1 and stack:
+            at = stack.pop()
+            mates[at] = (pos, len(stack) + 1)
+    return mates
+
+
+def plain_main(tokens):
+    """The pieces of the heaviest block element, element by element."""
+    mates = plain_tree([(p, n, k) for p, _, n, k in tokens])
+    inside = lambda pos, names: any(a <= pos < b for a, (b, _) in mates.items() if tokens[a][2] in names)
+    hidden = [inside(p, tree.DROPPED_ELEMENTS) for p, *_ in tokens]
+
+    def weight(p):
+        _, tok, name, _ = tokens[p]
+        if hidden[p]:
+            return 0
+        if name:
+            return tree.TAG_WEIGHT
+        return len("".join(tok.split())) * (tree.LINK_WEIGHT if inside(p, ["a"]) else 1)
+
+    sums = {a: sum(weight(p) for p in range(a + 1, b + 1)) for a, (b, _) in mates.items() if tokens[a][2] in tree.CONTAINERS and not hidden[a]}
+    if not sums:
+        return mates, (-1, len(tokens)), hidden
+    first = max(sums, key=lambda a: (sums[a], -a))
+    return mates, (first, mates[first][0]), hidden
+
+
+def test_element_tree_equals_a_plain_one(spark):
+    rng = random.Random(8)
+    names = ["div", "p", "a", "nav", "b", "td", "article", "br", "li"]
+
+    def page():
+        out = []
+        for _ in range(rng.randint(0, 60)):
+            name = rng.choice(names)
+            out.append(rng.choice([f"<{name}>", f"<{name.upper()} class='x'>", f"</{name}>", f"</{name}>", "some text ", "&amp; é", "< 3", "<!doctype x>", f"<{name}/>"]))
+        return "".join(out)
+
+    pages = spark.createDataFrame([(i, page()) for i in range(300)], "id long, html string").repartition(8, "id").cache()
+    tokens = tree.page_tokens(pages, "id", "html")
+    got = {}
+    for r in tree.subtree_weights(tree.element_tree(tokens, "id"), "id").collect():
+        got.setdefault(r["id"], []).append(r)
+    texts = {r["id"]: r["text"] for r in tree.main_text(pages, "html", "text").collect()}
+    seen = 0
+    for i, found in got.items():
+        found.sort(key=lambda r: r["pos"])
+        mates, (first, last), hidden = plain_main([(r["pos"], r["tok"], r["name"], r["kind"]) for r in found])
+        assert {r["pos"]: (r["mate"], r["level"]) for r in found if r["mate"] is not None} == mates
+        assert [r["hidden"] for r in found] == hidden
+        words = "".join(r["tok"] for r in found[first + 1 : last] if not r["name"] and not r["tok"].startswith("<!") and not r["hidden"])
+        plain = "".join(words.replace("&amp;", "&").split())
+        assert "".join(texts.get(i, "").split()) == plain
+        seen += bool(plain)
+    assert seen > 150
+
+
+def test_main_text_leaves_menus(spark):
+    menu = "<div class=m>" + "".join(f"<a href=/{i}>section number {i}</a> " for i in range(30)) + "</div>"
+    body = "<div><h1>Title</h1><p>A long first paragraph of the article.</p><p>And <a href=x>one link</a> &amp; more.</p></div>"
+    cases = {
+        1: f"<html><head><title>t</title></head><body>{menu}{body}<div>tiny</div></body></html>",
+        2: f"<body>{menu}</div></b>{body}", 3: f"<nav><div>{body}", 4: "<script>x</script>", 5: None, 6: "", 7: "just text",
+    }
+    table = spark.createDataFrame([(i, h) for i, h in cases.items()] + [(7, "just text")], "id long, html string")
+    got = sorted((r["id"], r["text"]) for r in tree.main_text(table, "html", "text").collect())
+    article = "Title\nA long first paragraph of the article.\nAnd one link & more."
+    assert got == [(1, article), (2, article), (3, article), (7, "just text"), (7, "just text")]
+
+
+def test_main_text_of_long_pages_is_linear(spark):
+    def seconds(n):
+        page = "<div>" * n + "text <b>" * n + "</div>" * n
+        table = spark.createDataFrame([(1, page)], "id long, html string")
+        start = time.time()
+        assert tree.main_text(table, "html", "text").count() == 1
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(60_000) < 30  # 1.1 MB, 180,000 nested tags

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textmill.functions.bloom import FALSE_POSITIVES, MAX_BYTES, bloom_filter, bloom_size, might_contain
 from textmill.functions.hosts import host_of, parent_domains
+from textmill.session import cut
 
 
 def host_extract(df: DataFrame, url_col: str, out: str = "host", strict: bool = False) -> DataFrame:
@@ -50,6 +52,28 @@ def domain_filter(df: DataFrame, blacklist: DataFrame, url_col: str = "url", str
     return kept.drop("_host")
 
 
+def bloom_domain_filter(
+    df: DataFrame, blacklist: DataFrame, url_col: str = "url", strict: bool = False,
+    false_positives: float = FALSE_POSITIVES, max_bytes: int = MAX_BYTES,
+) -> DataFrame:
+    """The rows of ``domain_filter`` for a list of many millions, by a Bloom filter of the list.
+
+    Every page's parent domains meet the filter where the page is read. Only those that may
+    be listed, a ``false_positives`` share of the others among them, are made distinct and
+    joined with the list; a list whose filter would exceed ``max_bytes`` goes without one.
+    """
+    listed = cut(blacklist.select("domain").where("domain IS NOT NULL").distinct(), "listed")
+    words, hashes = bloom_size(listed.count(), false_positives)
+    if words * 8 > max_bytes:
+        return domain_filter(df, listed, url_col, strict)
+    held = cut(bloom_filter(listed, "domain", words, hashes), "bloom")
+    host = host_of(F.col(url_col), strict)
+    parents = df.select(host.alias("host"), F.explode(parent_domains(host)).alias("domain"))
+    maybe = parents.where(might_contain(held, F.col("domain"), words, hashes)).distinct()
+    hits = cut(maybe.join(listed, "domain", "left_semi").select(F.col("host").alias("_host")).distinct(), "hits")
+    return df.withColumn("_host", host).join(hits, "_host", "left_anti").drop("_host")
+
+
 def url_prefix_filter(df: DataFrame, blacklist: DataFrame, url_col: str = "url") -> DataFrame:
     """Drop pages under a listed ``host/path`` entry (entries without a slash are ignored here).
 

@@ -295,8 +295,8 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
 
     The links have the components and the losers of all similar pairs; which of the
     pairs they are depends on the sizes of the buckets. Documents with a null id, and
-    those whose id another row has too, take no part: no filter could name them, so
-    they stay.
+    those whose id another row has too, take no part: no filter could name them.
+    ``near_dedup`` gives such rows ids of their own first.
     """
     docs = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     narrow = docs.withColumn("fp", F.md5("text")).withColumn("len", F.length("text"))
@@ -386,3 +386,21 @@ def near_dup_filter(df: DataFrame, id_col: str, found: NearDuplicates, keep: str
     else:
         raise ValueError(f"keep must be 'cluster' or 'pairwise', not {keep!r}")
     return df.join(losers.withColumnRenamed("id", "_loser"), F.col(id_col) == F.col("_loser"), "left_anti")
+
+
+def near_dedup(
+    df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfig = NearDupConfig(), keep: str = "cluster"
+) -> DataFrame:
+    """``df`` without near duplicates, whatever its ids.
+
+    Where an id is null or repeats, rows are told apart by id and place in a table written
+    for it, so a crawl that holds a record twice loses one of the two, and different texts
+    under one id are different documents. Ids that are all clear decide as they always do.
+    """
+    ids = df.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("n"))
+    if ids.where("id IS NULL OR n > 1").isEmpty():
+        return near_dup_filter(df, id_col, near_duplicates(df, id_col, text_col, cfg), keep)
+    stored = cut(df.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    keyed = stored.withColumn("_key", F.struct(F.col(id_col).alias("id"), F.col("_place").alias("place")))
+    kept = near_dup_filter(keyed, "_key", near_duplicates(keyed, "_key", text_col, cfg), keep)
+    return kept.select(*df.columns)

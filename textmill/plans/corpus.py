@@ -11,7 +11,7 @@ from textmill.operators.exact import dedup_compare, exact_dedup
 from textmill.operators.extract import html_extract
 from textmill.operators.funnel import stage_funnel
 from textmill.operators.language import LANG, THRESHOLD, LanguageModel, lang_filter
-from textmill.operators.neardup import NearDupConfig, near_dup_filter, near_duplicates
+from textmill.operators.neardup import NearDupConfig, near_dedup
 from textmill.operators.tokens import tokenize_fixed
 from textmill.schemas import check_step
 from textmill.session import cut
@@ -73,8 +73,7 @@ def drop_exact(english: DataFrame) -> DataFrame:
 
 def drop_near(english: DataFrame, cfg: CorpusConfig = CorpusConfig()) -> DataFrame:
     """Step 5a: one record of each group of near duplicates."""
-    found = near_duplicates(english, "warc_id", "extracted_text", cfg.near)
-    return check_step(near_dup_filter(english, "warc_id", found, cfg.keep), 5)
+    return check_step(near_dedup(english, "warc_id", "extracted_text", cfg.near, cfg.keep), 5)
 
 
 def prepare_corpus(
