@@ -48,10 +48,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that no later step reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the run folder at a job's end; tables read from it are gone then."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    discard(spark, run_folder(spark))
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
