@@ -150,7 +150,8 @@ def op12_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Learns from two thirds of the ids, scores every text."""
     docs = _table(spark, sf, "documents", "doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    model = toxicity.fit(toxicity.with_labels(docs.where(~held_out), _table(spark, sf, "labels", "doc_id", "toxic")))
+    labels = _table(spark, sf, "labels", "doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(docs.where(~held_out), labels)
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 

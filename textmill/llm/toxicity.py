@@ -60,13 +60,14 @@ NEAR = 5
 THRESHOLD = 0.7
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MASKED = re.compile(r"[^\W\d_]+(?:[@$*!|+#0-9]+[^\W\d_]+)+")
+#: Cheap signs that a disguise may be there, and the disguises, anchored so that no letter starts two attempts.
+_SIGN_INSIDE = re.compile(r"[@$*!|+#0-9](?=[^\W\d_])")
+_MASKED = re.compile(r"(?<![^\W\d_])[^\W\d_]+(?:[@$*!|+#0-9]+[^\W\d_]+)+")
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .*_-][^\W\d_](?![^\W_])){3,}")
-_STRETCHED = re.compile(r"[^\W\d_]*?([^\W\d_])\1\1+[^\W\d_]*")
-_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ]")
-_SHOUT = re.compile(r"\b[A-ZÀ-ÖØ-Þ]{3,}\b")
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 _LOUD = re.compile(r"[!?]{2,}")
-_SIGN = re.compile(r"[#$%&*@^~|]")
+_SIGNS = "#$%&*@^~|"
 _UNMASK = str.maketrans({"@": "a", "$": "s", "!": "i", "|": "l", "+": "t", "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "*": "", "#": ""})
 _TIGHT = str.maketrans("", "", " .*_-")
 
@@ -78,39 +79,55 @@ FEATURES = [
 
 
 class Lexicon(NamedTuple):
-    """Learnt log-odds of words and of the beginnings of words."""
+    """Learnt log-odds of words and, by length, of the beginnings of words."""
 
     words: dict[str, float]
-    stems: dict[str, float]
+    stems: dict[int, dict[str, float]]
+
+
+def _undisguised(lower: str, words: list[str]) -> tuple[int, int, int, list[str]]:
+    """How many words have signs inside, letters apart, letters stretched; and how they may read without."""
+    masked = _MASKED.findall(lower) if _SIGN_INSIDE.search(lower) else []
+    apart = [m.group() for m in _APART.finditer(lower)]
+    stretched = [w for w in words if _TRIPLE.search(w)] if _TRIPLE.search(lower) else []
+    plain = [w.translate(_UNMASK) for w in masked] + [w.translate(_TIGHT) for w in apart]
+    plain += [re.sub(r"(.)\1\1+", keep, w) for w in stretched for keep in (r"\1", r"\1\1")]
+    return len(masked), len(apart), len(stretched), plain
 
 
 def features(text: str | None, lexicon: Lexicon) -> list[float]:
-    """The numbers named in ``FEATURES``."""
+    """The numbers named in ``FEATURES``. Different words are met with the lists first, since most texts share none."""
     text = text or ""
     lower = text.lower()
     words = _WORD.findall(lower)
+    different = set(words)
     n, chars = max(1, len(words)), max(1, len(text))
-    abuse = [i for i, w in enumerate(words) if w in ABUSE]
-    threat = sum([w in THREAT for w in words])
-    learnt = [(i, lexicon.words[w]) for i, w in enumerate(words) if w in lexicon.words]
-    stems = [s for s in [max([lexicon.stems.get(w[:k], 0.0) for k in STEMS]) for w in words] if s]
-    address = [i for i, w in enumerate(words) if w in ADDRESS]
-    near, hits = 0, {*abuse, *[i for i, _ in learnt]}
+    abusive, learnt = different & ABUSE, {w: lexicon.words[w] for w in different & lexicon.words.keys()}
+    threatening, addressing = different & THREAT, different & ADDRESS
+    begun: dict[str, float] = {}
+    for size, stems in lexicon.stems.items():
+        heads = {w[:size] for w in different}.intersection(stems)
+        for w in [w for w in different if w[:size] in heads] if heads else ():
+            begun[w] = max(begun.get(w, 0.0), stems[w[:size]])
+    marked = abusive | learnt.keys() | threatening | addressing | begun.keys()
+    met = [(i, w) for i, w in enumerate(words) if w in marked] if marked else []
+    abuse, hits = [i for i, w in met if w in abusive], [i for i, w in met if w in abusive or w in learnt]
+    weights, stem_weights = [learnt[w] for _, w in met if w in learnt], [begun[w] for _, w in met if w in begun]
+    threat, address, near = sum([w in threatening for _, w in met]), [i for i, w in met if w in addressing], 0
     if address:
         for i in hits:
             at = bisect_left(address, i)
             near += min([abs(i - p) for p in address[max(0, at - 1) : at + 1]]) <= NEAR
-    masked, stretched = _MASKED.findall(lower), [m.group() for m in _STRETCHED.finditer(lower)]
-    apart = [m.group() for m in _APART.finditer(lower)]
-    plain = [w.translate(_UNMASK) for w in masked] + [w.translate(_TIGHT) for w in apart]
-    plain += [re.sub(r"(.)\1\1+", r"\1", w) for w in stretched] + [re.sub(r"(.)\1\1+", r"\1\1", w) for w in stretched]
+    capitals = _CAPITALS.findall(text)
+    bangs, asks = text.count("!"), text.count("?")
+    loud = len(_LOUD.findall(text)) if bangs + asks > 1 else 0
+    masked, apart, stretched, plain = _undisguised(lower, words)
     undone = sum([w in ABUSE or w in lexicon.words for w in plain])
-    weights = [w for _, w in learnt]
     return [
-        len(abuse) / n, math.log1p(len(abuse)), threat / n, len(learnt) / n, math.log1p(len(learnt)), sum(weights) / n,
-        max(weights, default=0.0), len(stems) / n, sum(stems) / n, max(stems, default=0.0), len(address) / n, near / n, math.log1p(near),
-        len(_CAPITAL.findall(text)) / chars, len(_SHOUT.findall(text)) / n, text.count("!") / chars, text.count("?") / chars,
-        len(_LOUD.findall(text)) / chars, len(_SIGN.findall(text)) / chars, len(masked) / n, len(apart) / n, len(stretched) / n,
+        len(abuse) / n, math.log1p(len(abuse)), threat / n, len(weights) / n, math.log1p(len(weights)), sum(weights) / n,
+        max(weights, default=0.0), len(stem_weights) / n, sum(stem_weights) / n, max(stem_weights, default=0.0), len(address) / n,
+        near / n, math.log1p(near), sum(map(len, capitals)) / chars, sum([len(c) > 2 for c in capitals]) / n, bangs / chars,
+        asks / chars, loud / chars, sum([text.count(s) for s in _SIGNS]) / chars, masked / n, apart / n, stretched / n,
         math.log1p(undone), sum(map(len, words)) / n, math.log1p(len(words)),
     ]
 
@@ -174,15 +191,11 @@ def boost(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 80, depth:
 
 def isotonic(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the rising step function that is closest to ``y``: pools of violators, adjacent ones merged."""
-    order = np.argsort(score, kind="stable")
+    at, place = np.unique(score, return_inverse=True)
     pools: list[list[float]] = []
-    for s, t, v in zip(score[order], y[order], w[order]):
-        # Equal scores are one pool from the start.
-        if pools and pools[-1][1] == s:
-            pools[-1][2] += t * v
-            pools[-1][3] += v
-        else:
-            pools.append([s, s, t * v, v])
+    # Equal scores are one pool from the start.
+    for s, total, weight in zip(at, np.bincount(place, y * w), np.bincount(place, w)):
+        pools.append([s, s, total, weight])
         while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
             _, stop, total, weight = pools.pop()
             pools[-1][1:] = [stop, pools[-1][2] + total, pools[-1][3] + weight]
@@ -212,8 +225,9 @@ def _lexicon(counts: pd.DataFrame, fold: int | None) -> Lexicon:
     all_toxic, all_clean = max(1.0, toxic[whole].sum()), max(1.0, clean[whole].sum())
     odds = np.log((toxic + 0.5) / (all_toxic + 1)) - np.log((clean + 0.5) / (all_clean + 1))
     kept = counts[(toxic >= MIN_SUPPORT) & (odds >= MIN_LOG_ODDS) & ~whole].assign(odds=odds)
-    split = [dict(zip(part["term"], part["odds"])) for part in (kept[~kept["stem"]], kept[kept["stem"]])]
-    return Lexicon(*split)
+    stems, words = kept[kept["stem"]], kept[~kept["stem"]]
+    by_length = {k: stems[stems["term"].str.len() == k] for k in STEMS}
+    return Lexicon(dict(zip(words["term"], words["odds"])), {k: dict(zip(p["term"], p["odds"])) for k, p in by_length.items()})
 
 
 def _count_terms(sample: DataFrame) -> pd.DataFrame:
@@ -236,24 +250,40 @@ def _count_terms(sample: DataFrame) -> pd.DataFrame:
     return best.orderBy(F.desc(F.col("term") == ""), F.desc("support"), "term", "stem").limit(LEXICON_TERMS + 1).toPandas()
 
 
-def fit(
-    labelled: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS
-) -> Model:
-    """A model from about ``sample_rows`` labelled rows of each label."""
-    toxic = col(label_col).cast("double") > 0
-    key = F.xxhash64(col(id_col).cast("string"), col(text_col))
-    rows = labelled.where(col(text_col).isNotNull() & col(label_col).isNotNull() & col(id_col).isNotNull()).select(
-        col(text_col).alias("text"), toxic.alias("toxic"), key.alias("h")
-    )
+def _sample(rows: DataFrame, sample_rows: int, span: int) -> tuple[DataFrame, dict[bool, int]]:
+    """About ``sample_rows`` rows of each label by their ``h`` below ``span``, with a ``weight``; and all rows' number."""
     counts = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    none = (np.array([0.0]), np.array([1.0 if counts.get(True) else 0.0]))
-    if len(counts) < 2:
-        return Model(Lexicon({}, {}), None, none)
     share = {label: min(1.0, sample_rows / n) for label, n in counts.items()}
-    rate = F.when(F.col("toxic"), F.lit(share[True])).otherwise(F.lit(share[False]))
+    rate = F.when(F.col("toxic"), F.lit(share.get(True, 1.0))).otherwise(F.lit(share.get(False, 1.0)))
+    return rows.where(F.col("h") < rate * span).withColumn("weight", 1 / rate), counts
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, text_col: str = "text", label_col: str = "toxic", id_col: str = "doc_id",
+    sample_rows: int = SAMPLE_ROWS,
+) -> Model:
+    """A model from about ``sample_rows`` documents of each label.
+
+    Labels are sampled first, by a digest of their ids, so that only the bounded sample
+    is broadcast to the documents and no text is shuffled. Documents that share an id are
+    sampled once more, by their text, should they exceed the bound.
+    """
     span = 1 << 32
-    chosen = rows.where(F.pmod("h", F.lit(span)) < rate * span).withColumns(
-        {"weight": 1 / rate, "fold": F.pmod(F.shiftright("h", 33), F.lit(FOLDS)).cast("int")}
+    ids = col(id_col).cast("string")
+    known = labels.where(col(id_col).isNotNull() & col(label_col).isNotNull())
+    one = known.groupBy(ids.alias("id")).agg((F.max(col(label_col).cast("double")) > 0).alias("toxic"))
+    one = cut(one.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(span))), "labels")
+    chosen, first = _sample(one, sample_rows, span)
+    rows = docs.where(col(text_col).isNotNull()).select(ids.alias("id"), col(text_col).alias("text"))
+    found = rows.join(F.broadcast(chosen.drop("h")), "id")
+    key = F.xxhash64("id", "text")
+    table = cut(found.select("text", "toxic", "weight", key.alias("key"), F.pmod(key, F.lit(span)).alias("h")), "labelled")
+    again, counts = _sample(table.withColumnRenamed("weight", "before"), sample_rows, span)
+    if len(counts) < 2:
+        return Model(Lexicon({}, {}), None, (np.array([0.0]), np.array([1.0 if counts.get(True) else 0.0])))
+    chosen = again.select(
+        "text", "toxic", (F.col("before") * F.col("weight")).alias("weight"), F.col("key").alias("h"),
+        F.pmod(F.shiftright("key", 33), F.lit(FOLDS)).cast("int").alias("fold"),
     )
     sample = cut(chosen, "labelled")
     counted = _count_terms(sample)
@@ -286,9 +316,3 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     udf = F.pandas_udf(batches, "double").asNondeterministic()
     scored = docs.select(*[col(c) for c in extra], udf(col(text_col)).alias(found))
     return scored.select(*[col(c) for c in extra], F.col(found).alias("score"), (F.col(found) >= threshold).cast("int").alias("predicted"))
-
-
-def with_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """The labelled documents, ``(id, text, label)``; a document with several labels takes the highest."""
-    one = labels.where(col(id_col).isNotNull()).groupBy(col(id_col).alias(id_col)).agg(F.max(col(label_col)).alias(label_col))
-    return docs.select(id_col, text_col).join(one, id_col)
