@@ -36,12 +36,29 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
         self.spark, self.path, self.buckets = spark, path, buckets
+        self._hold_buckets()
         self.table = "digest_index_" + hashlib.md5(path.encode()).hexdigest()
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} ({self.COLUMNS}) USING parquet "
             f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
 
+    def _hold_buckets(self) -> None:
+        """Stores the bucket count beside a new index; refuses another one for an index that exists.
+
+        Bucketed files are told apart by their number only, so a table read with another
+        count would look for digests in the wrong files.
+        """
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        beside = jvm.org.apache.hadoop.fs.Path(self.path.rstrip("/") + "-buckets")
+        system = beside.getFileSystem(conf)
+        if not system.exists(beside):
+            self.spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.mode("overwrite").json(beside.toString())
+            return
+        made = self.spark.read.schema("buckets INT").json(beside.toString()).first()
+        if made is not None and made["buckets"] != self.buckets:
+            raise ValueError(f"the index at {self.path} has {made['buckets']} buckets, not {self.buckets}")
+
     def admit(self, docs: DataFrame, batch: str, id_col: str = "doc_id", text_col: str = "text") -> None:
         """Append the digests of ``docs`` that no other batch has brought."""
         # Written first, else the planner would move the anti-join below the aggregate and shuffle every copy.

@@ -9,8 +9,8 @@ blocked where distrust exceeds trust by more than ``margin`` times their sum, so
 that scores which shrink as hosts are added keep every verdict; one that neither
 reaches gets ``default``.
 
-Every round is one join and one aggregate over host pairs, written to the shared
-folder. Rounds go on until none raises any host's score by more than ``tolerance``
+Every round is one join and one aggregate over host pairs; every few rounds are written to
+the shared folder, and the table before is dropped. Rounds go on until none raises any host's score by more than ``tolerance``
 of it, so a host counts however far from the seeds and however small its score; a
 given number of ``rounds`` stops there instead. Rules are a short list held in the
 plan; the graph and its scores stay in tables.
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from textmill.llm.common import col, fresh
-from textmill.session import cut
+from textmill.session import cut, discard, scratch_path
 
 #: (verdict, host/path)
 Rule = tuple[str, str]
@@ -37,11 +37,16 @@ RULES: tuple[Rule, ...] = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
 )
 DAMPING = 0.85
-#: Rounds of the SQL, and so of the registered query.
+#: A given number of rounds that is enough where seeds are near.
 ROUNDS = 8
+#: Rounds between two tables.
+ROUNDS_A_TABLE = 10
 TOLERANCE = 1e-9
 KIN = 1.0
-MARGIN = 1e-9
+#: Above what the tolerance leaves open: a share of ``TOLERANCE / (1 - DAMPING)`` of a score.
+MARGIN = 1e-7
+#: Rounds of the SQL: what is left after them is below the tolerance for hosts up to 250 links from a seed.
+SQL_ROUNDS = 400
 
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
@@ -119,20 +124,29 @@ def _converged(passes: DataFrame, start: DataFrame, tolerance: float) -> DataFra
     """The sum over all path lengths of what ``start`` passes on.
 
     ``term`` is what the last round brought to a host. All terms together shrink by
-    the damping every round, while a host's score only grows, so the rounds end.
+    the damping every round, while a host's score only grows, so the rounds end. Every
+    host keeps its score by an edge to itself, so a round is a single join.
     """
-    state = start.withColumn("term", F.col("score"))
-    change = 1.0
+    spark = passes.sparkSession
+    known = passes.select("host", "kind").union(passes.select("to", "kind")).union(start.select("host", "kind")).distinct()
+    keeps = known.select("host", "kind", F.col("host").alias("to"), F.lit(0.0).alias("p"), F.lit(True).alias("keep"))
+    flows = cut(passes.withColumn("keep", F.lit(False)).unionByName(keeps), "flows")
+    state, change, last = start.withColumn("term", F.col("score")), 1.0, None
+    brought = F.when(F.col("keep"), 0.0).otherwise(F.col("p") * F.col("term"))
     while change > tolerance:
-        moved = passes.join(state.where("term > 0"), ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("p") * F.col("term")).alias("term"))
-        known = state.select("host", "kind", F.lit(0.0).alias("term"), F.col("score"))
-        both = moved.withColumn("score", F.col("term")).unionByName(known)
-        seen = Observation("terms")
+        for _ in range(ROUNDS_A_TABLE):
+            moved = flows.join(state, ["host", "kind"]).where("keep OR term > 0").select(
+                F.col("to").alias("host"), "kind", brought.alias("term"), F.when(F.col("keep"), F.col("score")).otherwise(brought).alias("score")
+            )
+            state = moved.groupBy("host", "kind").agg(F.sum("term").alias("term"), F.sum("score").alias("score"))
+        seen, path = Observation("terms"), scratch_path(spark, "scores")
         share = F.max(F.when(F.col("score") > 0, F.col("term") / F.col("score")))
-        summed = both.groupBy("host", "kind").agg(F.sum("term").alias("term"), F.sum("score").alias("score"))
-        state = cut(summed.observe(seen, share.alias("share")), "scores")
+        state.observe(seen, share.alias("share")).write.parquet(path)
         change = seen.get["share"] or 0.0
-    return state.select("host", "kind", "score")
+        if last is not None:
+            discard(spark, last)
+        state, last = spark.read.schema("host STRING, kind INT, term DOUBLE, score DOUBLE").parquet(path), path
+    return state.where("score > 0").select("host", "kind", "score")
 
 
 def seed_hosts(ruled: DataFrame) -> DataFrame:
@@ -175,17 +189,6 @@ def url_filter(
     )
 
 
-def _rounds_sql(rounds: int) -> str:
-    parts = ["s0 AS (SELECT host, kind, n / all_n AS score FROM seeds)"]
-    for k in range(1, rounds + 1):
-        parts.append(
-            f"s{k} AS (SELECT host, kind, sum(score) AS score FROM (SELECT p.dst AS host, p.kind, p.p * {DAMPING} * s.score AS score "
-            f"FROM passes p JOIN s{k - 1} s ON p.src = s.host AND p.kind = s.kind UNION ALL "
-            f"SELECT host, kind, {1 - DAMPING} * score FROM s0) GROUP BY ALL)"
-        )
-    return ",\n".join(parts)
-
-
 def _rules_sql(field: int) -> str:
     longest = sorted(RULES, key=lambda r: -len(r[1]))
     cases = []
@@ -196,7 +199,7 @@ def _rules_sql(field: int) -> str:
 
 
 SQL = f"""
-WITH cutoff AS (SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE cutoff AS (SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 u AS (SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{ascii_uppercase}', '{ascii_lowercase}') AS host,
              regexp_extract(regexp_replace(rest, '^[^/?#]*', ''), '^[^?#]*') AS path FROM cutoff),
 r AS (SELECT *, {_rules_sql(1)} AS rule, {_rules_sql(0)} AS said FROM u),
@@ -210,9 +213,13 @@ raw AS (SELECT src, dst, 1.0 AS w FROM hrefs UNION ALL SELECT child, parent, {KI
 edges AS (SELECT src, dst, CAST(sum(w) AS DOUBLE) AS w FROM raw WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
 passes AS (SELECT src, dst, 0 AS kind, w / sum(w) OVER (PARTITION BY src) AS p FROM edges
            UNION ALL SELECT dst, src, 1, w / sum(w) OVER (PARTITION BY dst) FROM edges),
-{_rounds_sql(ROUNDS)},
-t AS (SELECT host, coalesce(sum(score) FILTER (kind = 0), 0) AS trust, coalesce(sum(score) FILTER (kind = 1), 0) AS distrust FROM s{ROUNDS} GROUP BY host)
-SELECT page_id, r.host, path, rule, coalesce(said, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) > {MARGIN} THEN 'block' ELSE 'allow' END) AS verdict,
-       round(coalesce(trust, 0), 9) AS trust, round(coalesce(distrust, 0), 9) AS distrust
+-- What every path length brings to a host.
+terms AS (
+  SELECT 0 AS round, host, kind, {1 - DAMPING} * n / all_n AS term FROM seeds UNION ALL
+  SELECT round + 1, p.dst, p.kind, sum(p.p * {DAMPING} * t.term) FROM terms t JOIN passes p ON p.src = t.host AND p.kind = t.kind
+  WHERE round < {SQL_ROUNDS} GROUP BY ALL),
+t AS (SELECT host, coalesce(sum(term) FILTER (kind = 0), 0) AS trust, coalesce(sum(term) FILTER (kind = 1), 0) AS distrust FROM terms GROUP BY host)
+SELECT page_id, r.host, path, rule, coalesce(said, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0)
+    > {MARGIN} * (coalesce(distrust, 0) + coalesce(trust, 0)) THEN 'block' ELSE 'allow' END) AS verdict
 FROM r LEFT JOIN t ON r.host = t.host
 """

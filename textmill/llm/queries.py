@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL.
 
-Each applies one operator, with its default parameters (but op6), to its whole table.
+Each applies one operator, with its default parameters, to its whole table.
 """
 
 from __future__ import annotations
@@ -78,11 +78,8 @@ def op5_nearest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf: str) -> DataFrame:
-    """Stops where the query's SQL does; the operator's default goes on until the scores have converged."""
-    judged = link_trust.url_filter(_table(spark, sf, "pages"), rounds=link_trust.ROUNDS)
-    return judged.select(
-        "page_id", "host", "path", "rule", "verdict", F.round("trust", 9).alias("trust"), F.round("distrust", 9).alias("distrust")
-    )
+    judged = link_trust.url_filter(_table(spark, sf, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op7_token_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -182,16 +182,22 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
-def labelled_samples(docs: DataFrame, id_col: str, text_col: str, rows: int = 300) -> DataFrame:
-    """``(text, is_random)`` out of at most ``rows`` documents, the first by a digest of their id.
+def labelled_samples(docs: DataFrame, id_col: str, text_col: str, rows: int = 300, words: int = 40) -> DataFrame:
+    """``(text, is_random)`` out of at most ``rows`` documents that have words, and ``words`` different
+    words of each, both the first by digest: of id and text, and of the word, wherever in the text it stands.
 
-    Ordinary are their words, alone and joined as identifiers are; random is the
-    base64 and hexadecimal form of the words' digests.
+    Ordinary are the words, alone and joined as identifiers are; random is the
+    base64 and hexadecimal form of the words' digests. Repeated rows count once; null ids are an id.
     """
     # The sample is a documented bound of the classifier; the scan covers every row.
-    order = F.xxhash64(col(id_col))
-    words = F.filter(F.split(text_or_empty(text_col), r"[^A-Za-z0-9]+"), lambda w: F.char_length(w) > 2)
-    some = docs.select(order.alias("o"), F.slice(words, 1, 40).alias("w")).orderBy("o").limit(rows)
+    text, span = text_or_empty(text_col), 1 << 32
+    keyed = docs.select(F.xxhash64(col(id_col).cast("string")).alias("o"), F.xxhash64(text).alias("t"), text.alias("text")).where(text.rlike("[A-Za-z0-9]{3}"))
+    # By a share of the digests first, so that what is sorted does not grow with the table.
+    share = min(1.0, 4.0 * rows / max(1, docs.count()))
+    drawn = keyed.where(F.pmod(F.xxhash64("o", "t"), F.lit(span)) < share * span).dropDuplicates(["o", "t"]).orderBy("o", "t").limit(rows)
+    different = F.array_distinct(F.filter(F.split("text", r"[^A-Za-z0-9]+"), lambda w: F.char_length(w) > 2))
+    ranked = F.array_sort(F.transform(different, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w"))))
+    some = drawn.select(F.slice(ranked["w"], 1, words).alias("w"))
     lists = some.withColumn("raw", F.transform("w", lambda x: F.unhex(F.sha2(x, 256))))
     ordinary = lists.select(F.explode(F.concat(
         F.col("w"), F.array(F.array_join("w", "_"), F.array_join("w", "-"), F.array_join(F.transform("w", F.initcap), ""), F.array_join(F.transform("w", F.upper), "_"), F.array_join("w", "/")),
