@@ -521,3 +521,36 @@ def test_mix_rows_follow_the_targets(spark):
     for r in queued:
         largest[r["source"]] = max(largest[r["source"]], r["size"])
     assert max(copies.values()) <= 2 and all(abs(got[s] - t) <= largest[s] / 2 + 1 for s, t in target.items())
+
+
+# --- defined limits -------------------------------------------------------------------------------------------------
+
+
+def test_index_refuses_another_bucket_count(spark):
+    path = scratch_path(spark, "index")
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    exact_index.DigestIndex(spark, path, 8).admit(docs, "one")
+    with pytest.raises(ValueError, match="8 buckets"):
+        exact_index.DigestIndex(spark, path, 4)
+    again = exact_index.DigestIndex(spark, path, 8)
+    again.admit(docs, "two")
+    assert again.entries().count() == 300
+
+
+def test_url_query_judges_a_chain_of_hosts(spark, tmp_path):
+    names = [f"n{i}.net" for i in range(12)] + ["bad.com"]
+    pages = [(i, f"http://{a}/", f'<a href="http://{b}/">') for i, (a, b) in enumerate(zip(names, names[1:]))]
+    pages.append((99, "http://bad.com/de/1", None))
+    spark.createDataFrame(pages, "page_id BIGINT, url STRING, html STRING").write.parquet(str(tmp_path / "pages.parquet"))
+    rows = queries.op6_url_filter(spark, str(tmp_path)).collect()
+    assert {r["host"]: r["verdict"] for r in rows} == dict.fromkeys(names, "block")
+
+
+def test_secret_samples_are_whole_bounded_and_repeatable(spark):
+    late = " ".join(f"w{i:04d}x" for i in range(3000))
+    docs = spark.range(2000).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit(late), F.lit(" z"), "id").alias("text"))
+    docs = docs.unionByName(docs).unionByName(docs.limit(1).select("doc_id", F.lit("...").alias("text")))
+    one, two = (secret_scan.labelled_samples(docs.repartition(n), "doc_id", "text", rows=20, words=30).collect() for n in (3, 7))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    plain = {r["text"] for r in one if not r["is_random"] and len(r["text"]) == 6}
+    assert max(plain) > "w2000x" and len(one) <= 20 * (30 * 3 + 5)
