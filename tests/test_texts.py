@@ -10,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from textmill.functions.grams import words
-from textmill.operators.exact import dedup_compare, exact_dedup
+from textmill.operators.exact import dedup_compare, exact_dedup, first_of_each
 from textmill.operators.funnel import stage_funnel
 from textmill.operators.language import (
     lang_filter,
@@ -70,6 +70,17 @@ def test_exact(spark):
     assert tuple(compared) == (4, 5, 3, 1, 2)
 
 
+def test_exact_ways_agree(spark):
+    # A third of the rows one text, pairs, single texts, repeated whole rows and nulls.
+    text = F.expr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('pair ', id div 6) WHEN id % 50 = 2 THEN NULL ELSE concat('one ', id) END")
+    df = spark.range(3000).select((F.col("id") % 2900).alias("id"), text.alias("text"), (F.col("id") % 7).cast("string").alias("date"))
+    want = rows(first_of_each(df, "text", ["date", "id"]).fillna("none"))
+    assert rows(exact_dedup(df, "text", ["date", "id"]).fillna("none")) == want
+    assert rows(exact_dedup(df, "text", ["date", "id"], max_bytes=8).fillna("none")) == want
+    single = spark.range(10).select(F.col("id").cast("string").alias("text"))
+    assert exact_dedup(single, "text", ["text"]).count() == 10 and exact_dedup(single.limit(0), "text", ["text"]).count() == 0
+
+
 def reference_tokens(text):
     words = re.findall(r"\b\w+\b", (text or "").lower())[:512]
     ids = [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 49999 + 1 for w in words]
