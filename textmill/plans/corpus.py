@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from textmill.operators.domains import domain_filter
 from textmill.operators.exact import dedup_compare, exact_dedup
@@ -13,7 +13,8 @@ from textmill.operators.funnel import stage_funnel
 from textmill.operators.language import LANG, THRESHOLD, LanguageModel, lang_filter
 from textmill.operators.neardup import NearDupConfig, near_dedup
 from textmill.operators.tokens import tokenize_fixed
-from textmill.schemas import check_step
+from textmill.plans.steps import Step, StepRun, contract_faults
+from textmill.schemas import STEP_CONTRACTS, check_step
 from textmill.session import cut
 
 
@@ -90,3 +91,45 @@ def prepare_corpus(
         tokens_near=check_step(tokenize_fixed(near, max_length=cfg.max_length), 6),
         tokens_exact=check_step(tokenize_fixed(exact, max_length=cfg.max_length), 6),
     )
+
+
+def corpus_steps(
+    pages: DataFrame, blacklist: DataFrame, model: LanguageModel, cfg: CorpusConfig = CorpusConfig(), limit: float = 1.0
+) -> list[Step]:
+    """The job's steps with their contracts' nulls and empty values counted while they are written;
+    a step fails where more than a share ``limit`` of its rows has one."""
+    columns = ["warc_id", "url", "date", "html_content"]
+
+    def english(extracted: DataFrame) -> DataFrame:
+        kept = lang_filter(extracted, "extracted_text", model, cfg.lang, cfg.threshold)
+        return check_step(kept.select("warc_id", "url", "date", "extracted_text"), 4)
+
+    def tokens(texts: DataFrame) -> DataFrame:
+        return check_step(tokenize_fixed(texts, max_length=cfg.max_length), 6)
+
+    def step(number: int, name: str, reads: tuple[str, ...], make) -> Step:
+        return Step(name, reads, make, contract_faults(STEP_CONTRACTS[number]), limit)
+
+    return [
+        step(2, "filtered", (), lambda: check_step(domain_filter(pages.select(*columns), blacklist).select(*columns), 2)),
+        step(3, "extracted", ("filtered",), lambda filtered: check_step(html_extract(filtered), 3)),
+        step(4, "english", ("extracted",), english),
+        step(5, "near_unique", ("english",), lambda texts: drop_near(texts, cfg)),
+        step(5, "exact_unique", ("english",), drop_exact),
+        step(6, "tokens_near", ("near_unique",), tokens),
+        step(6, "tokens_exact", ("exact_unique",), tokens),
+    ]
+
+
+def run_corpus(
+    spark: SparkSession, folder: str, pages: DataFrame, blacklist: DataFrame, model: LanguageModel,
+    cfg: CorpusConfig = CorpusConfig(), limit: float = 1.0, key: str = "",
+) -> tuple[DataFrame, DataFrame, StepRun]:
+    """``tokens_near``, ``tokens_exact`` and the finished run with every step's counts.
+
+    What ``prepare_corpus`` does, with both tails at the same time, tables removed after their last
+    reader, and a job that broke off taken up at its first unfinished step.
+    """
+    run = StepRun(spark, folder, corpus_steps(pages, blacklist, model, cfg, limit), key)
+    tables = run.run(["tokens_near", "tokens_exact"])
+    return tables["tokens_near"], tables["tokens_exact"], run
