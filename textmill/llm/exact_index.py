@@ -10,12 +10,13 @@ row with the largest id stays, null ids last; texts of earlier batches stay in
 the index, so later copies go. Rows equal in id *and* text are one document: they get the same
 labels, and ``dedup`` leaves one of them. An empty batch adds nothing. Admitting
 a batch twice under one label changes nothing, so a job that broke off may be
-run again.
+run again. A text's length does not matter after its digest: texts themselves are not moved.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -59,8 +60,11 @@ class DigestIndex:
         if made is not None and made["buckets"] != self.buckets:
             raise ValueError(f"the index at {self.path} has {made['buckets']} buckets, not {self.buckets}")
 
-    def admit(self, docs: DataFrame, batch: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-        """Append the digests of ``docs`` that no other batch has brought."""
+    def admit(self, docs: DataFrame, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """Append the digests of ``docs`` that no other batch has brought.
+
+        Returns the batch's own groups, new or known: ``digest, keep_id, group_size``.
+        """
         # Written first, else the planner would move the anti-join below the aggregate and shuffle every copy.
         groups = cut(
             docs.select(digest(text_col).alias("digest"), col(id_col).cast("bigint").alias("id"))
@@ -72,21 +76,53 @@ class DigestIndex:
         new = groups.repartition(self.buckets, "digest").join(known.hint("merge"), "digest", "left_anti")
         new.withColumn("batch", F.lit(batch)).select("digest", "keep_id", "group_size", "batch").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
+        return groups
+
+    def admit_newest_first(
+        self, docs: DataFrame, batches: int = 4, id_col: str = "doc_id", text_col: str = "text", label: str = "part"
+    ) -> DataFrame:
+        """``docs`` in several batches by falling ranges of the id, null ids with the last.
+
+        So the first batch that brings a text holds its largest id, and later copies meet the
+        filled index. Returns ``digest, group_size`` over all batches.
+        """
+        if batches < 1:
+            raise ValueError("at least one batch")
+        id_ = col(id_col).cast("bigint")
+        cuts = docs.agg(F.percentile_approx(id_, [i / batches for i in range(1, batches)] or [0.5]).alias("cuts")).first()["cuts"]
+        above, sizes = None, []
+        for i, low in enumerate([*sorted(set(cuts or []) if batches > 1 else [], reverse=True), None]):
+            part = docs if low is None else docs.where(id_ > low)
+            if above is not None:
+                part = part.where((id_ <= above) | id_.isNull()) if low is None else part.where(id_ <= above)
+            sizes.append(self.admit(part, f"{label}-{i}", id_col, text_col).select("digest", "group_size"))
+            above = low
+        return reduce(DataFrame.unionByName, sizes).groupBy("digest").agg(F.sum("group_size").alias("group_size"))
 
     def entries(self) -> DataFrame:
         """All entries as a plain scan: a join with many copies of one digest can then be split."""
         return self.spark.read.schema(self.COLUMNS).parquet(self.path)
 
-    def label(self, docs: DataFrame, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """``docs`` of an admitted batch with ``keep_id, group_size, kept, text_sha256``."""
+    def label(
+        self, docs: DataFrame, batch: str | None, id_col: str = "doc_id", text_col: str = "text", sizes: DataFrame | None = None
+    ) -> DataFrame:
+        """``docs`` of an admitted batch with ``keep_id, group_size, kept, text_sha256``.
+
+        Without a ``batch``, ``docs`` are those of all batches together; ``sizes`` then
+        counts a text's copies over all of them.
+        """
         results = ["keep_id", "group_size", "kept", "text_sha256"]
         extra = [c for c in docs.columns if c.lower() not in results]
         rows = docs.select(*[col(c) for c in extra], digest(text_col).alias("text_sha256"))
-        entries = self.entries().withColumnRenamed("digest", "text_sha256")
+        entries = self.entries()
+        if sizes is not None:
+            entries = cut(entries.drop("group_size").join(sizes, "digest"), "sized")
         (first,) = fresh(docs, "first_batch")
-        kept = (col(first) == batch) & col(id_col).cast("bigint").eqNullSafe(F.col("keep_id"))
+        kept = col(id_col).cast("bigint").eqNullSafe(F.col("keep_id"))
+        if batch is not None:
+            kept = (col(first) == batch) & kept
         return (
-            rows.join(entries.withColumnRenamed("batch", first), "text_sha256")
+            rows.join(entries.withColumnsRenamed({"digest": "text_sha256", "batch": first}), "text_sha256")
             .withColumn("kept", kept)
             .select(*[col(c) for c in extra], *results)
         )

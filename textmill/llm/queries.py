@@ -36,10 +36,11 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Four batches, newest ids first, each against the index of those before; labels from the filled index."""
     docs = _table(spark, sf, "documents", "doc_id", "text")
     index = exact_index.DigestIndex(spark, scratch_path(spark, "digests"), _partitions(spark))
-    index.admit(docs, "documents")
-    return index.label(docs, "documents").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    sizes = index.admit_newest_first(docs)
+    return index.label(docs, None, sizes=sizes).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op3_pii_scan(spark: SparkSession, sf: str) -> DataFrame:
