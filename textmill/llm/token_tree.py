@@ -1,9 +1,10 @@
 """Token counts that follow edits.
 
 A document is cut into segments of whole pre-tokens. A boundary lies before a blank
-or line feed that follows a visible character: the pre-token pattern always breaks
-there and what follows is split as if it stood alone, so a segment's tokens do not
-depend on its neighbours. A binary tree over the segments keeps two sums at every
+or line feed that follows any other character than white space, and, for scripts
+without blanks, between a letter and a punctuation mark: the pre-token pattern always
+breaks there and what follows is split as if it stood alone, so a segment's tokens do
+not depend on its neighbours. A binary tree over the segments keeps two sums at every
 node, characters and tokens. An edit finds its segments by descending the
 character sums, encodes them again, together with a neighbour where the edit spoilt
 the boundary, and updates the sums on the way up; nothing else is encoded.
@@ -15,7 +16,9 @@ Every document is handled by itself, without a shuffle.
 Positions count code points of the text as it is when the edit's turn comes; they
 and lengths are cut to the text, negative ones count as 0. Defined results: a null
 text counts as empty and has 0 tokens; null edits, starts, lengths or insertions do
-nothing, start at 0, remove or insert nothing. An empty table gives an empty result.
+nothing, start at 0, remove or insert nothing. An empty table gives an empty result. A very
+long text is one tree, held by its task with the text; a pre-token is never cut, so a run
+of letters without a blank or mark is one segment however long it is.
 """
 
 from __future__ import annotations
@@ -36,9 +39,13 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern of that vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A segment ends at the first boundary after so many characters.
-SEGMENT = 512
-_BOUNDARY = re.compile(r"(?<=[!-~\u00c0-\u024f])[ \n]")
-_VISIBLE = re.compile(r"[!-~\u00c0-\u024f]")
+SEGMENT = 256
+#: Letters of scripts that are written without blanks; each is a letter in every version of Unicode since 2.0.
+_DENSE = "\u0e01-\u0e30\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+_MARKS = "!-/:-@\\[-`{-~\u3001-\u3003\u3008-\u3011\uff01-\uff0f\uff1a-\uff20"
+_BOUNDARY = re.compile(f"(?<=\\S)[ \n]|(?<=[{_DENSE}])[{_MARKS}]")
+#: Whether a boundary lies between the last character of one part and the first of the next.
+_JOINT = re.compile(f"\\S[ \n]|[{_DENSE}][{_MARKS}]")
 #: Long blank runs are encoded as the pre-tokens that the pattern makes of them, since its look-ahead would recurse.
 _BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
 
@@ -140,11 +147,11 @@ class TokenTree:
         first, inside = self._leaf(start)
         last, to = self._leaf(stop)
         region = self.parts[first][:inside] + insert + self.parts[last][to:]
-        while first > 0 and (not region or region[0] not in " \n" or not _VISIBLE.match(self.parts[first - 1][-1:])):
-            # The boundary on the left is gone, or not known to hold: the neighbour joins.
+        # Where the boundary beside the region is gone, or not known to hold, the neighbour joins.
+        while first > 0 and not _JOINT.match(self.parts[first - 1][-1:] + region[:1]):
             first -= 1
             region = self.parts[first] + region
-        while last + 1 < self.width and not _VISIBLE.match(region[-1:]):
+        while last + 1 < self.width and not _JOINT.match(region[-1:] + self.parts[last + 1][:1]):
             last += 1
             region += self.parts[last]
         parts = segments(region)
