@@ -7,7 +7,8 @@ second best; a text with too narrow a margin is rejected. Letters only are
 encoded, lower-cased, so that digits and punctuation count for no language.
 
 The dictionaries are fitted on a bounded sample: about ``sample_rows`` different
-texts of each language and ``dict_bytes`` of them. They are what travels to the
+texts of each language and ``dict_bytes`` of them, to which each text gives a piece of equal
+length from a place chosen by its digest, however long it is. They are what travels to the
 executors; their number is that of the languages. Every row is scored by itself, without a shuffle.
 
 Defined results: a null text and one without a letter is ``und`` with score 0 and
@@ -61,24 +62,31 @@ def fit(
 ) -> Model:
     """One dictionary per language, out of texts chosen by their digest.
 
-    Collects about ``sample_rows`` texts a language, each cut to ``dict_bytes``.
+    Collects a piece of about ``sample_rows`` texts a language, in all about twice ``dict_bytes``:
+    the second half of a piece fills what short texts leave.
     """
     lang, digest = col(lang_col).cast("string").alias("lang"), F.xxhash64(col(text_col)).alias("h")
     rows = labelled.where(col(lang_col).isNotNull() & col(text_col).isNotNull() & (F.length(col(text_col)) > 0))
     different = rows.select(lang, digest).groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()
     span = 1 << 32
-    wanted = F.lit(0).cast("bigint")
+    wanted, piece, shares = F.lit(0).cast("bigint"), F.lit(0), {}
     for row in different:
         bound = min(span, span * sample_rows // max(1, row["n"]) + 1)
+        shares[row["lang"]] = max(1, dict_bytes // max(1, min(row["n"], sample_rows)))
         wanted = F.when(F.col("lang") == row["lang"], F.lit(bound)).otherwise(wanted)
-    text = F.substring(col(text_col), 1, dict_bytes).alias("text")
-    chosen = rows.select(lang, digest, text).where(F.pmod("h", F.lit(span)) < wanted).groupBy("lang", "h").agg(F.min("text").alias("text"))
+        piece = F.when(F.col("lang") == row["lang"], F.lit(2 * shares[row["lang"]])).otherwise(piece)
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - piece, F.lit(0)) + 1) + 1
+    rows = rows.select(lang, digest, col(text_col).cast("string").alias("text")).where(F.pmod("h", F.lit(span)) < wanted)
+    chosen = rows.select("lang", "h", F.substring("text", start.cast("int"), piece).alias("text")).groupBy("lang", "h").agg(F.min("text").alias("text"))
     found: dict[str, list] = {}
     for row in chosen.collect():
-        found.setdefault(row["lang"], []).append((row["h"], row["text"]))
+        found.setdefault(row["lang"], []).append((row["h"], letters(row["text"])))
     model = []
     for name in sorted(found):
-        content = b" ".join(letters(text) for _, text in sorted(found[name]))[:dict_bytes]
+        pieces = [content for _, content in sorted(found[name]) if content]
+        own = [content[: shares[name]] for content in pieces]
+        rest = [content[shares[name] :] for content in pieces]
+        content = b" ".join([c for c in own + rest if c])[:dict_bytes]
         if content:
             model.append((name, content))
     return model
