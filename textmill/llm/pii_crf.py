@@ -347,6 +347,14 @@ def labelled_table(spark: SparkSession, sentences: int = 500, seed: int = 7) ->
     def digits(n: int) -> str:
         return "".join(rng.choice("0123456789") for _ in range(n))
 
+    def card(n: int) -> str:
+        body = digits(n - 1)
+        return next(body + d for d in "0123456789" if luhn(body + d))
+
+    def grouped(number: str, *sizes: int) -> list[str]:
+        at = [sum(sizes[:i]) for i in range(len(sizes))]
+        return [number[i : i + n] for i, n in zip(at, sizes)]
+
     def name(least: int = 2, most: int = 9) -> str:
         return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(least, most)))
 
@@ -366,7 +374,7 @@ def labelled_table(spark: SparkSession, sentences: int = 500, seed: int = 7) ->
     makers = {
         "email": lambda: [rng.choice([f"{name()}@{name()}.{name(2, 3)}", f"{name()}.{digits(2)}@{name()}.example.com", f"{name()}@{name()}", f"{name()}(at){name()}.{name(2, 3)}", f"{name()}[at]{name()}.{name(2, 3)}"])],
         "ip": lambda: [rng.choice([".".join(str(rng.randint(0, 255)) for _ in range(4)), ":".join(f"{rng.randint(0, 65535):x}" for _ in range(8)), f"fe80::{rng.randint(0, 65535):x}:{rng.randint(0, 65535):x}"])],
-        "card": lambda: rng.choice([[digits(4) for _ in range(4)], ["-".join(digits(4) for _ in range(4))], [digits(16)], [digits(4), digits(6), digits(5)]]),
+        "card": lambda: rng.choice([grouped(card(16), 4, 4, 4, 4), ["-".join(grouped(card(16), 4, 4, 4, 4))], [card(16)], grouped(card(15), 4, 6, 5)]),
         "phone": lambda: rng.choice([
             [f"+{digits(1)}", f"({digits(3)})", f"{digits(3)}-{digits(4)}"], [f"({digits(3)})", f"{digits(3)}-{digits(4)}"], [f"{digits(3)}-{digits(3)}-{digits(4)}"],
             [f"+{digits(2)}", digits(3), digits(3), digits(4)], [f"+{digits(11)}"], [f"{digits(3)}.{digits(3)}.{digits(4)}"],
