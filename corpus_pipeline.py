@@ -18,8 +18,13 @@ from textmill.session import cut, scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; the dictionaries are fitted on labelled rows of ``docs``."""
+    """Documents whose language is clear; the dictionaries are fitted on labelled rows of ``docs``.
+
+    Without any labelled text nothing can be judged, so nothing is rejected and all rows pass.
+    """
     model = language_id.fit(docs)
+    if not model:
+        return docs
     scored = language_id.predict(docs, model)
     return scored.where(~F.col("rejected")).select(*[col(c) for c in docs.columns])
 
