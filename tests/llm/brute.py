@@ -2,6 +2,9 @@
 
 import hashlib
 import re
+from collections import Counter
+
+import xxhash
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -47,3 +50,61 @@ def pii_spans(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def simhash(text, n=4):
+    words = WORDS.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    n = min(n, len(words))
+    hashes = [xxhash.xxh64(" ".join(words[i : i + n]).encode(), seed=42).intdigest() for i in range(len(words) - n + 1)]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def near_roots(texts, radius=4):
+    """The smallest id that links reach, of every id."""
+    prints, root = {i: simhash(t) for i, t in texts.items()}, {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in texts:
+        for b in texts:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= radius:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in texts}
+
+
+def mix_copies(texts, sources, weights=(5, 2, 1), share=1.5, repeat=2):
+    """How often the mix takes each document; a document without words is left to the caller."""
+    size = {i: len(WORDS.findall(t or "")) for i, t in texts.items()}
+    by_source = {}
+    for i in texts:
+        by_source.setdefault(sources[i], []).append(i)
+    names = sorted(by_source, key=lambda s: (s is None, s))
+    total = {s: sum(size[i] for i in by_source[s]) for s in names}
+    weight = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    target, budget, free = {}, share * sum(total.values()), set(names)
+    while True:
+        level = (budget - sum(target.values())) / (sum(weight[s] for s in free) or 1)
+        full = {s for s in free if weight[s] * level >= repeat * total[s]}
+        if not full:
+            break
+        target.update({s: repeat * total[s] for s in full})
+        free -= full
+    target.update({s: weight[s] * level for s in free})
+    copies = Counter()
+    for s in names:
+        at = 0
+        for lap in range(repeat):
+            for i in sorted(by_source[s], key=lambda i: (sha(f"42:{i}"), size[i])):
+                if at + size[i] / 2 <= target[s]:
+                    copies[i] += 1
+                at += size[i]
+    return copies

@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from textmill.llm import (
@@ -70,6 +71,26 @@ def test_language_odd_rows(spark, documents, odd, empty):
     assert language_id.identify("and the", one) == ("en", 1.0, False)
 
 
+def test_language_dictionary_takes_equal_shares(spark, documents):
+    """One very long text fills no dictionary, and scores are plain compressed sizes."""
+    alien = "zzqx " * 30_000
+    docs = documents.select("text", "lang").unionByName(spark.createDataFrame([(alien, "en")], "text STRING, lang STRING"))
+    model = language_id.fit(docs, sample_rows=10_000)
+    english = dict(model)["en"]
+    assert english.count(b"zzqx") * 5 < 0.1 * len(english)
+    assert all(len(content) <= language_id.DICT_BYTES for _, content in model)
+    for r in documents.limit(20).collect():
+        data = language_id.letters(r["text"])
+        if len(data) < language_id.SHORT:
+            continue
+        sizes = {}
+        for name, content in model:
+            words = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            plain = zstandard.ZstdCompressor(level=language_id.LEVEL, dict_data=words, write_content_size=False, write_dict_id=False)
+            sizes[name] = sum(len(plain.compress(data[i : i + 4096])) for i in range(0, len(data), 4096))
+        assert language_id.identify(r["text"], model)[0] in {n for n, size in sizes.items() if size <= 1.01 * min(sizes.values())}
+
+
 # --- exact copies -----------------------------------------------------------------------------------
 
 
@@ -110,6 +131,23 @@ def test_exact_batches_append(spark, empty):
     assert index.dedup(empty, "three").count() == 0
 
 
+def test_exact_batches_newest_first(spark, odd, documents, empty, tmp_path):
+    many = spark.range(4000).select((F.col("id") % 3500).alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id") % 700)).alias("text"))
+    for docs in (odd, documents, many, empty):
+        index = _index(spark)
+        sizes = index.admit_newest_first(docs, 3)
+        ids: dict = {}
+        for r in docs.collect():
+            ids.setdefault(r["text"] or "", []).append(r["doc_id"])
+        best = {t: max((i for i in v if i is not None), default=None) for t, v in ids.items()}
+        rows = index.label(docs, None, sizes=sizes).collect()
+        assert len(rows) == docs.count() and index.entries().count() == len(best)
+        for r in rows:
+            text = r["text"] or ""
+            assert (r["keep_id"], r["group_size"], r["kept"]) == (best[text], len(ids[text]), r["doc_id"] == best[text])
+    assert index.entries().count() == 0
+
+
 # --- personal data ------------------------------------------------------------------------------------
 
 
@@ -147,6 +185,34 @@ def test_pii_field_and_odd_rows(spark, odd, empty):
     assert pii_crf.find_spans(["call (988) 555-2485"], nothing)[0][1] == []
 
 
+def test_pii_cards_of_the_labelled_table_are_cards(spark):
+    cards: dict = {}
+    for r in pii_crf.labelled_table(spark).where("label = 'card'").orderBy("sentence", "position").collect():
+        cards[r["sentence"]] = cards.get(r["sentence"], "") + r["word"]
+    assert len(cards) > 30 and all(brute.luhn([c for c in card if c.isdigit()]) for card in cards.values())
+
+
+def test_pii_field_on_sentences_not_learnt(spark):
+    """Recall by kind on other sentences of the same making, patterns and field together."""
+    field = pii_crf.train(pii_crf.labelled_table(spark))
+    sentences: dict = {}
+    for r in pii_crf.labelled_table(spark, 1500, 99).orderBy("sentence", "position").collect():
+        sentences.setdefault(r["sentence"], []).append((r["word"], r["label"]))
+    hit: dict = {}
+    wrong = 0
+    for words in sentences.values():
+        text = " ".join(w for w, _ in words)
+        ((base, added),) = pii_crf.find_spans([text], field)
+        spans = [*base, *added]
+        kinds = {label for _, label in words} - {"O"}
+        wrong += bool(spans) and not kinds
+        for kind in kinds:
+            hit.setdefault(kind, []).append(any(pii_crf.KINDS[rank] == kind for rank, *_ in spans))
+    recall = {kind: sum(found) / len(found) for kind, found in hit.items()}
+    print(recall, wrong)
+    assert min(recall.values()) > 0.9 and wrong < 0.02 * len(sentences)
+
+
 def test_pii_query(spark, documents):
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
     for r in queries.op3_pii_scan(spark, SF).collect():
@@ -325,7 +391,7 @@ def test_hosts_far_from_every_seed_are_judged(spark):
 def test_token_trees_follow_edits():
     vocabulary = token_tree.read_vocabulary()
     coder, rng = token_tree.encoding(vocabulary), random.Random(3)
-    parts = ["a", " ", "\n", "é", "1", ".", "'s", "  ", "\t", "漢", "foo bar", ", ", "x" * 600, " " * 300, " word" * 200]
+    parts = ["a", " ", "\n", "é", "1", ".", "'s", "  ", "\t", "漢", "foo bar", ", ", "x" * 600, " " * 300, " word" * 200, "слово ", "हिन्दी ", "漢字。", "かな、" * 200, "ไทย!", "한글," * 90, "\x1c", "\u3000", "_"]
     count = lambda part: token_tree.count_tokens(part, coder)
     for _ in range(300):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
@@ -353,6 +419,30 @@ def test_token_edits_encode_only_what_they_touch(spark, odd, empty):
     assert token_tree.build_trees(empty, vocabulary).count() == 0
 
 
+def test_token_trees_of_every_script_stay_local():
+    vocabulary = token_tree.read_vocabulary()
+    coder = token_tree.encoding(vocabulary)
+    for words in ("съешь ещё этих мягких булок ", "漢字仮名交じり文、です。", "यह एक वाक्य है ", "φράση με λέξεις ", "plain words here "):
+        text = (words * 50_000)[:200_000]
+        tree = token_tree.TokenTree(text, lambda part: token_tree.count_tokens(part, coder))
+        assert max(map(len, tree.parts)) < 2 * token_tree.SEGMENT
+        tree.encoded = 0
+        tree.edit(100_000, 5, "new")
+        changed = text[:100_000] + "new" + text[100_005:]
+        assert tree.text == changed and tree.encoded < 4 * token_tree.SEGMENT
+        assert tree.tokens[1] == token_tree.count_tokens(changed, coder)
+
+
+def test_token_query(spark, documents):
+    coder = token_tree.encoding(token_tree.read_vocabulary())
+    texts = {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+    found = queries.op7_token_counts(spark, SF).collect()
+    assert {r["doc_id"]: r["tokens_before"] for r in found} == {i: len(coder.encode_ordinary(t)) for i, t in texts.items()}
+    share = sum(r["encoded_chars"] for r in found) / sum(map(len, texts.values()))
+    print(f"encoded again: {share:.2f}")
+    assert share < 0.5
+
+
 # --- sampled segmentations -------------------------------------------------------------------------------------------
 
 

@@ -1,5 +1,7 @@
 """The stages one by one against plain versions, and the whole run."""
 
+from collections import Counter
+
 import brute
 from pyspark.sql import functions as F
 
@@ -37,9 +39,27 @@ def test_stages_and_run(spark):
     encoded = stages["encode"](spark, docs, SF).select("doc_id", F.explode("samples.ids").alias("ids"))
     assert all(r["decoded"] == rows[r["doc_id"]] for r in piece_sampling.decode(encoded, vocabulary).collect())
 
+    # The whole run is the five plain stages in a row, each over what the one before kept.
     whole = pipeline.run(spark, SF)
-    ids = {r["doc_id"] for r in whole.collect()}
-    assert whole.columns == ["doc_id", "lang", "source", "samples"] and ids and ids <= kept & set(best.values()) | set(rows)
+    sources = {r["doc_id"]: r["source"] for r in docs.collect()}
+    left = {i: t for i, t in rows.items() if i in kept}
+    best = {}
+    for i, t in left.items():
+        best[t] = max(i, best.get(t, -1))
+    left = {i: left[i] for i in best.values()}
+    roots = brute.near_roots(left)
+    left = {i: left[i] for i in set(roots.values())}
+    copies = brute.mix_copies(left, sources)
+    assert whole.columns == ["doc_id", "lang", "source", "samples"]
+    assert Counter(r["doc_id"] for r in whole.collect()) == copies and len(copies) > 50
+
+
+def test_documents_without_labels_pass(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string")).write.parquet(f"{sf}/documents.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert dict(pipeline.STAGES)["language"](spark, docs, sf).count() == docs.count()
+    assert pipeline.run(spark, sf).count() > 0
 
 
 def test_empty_and_odd_documents(spark, tmp_path):
