@@ -9,19 +9,22 @@ all: its mask ignores every difference and the two fingerprints meet there
 
 Copies collapse to one fingerprint first. In a bucket every member is compared
 with its smallest and largest one; what that links is a component. Only buckets
-that still hold several components are compared inside, across components. So a
+that still hold several components are compared inside, across components: the bits
+that the bucket's mask leaves free are cut into ``radius + 2`` blocks, two of which are
+equal in any linked pair, so members meet only under an equal pair of blocks. A
 large group of near copies costs its size, not its square, and every link
 between different fingerprints is either inside a component or found.
 
 Defined results: a null text counts as empty; a text without words has
 fingerprint 0, linked like any other; null ids are never a component's smallest
 id unless it has no other. Equal rows share a fingerprint and a component. An
-empty table gives an empty result.
+empty table gives an empty result. A very long text is hashed in blocks of shingles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,8 @@ SHINGLE = 4
 SEED = 42
 #: Shingles whose bits are counted at a time, so that a very long text needs little memory.
 BLOCK = 1 << 16
+#: Open buckets of more members are compared by pairs of blocks; the links found are the same.
+SMALL = 128
 
 
 def fingerprint(text: str | None, n: int = SHINGLE) -> int:
@@ -81,6 +86,18 @@ def cover_masks(radius: int = RADIUS, bits: int = BITS) -> list[int]:
     return masks
 
 
+def block_masks(mask: int, radius: int = RADIUS, bits: int = BITS) -> list[int]:
+    """Masks of every pair of ``radius + 2`` blocks of the bits that ``mask`` leaves free.
+
+    At most ``radius`` differing bits spoil as many blocks, so two stay equal. The
+    masks are signed integers.
+    """
+    free = [i for i in range(bits) if not mask >> i & 1]
+    blocks = [sum(1 << i for i in free[b :: radius + 2]) for b in range(radius + 2)]
+    pairs = [a | b for a, b in combinations(blocks, 2)]
+    return [m - (1 << bits) if m >> (bits - 1) else m for m in pairs]
+
+
 def _near(a: Column, b: Column, radius: int) -> Column:
     return F.bit_count(a.bitwiseXOR(b)) <= radius
 
@@ -100,12 +117,20 @@ def fingerprint_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame
         members.select("t", "key", "fp").join(rough, "fp", "left").select("t", "key", "fp", F.coalesce("known", "fp").alias("known")),
         "labelled",
     )
-    mixed = labelled.groupBy("t", "key").agg(F.min("known").alias("x"), F.max("known").alias("y")).where("x <> y").select("t", "key")
+    mixed = labelled.groupBy("t", "key").agg(F.min("known").alias("x"), F.max("known").alias("y"), F.count("*").alias("n")).where("x <> y").select("t", "key", "n")
     open_ = cut(labelled.join(mixed, ["t", "key"]), "open")
-    other = open_.select("t", "key", F.col("fp").alias("fp2"), F.col("known").alias("known2"))
     across = (F.col("known") < F.col("known2")) & _near(F.col("fp"), F.col("fp2"), radius)
-    same = (open_["t"] == other["t"]) & (open_["key"] == other["key"])
-    bridges = cut(open_.join(other, same & across).select("known", "known2").distinct(), "bridges")
+
+    def met(members: DataFrame, *group: str) -> DataFrame:
+        other = members.select(*group, F.col("fp").alias("fp2"), F.col("known").alias("known2"))
+        return members.join(other, list(group)).where(across).select("known", "known2")
+
+    # Below so many members the blocks would cost more rows than the comparisons that they save.
+    few = met(open_.where(F.col("n") <= SMALL), "t", "key")
+    inner = F.array(*[F.array(*[F.lit(m).cast("bigint") for m in block_masks(mask, radius)]) for mask in cover_masks(radius)])
+    blocks = open_.where(F.col("n") > SMALL).select("t", "key", "fp", "known", F.posexplode(F.get(inner, F.col("t"))).alias("pair", "mask"))
+    many = met(blocks.withColumn("block", F.col("fp").bitwiseAND(F.col("mask"))), "t", "key", "pair", "block")
+    bridges = cut(few.unionByName(many).distinct(), "bridges")
     merged = connected_components(bridges, "known", "known2").withColumnsRenamed({"id": "known"})
     nodes = rough.unionByName(
         bridges.select(F.explode(F.array("known", "known2")).alias("fp")).distinct().join(rough, "fp", "left_anti").withColumn("known", F.col("fp"))
