@@ -644,3 +644,43 @@ def test_secret_samples_are_whole_bounded_and_repeatable(spark):
     assert sorted(map(tuple, one)) == sorted(map(tuple, two))
     plain = {r["text"] for r in one if not r["is_random"] and len(r["text"]) == 6}
     assert max(plain) > "w2000x" and len(one) <= 20 * (30 * 3 + 5)
+
+
+def test_block_masks_leave_two_blocks_to_every_pair():
+    rng = random.Random(8)
+    for mask in simhash_cover.cover_masks():
+        masks = simhash_cover.block_masks(mask)
+        assert len(masks) == 15 and all(m & mask == 0 for m in masks)
+        free = [i for i in range(64) if not mask >> i & 1]
+        for _ in range(20):
+            change = sum(1 << i for i in rng.sample(free, 4))
+            assert any(change & m & (1 << 64) - 1 == 0 for m in masks)
+
+
+def test_fingerprints_and_components_are_the_plain_ones(spark, documents):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    found = {r["doc_id"]: r for r in queries.op9_simhash_near_dedup(spark, SF).collect()}
+    assert {i: r["fingerprint"] for i, r in found.items()} == {i: f"{brute.simhash(t):016x}" for i, t in texts.items()}
+    assert {i: r["component_id"] for i, r in found.items()} == brute.near_roots(texts)
+
+
+def test_one_bucket_of_many_unlinked_fingerprints(spark):
+    """Fingerprints that share a table's masked bits, few of which link, against brute force."""
+    mask = simhash_cover.cover_masks()[0] & (1 << 64) - 1
+    free, rng = [i for i in range(64) if not mask >> i & 1], random.Random(9)
+    prints = {sum(1 << i for i in free if rng.random() < 0.5) for _ in range(3000)}
+    for p in rng.sample(sorted(prints), 300):
+        prints.add(p ^ sum(1 << i for i in rng.sample(free, rng.randint(1, 5))))
+    signed = np.array(sorted(prints), dtype=np.uint64).view(np.int64)
+    frame = spark.createDataFrame([(int(p),) for p in signed], "fp BIGINT")
+    got = {r["fp"]: r["component"] for r in simhash_cover.fingerprint_components(frame).collect()}
+    values = np.sort(signed)
+    root = np.arange(len(values))
+    gap = np.bitwise_count(values[:, None] ^ values[None, :])
+    while True:  # the smallest reachable one, until nothing moves
+        new = np.where(gap <= 4, root[None, :], len(values)).min(axis=1)
+        if (new == root).all():
+            break
+        root = new
+    want = {int(v): int(values[r]) for v, r in zip(values, root)}
+    assert {v: got.get(v, v) for v in want} == want
