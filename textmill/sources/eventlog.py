@@ -26,6 +26,8 @@ APP_PATTERN = r"((?:application|app|local)[-_][0-9]{13,14}(?:[-_][0-9]+)?)"
 YARN_APP_PATTERN = r"(application_[0-9]{13}_[0-9]+)"
 MIB = 1024 * 1024
 EPSILON = 1e-9
+#: Files that a scan's filter names at most.
+NAMES = 10_000
 STEPS = ["1", "2", "3", "4", "5a", "5b", "6a", "6b"]
 
 
@@ -73,12 +75,13 @@ def latest_logs(listing: DataFrame) -> DataFrame:
     return listing.join(newest, ["app", "listing"], "left_semi").select("app", "file")
 
 
-def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) -> DataFrame:
+def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True, names: int = NAMES) -> DataFrame:
     """Events with their ``app``; malformed lines are skipped.
 
     With ``latest_only`` an application listed several times counts with its
     newest log: the file listing, made without reading content, is joined on the
-    file's path, so no list of names passes through the driver.
+    file's path. Up to ``names`` wanted files are named in the scan's filter as well, so
+    that no other file is opened; with more, all are read and the join alone selects.
     """
     lines = (
         spark.read.option("recursiveFileLookup", "true").option("mode", "DROPMALFORMED").schema(EVENT_SCHEMA).json(path)
@@ -86,6 +89,9 @@ def read_event_logs(spark: SparkSession, path: str, latest_only: bool = True) ->
     events = lines.select("*", F.col("_metadata.file_path").alias("file"))
     if latest_only:
         newest = cut(latest_logs(list_logs(spark, path)).select("file"), "newest")
+        wanted = [r["file"] for r in newest.limit(names + 1).collect()]
+        if len(wanted) <= names:
+            events = events.where(F.col("_metadata.file_path").isin(wanted))
         events = events.join(newest, "file", "left_semi")
     return events.withColumn("app", app_of(_below(spark, path, F.col("file")))).drop("file")
 
