@@ -305,6 +305,32 @@ def test_nearest_recall_ties_and_odd_vectors(spark):
     assert hnsw.search_index(none, table).count() == 0
 
 
+def test_vectors_of_every_magnitude(spark):
+    rng = np.random.default_rng(11)
+    points = {}
+    for band, scale in enumerate((1.0, 1e160, 1e-170, 1e300)):
+        for i in range(300):
+            points[1000 * band + i] = rng.normal(size=8) * scale
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in points.items()], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    rows = hnsw.search_index(hnsw.build_index(table, shard_rows=100), table.where("vec_id % 100 = 0")).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = 0
+    for q in (i for i in points if i % 100 == 0):
+        scale = (1.0, 1e160, 1e-170, 1e300)[q // 1000]
+        own = sorted((float(np.linalg.norm((points[i] - points[q]) / scale)), i) for i in points if i // 1000 == q // 1000 and i != q)
+        # Near a vector, larger ones are far; far smaller ones are all as near as the origin.
+        at_origin = float(np.linalg.norm(points[q] / scale))
+        assert [r for r, _, _ in sorted(found[q])] == list(range(1, 11)) and all(math.isfinite(s) for _, _, s in found[q])
+        for _, i, score in found[q]:
+            exact = at_origin if abs(np.log(np.abs(points[i]).max() / scale)) > 50 else float(np.linalg.norm((points[i] - points[q]) / scale))
+            assert score / scale == pytest.approx(exact)
+        tenth = sorted([d for d, _ in own] + [at_origin] * (0 if q // 1000 == 2 else 300))[9]
+        hits += sum(score / scale <= tenth * (1 + 1e-9) for _, _, score in found[q])
+    assert hits / (10 * len(found)) >= 0.9
+
+
 # --- URLs -----------------------------------------------------------------------------------------------------
 
 

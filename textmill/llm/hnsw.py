@@ -3,14 +3,18 @@
 Equal vectors collapse first, so a vector that a third of all rows share is one
 node; of its ids only the ``k + 1`` smallest can ever be among the ``k`` nearest,
 ties going to the smaller id. Nodes are dealt to shards by a digest of their
-smallest id; a shard has about ``shard_rows`` of them, whatever the table's size. Each
+smallest id; a shard has about ``shard_rows`` of them, whatever the table's size. A
+query visits every shard, so shards should be as large as a task's memory and time
+allow: a node takes its vector and about 100 bytes of links. Each
 shard's graph (Malkov and Yashunin, 2016) is one row of flat arrays: vectors, ids,
 and neighbour lists of a fixed width for every level. Queries go to every shard
 in blocks; the shards' results are merged by distance, then id.
 
 Distances are Euclidean, in double precision on the vectors as they are. Defined results: a
 null, empty or zero vector, or one with a null or non-finite component, takes no
-part, nor does a row with a null id. Vectors are compared within one length. A
+part, nor does a row with a null id. Vectors of very different magnitude (bands of 2^256) have
+shards of their own, which are scaled by a power of two, so no square overflows or
+vanishes; a distance above the largest double is infinite. Vectors are compared within one length. A
 row that repeats counts once; an id with several vectors is as near as the nearest
 of them. An empty table gives an empty result.
 """
@@ -27,14 +31,14 @@ from pyspark.sql import functions as F
 from textmill.llm.common import col
 from textmill.session import cut
 
-SHARD_ROWS = 2048
+SHARD_ROWS = 8192
 BLOCK_ROWS = 1024
 LINKS = 12
 EF_BUILD = 64
 EF_SEARCH = 96
 
 GRAPH = (
-    "dim INT, shard INT, nodes INT, vectors BINARY, ids BINARY, id_stops BINARY, entry INT, "
+    "dim INT, band INT, shard INT, nodes INT, scale DOUBLE, vectors BINARY, ids BINARY, id_stops BINARY, entry INT, "
     "widths ARRAY<INT>, level_nodes ARRAY<BINARY>, level_links ARRAY<BINARY>"
 )
 FOUND = "query_id BIGINT, vec_id BIGINT, score DOUBLE"
@@ -164,13 +168,33 @@ def _levels(ids: np.ndarray, width: int) -> np.ndarray:
     return np.floor(-np.log(np.maximum(u, 1e-18)) / np.log(width)).astype(np.int64)
 
 
+def _scale(vectors: np.ndarray) -> float:
+    """A power of two near the largest component, 1 where no square can overflow or vanish."""
+    largest = float(np.abs(vectors).max())
+    return 1.0 if 2.0**-64 < largest < 2.0**64 else 2.0 ** min(int(np.floor(np.log2(largest))), 1022)
+
+
+def _lengths(gaps: np.ndarray) -> np.ndarray:
+    """Euclidean lengths of rows, by their largest component where squares overflow or vanish."""
+    with np.errstate(over="ignore", under="ignore", invalid="ignore"):
+        found = np.sqrt((gaps**2).sum(axis=1))
+        most = np.abs(gaps).max(axis=1)
+        odd = (most > 0) & np.isfinite(most) & ((most > 2.0**500) | (most < 2.0**-400))
+        if odd.any():
+            found[odd] = most[odd] * np.sqrt(((gaps[odd] / most[odd, None]) ** 2).sum(axis=1))
+    return found
+
+
 def _build(shard: pd.DataFrame) -> pd.DataFrame:
     shard = shard.sort_values("least", kind="stable")
-    vectors = np.stack([np.asarray(v, np.float64) for v in shard["vector"]])
+    given = np.stack([np.asarray(v, np.float64) for v in shard["vector"]])
+    scale = _scale(given)
+    vectors = given / scale
     ids = [np.asarray(i, np.int64) for i in shard["ids"]]
     graph = Graph(vectors).build(_levels(shard["least"].to_numpy(np.int64), LINKS))
     row = {
-        "dim": shard["dim"].iloc[0], "shard": shard["shard"].iloc[0], "nodes": len(vectors), "vectors": vectors.tobytes(),
+        "dim": shard["dim"].iloc[0], "band": shard["band"].iloc[0], "shard": shard["shard"].iloc[0], "nodes": len(vectors),
+        "scale": scale, "vectors": vectors.tobytes(),
         "ids": np.concatenate(ids).tobytes(), "id_stops": np.cumsum([len(i) for i in ids]).astype(np.int64).tobytes(),
         "entry": graph.entry, "widths": [x.shape[1] for x in graph.links],
         "level_nodes": [x.astype(np.int32).tobytes() for x in graph.nodes], "level_links": [x.tobytes() for x in graph.links],
@@ -178,6 +202,15 @@ def _build(shard: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([row])
 
 
+def _scaled(query: np.ndarray, scale: float) -> np.ndarray:
+    """``query`` in a shard's scale; one that is out of all proportion to it keeps its direction, which alone orders the nodes then."""
+    with np.errstate(over="ignore"):
+        small = query / scale
+    if np.abs(small).max() < 2.0**400:
+        return small
+    return query / np.abs(query).max() * 2.0**400
+
+
 def _load(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray]:
     n = int(row["nodes"])
     graph = Graph(np.frombuffer(row["vectors"], np.float64).reshape(n, -1))
@@ -195,11 +228,13 @@ def _searcher(k: int, ef: int):
         found: list[pd.DataFrame] = []
         if len(graphs) and len(queries):
             graph, ids, stops = _load(graphs.iloc[0])
+            scale = float(graphs["scale"].iloc[0])
             starts = np.concatenate(([0], stops[:-1]))
             for query_id, vector in zip(queries["query_id"], queries["vector"]):
                 query = np.asarray(vector, np.float64)
-                nodes = graph.nearest(query, k + 1, ef)
-                scores = np.sqrt(((graph.vectors[nodes] - query) ** 2).sum(axis=1))
+                nodes = graph.nearest(_scaled(query, scale), k + 1, ef)
+                with np.errstate(over="ignore"):
+                    scores = _lengths(graph.vectors[nodes] * scale - query)
                 counts = stops[nodes] - starts[nodes]
                 own = np.concatenate([ids[starts[n] : stops[n]] for n in nodes])
                 table = pd.DataFrame({"query_id": query_id, "vec_id": own, "score": np.repeat(scores, counts)})
@@ -227,10 +262,11 @@ def build_index(
     # dense_rank counts a repeated id once; what is beyond the limit leaves no task.
     few = _valid(table, id_col, vector_col).withColumn("r", F.dense_rank().over(rank)).where(F.col("r") <= k + 1)
     nodes = few.groupBy("vector").agg(F.array_sort(F.collect_set("id")).alias("ids"))
-    nodes = cut(nodes.withColumns({"least": F.col("ids")[0], "dim": F.size("vector")}), "nodes")
+    band = F.floor(F.log2(F.array_max(F.transform("vector", lambda x: F.abs(x)))) / 256 + 0.5).cast("int")
+    nodes = cut(nodes.withColumns({"least": F.col("ids")[0], "dim": F.size("vector"), "band": band}), "nodes")
     shards = -(-max(1, nodes.count()) // shard_rows)
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("least"), F.lit(shards)).cast("int"))
-    return cut(dealt.groupBy("dim", "shard").applyInPandas(_build, GRAPH), "graphs")
+    return cut(dealt.groupBy("dim", "band", "shard").applyInPandas(_build, GRAPH), "graphs")
 
 
 def search_index(
@@ -243,13 +279,13 @@ def search_index(
     """
     wanted = cut(_valid(queries, id_col, vector_col).distinct().withColumn("dim", F.size("vector")), "queries")
     blocks = -(-max(1, wanted.count()) // block_rows)
-    shards = graphs.select("dim", "shard").withColumnRenamed("dim", "at_dim")
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    shards = graphs.groupBy(F.col("dim").alias("at_dim"), F.col("band").alias("at_band")).agg(F.max("shard").alias("last"))
     asked = wanted.select(F.col("id").alias("query_id"), "vector", "dim", block.alias("block")).join(
-        shards.groupBy("at_dim").agg(F.collect_list("shard").alias("shards")), F.col("dim") == F.col("at_dim")
-    ).select("query_id", "vector", "dim", "block", F.explode("shards").alias("shard"))
+        shards, F.col("dim") == F.col("at_dim")
+    ).select("query_id", "vector", "dim", F.col("at_band").alias("band"), "block", F.explode(F.sequence(F.lit(0), "last")).alias("shard"))
     offered = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    key = ["dim", "shard", "block"]
+    key = ["dim", "band", "shard", "block"]
     found = offered.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(_searcher(k, ef), FOUND)
     best = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
