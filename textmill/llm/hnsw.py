@@ -35,7 +35,7 @@ SHARD_ROWS = 8192
 BLOCK_ROWS = 1024
 LINKS = 12
 EF_BUILD = 64
-EF_SEARCH = 96
+EF_SEARCH = 192
 
 GRAPH = (
     "dim INT, band INT, shard INT, nodes INT, scale DOUBLE, vectors BINARY, ids BINARY, id_stops BINARY, entry INT, "
