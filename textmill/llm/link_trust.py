@@ -12,7 +12,10 @@ reaches gets ``default``.
 Every round is one join and one aggregate over host pairs; every few rounds are written to
 the shared folder, and the table before is dropped. Rounds go on until none raises any host's score by more than ``tolerance``
 of it, so a host counts however far from the seeds and however small its score; a
-given number of ``rounds`` stops there instead. Rules are a short list held in the
+given number of ``rounds`` stops there instead. While the links of all paths of a
+length are few (``matrix_rows``), a job costs more than its rows, so the length is
+doubled by joining these links with themselves, and a round then goes that far at
+once; the scores are the same. Rules are a short list held in the
 plan; the graph and its scores stay in tables.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path
@@ -42,6 +45,8 @@ ROUNDS = 8
 #: Rounds between two tables.
 ROUNDS_A_TABLE = 10
 TOLERANCE = 1e-9
+#: Rows of a join of links with links up to which paths are doubled.
+MATRIX_ROWS = 1 << 20
 KIN = 1.0
 #: Above what the tolerance leaves open: a share of ``TOLERANCE / (1 - DAMPING)`` of a score.
 MARGIN = 1e-7
@@ -98,7 +103,8 @@ def host_links(pages: DataFrame, url_col: str, html_col: str, kin: float = KIN)
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE
+    edges: DataFrame, seeds: DataFrame, rounds: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE,
+    matrix_rows: int = MATRIX_ROWS,
 ) -> DataFrame:
     """``(host, kind, score)`` from seeds of the same form, converged or after ``rounds`` rounds.
 
@@ -112,7 +118,8 @@ def propagate(
     passes = cut(ahead.unionByName(back), "passes")
     start = seeds.select("host", "kind", (F.col("score") * (1 - damping)).alias("score"))
     if rounds is None:
-        return _converged(passes, start, tolerance)
+        passes, start, length = _longer_passes(passes, start, damping, tolerance, matrix_rows)
+        return _converged(passes, start, tolerance, length)
     state = seeds
     for _ in range(rounds):
         moved = passes.join(state, ["host", "kind"]).select(F.col("to").alias("host"), "kind", (F.col("p") * F.col("score")).alias("score"))
@@ -120,7 +127,38 @@ def propagate(
     return state
 
 
-def _converged(passes: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
+def _longer_passes(
+    passes: DataFrame, start: DataFrame, damping: float, tolerance: float, matrix_rows: int
+) -> tuple[DataFrame, DataFrame, int]:
+    """``(passes, start, length)``: what paths of ``length`` links pass on, and what all shorter ones brought.
+
+    ``length`` doubles until what is left beyond it is below the tolerance, or until the
+    join that doubles it would make more than ``matrix_rows`` rows.
+    """
+    spark = passes.sparkSession
+    schema = "host STRING, to STRING, kind INT, p DOUBLE, seed BOOLEAN"
+    seeds = start.select(F.lit("").alias("host"), F.col("host").alias("to"), "kind", F.col("score").alias("p"), F.lit(True).alias("seed"))
+    table, last, length = passes.withColumn("seed", F.lit(False)).unionByName(seeds), None, 1
+    while damping**length > tolerance:
+        into = table.groupBy("kind", "to").agg(F.count("*").alias("n_in"))
+        out = table.where("NOT seed").groupBy("kind", F.col("host").alias("to")).agg(F.count("*").alias("n_out"))
+        made = into.join(out, ["kind", "to"]).agg(F.sum(F.col("n_in") * F.col("n_out"))).first()[0] or 0
+        if made > matrix_rows:
+            break
+        onward = table.where("NOT seed").select(F.col("host").alias("to"), "kind", F.col("to").alias("next"), F.col("p").alias("q"))
+        longer = table.join(onward, ["to", "kind"]).select("host", F.col("next").alias("to"), "kind", (F.col("p") * F.col("q")).alias("p"), "seed")
+        path = scratch_path(spark, "longer")
+        longer.unionByName(table.where("seed")).groupBy("host", "to", "kind", "seed").agg(F.sum("p").alias("p")).select(
+            "host", "to", "kind", "p", "seed"
+        ).write.parquet(path)
+        if last is not None:
+            discard(spark, last)
+        table, last, length = spark.read.schema(schema).parquet(path), path, length * 2
+    brought = table.where("seed").select(F.col("to").alias("host"), "kind", F.col("p").alias("score"))
+    return table.where("NOT seed").drop("seed"), brought, length
+
+
+def _converged(passes: DataFrame, start: DataFrame, tolerance: float, length: int = 1) -> DataFrame:
     """The sum over all path lengths of what ``start`` passes on.
 
     ``term`` is what the last round brought to a host. All terms together shrink by
@@ -134,7 +172,7 @@ def _converged(passes: DataFrame, start: DataFrame, tolerance: float) -> DataFra
     state, change, last = start.withColumn("term", F.col("score")), 1.0, None
     brought = F.when(F.col("keep"), 0.0).otherwise(F.col("p") * F.col("term"))
     while change > tolerance:
-        for _ in range(ROUNDS_A_TABLE):
+        for _ in range(max(1, ROUNDS_A_TABLE // length)):
             moved = flows.join(state, ["host", "kind"]).where("keep OR term > 0").select(
                 F.col("to").alias("host"), "kind", brought.alias("term"), F.when(F.col("keep"), F.col("score")).otherwise(brought).alias("score")
             )
