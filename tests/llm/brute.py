@@ -1,6 +1,7 @@
 """Plain definitions that the operators are held against."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -99,12 +100,16 @@ def mix_copies(texts, sources, weights=(5, 2, 1), share=1.5, repeat=2):
         target.update({s: repeat * total[s] for s in full})
         free -= full
     target.update({s: weight[s] * level for s in free})
-    copies = Counter()
+    served = []
     for s in names:
         at = 0
         for lap in range(repeat):
-            for i in sorted(by_source[s], key=lambda i: (sha(f"42:{i}"), size[i])):
-                if at + size[i] / 2 <= target[s]:
-                    copies[i] += 1
+            for i in sorted(by_source[s], key=lambda i: (sha(f"42:{i}:{hashlib.md5((texts[i] or '').encode()).hexdigest()}"), size[i])):
                 at += size[i]
+                if size[i]:
+                    served.append((at / target[s], s is None, s or "", at, i))
+    copies, left = Counter(), math.floor(sum(target.values()) + 0.5)
+    for *_, i in sorted(served):
+        copies[i] += size[i] <= left or (left > 0 and size[i] <= 2 * left)
+        left -= size[i]
     return copies

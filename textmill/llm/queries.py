@@ -127,7 +127,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 def op10_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     queued = mixing.queue(_table(spark, sf, "documents", "doc_id", "text", "source"))
-    return queued.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "before", "taken")
+    return queued.select("doc_id", "size", "source_size", F.round("target", 3).alias("target"), "before", F.round("finish", 6).alias("finish"), "taken")
 
 
 def op11_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
