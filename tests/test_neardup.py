@@ -5,9 +5,11 @@ import random
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from textmill.operators.components import connected_components
 from textmill.operators.minhash import band_table, minhash_signature
+from textmill.operators import neardup
 from textmill.operators.neardup import NearDupConfig, dup_clusters, near_dedup, near_dup_filter, near_duplicates, pair_losers
 
 
@@ -215,3 +217,46 @@ def test_repeated_ids_against_brute_force(spark):
     got = [r["text"] for r in kept.collect()]
     best = [max(len(t) for t in g) for g in groups.values()]
     assert len(got) == len(groups) and sorted(map(len, got)) == sorted(best)
+
+
+def babble(seed, count):
+    """Texts of a few syllables, so that all share many character shingles, and edited copies of some."""
+    rng = random.Random(seed)
+    syllables = ["la", "ne", "tor", "mi", "sa", "ku", "ber", "on"]
+    docs = []
+    for _ in range(count):
+        text = "".join(rng.choice(syllables) for _ in range(rng.randint(60, 160)))
+        docs += [text, text[: len(text) - rng.randint(1, 60)] + "".join(rng.choice(syllables) for _ in range(5))]
+    return dict(enumerate(docs))
+
+
+def test_sketches_lose_no_similar_pair_and_spare_most_others(spark):
+    cfg = NearDupConfig(unit="char")
+    docs = babble(3, 40)
+    sets = spark.createDataFrame(list(docs.items()), "id bigint, text string").select(
+        "id", F.length("text").alias("len"), neardup.gram_set(F.col("text"), cfg.n, cfg.unit).alias("grams")
+    )
+    left, right = sets.select(F.col("id").alias("a")), sets.select(F.col("id").alias("b"))
+    pairs = left.join(right, F.col("a") < F.col("b"))
+    close = {tuple(r) for r in rows(neardup._sketched(pairs, neardup._sketches(sets, cfg), cfg))}
+    grams_of = {i: grams(t, "char") for i, t in docs.items()}
+    similar = {
+        (a, b) for a, b in itertools.combinations(docs, 2)
+        if len(grams_of[a] & grams_of[b]) / len(grams_of[a] | grams_of[b]) >= cfg.threshold
+    }
+    assert similar and similar <= close and len(close) < pairs.count() / 2
+    found = rows(neardup.verify_pairs(spark.createDataFrame(list(close), "a bigint, b bigint"), sets, cfg).select("a", "b"))
+    assert set(found) == similar
+
+
+@pytest.mark.parametrize("per_gram", [0, 4])
+def test_large_buckets_of_common_shingles_pair_by_pair_and_by_prefixes(spark, per_gram):
+    cfg = NearDupConfig(unit="char", bands=24, rows=1, small_bucket=4, leader_rounds=1, scouts=2, block=8, pairs_per_gram=per_gram)
+    docs = babble(5, 30)
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    signatures = minhash_signature(df, "doc_id", "text", cfg.n, cfg.unit, 24)
+    sharing = {i: set() for i in docs}
+    for r in band_table(signatures, ["doc_id"], 24, 1).collect():
+        sharing[r["doc_id"]].add(r["bucket"])
+    losers, _ = brute(docs, sharing, "char", cfg.threshold)
+    assert {r["id"] for r in pair_losers(near_duplicates(df, "doc_id", "text", cfg)).collect()} == losers

@@ -17,18 +17,26 @@ all similar pairs have, at a size linear in such groups.
 4. What may be missing then is a pair across components, or a document that has
    not lost yet and a better one. Only documents in such a position ask. They ask
    a few scouts of the bucket first, which settles those amid many similar ones.
-   For the rest the size, prefix and position filters for Jaccard find the
+   For the rest, a bucket with few questions for its shingles answers them pair by
+   pair; in the others the size, prefix and position filters for Jaccard find the
    partners exactly: a similar pair shares one of the rarest shingles of both.
+
+Pairs are compared by sketches first, bit maps of some bits per shingle that bound the
+overlap from above. Shingle sets travel only for pairs that pass, so none similar is lost.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textmill.functions.bloom import MAX_BYTES, bloom_filter, bloom_size, might_contain
 from textmill.functions.grams import gram_set
 from textmill.operators.components import connected_components
 from textmill.operators.minhash import (
@@ -54,6 +62,9 @@ class NearDupConfig:
     worthwhile_star: float = 0.1
     scouts: int = 32
     rows_per_salt: int = 50_000
+    sketch_bits: int = 4
+    pairs_per_gram: int = 4
+    block: int = 2048
 
 
 @dataclass(frozen=True)
@@ -85,24 +96,121 @@ def _gram_sets(docs: DataFrame, wanted: DataFrame, cfg: NearDupConfig) -> DataFr
 
 
 def _of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    return sets.join(wanted.select("id").distinct(), "id", "left_semi")
+    """The sets of the wanted documents; a Bloom filter keeps most others out of the shuffle."""
+    ids = cut(wanted.select("id").distinct(), "wanted")
+    n = ids.count()
+    words, hashes = bloom_size(n)
+    if n and words * 8 <= MAX_BYTES:
+        held = cut(bloom_filter(ids, "id", words, hashes), "bloom")
+        sets = sets.where(might_contain(held, F.col("id"), words, hashes))
+    return sets.join(ids, "id", "left_semi")
 
 
-def _alike_in_size(a: Column, b: Column, cfg: NearDupConfig) -> Column:
-    return F.least(a, b) >= F.lit(cfg.threshold) * F.greatest(a, b)
+def _sketches(sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """``(id, len, n, bits)``: a bit map, in 64-bit words, of ``sketch_bits`` to twice as many bits per shingle.
+
+    Its width is a power of two; a wider one folds onto a narrower one of its halves.
+    """
+    per_gram = cfg.sketch_bits
+
+    def bit_map(grams: np.ndarray) -> np.ndarray:
+        width = max(64, 1 << (per_gram * len(grams) - 1).bit_length())
+        held = np.zeros(width, np.uint8)
+        held[grams & (width - 1)] = 1
+        return np.packbits(held, bitorder="little").view("<i8")
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                grams = part.column("grams")
+                maps = [bit_map(g.values.to_numpy()) for g in grams]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("len"), grams.value_lengths(), pa.array(maps, pa.list_(pa.int64()))],
+                    ["id", "len", "n", "bits"],
+                )
+
+    id_type = sets.schema["id"].dataType.simpleString()
+    return sets.mapInArrow(batches, f"id {id_type}, len int, n int, bits array<bigint>")
+
+
+def _unless_ruled_out(pairs: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """The pairs ``(a, b)`` whose sketches leave room for an overlap at the threshold.
+
+    Of the shingles of one side, each bit that the other side lacks rules out one at least.
+    Sizes alike within a factor of two differ by one fold at most; pairs further apart pass.
+    """
+    threshold = cfg.threshold
+
+    def possible(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+        """For rows of bit maps of one width each."""
+        width = min(a.shape[1], b.shape[1])
+        if max(a.shape[1], b.shape[1]) > 2 * width:
+            return np.ones(len(a), bool)
+        a, b = (m if m.shape[1] == width else m[:, :width] | m[:, width:] for m in (a, b))
+        ones_a, ones_b, both = (np.bitwise_count(m).sum(axis=1, dtype=np.int64) for m in (a, b, a & b))
+        most = np.minimum(n_a - ones_a, n_b - ones_b) + both
+        return most >= threshold / (1 + threshold) * (n_a + n_b) - 1e-6
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            keep = np.zeros(batch.num_rows, bool)
+            n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            values, widths, starts = [], [], []
+            for c in ("bits_a", "bits_b"):
+                widths.append(batch.column(c).value_lengths().to_numpy())
+                starts.append(np.cumsum(widths[-1], dtype=np.int64) - widths[-1])
+                values.append(batch.column(c).flatten().to_numpy().view(np.uint64))
+            shapes, shape_of = np.unique(np.stack(widths), axis=1, return_inverse=True)
+            for shape, (wide_a, wide_b) in enumerate(shapes.T):
+                alike = np.flatnonzero(shape_of.ravel() == shape)
+                step = max(1, (1 << 18) // int(wide_a + wide_b))
+                for at in range(0, len(alike), step):
+                    of = alike[at : at + step]
+                    a = values[0][starts[0][of, None] + np.arange(wide_a)]
+                    b = values[1][starts[1][of, None] + np.arange(wide_b)]
+                    keep[of] = possible(a, b, n_a[of], n_b[of])
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b"))
+    alike = pairs.where(_alike_in_size(F.col("n_a"), F.col("n_b"), cfg))
+    return alike.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(batches, kinds)
+
+
+def _sketched(pairs: DataFrame, sketches: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """The pairs ``(a, b)`` that their sketches do not rule out; ``b`` may have any number of partners."""
+    partners = cut(pairs.groupBy("b").agg(_salts(F.count("*"), cfg).alias("salts")), "partners")
+    left, right = _sides(sketches.drop("len"))
+    salted_right = right.join(partners, "b").select(
+        *right.columns, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    )
+    salted = pairs.join(partners, "b").select("a", "b", _salt_of("a", F.col("salts")).alias("salt"))
+    return _unless_ruled_out(salted.join(left, "a").join(salted_right, ["b", "salt"]), cfg)
 
 
-def _overlap() -> Column:
-    """Jaccard overlap of ``grams_a`` and ``grams_b``."""
-    both = F.size(F.array_intersect("grams_a", "grams_b"))
-    return both / (F.size("grams_a") + F.size("grams_b") - both)
+def _alike_in_size(a: Column, b: Column, cfg: NearDupConfig) -> Column:
+    return F.least(a, b) >= F.lit(cfg.threshold) * F.greatest(a, b)
 
 
 def _similar(pairs: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """The pairs similar enough, with both lengths and the overlap, which a generator computes once."""
+    """The pairs similar enough, with both lengths and the overlap."""
+    threshold = cfg.threshold
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            sides = zip(batch.column("grams_a"), batch.column("grams_b"))
+            both = np.array(
+                [len(np.intersect1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True)) for x, y in sides], np.int64
+            )
+            sizes = [batch.column(c).value_lengths().to_numpy() for c in ("grams_a", "grams_b")]
+            jaccard = both / (sizes[0] + sizes[1] - both)
+            held = batch.select(["a", "b", "len_a", "len_b"]).append_column("jaccard", pa.array(jaccard, pa.float64()))
+            yield held.filter(pa.array(jaccard >= threshold))
+
     alike = _alike_in_size(F.size("grams_a"), F.size("grams_b"), cfg)
-    overlap = F.filter(F.array(F.when(alike, _overlap())), lambda x: x >= cfg.threshold)
-    return pairs.select("a", "b", "len_a", "len_b", F.explode(overlap).alias("jaccard"))
+    kinds = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in ("a", "b", "len_a", "len_b"))
+    sets = pairs.where(alike).select("a", "b", "len_a", "len_b", "grams_a", "grams_b")
+    return sets.mapInArrow(batches, f"{kinds}, jaccard double")
 
 
 def _sides(sets: DataFrame, *shared: str) -> tuple[DataFrame, DataFrame]:
@@ -124,7 +232,7 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataF
     ``a`` has few partners by construction; ``b`` may have any number, so its set
     is replicated over salts in proportion to them.
     """
-    partners = pairs.groupBy("b").agg(_salts(F.count("*"), cfg).alias("salts"))
+    partners = cut(pairs.groupBy("b").agg(_salts(F.count("*"), cfg).alias("salts")), "partners")
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     left, right = _sides(_of(sets, wanted))
     salted_right = right.join(partners, "b").select(
@@ -134,18 +242,18 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataF
     return _similar(salted.join(left, "a").join(salted_right, ["b", "salt"]), cfg)
 
 
-def _small_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """Links inside buckets of bounded size.
+def _small_pairs(members: DataFrame, sketches: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Pairs ``(a, b)`` inside buckets of bounded size that their sketches do not rule out.
 
-    A document's set travels once per shared bucket rather than once per pair,
+    A document's sketch travels once per shared bucket rather than once per pair,
     and a pair is compared only in the first band its documents share.
     """
     held = members.groupBy("id").agg(
         F.array(*[F.max(F.when(F.col("band") == i, F.col("bucket"))) for i in range(cfg.bands)]).alias("keys")
     )
     rows = (
-        held.join(sets, "id")
-        .select("id", "len", "grams", "keys", F.posexplode("keys").alias("band", "bucket"))
+        held.join(sketches, "id")
+        .select("id", "n", "bits", "keys", F.posexplode("keys").alias("band", "bucket"))
         .where(F.col("bucket").isNotNull())
     )
     left, right = _sides(rows, "bucket")
@@ -153,10 +261,12 @@ def _small_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> Dat
         *[F.when(F.get("keys_a", F.lit(i)) == F.get("keys_b", F.lit(i)), F.lit(i)) for i in range(cfg.bands)]
     )
     new_pair = (F.col("a") < F.col("b")) & (F.col("band_a") == first) & (F.col("band_b") == first)
-    return _similar(left.join(right, "bucket").where(new_pair), cfg)
+    return _unless_ruled_out(left.join(right, "bucket").where(new_pair), cfg)
 
 
-def _leader_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> tuple[DataFrame, list[DataFrame]]:
+def _leader_links(
+    members: DataFrame, sets: DataFrame, sketches: DataFrame, cfg: NearDupConfig
+) -> tuple[DataFrame, list[DataFrame]]:
     """Stars around elected leaders: members with a ``star`` number (0 = open) and the links found."""
     found: list[DataFrame] = []
     state = members.withColumn("star", F.lit(0))
@@ -183,7 +293,8 @@ def _leader_links(members: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> tu
             .select("bucket", "id", "star", "leader")
         )
         pairs = led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
-        links = cut(verify_pairs(pairs, sets, cfg), "links")
+        close = cut(_sketched(pairs, sketches, cfg), "close")
+        links = cut(verify_pairs(close, sets, cfg), "links")
         found.append(links)
         hits = links.select(F.col("a").alias("id"), F.col("b").alias("leader"), F.lit(True).alias("hit"))
         joined = led.where("star = 0").join(hits, ["id", "leader"], "left")
@@ -261,8 +372,35 @@ def _scouted_pairs(questions: DataFrame, cfg: NearDupConfig) -> DataFrame:
     return hits.select(F.col("b").alias("a"), F.col("a").alias("b")).distinct()
 
 
-def _remaining_pairs(questions: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
-    """Pairs ``(a, b)`` of an answering and an asking document that can reach the threshold."""
+def _remaining_pairs(questions: DataFrame, sets: DataFrame, sketches: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Pairs ``(a, b)`` of an answering and an asking document that can reach the threshold.
+
+    Where a bucket has few pairs for its shingles, its sketches are compared pair by pair:
+    common shingles, such as those of characters, would match far more rows than there are pairs.
+    """
+    sized = questions.join(sketches.select("id", "n"), "id")
+    few = F.count_if("asks") * F.count("*") <= F.lit(cfg.pairs_per_gram) * F.sum("n")
+    plain = cut(sized.groupBy("bucket").agg(few.alias("few"), F.count("*").alias("n_bucket")).where("few"), "plain")
+    direct = _direct_pairs(questions.join(plain.drop("few"), "bucket"), sketches, cfg)
+    return direct.unionByName(_prefix_pairs(questions.join(plain, "bucket", "left_anti"), sets, cfg)).distinct()
+
+
+def _direct_pairs(questions: DataFrame, sketches: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """Asking documents meet each block of their bucket's answers; ``n_bucket`` is the bucket's size."""
+    rows = questions.join(sketches.drop("len"), "id").withColumn("blocks", F.ceil(F.col("n_bucket") / cfg.block).cast("int"))
+    blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    columns = ["bucket", "id", "len", "component", "unsettled", "n", "bits"]
+    answers = rows.select(*columns, _salt_of("id", F.col("blocks")).alias("salt"))
+    askers = rows.where("asks").select(*columns, blocks.alias("salt"))
+    left, right = _sides(answers, "bucket", "salt")[0], _sides(askers, "bucket", "salt")[1]
+    met = left.join(right, ["bucket", "salt"]).where((F.col("a") != F.col("b")) & _matters())
+    return _unless_ruled_out(met, cfg).distinct()
+
+
+def _prefix_pairs(questions: DataFrame, sets: DataFrame, cfg: NearDupConfig) -> DataFrame:
+    """The same by the size, prefix and position filters."""
+    if questions.isEmpty():
+        return questions.select(F.col("id").alias("a"), F.col("id").alias("b"))
     grams = _of(sets, questions).select("id", F.size("grams").alias("n"), F.explode("grams").alias("h"))
     frequency = grams.groupBy("h").agg(F.count("*").alias("df"))
     rarest = Window.partitionBy("id").orderBy("df", "h")
@@ -317,17 +455,18 @@ def near_duplicates(df: DataFrame, id_col: str, text_col: str, cfg: NearDupConfi
 
     small = members.where(F.col("n_bucket") <= cfg.small_bucket)
     sets = cut(_gram_sets(docs, members, cfg), "sets")
-    links = _small_links(small, sets, cfg)
+    sketches = cut(_sketches(sets, cfg), "sketches")
+    links = verify_pairs(cut(_small_pairs(small, sketches, cfg), "close"), sets, cfg)
     large = members.where(F.col("n_bucket") > cfg.small_bucket).select("bucket", "id", "len")
     if not large.isEmpty():
-        stars, found = _leader_links(large, sets, cfg)
+        stars, found = _leader_links(large, sets, sketches, cfg)
         links = cut(reduce(DataFrame.unionByName, found, links), "links")
-        for find in (lambda asked: _scouted_pairs(asked, cfg), lambda asked: _remaining_pairs(asked, sets, cfg)):
+        for find in (lambda asked: _scouted_pairs(asked, cfg), lambda asked: _remaining_pairs(asked, sets, sketches, cfg)):
             questions = _open_questions(stars, links)
             if questions.isEmpty():
                 break
-            pairs = cut(find(questions), "pairs")
-            links = cut(links.unionByName(verify_pairs(pairs, sets, cfg)), "links")
+            close = cut(_sketched(cut(find(questions), "pairs"), sketches, cfg), "close")
+            links = cut(links.unionByName(verify_pairs(close, sets, cfg)), "links")
     low_first = F.col("a") < F.col("b")
     links = links.select(
         F.least("a", "b").alias("a"),
