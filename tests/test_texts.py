@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from textmill.functions.grams import words
+from textmill.operators import language
 from textmill.operators.exact import dedup_compare, exact_dedup, first_of_each
 from textmill.operators.funnel import stage_funnel
 from textmill.operators.language import (
@@ -167,3 +168,11 @@ def test_blank_runs_take_linear_time(spark):
     assert df.select(single_line(F.col("text")).alias("x")).first()["x"] == text
     assert df.select(F.size(words(F.col("text"))).alias("n")).first()["n"] == 1_000_001
     assert time.time() - start < 15
+
+
+def test_profile_is_the_same_however_few_trigrams_a_task_holds(spark, monkeypatch):
+    texts = [(ENGLISH * 5, "en"), (FRENCH * 7, "fr"), (None, "fr"), ("xy", "it"), ("other words", "en")]
+    train = spark.createDataFrame(texts, "text string, lang string")
+    whole = rows(lang_profile(train, "text"))
+    monkeypatch.setattr(language, "FLUSH", 50)
+    assert rows(lang_profile(train.coalesce(1), "text")) == whole and {r[0] for r in whole} == {"en", "fr"}

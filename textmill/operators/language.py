@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ THRESHOLD = 0.6
 BROADCAST_LIMIT = 64 * 2**20
 # Code points that numpy handles at a time.
 CHUNK = 1 << 16
+# Trigrams that a training task holds uncounted.
+FLUSH = 1 << 22
 
 
 def single_line(text: Column) -> Column:
@@ -66,22 +69,34 @@ def _bucketer(buckets: int) -> Callable[[str | None], Iterator[np.ndarray]]:
 def lang_profile(df: DataFrame, text_col: str, lang_col: str = "lang", buckets: int = BUCKETS) -> DataFrame:
     """``(lang, bucket, n, total, logp, buckets)`` with add-one smoothing, ``logp`` in micro-units.
 
-    Trigrams are counted inside every Arrow batch before anything is shuffled.
+    Trigrams are counted inside every task before anything is shuffled, and at most
+    ``FLUSH`` of them are held at a time, however long the batches and texts are.
     """
-    chunks = _bucketer(buckets)
+    chunks, flush = _bucketer(buckets), FLUSH
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(lang: str, parts: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, n = np.unique(np.concatenate(parts), return_counts=True)
+        columns = [pa.array([lang] * len(bucket), pa.string()), pa.array(bucket, pa.int32()), pa.array(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
         for batch in batches:
-            for lang, texts in batch.groupby("lang")["line"]:
-                found = [part for text in texts for part in chunks(text)]
-                if found:
-                    bucket, n = np.unique(np.concatenate(found), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "bucket": bucket.astype(np.int32), "n": n.astype(np.int64)})
+            for lang, line in zip(batch.column("lang"), batch.column("line")):
+                lang = lang.as_py()
+                for part in chunks(line.as_py()):
+                    held.setdefault(lang, []).append(part.astype(np.int32))
+                    size += len(part)
+                    if size >= flush:
+                        yield from (counted(label, parts) for label, parts in held.items())
+                        held, size = {}, 0
+        yield from (counted(label, parts) for label, parts in held.items())
 
     labelled = df.where(F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), _line(text_col).alias("line")
     )
-    parts = labelled.mapInPandas(count, "lang string, bucket int, n bigint")
+    parts = labelled.mapInArrow(count, "lang string, bucket int, n bigint")
     counts = parts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # A language's window holds at most ``buckets`` rows.
     total = F.sum("n").over(Window.partitionBy("lang"))
