@@ -275,3 +275,12 @@ def test_sketches_of_appended_batches(spark, tmp_path):
         for name, p in probs.items():
             below, upto = sum(v < got[g][name] for v in own), sum(v <= got[g][name] for v in own)
             assert below / len(own) - 0.01 <= p <= upto / len(own) + 0.01
+
+
+def test_best_row_sorts_only_rows_that_have_the_smallest_metric(spark):
+    nan = float("nan")
+    data = [("a", 2.0, "x"), ("a", 1.0, "z"), ("a", 1.0, "y"), ("a", None, "w"), (None, 3.0, "n"), (None, nan, "m"), ("b", nan, "q"), ("c", None, "r"), ("d", -0.0, "t"), ("d", 0.0, "s")]
+    best = best_row_by_group(spark.createDataFrame(data, "g string, v double, t string"), ["g"], "v", ["t"])
+    assert {(r["g"], r["t"]) for r in best.collect()} == {("a", "y"), (None, "n"), ("b", "q"), ("d", "s")}
+    plan = best._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("Aggregate") < plan.index("LeftSemi")

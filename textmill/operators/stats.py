@@ -40,9 +40,18 @@ def first_by_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
 
 def best_row_by_group(df: DataFrame, group_cols: list[str], metric: str, tie_cols: list[str]) -> DataFrame:
-    """The whole row with the smallest metric per group; ties go to the smallest ``tie_cols``."""
+    """The whole row with the smallest metric per group; ties go to the smallest ``tie_cols``.
+
+    Whole rows are aggregated by sorting them. So the smallest metrics are found first, which
+    takes no sort, and only the rows that have them are: ``df`` is read twice.
+    """
     others = [c for c in df.columns if c not in group_cols]
-    return first_by_group(df.where(F.col(metric).isNotNull()), group_cols, [metric, *tie_cols], others)
+    known = df.where(F.col(metric).isNotNull())
+    groups = [F.col(c).alias(f"_group{i}") for i, c in enumerate(group_cols)]
+    least = cut(known.groupBy(*groups).agg(F.min(metric).alias("_least")), "least")
+    alike = [F.col(c).eqNullSafe(F.col(f"_group{i}")) for i, c in enumerate(group_cols)]
+    best = known.join(least, reduce(Column.__and__, alike, F.col(metric) == F.col("_least")), "left_semi")
+    return first_by_group(best, group_cols, [metric, *tie_cols], others)
 
 
 def baseline_ratio(
