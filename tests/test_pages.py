@@ -400,3 +400,14 @@ def test_main_text_of_long_pages_is_linear(spark):
 
     seconds(100)
     assert seconds(60_000) < 30  # 1.1 MB, 180,000 nested tags
+
+
+def test_partitions_of_the_element_tree_follow_the_splits(spark, tmp_path):
+    page = "<html><body><div><p>some text of a page</p></div></body></html>"
+    spark.createDataFrame([(i, page) for i in range(6)], "page_id bigint, html string").repartition(3).write.parquet(str(tmp_path / "p"))
+    pages = spark.read.parquet(str(tmp_path / "p"))
+    found = tree.main_text(pages, "html", "text")
+    splits = pages.rdd.getNumPartitions()
+    assert "RepartitionByExpression [_row" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert f"], {tree.SPLIT_PARTS * splits}" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("text = 'some text of a page'").count() == 6

@@ -31,6 +31,8 @@ NAME_PATTERN = r"^</?([A-Za-z][A-Za-z0-9]*)"
 VOID_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"]
 #: Elements that may be a page's main text.
 CONTAINERS = ["html", "body", "main", "article", "section", "div", "td", "blockquote"]
+#: Partitions of the tokens for every split of the pages, which they exceed many times.
+SPLIT_PARTS = 16
 LINK_WEIGHT = -1
 TAG_WEIGHT = -4
 
@@ -89,7 +91,9 @@ def main_text(df: DataFrame, html_col: str = "html_content", out: str = "extract
     """
     others = [c for c in df.columns if c != html_col]
     keyed = df.select(F.monotonically_increasing_id().alias("_row"), *others, html_col)
-    tokens = page_tokens(keyed, "_row", html_col).repartition("_row")
+    # A task's sorts stay of one size as the input grows: so many partitions for each of its splits.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), SPLIT_PARTS * df.rdd.getNumPartitions())
+    tokens = page_tokens(keyed, "_row", html_col).repartition(parts, "_row")
     weighed = subtree_weights(element_tree(tokens, "_row"), "_row")
     heavy = F.when(F.col("mate").isNotNull() & F.col("name").isin(CONTAINERS) & ~F.col("hidden"), F.struct("weight", -F.col("pos"), "mate"))
     best = weighed.withColumn("best", F.max(heavy).over(Window.partitionBy("_row")))
