@@ -3,6 +3,7 @@
 import hashlib
 import re
 import time
+import tracemalloc
 
 import pandas as pd
 import pytest
@@ -53,6 +54,18 @@ def test_language(spark, model):
     assert lang_filter(df.where("id = 1"), "text", model, threshold=at + 1e-6).count() == 0
 
 
+def test_a_long_text_is_taken_piece_by_piece():
+    """Neither training nor scoring holds all code points of a text at once."""
+    text, chunks = "ab ç" * 2_000_000, language._bucketer(language.BUCKETS)
+    tracemalloc.start()
+    try:
+        assert sum(len(part) for part in chunks(text)) == len(text) - 2
+        assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    finally:
+        tracemalloc.stop()
+    assert not list(chunks(None)) and not list(chunks("ab")) and [len(p) for p in chunks("abc")] == [1]
+
+
 def test_own_model(spark):
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"lang": ["en" if " " in t else "fr" for t in texts], "prob": [len(t) / 10 for t in texts]})

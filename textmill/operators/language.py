@@ -57,9 +57,9 @@ def _bucketer(buckets: int) -> Callable[[str | None], Iterator[np.ndarray]]:
     factors, gram, chunk, modulus = gram_multipliers(GRAM), GRAM, CHUNK, MERSENNE31
 
     def chunks(text: str | None) -> Iterator[np.ndarray]:
-        points = np.frombuffer((text or "").encode("utf-32-le"), np.uint32)
-        for at in range(0, len(points) - gram + 1, chunk):
-            part = points[at : at + chunk + gram - 1].astype(np.int64)
+        text = text or ""
+        for at in range(0, len(text) - gram + 1, chunk):
+            part = np.frombuffer(text[at : at + chunk + gram - 1].encode("utf-32-le"), np.uint32).astype(np.int64)
             size = len(part) - gram + 1
             yield sum(part[k : k + size] * m for k, m in enumerate(factors)) % modulus % buckets
 
@@ -165,21 +165,21 @@ def _packed(gains: pd.DataFrame, buckets: int, width: int) -> tuple[np.ndarray,
 def _row_sums(df: DataFrame, text_col: str, model: LanguageModel) -> DataFrame:
     chunks, shared, width = _bucketer(model.buckets), model.packed, len(model.langs)
 
-    def batches(lines: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def batches(lines: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index, table = shared.value
         for batch in lines:
-            n, sums = [], []
-            for line in batch:
-                count, total = 0, np.zeros(width, np.int64)
-                for part in chunks(line):
-                    count += len(part)
-                    total += table[index[part]].sum(axis=0, dtype=np.int64)
-                n.append(count)
-                sums.append(total)
-            yield pd.DataFrame({"n": n, "g": sums})
+            n, sums = np.zeros(len(batch), np.int64), np.zeros((len(batch), width), np.int64)
+            # Texts leave Arrow one by one, so a batch is never held as Python strings too.
+            for row, line in enumerate(batch):
+                for part in chunks(line.as_py()):
+                    n[row] += len(part)
+                    sums[row] += table[index[part]].sum(axis=0, dtype=np.int64)
+            offsets = np.arange(len(batch) + 1, dtype=np.int32) * np.int32(width)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums.ravel()))
+            yield pa.StructArray.from_arrays([pa.array(n), lists], ["n", "g"])
 
     # Non-deterministic for the planner only, so that a filter on the result does not score every text twice.
-    udf = F.pandas_udf(batches, "n bigint, g array<bigint>").asNondeterministic()
+    udf = F.arrow_udf(batches, "n bigint, g array<bigint>").asNondeterministic()
     return df.withColumn("_sums", udf(_line(text_col)))
 
 
