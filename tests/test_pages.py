@@ -170,6 +170,27 @@ def test_archives(spark, tmp_path, way):
     assert dict(rows(written)) == expected
 
 
+def test_archives_without_coded_bodies_run_no_decoder(spark, tmp_path, monkeypatch):
+    """A reading task has no second Python process beside it, however the records end."""
+
+    def unused(*_):
+        raise AssertionError("a decoder was planned")
+
+    monkeypatch.setattr(warc, "undo_transfer", unused)
+    plain = {n: c for n, c in CASES.items() if c[1] is None}
+    (tmp_path / "a.warc").write_bytes(b"".join(record("response", n, c[0]) for n, c in plain.items()))
+    got = {r["warc_id"]: r["html_content"] for r in warc_ingest(spark, str(tmp_path)).collect()}
+    assert got == {f"<urn:{n}>": (t if t is not None else b.decode()) for n, (b, _, t) in plain.items()}
+
+
+def test_coded_bodies_are_decoded_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BATCH_BYTES", 1000)
+    bodies = [(i, None if i % 7 == 0 else gzip.compress(b"%d" % i * 400) if i % 3 else b"%d" % i, "gzip" if i % 3 else "") for i in range(100)]
+    df = spark.createDataFrame(bodies, "id long, body binary, coding string").coalesce(1)
+    got = dict(df.select("id", warc.undo_transfer(F.col("body"), F.col("coding"))).collect())
+    assert got == {i: None if b is None else bytearray(b"%d" % i * (400 if i % 3 else 1)) for i, b, _ in bodies}
+
+
 def test_damaged_archives(spark, tmp_path, way):
     """A false length takes nothing with it; a missing header is null; archives of one name do not replace each other."""
     (tmp_path / "in" / "x").mkdir(parents=True)

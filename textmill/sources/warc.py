@@ -14,13 +14,16 @@ from __future__ import annotations
 
 import gzip
 import zlib
+from collections.abc import Iterator
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textmill.schemas import CRAWL_RECORD, check_schema
 from textmill.session import cut, scratch_path
-from textmill.sources.archive_source import outer_records, reachable, read_archives
+from textmill.sources.archive_source import BATCH_BYTES, outer_records, reachable, read_archives
 
 # Fixed values of the archive format.
 VERSION_LINE = "WARC/1.0"
@@ -176,6 +179,7 @@ def sew(fragments: DataFrame, separator_length: int, version: str) -> DataFrame:
 
 def undo_transfer(body: Column, coding: Column) -> Column:
     """Undo chunked transfer and gzip or deflate coding; null when the bytes do not decode."""
+    most = BATCH_BYTES
 
     def chunks(data: bytes) -> bytes:
         out, at = [], 0
@@ -201,10 +205,19 @@ def undo_transfer(body: Column, coding: Column) -> Column:
         except (ValueError, EOFError, OSError, zlib.error):
             return None
 
-    def batch(bodies: pd.Series, codings: pd.Series) -> pd.Series:
-        return pd.Series([plain(b, h) for b, h in zip(bodies, codings)], dtype=object)
+    def batches(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        # Batches are limited by their coded size only; decoded bodies go on once they take ``most`` bytes.
+        for bodies, codings in columns:
+            out, held = [], 0
+            for body, coding in zip(bodies, codings):
+                out.append(plain(body.as_py(), coding.as_py()))
+                held += len(out[-1] or b"")
+                if held >= most:
+                    yield pa.array(out, pa.binary())
+                    out, held = [], 0
+            yield pa.array(out, pa.binary())
 
-    return F.pandas_udf(batch, "binary")(body, coding)
+    return F.arrow_udf(batches, "binary")(body, coding)
 
 
 def decode_payload(raw: Column) -> Column:
@@ -219,6 +232,12 @@ def parse_records(fragments: DataFrame, keep: Column | None = None, extra: list[
     Rows where ``keep`` holds stay whatever they are, with null content where they are no
     HTML response; ``wanted`` tells then, and the ``extra`` columns stay too.
     """
+    others = ["file", *extra, "wanted"] if keep is not None else []
+    return _contents(_bodies(fragments, keep, extra), others)
+
+
+def _bodies(fragments: DataFrame, keep: Column | None = None, extra: list[str] = []) -> DataFrame:
+    """What ``parse_records`` takes, with the ``body`` as it was sent and its ``coding``."""
     kept = F.lit(False) if keep is None else keep
     response = F.lower(_header(F.col("head"), "WARC-Type")) == "response"
     http = fragments.where(response | kept).select(
@@ -238,15 +257,24 @@ def parse_records(fragments: DataFrame, keep: Column | None = None, extra: list[
     coding = F.lower(
         F.concat_ws(" ", _header(F.col("http_head"), "Transfer-Encoding"), _header(F.col("http_head"), "Content-Encoding"))
     )
-    coded = F.col("coding").rlike("chunked|gzip|deflate")
     body = F.when(F.col("wanted"), _after(F.col("http"), F.col("http_head"), F.col("gap")))
     others = ["file", *extra, "wanted", "warc_id", "url", "date"]
-    bodies = html.select(*others, body.alias("body"), coding.alias("coding"))
-    # Only coded bodies are handed to Python; the rest pass as nulls.
-    decoded = bodies.withColumn("undone", undo_transfer(F.when(coded, F.col("body")), F.col("coding")))
-    payload = F.when(F.col("undone").isNotNull(), F.col("undone")).otherwise(F.col("body"))
-    return decoded.select(
-        *(["file", *extra, "wanted"] if keep is not None else []),
+    return html.select(*others, body.alias("body"), coding.alias("coding"))
+
+
+def _coded() -> Column:
+    return F.col("coding").rlike("chunked|gzip|deflate")
+
+
+def _contents(bodies: DataFrame, others: list[str], undo: bool = True) -> DataFrame:
+    """``bodies`` as crawl records behind the ``others``; without ``undo`` none may be coded, and no Python runs."""
+    payload = F.col("body")
+    if undo:
+        # Only coded bodies are handed to Python; the rest pass as nulls.
+        bodies = bodies.withColumn("undone", undo_transfer(F.when(_coded(), F.col("body")), F.col("coding")))
+        payload = F.when(F.col("undone").isNotNull(), F.col("undone")).otherwise(F.col("body"))
+    return bodies.select(
+        *others,
         "warc_id",
         "url",
         "date",
@@ -279,11 +307,20 @@ def warc_to_parquet(spark: SparkSession, path: str, out: str, glob: str = "*.war
 
 def _staged(spark: SparkSession, path: str, glob: str, version: str, range_bytes: int | None = None) -> DataFrame:
     """Crawl records by the data source. Records that were completed over a separator are
-    staged whatever they are, since what lies inside them is no record."""
+    staged whatever they are, since what lies inside them is no record.
+
+    Bodies are staged as they were sent, and only those that are coded are decoded and staged
+    once more, so no task reads an archive in one Python process and decodes in another.
+    """
     widths = {} if range_bytes is None else {"range_bytes": range_bytes}
     fragments = _with_head(read_archives(spark, path, glob, version, **widths))
     completed = F.col("stop").isNotNull()
-    staged = cut(parse_records(fragments, completed, ["start", "stop"]), "records")
+    bodies = cut(_bodies(fragments, completed, ["start", "stop"]), "bodies")
+    others = ["file", "start", "stop", "wanted"]
+    staged = _contents(bodies.where(~_coded()), others, undo=False)
+    coded = bodies.where(_coded())
+    if not coded.isEmpty():
+        staged = staged.unionByName(cut(_contents(coded, others), "decoded"))
     spans = staged.where(completed).select("file", "start", "stop")
     if not spans.isEmpty():
         staged = outer_records(staged, spans)
