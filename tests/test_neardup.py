@@ -7,8 +7,9 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from textmill.functions import grams as grams_module
 from textmill.operators.components import connected_components
-from textmill.operators.minhash import band_table, minhash_signature
+from textmill.operators.minhash import band_table, hash_coefficients, minhash_signature
 from textmill.operators import neardup
 from textmill.operators.neardup import NearDupConfig, dup_clusters, near_dedup, near_dup_filter, near_duplicates, pair_losers
 
@@ -260,3 +261,38 @@ def test_large_buckets_of_common_shingles_pair_by_pair_and_by_prefixes(spark, pe
         sharing[r["doc_id"]].add(r["bucket"])
     losers, _ = brute(docs, sharing, "char", cfg.threshold)
     assert {r["id"] for r in pair_losers(near_duplicates(df, "doc_id", "text", cfg)).collect()} == losers
+
+
+ODD_TEXTS = [
+    None, "", " ", "a b c d", "A b C d E", "a b c d e ", " a  b\tc\nd\re\x0bf\fg  ", "a b c d e \u2028", "a b c d e \u2029", "a b c d e \x85",
+    "a b c d e  \u2028\u2028", "a b c d e \n \u2028", "a b c d e\u2028 ", "a b c d e \r\n", "É ß İ Ж 漢字 😀 x y z", "a\xa0b c d e\x1f f g", "x" * 60 + " b c d e f",
+    "word " * 30, " ".join(["fifty", "five", "bytes", "fill", "x" * 33]), " ".join(["fifty", "six", "bytes", "fill", "x" * 34]), " " * 9 + "a",
+    " ".join(str(i * i) for i in range(700)),
+]
+
+
+@pytest.mark.parametrize("piece", [3, 1 << 12])
+@pytest.mark.parametrize("n", [1, 5])
+def test_word_grams_over_batches_equal_exploded_ones(spark, monkeypatch, n, piece):
+    monkeypatch.setattr(grams_module, "PIECE", piece)
+    df = spark.createDataFrame([(i // 2, t) for i, t in enumerate(ODD_TEXTS)], "id int, text string")
+    found = minhash_signature(df, "id", "text", n)
+    assert "Generate" not in found._jdf.queryExecution().toString()
+    exploded = grams_module.explode_grams(df, ["id"], F.col("text"), n, "word")
+    minima = [F.min((F.col("h") * a + b) % grams_module.MERSENNE31).alias(f"m{i}") for i, (a, b) in enumerate(hash_coefficients())]
+    assert rows(found) == rows(exploded.groupBy("id").agg(*minima))
+
+    docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "id int, text string")
+    plain = docs.select("id", F.length("text").alias("len"), F.array_sort(grams_module.gram_set(F.col("text"), n, "word")).alias("grams"))
+    plain = {r.id: r for r in plain.collect() if r.grams}
+    wanted = spark.createDataFrame([(i,) for i in plain if i % 3], "id int")
+    sets = neardup._gram_sets(docs, wanted, NearDupConfig(n=n)).collect()
+    assert {r.id: r for r in sets} == {i: r for i, r in plain.items() if i % 3}
+
+
+def test_texts_of_documents_without_a_bucket_are_not_shuffled(spark):
+    docs = spark.range(1000).select("id", F.lit("a b c d e").alias("text"))
+    for unit in ("word", "char"):
+        sets = neardup._gram_sets(docs, spark.range(3), NearDupConfig(unit=unit))
+        assert "shiftleft" in sets._jdf.queryExecution().optimizedPlan().toString()
+        assert sets.count() == 3

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textmill.functions.grams import MERSENNE31, explode_grams, lehmer_sequence
+from textmill.functions.grams import MERSENNE31, explode_grams, lehmer_sequence, word_grams
 
 # Fixed values of the near-duplicate contract.
 NGRAM_SIZE = 5
@@ -33,10 +38,14 @@ def minhash_signature(
 ) -> DataFrame:
     """``(id, *keep, m0 .. m{k-1})`` for every document with at least one shingle.
 
-    The minima are plain aggregates over the exploded grams: a document's grams
-    lie in one task, so each document leaves it as a single row.
+    Grams of words are hashed over Arrow batches of texts, those of characters in exploded
+    rows. The minima are plain aggregates: a document's grams lie in one task, so each
+    document leaves it as a single row.
     """
     keys = [id_col, *(keep or [])]
+    if unit == "word":
+        minima = [F.min(f"m{i}").alias(f"m{i}") for i in range(num_hashes)]
+        return _word_minima(df, keys, text_col, n, num_hashes).groupBy(*keys).agg(*minima)
     grams = explode_grams(df, keys, F.col(text_col), n, unit)
     minima = [
         F.min((F.col("h") * F.lit(a).cast("bigint") + F.lit(b).cast("bigint")) % F.lit(MERSENNE31).cast("bigint")).alias(
@@ -47,6 +56,26 @@ def minhash_signature(
     return grams.groupBy(*keys).agg(*minima)
 
 
+def _word_minima(df: DataFrame, keys: list[str], text_col: str, n: int, num_hashes: int) -> DataFrame:
+    """``(*keys, m0 .. m{k-1})`` for every row with at least one gram of words."""
+    grams, coefficients, modulus = word_grams(n), hash_coefficients(num_hashes), MERSENNE31
+    texts = df.select(*keys, F.lower(text_col).alias("_text"))
+    kinds = T.StructType([*texts.schema.fields[:-1], *[T.StructField(f"m{i}", T.LongType()) for i in range(num_hashes)]])
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            least = np.full((num_hashes, batch.num_rows), modulus, np.int64)
+            for row, h in grams(batch.column("_text")):
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                of = row[first]
+                for held, (a, b) in zip(least, coefficients):
+                    held[of] = np.minimum(held[of], np.minimum.reduceat((a * h + b) % modulus, first))
+            columns = [*batch.columns[:-1], *map(pa.array, least)]
+            yield pa.RecordBatch.from_arrays(columns, names=kinds.names).filter(pa.array(least[0] < modulus))
+
+    return texts.mapInArrow(batches, kinds)
+
+
 def band_table(signatures: DataFrame, keep: list[str], bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(*keep, band, bucket)``: one row per document and band; equal buckets are candidates."""
     keys = F.array(

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textmill.functions.bloom import MAX_BYTES, bloom_filter, bloom_size, might_contain
-from textmill.functions.grams import gram_set
+from textmill.functions.grams import gram_set, word_grams
 from textmill.operators.components import connected_components
 from textmill.operators.minhash import (
     BANDS,
@@ -90,13 +90,29 @@ def _salt_of(key: str, salts: Column) -> Column:
 
 def _gram_sets(docs: DataFrame, wanted: DataFrame, cfg: NearDupConfig) -> DataFrame:
     """``(id, len, grams)`` of the wanted documents; ``docs`` is ``(id, text)``."""
-    return docs.join(wanted.select("id").distinct(), "id", "left_semi").select(
-        "id", F.length("text").alias("len"), gram_set(F.col("text"), cfg.n, cfg.unit).alias("grams")
-    )
+    held, text = _of(docs, wanted), F.col("text")
+    if cfg.unit != "word":
+        return held.select("id", F.length(text).alias("len"), gram_set(text, cfg.n, cfg.unit).alias("grams"))
+    grams = word_grams(cfg.n)
+
+    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                # A gram has 28 bits; sorted with its row before it, the distinct ones of a row lie together.
+                keyed = [row << 31 | h for row, h in grams(part.column("text"))]
+                distinct = np.unique(np.concatenate([np.zeros(0, np.int64), *keyed]))
+                offsets = np.searchsorted(distinct, np.arange(part.num_rows + 1) << 31).astype(np.int32)
+                sets = pa.ListArray.from_arrays(pa.array(offsets), pa.array((distinct & (1 << 31) - 1).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("len"), sets], ["id", "len", "grams"])
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    texts = held.select("id", F.length(text).alias("len"), F.lower(text).alias("text"))
+    return texts.mapInArrow(batches, f"id {id_type}, len int, grams array<int>")
 
 
 def _of(sets: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sets of the wanted documents; a Bloom filter keeps most others out of the shuffle."""
+    """The sets, or texts, of the wanted documents; a Bloom filter keeps most others out of the shuffle."""
     ids = cut(wanted.select("id").distinct(), "wanted")
     n = ids.count()
     words, hashes = bloom_size(n)
