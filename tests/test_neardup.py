@@ -3,6 +3,7 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -296,3 +297,10 @@ def test_texts_of_documents_without_a_bucket_are_not_shuffled(spark):
         sets = neardup._gram_sets(docs, spark.range(3), NearDupConfig(unit=unit))
         assert "shiftleft" in sets._jdf.queryExecution().optimizedPlan().toString()
         assert sets.count() == 3
+
+
+def test_remainders_without_a_division():
+    prime, drawn = grams_module.MERSENNE31, random.Random(1)
+    edges = [k * prime + d for k in (1, 2, prime, 2**30 - 1) for d in (-1, 0, 1)]
+    numbers = [0, *edges, 2**61 - 1, *(drawn.randrange(2**61) for _ in range(1000))]
+    assert grams_module.remainder()(np.array(numbers, np.uint64)).tolist() == [x % prime for x in numbers]

@@ -36,6 +36,22 @@ def lehmer_sequence(count: int, seed: int) -> list[int]:
     return values
 
 
+def remainder() -> Callable[[np.ndarray], np.ndarray]:
+    """A function to the remainders by 2^31 - 1 of unsigned numbers below 2^61, without a division.
+
+    The two parts of a number have its remainder as their sum, less the prime where that is not below
+    zero. The helper is built here, so it travels to the executors by value.
+    """
+    modulus, shift = np.uint64(MERSENNE31), np.uint64(31)
+
+    def remainders(numbers: np.ndarray) -> np.ndarray:
+        parts = numbers >> shift
+        parts += numbers & modulus
+        return np.minimum(parts, parts - modulus, out=parts)
+
+    return remainders
+
+
 GRAM_SEED = 20011
 # Word grams that numpy handles at a time.
 PIECE = 1 << 12

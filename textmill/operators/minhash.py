@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textmill.functions.grams import MERSENNE31, explode_grams, lehmer_sequence, word_grams
+from textmill.functions.grams import MERSENNE31, explode_grams, lehmer_sequence, remainder, word_grams
 
 # Fixed values of the near-duplicate contract.
 NGRAM_SIZE = 5
@@ -58,7 +58,8 @@ def minhash_signature(
 
 def _word_minima(df: DataFrame, keys: list[str], text_col: str, n: int, num_hashes: int) -> DataFrame:
     """``(*keys, m0 .. m{k-1})`` for every row with at least one gram of words."""
-    grams, coefficients, modulus = word_grams(n), hash_coefficients(num_hashes), MERSENNE31
+    grams, remainders, modulus = word_grams(n), remainder(), MERSENNE31
+    coefficients = [(np.uint64(a), np.uint64(b)) for a, b in hash_coefficients(num_hashes)]
     texts = df.select(*keys, F.lower(text_col).alias("_text"))
     kinds = T.StructType([*texts.schema.fields[:-1], *[T.StructField(f"m{i}", T.LongType()) for i in range(num_hashes)]])
 
@@ -67,9 +68,10 @@ def _word_minima(df: DataFrame, keys: list[str], text_col: str, n: int, num_hash
             least = np.full((num_hashes, batch.num_rows), modulus, np.int64)
             for row, h in grams(batch.column("_text")):
                 first = np.flatnonzero(np.diff(row, prepend=-1))
-                of = row[first]
+                of, h = row[first], h.astype(np.uint64)
                 for held, (a, b) in zip(least, coefficients):
-                    held[of] = np.minimum(held[of], np.minimum.reduceat((a * h + b) % modulus, first))
+                    hashed = remainders(a * h + b).view(np.int64)
+                    held[of] = np.minimum(held[of], np.minimum.reduceat(hashed, first))
             columns = [*batch.columns[:-1], *map(pa.array, least)]
             yield pa.RecordBatch.from_arrays(columns, names=kinds.names).filter(pa.array(least[0] < modulus))
 
