@@ -10,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from textmill.functions.bloom import bloom_filter, bloom_size, might_contain
+from textmill.functions.markup import LINK_END, LINK_START, MARK_PATTERN, folded, is_prose, unmarked
 from textmill.operators import tree
 from textmill.operators.domains import (
     blacklist_normalise,
@@ -432,3 +433,20 @@ def test_partitions_of_the_element_tree_follow_the_splits(spark, tmp_path):
     assert "RepartitionByExpression [_row" in found._jdf.queryExecution().optimizedPlan().toString()
     assert f"], {tree.SPLIT_PARTS * splits}" in found._jdf.queryExecution().optimizedPlan().toString()
     assert found.where("text = 'some text of a page'").count() == 6
+
+
+@pytest.mark.parametrize("share", [-1, 0, 0.5, 1])
+def test_blocks_without_links_are_judged_and_folded_as_those_with(spark, share):
+    a, z = LINK_START, LINK_END
+    blocks = [None, "", "text", "two words", f"{a}all{z}", f"half{a}half{z}", f"more text {a}x{z}", f"{a}open", z, f"{a}{z}"]
+    prose = [
+        b is not None and (n := len(b.replace(a, "").replace(z, ""))) > 0 and sum(len(x.split(z)[0]) for x in b.split(a)[1:]) <= share * n
+        for b in blocks
+    ]
+    got = spark.createDataFrame(list(enumerate(blocks)), "i int, b string").select("i", F.coalesce(is_prose(F.col("b"), share), F.lit(False)))
+    assert rows(got) == list(enumerate(prose))
+
+    odd = ["a\u0085", "a \u0085\n", "a\n\u0085", " \u2028", "a \u0085\u0085", f"x {a} y{z} \u0085", f"{a} {z}\n{a}b{z}", "a\u00a0 \tb \n \n c ", ""]
+    once = spark.createDataFrame([(t,) for t in odd], "t string").select(folded(F.col("t")).alias("t"))
+    again = once.select(unmarked(F.col("t")).alias("new"), folded(F.regexp_replace("t", MARK_PATTERN, "")).alias("old")).collect()
+    assert [r.new for r in again] == [r.old for r in again]

@@ -66,6 +66,18 @@ def test_a_long_text_is_taken_piece_by_piece():
     assert not list(chunks(None)) and not list(chunks("ab")) and [len(p) for p in chunks("abc")] == [1]
 
 
+def test_trigrams_of_a_text_are_those_of_its_single_line(spark):
+    """Batches hold texts as they are; before, they had to hold lines made by regular expressions."""
+    ends = ["", " ", "\r\n", "\t\n ", "\u00a0\u3000", "\u2028", "\u0085", " \u0085", "\u0085 ", " \u0085\u0085", "\u0085\n", "\u180e", "\x1c"]
+    texts = [a + middle + b for a in ends for b in ends for middle in ("", "x", "Ab\r\n cΣ", "É😀 \u0085 y")]
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    pairs = df.select(F.lower("text").alias("low"), F.lower(single_line(F.col("text"))).alias("line")).collect()
+    chunks, factors = language._bucketer(1000), language.gram_multipliers(3)
+    for low, line in pairs:
+        plain = [sum(ord(c) * m for c, m in zip(line[i:], factors)) % (2**31 - 1) % 1000 for i in range(len(line) - 2)]
+        assert [int(b) for part in chunks(low) for b in part] == plain, (low, line)
+
+
 def test_own_model(spark):
     def predict(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"lang": ["en" if " " in t else "fr" for t in texts], "prob": [len(t) / 10 for t in texts]})

@@ -103,12 +103,26 @@ def marked_text(html: Column, drop: str = DROP_PATTERN) -> Column:
 def folded(text: Column) -> Column:
     """Runs of blanks to one space, runs of line breaks to one, none at the ends."""
     text = F.regexp_replace(text, BLANK_PATTERN, " ")
-    text = F.regexp_replace(text, LINE_PATTERN, "\n")
+    return trimmed(F.regexp_replace(text, LINE_PATTERN, "\n"))
+
+
+def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
 
 
+def has_marks(text: Column) -> Column:
+    return F.contains(text, F.lit(LINK_START)) | F.contains(text, F.lit(LINK_END))
+
+
+def unmarked(text: Column) -> Column:
+    """Already folded text without its marks, folded again; where it has none, only its ends can change."""
+    return F.when(has_marks(text), folded(F.regexp_replace(text, MARK_PATTERN, ""))).otherwise(trimmed(text))
+
+
 def is_prose(block: Column, max_link_share: float = MAX_LINK_SHARE) -> Column:
-    """True when at most ``max_link_share`` of a block's characters are link text."""
+    """True when at most ``max_link_share`` of a block's characters are link text; most blocks have no mark."""
     visible = F.length(F.regexp_replace(block, MARK_PATTERN, ""))
     outside = F.length(F.regexp_replace(F.regexp_replace(block, LINK_SPAN_PATTERN, ""), MARK_PATTERN, ""))
-    return (visible > 0) & ((visible - outside) <= F.lit(max_link_share) * visible)
+    prose = (visible > 0) & ((visible - outside) <= F.lit(max_link_share) * visible)
+    plain = (F.length(block) > 0) & F.lit(max_link_share >= 0)
+    return F.when(has_marks(block), prose).otherwise(plain)

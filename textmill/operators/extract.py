@@ -13,6 +13,7 @@ from textmill.functions.markup import (
     folded,
     is_prose,
     marked_text,
+    unmarked,
 )
 
 
@@ -50,7 +51,7 @@ def html_extract(
         .select(*others, html_col, folded(decode_entities(F.col("_t"))).alias("_t"))
     )
     blocks = F.filter(F.split("_t", "\n"), lambda b: is_prose(b, max_link_share))
-    text = folded(F.regexp_replace(F.array_join(blocks, "\n"), MARK_PATTERN, ""))
+    text = F.get(F.transform(F.array(F.array_join(blocks, "\n")), unmarked), F.lit(0))
     whole = folded(F.regexp_replace(decode_entities(marked_text(html, HIDDEN_PATTERN)), MARK_PATTERN, ""))
     either = F.transform(F.array(text), lambda t: F.when(t.rlike(VISIBLE_PATTERN), t).otherwise(whole))
     return _nonblank(lines, others, F.get(either, F.lit(0)), out)
