@@ -728,3 +728,21 @@ def test_one_bucket_of_many_unlinked_fingerprints(spark):
         root = new
     want = {int(v): int(values[r]) for v, r in zip(values, root)}
     assert {v: got.get(v, v) for v in want} == want
+
+
+def test_exploded_fingerprints_are_not_broadcast(spark, monkeypatch):
+    rng, plans, kept = random.Random(12), {}, simhash_cover.cut
+
+    def seen(df, name="cut"):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return kept(df, name)
+
+    monkeypatch.setattr(simhash_cover, "cut", seen)
+    prints = {rng.getrandbits(63) for _ in range(50)}
+    prints |= {p ^ 1 << rng.randrange(60) for p in prints}
+    table = kept(spark.createDataFrame([(p,) for p in prints], "fp BIGINT"))
+    marks = {r["fp"]: r["component"] for r in simhash_cover.fingerprint_components(table).collect()}
+    root = _components(prints)
+    assert marks == {p: min(x for x in prints if root[x] == root[p]) for p in prints}
+    for name in ("buckets", "bridges"):  # these join rows that were exploded, which Spark takes to be few
+        assert "SortMergeJoin" in plans[name] and "BroadcastHashJoin" not in plans[name]

@@ -105,7 +105,8 @@ def _near(a: Column, b: Column, radius: int) -> Column:
 def fingerprint_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(fp, component)`` for distinct ``fp`` that link to another; the component is its smallest fingerprint."""
     tables = F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("bigint")) for m in cover_masks(radius)])
-    keys = prints.select("fp", F.posexplode(tables).alias("t", "key"))
+    # Spark sizes exploded rows as if they were as few as before, so no join may broadcast them by that.
+    keys = prints.select("fp", F.posexplode(tables).alias("t", "key")).hint("merge")
     shared = keys.groupBy("t", "key").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
     members = cut(keys.join(shared, ["t", "key"]), "buckets")
     ends = F.explode(F.array(F.col("lo"), F.col("hi")))
@@ -123,7 +124,7 @@ def fingerprint_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame
 
     def met(members: DataFrame, *group: str) -> DataFrame:
         other = members.select(*group, F.col("fp").alias("fp2"), F.col("known").alias("known2"))
-        return members.join(other, list(group)).where(across).select("known", "known2")
+        return members.hint("merge").join(other, list(group)).where(across).select("known", "known2")
 
     # Below so many members the blocks would cost more rows than the comparisons that they save.
     few = met(open_.where(F.col("n") <= SMALL), "t", "key")
