@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -304,3 +305,56 @@ def test_remainders_without_a_division():
     edges = [k * prime + d for k in (1, 2, prime, 2**30 - 1) for d in (-1, 0, 1)]
     numbers = [0, *edges, 2**61 - 1, *(drawn.randrange(2**61) for _ in range(1000))]
     assert grams_module.remainder()(np.array(numbers, np.uint64)).tolist() == [x % prime for x in numbers]
+
+
+@pytest.mark.parametrize("n", [1, 5])
+def test_char_grams_over_batches_equal_exploded_ones(spark, n):
+    docs = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "id int, text string")
+    plain = docs.select("id", F.length("text").alias("len"), F.array_sort(grams_module.gram_set(F.col("text"), n, "char")).alias("grams"))
+    sets = neardup._gram_sets(docs, docs, NearDupConfig(n=n, unit="char")).where(F.size("grams") > 0)
+    assert rows(sets) == rows(plain.where(F.size("grams") > 0))
+
+
+def test_tables_written_between_steps_leave_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def held():
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = held()
+    neardup.cut(spark.range(10_000).groupBy(F.col("id") % 100).count())
+    deadline = time.time() + 30
+    while held() - before and time.time() < deadline:
+        time.sleep(0.5)
+    assert not held() - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_pairs_in_slices_and_bands_in_turns(spark, monkeypatch):
+    docs = {**babble(8, 30), 900: "short", 901: None, 902: ""}
+    cfg = NearDupConfig(unit="char", bands=4, rows=1)
+    df = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    whole = {r["id"] for r in pair_losers(near_duplicates(df, "doc_id", "text", cfg)).collect()}
+    sharing = {i: set() for i in docs}
+    for r in band_table(minhash_signature(df, "doc_id", "text", cfg.n, cfg.unit, 4), ["doc_id"], 4, 1).collect():
+        sharing[r["doc_id"]].add(r["bucket"])
+    losers, _ = brute({i: t or "" for i, t in docs.items()}, sharing, "char", cfg.threshold)
+    written, kept = [], neardup.cut
+
+    def seen(table, name="cut"):
+        written.append(name)
+        return kept(table, name)
+
+    monkeypatch.setattr(neardup, "cut", seen)
+    monkeypatch.setattr(neardup, "AT_ONCE", 20)
+    assert {r["id"] for r in pair_losers(near_duplicates(df, "doc_id", "text", cfg)).collect()} == whole == losers
+    assert written.count("band") == 4 and "sets" not in written
+    found = neardup.verify_pairs(spark.range(60).selectExpr("id a", "id + 900 b").where("id < 0"), df.withColumnRenamed("doc_id", "id"), cfg)
+    assert found.count() == 0
+    pairs = spark.createDataFrame([(a, b) for a in range(0, 20) for b in range(a + 1, 20)], "a bigint, b bigint")
+    texts = df.withColumnRenamed("doc_id", "id")
+    sliced = rows(neardup.verify_pairs(pairs, texts, cfg))
+    assert written.count("slice") > 1
+    monkeypatch.setattr(neardup, "AT_ONCE", 1000)
+    assert sliced and sliced == rows(neardup.verify_pairs(pairs, texts, cfg))

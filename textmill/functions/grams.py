@@ -126,6 +126,23 @@ def word_grams(n: int) -> Callable[[pa.Array], Iterator[tuple[np.ndarray, np.nda
     return grams
 
 
+def char_grams(n: int) -> Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """The same of characters: the integers of ``explode_grams``. The helper is built here, so it travels by value."""
+    multipliers, modulus = gram_multipliers(n), MERSENNE31
+
+    def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for row, line in enumerate(texts):
+            if not line.is_valid:
+                continue
+            # An empty text is split into one empty character, whose code point is 0.
+            points = np.frombuffer((line.as_py() or "\0").encode("utf-32-le"), np.uint32).astype(np.int64)
+            count = len(points) - n + 1
+            if count > 0:
+                yield np.full(count, row), sum(points[k : k + count] * m for k, m in enumerate(multipliers)) % modulus
+
+    return grams
+
+
 def _word_gram(parts: Column, start: Column, n: int) -> Column:
     gram = F.concat_ws(" ", *[F.get(parts, start + k) for k in range(n)])
     return F.conv(F.substring(F.md5(gram), 1, 7), 16, 10).cast("bigint")

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,9 +63,34 @@ def release(spark: SparkSession) -> None:
     discard(spark, run_folder(spark))
 
 
+#: Spark removes the shuffle files of a statement that ran under this setting at the statement's end.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_lock, _held, _before = threading.Lock(), Counter(), {}
+
+
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files; the session's setting comes back when the last thread leaves."""
+    with _lock:
+        if not _held[spark]:
+            _before[spark] = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _held[spark] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _held[spark] -= 1
+            if not _held[spark]:
+                del _held[spark]
+                before = _before.pop(spark)
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, and the
     reader knows the table's size, so joins on it may broadcast only when it is small."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with _without_shuffle_files(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
